@@ -45,10 +45,10 @@ PROFILE = f"""pp AS (
    max(CASE WHEN rank = 1 THEN mate_in END) AS best_mate_in,
    max(CASE WHEN rank = 2 THEN cp END) AS second_cp,
    max(CASE WHEN rank = 2 THEN cp_loss END) AS second_cp_loss,
-   count_if(cp_loss <= 30) AS close_moves
+   CAST(count_if(cp_loss <= 30) AS BIGINT) AS close_moves
  FROM analysed GROUP BY pos_id),
 ent AS (SELECT pos_id, sum(CASE WHEN prob > 0 THEN -prob * ln(prob) END) AS entropy,
-   count_if(prob > 0) AS n_probs FROM pol GROUP BY pos_id),
+   CAST(count_if(prob > 0) AS BIGINT) AS n_probs FROM pol GROUP BY pos_id),
 prof0 AS (
  SELECT pp.*, coalesce(ent.entropy, 0.0::DOUBLE) AS entropy, coalesce(ent.n_probs, 0) AS n_probs,
    coalesce(pol.prob, 0.0::DOUBLE) AS best_prob
@@ -153,7 +153,7 @@ def q_second_best_gap(spark, sf):
 
 
 @register("close_moves", with_fx(
-    f"WITH {ANALYSED} SELECT pos_id, count_if(cp_loss <= 30) AS close_moves FROM analysed GROUP BY pos_id",
+    f"WITH {ANALYSED} SELECT pos_id, CAST(count_if(cp_loss <= 30) AS BIGINT) AS close_moves FROM analysed GROUP BY pos_id",
     "fx_candidates"))
 def q_close_moves(spark, sf):
     a = analyse_candidates(_cands(spark, sf))

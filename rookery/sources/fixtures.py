@@ -214,6 +214,15 @@ def fx_valid_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(extra)
 
 
+def fx_valid_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legal moves as one ordered array per position (scored by slot, then unscored)."""
+    c = fx_candidates(spark, sf_dir)
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "uci")))
+    return c.groupBy("pos_id").agg(F.concat(
+        F.transform(ordered, lambda x: x["uci"]),
+        F.array(*[F.lit(m) for m in UNSCORED_MOVES])).alias("valid_moves"))
+
+
 def fx_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position per game: its board comes from ``fen_id``."""
     g = fx_games(spark, sf_dir).select(F.col("game_id").alias("pos_id"), "fen_id")
@@ -317,8 +326,8 @@ SELECT pos_id, slot,
  CAST(cp0 + l_partkey % 81 - 40 AS INT) AS confirm_cp,
  l_returnflag = 'R' AS forcing
 FROM (SELECT l_orderkey AS pos_id, l_partkey, l_suppkey, l_returnflag,
-  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
-     l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS slot,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
+     l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS INT) AS slot,
   CAST(floor(l_extendedprice) AS BIGINT) % 601 - 300 AS cp0,
   CAST(CASE WHEN l_quantity >= 45 AND CAST(floor(l_extendedprice) AS BIGINT) % 10 = 0
             THEN 1 + CAST(floor(l_extendedprice) AS BIGINT) % 3
@@ -335,6 +344,10 @@ FX_SQL["fx_valid_moves"] = (
     "SELECT pos_id, m.uci FROM (SELECT DISTINCT pos_id FROM fx_candidates) d, "
     "(VALUES " + ", ".join(f"('{m}')" for m in UNSCORED_MOVES) + ") m(uci)")
 FX_DEPS["fx_valid_moves"] = ["fx_candidates"]
+FX_SQL["fx_valid_list"] = (
+    "SELECT pos_id, list(uci ORDER BY slot) || [" + ", ".join(f"'{m}'" for m in UNSCORED_MOVES)
+    + "] AS valid_moves FROM fx_candidates GROUP BY pos_id")
+FX_DEPS["fx_valid_list"] = ["fx_candidates"]
 FX_SQL["fx_positions"] = """
 SELECT g.game_id AS pos_id, g.fen_id, f.fen FROM fx_games g JOIN fx_fens f ON f.fen_id = g.fen_id"""
 FX_DEPS["fx_positions"] = ["fx_games", "fx_fens"]
