@@ -111,3 +111,118 @@ def quota_shortfall(positions: DataFrame, targets: DataFrame) -> DataFrame:
     return j.select("source", "target", a.alias("available"),
                     F.greatest(F.col("target") - a, F.lit(0)).alias("shortfall"),
                     (a < F.col("target")).alias("exhausted"))
+
+
+def first_n_threshold(df: DataFrame, key: str, n: int) -> DataFrame:
+    """One-row frame holding the n-th smallest ``key`` (a distributed top-n:
+    each partition keeps n candidates, the merge keeps n)."""
+    return df.select(key).orderBy(key).limit(n).agg(F.max(key).alias("_thr"))
+
+
+def holdout_split(df: DataFrame, key: str, seed: int = 42, holdout: int = 500,
+                  extra: int = 5000, u: str = "u") -> DataFrame:
+    """Buffer the first ``holdout + extra`` rows (by ``key``), shuffle the
+    buffer by a keyed draw, hold out the first ``holdout`` for eval. The
+    train stream is the shuffled rest of the buffer (segment 0) followed by
+    the remaining rows in stream order (segment 1). Adds split/segment/ord.
+
+    The shuffle window spans only the buffer, whose size is the parameter."""
+    thr = F.broadcast(first_n_threshold(df, key, holdout + extra))
+    d = df.crossJoin(thr).withColumn("_in", F.coalesce(F.col(key) <= F.col("_thr"), F.lit(False)))
+    buf = d.filter("_in").withColumn(u, hash_uniform_col(seed, key))
+    r = F.row_number().over(Window.orderBy(F.col(u), F.col(key)))
+    buf = buf.withColumn("_r", r.cast("bigint"))
+    buf = buf.select(*df.columns,
+                     F.when(F.col("_r") <= holdout, F.lit("eval")).otherwise(F.lit("train")).alias("split"),
+                     F.lit(0).alias("segment"),
+                     F.when(F.col("_r") <= holdout, F.col("_r")).otherwise(F.col("_r") - holdout).alias("ord"))
+    rest = d.filter(~F.col("_in")).select(*df.columns, F.lit("train").alias("split"),
+                                          F.lit(1).alias("segment"), F.col(key).cast("bigint").alias("ord"))
+    return buf.unionByName(rest)
+
+
+def hash_uniform_col(seed: int, key: str) -> Column:
+    from rookery.functions.draws import hash_uniform
+    return hash_uniform(seed, F.col(key))
+
+
+def label_smallest(df: DataFrame, u: str, key: str, k: Column, n_buckets: int = DEFAULT_BUCKETS,
+                   flag: str = "selected") -> DataFrame:
+    """Flag the ``k`` rows with the smallest ``(u, key)`` without a join back:
+    the bucketed rank finds the k-th row, a one-row threshold is broadcast
+    and every row is labelled in a single pass."""
+    top = bucketed_rank(df.withColumn("_k", k), u, [key], limit=F.col("_k"), n_buckets=n_buckets)
+    thr = top.agg(F.max_by(F.struct(F.col(u).alias("_tu"), F.col(key).alias("_tk")), F.col("rank")).alias("_t"))
+    j = df.crossJoin(F.broadcast(thr))
+    tu, tk = F.col("_t._tu"), F.col("_t._tk")
+    sel = (F.col(u) < tu) | ((F.col(u) == tu) & (F.col(key) <= tk))
+    return j.withColumn(flag, F.coalesce(sel, F.lit(False))).drop("_t")
+
+
+def fraction_split(df: DataFrame, key: str, seed: int = 42, test_fraction: float = 0.05,
+                   u: str = "u") -> DataFrame:
+    """Exactly ``ceil(test_fraction * n)`` test rows: the smallest draws."""
+    d = df.withColumn(u, hash_uniform_col(seed, key))
+    n = F.broadcast(d.agg(F.count(F.lit(1)).alias("_n")))
+    d = d.crossJoin(n)
+    k = F.ceil(F.col("_n") * F.lit(float(test_fraction)))
+    out = label_smallest(d, u, key, k, flag="_test")
+    return out.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))) \
+        .drop("_test", "_n")
+
+
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, cap: int = 50000, u: str = "u") -> DataFrame:
+    """n rows without replacement from the first ``min(3n, cap)`` rows."""
+    buf = min(3 * n, cap)
+    thr = F.broadcast(first_n_threshold(df, key, buf))
+    d = df.crossJoin(thr).filter(F.col(key) <= F.col("_thr")).drop("_thr")
+    d = d.withColumn(u, hash_uniform_col(seed, key))
+    w = Window.orderBy(F.col(u), F.col(key))
+    return d.withColumn("pick", F.row_number().over(w)).filter(F.col("pick") <= n)
+
+
+def head_n(df: DataFrame, key: str, n: int) -> DataFrame:
+    return df.orderBy(key).limit(n)
+
+
+def ratio_interleave(spark: SparkSession, positions: DataFrame, n_slots: int, puzzle_ratio: float = 0.3,
+                     seed: int = 42, order: tuple[str, ...] = ("id", "idx")) -> DataFrame:
+    """Slot i takes a puzzle when its draw is below ``puzzle_ratio``, else a
+    game; the k-th slot of a source takes that source's k-th position in
+    stream order, recycling the source when it runs out.
+
+    Only the first ``n_slots`` positions of each source are ranked (a
+    distributed top-n per source), so no task sees a whole source."""
+    from rookery.functions.draws import hash_uniform
+    slots = spark.range(n_slots).select(F.col("id").alias("slot"))
+    slots = slots.withColumn("source", F.when(hash_uniform(seed, F.lit("slot"), F.col("slot")) < puzzle_ratio,
+                                              F.lit("puzzle")).otherwise(F.lit("game")))
+    slots = slots.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("slot")))
+    counts = positions.groupBy("source").agg(F.count(F.lit(1)).alias("ns"))
+    heads = None
+    for src in ("game", "puzzle"):
+        h = positions.filter(F.col("source") == src).orderBy(*order).limit(n_slots)
+        h = h.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(*order)))
+        heads = h if heads is None else heads.unionByName(h)
+    s = slots.join(F.broadcast(counts), "source")
+    s = s.withColumn("r", ((F.col("k") - 1) % F.col("ns")) + 1)
+    return s.join(heads, ["source", "r"]).drop("r", "k", "ns")
+
+
+def dense_order(df: DataFrame, order: list[str], col: str = "stream_pos") -> DataFrame:
+    """Dense 1-based position in the global order of ``order`` columns.
+
+    A range-partitioned sort (sampled bounds, as in a global ``orderBy``)
+    puts each key range in one partition; the frame is checkpointed to the
+    shared checkpoint folder so partition ids stay fixed if executors are
+    lost; per-partition counts (one row per partition) give the offsets."""
+    from rookery.session import cut_lineage
+    d = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    d = d.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
+    d = cut_lineage(d)
+    counts = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_i0"))
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_p", "_i0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    j = d.join(F.broadcast(offs), "_p")
+    return j.withColumn(col, (F.col("_off") + F.col("_i") - F.col("_i0") + 1).cast("bigint")) \
+        .drop("_p", "_i", "_i0", "_off")
