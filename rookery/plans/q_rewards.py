@@ -144,7 +144,8 @@ def q_topn_residual(spark, sf):
 @register("distinct_pos_move", with_fx(
     f"WITH {SCORED_SQL}, dm AS (SELECT DISTINCT fen, pred FROM scored WHERE legal AND pred IS NOT NULL), "
     "ev AS (SELECT dm.fen, dm.pred, CAST(length(dm.fen) + length(dm.pred) AS INT) AS work FROM dm) "
-    "SELECT s.prompt_id, s.sample_id, ev.work FROM scored s JOIN ev ON ev.fen = s.fen AND ev.pred = s.pred", *FX))
+    "SELECT s.prompt_id, s.sample_id, ev.work FROM scored s JOIN ev ON ev.fen = s.fen AND ev.pred = s.pred "
+    "WHERE s.legal AND s.pred IS NOT NULL", *FX))
 def q_distinct_pos_move(spark, sf):
     """Per-(position, move) work runs once on the distinct pairs and joins back."""
     s = scored(spark, sf).filter(F.col("legal") & F.col("pred").isNotNull())
