@@ -137,9 +137,10 @@ def _condition(cond: str, themes: Column, rating: Column) -> Column:
     raise ValueError(cond)
 
 
-def style_weights(source: Column, themes: Column, rating: Column) -> Column:
+def style_weights(source: Column, hits: dict[str, Column]) -> Column:
     """Array of 8 weights (STYLES order) after the source table and, for
-    puzzles, the theme/rating bumps (multiplied in rule order)."""
+    puzzles, the theme/rating bumps (multiplied in rule order). ``hits`` maps
+    each bump condition to a boolean column computed once per row."""
     out = []
     for s in STYLES:
         w = F.when(source == "puzzle", F.lit(STYLE_WEIGHTS["puzzle"].get(s, 0.0))) \
@@ -148,8 +149,7 @@ def style_weights(source: Column, themes: Column, rating: Column) -> Column:
             for style, factor in bumps:
                 if style == s:
                     # factors are positive, so max(0, w*f) == w*f; a miss multiplies by exactly 1.0
-                    hit = (source == "puzzle") & _condition(cond, themes, rating)
-                    w = w * F.when(hit, F.lit(factor)).otherwise(F.lit(1.0))
+                    w = w * F.when((source == "puzzle") & hits[cond], F.lit(factor)).otherwise(F.lit(1.0))
         out.append(w)
     return F.array(*out)
 
@@ -169,10 +169,14 @@ def weighted_pick_index(weights: Column, u: Column) -> Column:
 
 
 def select_style(df: DataFrame, source: str, key: str, themes: str, rating: str, seed: int = 42) -> DataFrame:
-    w = style_weights(F.col(source), F.coalesce(F.col(themes), F.array().cast("array<string>")), F.col(rating))
+    th = F.coalesce(F.col(themes), F.array().cast("array<string>"))
+    names = {cond: f"_c{i}" for i, (cond, _) in enumerate(PUZZLE_BUMPS)}
+    d = df.select("*", *[_condition(cond, th, F.col(rating)).alias(n) for cond, n in names.items()])
+    w = style_weights(F.col(source), {cond: F.col(n) for cond, n in names.items()})
     u = hash_uniform(seed, F.col(source), F.col(key), F.lit("style"))
     idx = weighted_pick_index(w, u)
-    return df.withColumn("style", F.element_at(F.array(*[F.lit(s) for s in STYLES]), idx + 1))
+    return d.withColumn("style", F.element_at(F.array(*[F.lit(s) for s in STYLES]), idx + 1)) \
+        .drop(*names.values())
 
 
 def override_style(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

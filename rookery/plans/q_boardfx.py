@@ -285,10 +285,13 @@ def duck_sql(select: str) -> str:
 def spark_features(spark, sf, select: str):
     """Builds pcs / edges with DataFrame ops, registers them under unique
     view names and runs the shared feature SQL."""
+    from rookery.session import cut_lineage
     pos = fx_positions(spark, sf)
     bd = BD.boards(pos)
-    pcs = BD.pieces(bd)
-    edges = BD.attack_edges(spark, pcs)
+    # pieces and edges are referenced by several feature CTEs: materialise
+    # each once (reliable checkpoint) instead of re-deriving them per reference
+    pcs = cut_lineage(BD.pieces(bd))
+    edges = cut_lineage(BD.attack_edges(spark, pcs))
     tag = uuid.uuid4().hex[:12]
     names = {"pcs": f"pcs_{tag}", "edges": f"edges_{tag}", "leaps": f"leaps_{tag}", "bds": f"bds_{tag}",
              "fx_positions": f"pos_{tag}"}
