@@ -119,7 +119,8 @@ def _iso_b() -> str:
 
 # Edge aggregates: attackers per target square, hanging pieces, checks, forks, pins, skewers.
 EDGE = ("att AS (SELECT fen, to_idx, " + _cnt("from_color = 'w'") + " AS aw, " + _cnt("from_color = 'b'")
-        + " AS ab FROM edges GROUP BY fen, to_idx), "
+        + " AS ab, " + _cnt("from_color = 'w' AND from_type = 'p'") + " AS apw, "
+        + _cnt("from_color = 'b' AND from_type = 'p'") + " AS apb FROM edges GROUP BY fen, to_idx), "
         "tgt AS (SELECT p.fen, p.side, p.idx, p.color, p.type, p.value, p.csq, p.sq, coalesce(a.aw, 0) AS aw, "
         "coalesce(a.ab, 0) AS ab FROM pcs p LEFT JOIN att a ON a.fen = p.fen AND a.to_idx = p.idx), "
         "hang AS (SELECT *, CASE WHEN color = side THEN 1 ELSE 0 END AS bias FROM tgt WHERE type <> 'k' AND "
@@ -226,7 +227,74 @@ CODES = ("codes AS (SELECT a.fen, "
          "'rook_7th' END, CASE WHEN (a.side = 'w' AND a.passed_w IS NOT NULL) OR (a.side = 'b' AND a.passed_b IS NOT "
          "NULL) THEN 'passed_pawn' END) AS cues_all FROM feat a JOIN efeat2 e ON e.fen = a.fen)")
 
-BOARD_SQL = ",\n".join([PF, PAWNS, EDGE, FEATURES, EDGE_FEATURES, CODES])
+# Static structure: weak squares, outposts, batteries, backward pawns (side-aware).
+WEAK_SQUARES = [("d", 4), ("e", 4), ("d", 5), ("e", 5), ("c", 4), ("f", 4), ("c", 5), ("f", 5)]
+
+
+def _att(fen_alias: str, idx: int, col: str) -> str:
+    return (f"coalesce((SELECT max({col}) FROM att x WHERE x.fen = {fen_alias}.fen AND x.to_idx = {idx}), 0)")
+
+
+def _weak_list() -> str:
+    parts = []
+    for f, r in WEAK_SQUARES:
+        i = (8 - r) * 8 + "abcdefgh".index(f) + 1
+        # attacker = side to move; white needs rank >= 5, black rank <= 4
+        cond = (f"((f.side = 'w' AND {r} >= 5 AND coalesce(a{i}.apb, 0) = 0 AND coalesce(a{i}.aw, 0) > 0) OR "
+                f"(f.side = 'b' AND {r} <= 4 AND coalesce(a{i}.apw, 0) = 0 AND coalesce(a{i}.ab, 0) > 0))")
+        parts.append(f"CASE WHEN {cond} THEN '{f}{r}' END")
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
+def _weak_joins() -> str:
+    js = []
+    for f, r in WEAK_SQUARES:
+        i = (8 - r) * 8 + "abcdefgh".index(f) + 1
+        js.append(f"LEFT JOIN att a{i} ON a{i}.fen = f.fen AND a{i}.to_idx = {i}")
+    return " ".join(js)
+
+
+STATIC2 = (
+    "weak AS (SELECT f.fen, " + _weak_list() + " AS weak_squares FROM pf f " + _weak_joins() + "), "
+    "opost AS (SELECT t.fen, min(CASE WHEN t.color = 'w' THEN (CASE WHEN t.type = 'n' THEN 0 ELSE 100 END) + t.csq END) "
+    "AS ow, min(CASE WHEN t.color = 'b' THEN (CASE WHEN t.type = 'n' THEN 0 ELSE 100 END) + t.csq END) AS ob "
+    "FROM tgt t LEFT JOIN att a ON a.fen = t.fen AND a.to_idx = t.idx WHERE t.type IN ('n', 'b') AND "
+    "((t.color = 'w' AND t.csq >= 32 AND coalesce(a.apw, 0) > 0 AND coalesce(a.apb, 0) = 0) OR "
+    "(t.color = 'b' AND t.csq < 32 AND coalesce(a.apb, 0) > 0 AND coalesce(a.apw, 0) = 0)) GROUP BY t.fen), "
+    "bat AS (SELECT a.fen, a.color, "
+    "bool_or(a.type = 'r' AND b.type = 'r' AND a.file = b.file) AS rr, "
+    "bool_or(a.type = 'q' AND b.type = 'r' AND a.file = b.file) AS qr, "
+    "bool_or(a.type = 'q' AND b.type = 'b' AND abs(a.file - b.file) = abs(a.rank - b.rank)) AS qb "
+    "FROM pcs a JOIN pcs b ON b.fen = a.fen AND b.color = a.color AND b.idx <> a.idx "
+    "WHERE a.type IN ('r', 'q') GROUP BY a.fen, a.color), "
+    "bats AS (SELECT fen, bool_or(color = 'w' AND (rr OR qr OR qb)) AS battery_w, "
+    "bool_or(color = 'b' AND (rr OR qr OR qb)) AS battery_b, "
+    "concat_ws(',', CASE WHEN bool_or(color = 'w' AND rr) THEN 'w_rooks' END, CASE WHEN bool_or(color = 'w' AND qr) "
+    "THEN 'w_queen_rook' END, CASE WHEN bool_or(color = 'w' AND qb) THEN 'w_queen_bishop' END, "
+    "CASE WHEN bool_or(color = 'b' AND rr) THEN 'b_rooks' END, CASE WHEN bool_or(color = 'b' AND qr) "
+    "THEN 'b_queen_rook' END, CASE WHEN bool_or(color = 'b' AND qb) THEN 'b_queen_bishop' END) AS batteries "
+    "FROM bat GROUP BY fen), "
+    "bwd0 AS (SELECT a.fen, a.color, a.file, a.rank, a.idx FROM pw a WHERE EXISTS (SELECT 1 FROM pw x WHERE "
+    "x.fen = a.fen AND x.color = a.color AND abs(x.file - a.file) = 1) AND NOT EXISTS (SELECT 1 FROM pw x WHERE "
+    "x.fen = a.fen AND x.color = a.color AND abs(x.file - a.file) = 1 AND ((a.color = 'w' AND x.rank <= a.rank) OR "
+    "(a.color = 'b' AND x.rank >= a.rank))) AND ((a.color = 'w' AND a.rank < 8) OR (a.color = 'b' AND a.rank > 1))), "
+    "bwd1 AS (SELECT b.*, CASE WHEN b.color = 'w' THEN b.idx - 8 ELSE b.idx + 8 END AS fidx FROM bwd0 b), "
+    "bwd AS (SELECT b.fen, min(CASE WHEN b.color = 'w' THEN b.rank * 10 + b.file END) AS kbw, "
+    "min(CASE WHEN b.color = 'b' THEN (9 - b.rank) * 10 + b.file END) AS kbb FROM bwd1 b "
+    "JOIN bds d ON d.fen = b.fen LEFT JOIN att a ON a.fen = b.fen AND a.to_idx = b.fidx "
+    "WHERE substr(d.b, b.fidx, 1) = '.' AND ((b.color = 'w' AND coalesce(a.ab, 0) > 0 AND coalesce(a.aw, 0) = 0) OR "
+    "(b.color = 'b' AND coalesce(a.aw, 0) > 0 AND coalesce(a.ab, 0) = 0)) GROUP BY b.fen), "
+    "sfeat AS (SELECT f.fen, w.weak_squares, "
+    "CASE WHEN o.ow IS NOT NULL THEN " + _csq_name("(o.ow % 100)") + " END AS outpost_w, "
+    "CASE WHEN o.ob IS NOT NULL THEN " + _csq_name("(o.ob % 100)") + " END AS outpost_b, "
+    "coalesce(bt.battery_w, false) AS battery_w, coalesce(bt.battery_b, false) AS battery_b, "
+    "coalesce(bt.batteries, '') AS batteries, "
+    "CASE WHEN bw.kbw IS NOT NULL THEN " + _sq("bw.kbw % 10", "CAST(floor(bw.kbw / 10) AS INT)") + " END AS backward_w, "
+    "CASE WHEN bw.kbb IS NOT NULL THEN " + _sq("bw.kbb % 10", "9 - CAST(floor(bw.kbb / 10) AS INT)") + " END AS backward_b "
+    "FROM pf f JOIN weak w ON w.fen = f.fen LEFT JOIN opost o ON o.fen = f.fen LEFT JOIN bats bt ON bt.fen = f.fen "
+    "LEFT JOIN bwd bw ON bw.fen = f.fen)")
+
+BOARD_SQL = ",\n".join([PF, PAWNS, EDGE, FEATURES, EDGE_FEATURES, CODES, STATIC2])
 
 
 # ---- DuckDB side: pieces, geometry, edges ------------------------------------------------
@@ -309,7 +377,7 @@ def spark_features(spark, sf, select: str):
 
 def board_query(key: str, cols: str):
     select = f"SELECT p.pos_id, {cols} FROM fx_positions p JOIN feat a ON a.fen = p.fen JOIN efeat2 e ON e.fen = p.fen " \
-             "JOIN codes c ON c.fen = p.fen"
+             "JOIN codes c ON c.fen = p.fen JOIN sfeat x ON x.fen = p.fen"
 
     def fn(spark, sf):
         return spark_features(spark, sf, select)
@@ -343,3 +411,7 @@ board_query("problem_code", "c.problem_code")
 board_query("king_safety_code", "c.king_safety_code")
 board_query("motif_rank", "c.top_motif")
 board_query("positional_cues", "c.cues_all")
+board_query("weak_squares", "x.weak_squares")
+board_query("outposts", "x.outpost_w, x.outpost_b")
+board_query("batteries", "x.battery_w, x.battery_b, x.batteries")
+board_query("backward_pawns", "x.backward_w, x.backward_b")
