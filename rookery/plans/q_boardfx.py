@@ -350,26 +350,26 @@ def duck_sql(select: str) -> str:
     return with_fx(f"WITH {DUCK_BASE},\n{BOARD_SQL}\n{select}", "fx_positions")
 
 
-def spark_features(spark, sf, select: str):
-    """Builds pcs / edges with DataFrame ops, registers them under unique
-    view names and runs the shared feature SQL."""
+def spark_features(spark, sf, select: str, pos=None, extra_views: dict | None = None, more_ctes: str = ""):
+    """Builds pcs / edges with DataFrame ops over the boards of ``pos``
+    (default: the fixture positions), registers them under unique view
+    names and runs the shared feature SQL."""
+    import re
+
     from rookery.session import cut_lineage
-    pos = fx_positions(spark, sf)
+    pos = fx_positions(spark, sf) if pos is None else pos
     bd = BD.boards(pos)
     # pieces and edges are referenced by several feature CTEs: materialise
     # each once (reliable checkpoint) instead of re-deriving them per reference
     pcs = cut_lineage(BD.pieces(bd))
     edges = cut_lineage(BD.attack_edges(spark, pcs))
     tag = uuid.uuid4().hex[:12]
-    names = {"pcs": f"pcs_{tag}", "edges": f"edges_{tag}", "leaps": f"leaps_{tag}", "bds": f"bds_{tag}",
-             "fx_positions": f"pos_{tag}"}
-    pcs.createOrReplaceTempView(names["pcs"])
-    edges.createOrReplaceTempView(names["edges"])
-    BD.leaps(spark).createOrReplaceTempView(names["leaps"])
-    bd.createOrReplaceTempView(names["bds"])
-    pos.createOrReplaceTempView(names["fx_positions"])
-    sql = f"WITH {BOARD_SQL}\n{select}"
-    import re
+    views = {"pcs": pcs, "edges": edges, "leaps": BD.leaps(spark), "bds": bd, "fx_positions": pos,
+             **(extra_views or {})}
+    names = {k: f"{k}_{tag}" for k in views}
+    for k, v in views.items():
+        v.createOrReplaceTempView(names[k])
+    sql = f"WITH {BOARD_SQL}" + (f",\n{more_ctes}" if more_ctes else "") + f"\n{select}"
     for k, v in names.items():
         sql = re.sub(rf"\b{k}\b", v, sql)
     return spark.sql(sql)
