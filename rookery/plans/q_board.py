@@ -9,6 +9,7 @@ from rookery.functions.text import UCI_MOVE, parse_movetext, tokens, valid_prefi
 from rookery.operators import lookups as L
 from rookery.plans import sqlfrag as S
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources import sinks
 from rookery.sources.fixtures import (START_FEN, fx_game_records, fx_games, fx_lines, fx_positions,
                                       with_fx)
@@ -21,6 +22,7 @@ def sql_valid_prefix(toks: str) -> str:
     return f"(CASE WHEN {fi} IS NULL THEN {toks} ELSE {toks}[1:{fi}] END)"
 
 
+@plan_memo
 def game_lines(spark, sf):
     """Games with their coordinate line (the line's moves)."""
     g = fx_games(spark, sf).select("game_id", "line_id")
@@ -125,6 +127,7 @@ def q_distinct_positions(spark, sf):
 
 # ---- opening book -------------------------------------------------------------
 
+@plan_memo
 def opening_book(spark, sf):
     """Book rows derived from the games (one per game; load order = game id)."""
     g = game_lines(spark, sf).filter(F.col("line_uci") != "")

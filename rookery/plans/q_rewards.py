@@ -11,6 +11,7 @@ from rookery.operators import rewards as R
 from rookery.plans import sqlfrag as S
 from rookery.plans.q_scoring import ANALYSED
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import (fx_candidates, fx_positions, fx_rollouts, fx_valid_list,
                                       with_fx)
 
@@ -18,10 +19,12 @@ FX = ("fx_rollouts", "fx_positions", "fx_valid_list", "fx_candidates")
 NL = "chr(10)"
 
 
+@plan_memo
 def analysis(spark, sf):
     return R.position_analysis(fx_candidates(spark, sf), fx_valid_list(spark, sf))
 
 
+@plan_memo
 def scored(spark, sf):
     r = fx_rollouts(spark, sf)
     return R.score_rollouts(r, fx_positions(spark, sf).select("pos_id", "fen"), analysis(spark, sf))
@@ -299,6 +302,7 @@ div AS (SELECT gd.fen, group_size, parsed::DOUBLE / group_size AS parse_rate, un
   FROM gd LEFT JOIN md ON md.fen IS NOT DISTINCT FROM gd.fen)"""
 
 
+@plan_memo
 def diversity(spark, sf):
     s = scored(spark, sf).withColumn("reward_total", R.reward_total(["wpd", "format", "xml_count"]))
     return R.group_diversity(s)
@@ -360,6 +364,7 @@ HIST_SQL = (f"{BUCKETS_SQL}, hc AS (SELECT {BUCKET_SQL} AS bucket, count(*) AS n
             "LEFT JOIN hc ON hc.bucket = bk.bucket)")
 
 
+@plan_memo
 def eval_flags(spark, sf):
     return EV.eval_flags(fx_rollouts(spark, sf), analysis(spark, sf))
 

@@ -12,6 +12,7 @@ from rookery.operators.sequences import ExplodeParams, explode_plies, explode_pu
 from rookery.plans import sqlfrag as S
 from rookery.plans.q_sources import ELIGIBLE_SQL, PUZZLE_TURNS_SQL, eligible_games
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import fx_positions, fx_puzzle_records, with_fx
 
 G, P = "fx_game_records", "fx_puzzle_records"
@@ -19,6 +20,7 @@ QP = smp.QuotaParams()
 GAMES_TARGET = int(QP.target_size * QP.games_ratio)
 
 
+@plan_memo
 def source_positions(spark, sf):
     """Sampled game positions and puzzle solver turns, one keyed draw each."""
     g = explode_plies(eligible_games(spark, sf), ExplodeParams(), sample=True)

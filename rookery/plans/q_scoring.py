@@ -8,6 +8,7 @@ from rookery.functions.scores import normalized_score, score_label
 from rookery.operators.scoring import (analyse_candidates, decision_profile, rank_candidates,
                                        round6, softmax_policy)
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import fx_candidates, fx_valid_moves, with_fx
 
 CATEGORY_SQL = """CASE WHEN mate_in > 0 THEN 'winning mate' WHEN mate_in IS NOT NULL THEN 'blunder'
@@ -165,6 +166,7 @@ PROFILE_COLS = ("pos_id, best_uci, round(best_prob, 6) AS best_prob, round(entro
                 "cp_gap, second_cp_loss, close_moves, near_equal, only_move, forced_mate, many_options")
 
 
+@plan_memo
 def profile_frame(spark, sf):
     d = decision_profile(_cands(spark, sf), fx_valid_moves(spark, sf))
     return d.select("pos_id", "best_uci", round6("best_prob").alias("best_prob"),

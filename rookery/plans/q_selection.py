@@ -14,6 +14,7 @@ from rookery.operators.scoring import analyse_candidates, softmax_policy
 from rookery.plans import sqlfrag as S
 from rookery.plans.q_scoring import ANALYSED, POLICY, PROFILE, profile_frame, win_prob_sql
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import (fx_candidates, fx_games, fx_positions, fx_puzzle_records, fx_puzzles,
                                       fx_pv, fx_valid_moves, with_fx)
 from rookery.functions.casts import rating_or_default
@@ -22,6 +23,7 @@ from rookery.functions.text import tokens
 C = ("fx_candidates",)
 
 
+@plan_memo
 def analysed(spark, sf):
     return analyse_candidates(fx_candidates(spark, sf))
 
@@ -38,6 +40,7 @@ pool AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pos_id ORDER B
   WHERE pick <= cnt)"""
 
 
+@plan_memo
 def pool_frame(spark, sf):
     return SEL.candidate_pool(analysed(spark, sf))
 
@@ -125,6 +128,7 @@ sp AS (SELECT *, list_reduce(w, lambda acc, x: struct_pack(run := acc.run + x,
 styles AS (SELECT source, id, {STYLE_LIST}[CASE WHEN tot <= 0 THEN 0 ELSE greatest(idx, 0) END + 1] AS style FROM sp)"""
 
 
+@plan_memo
 def styles_frame(spark, sf):
     return SEL.select_style(style_inputs(spark, sf), "source", "id", "themes", "rating")
 
@@ -171,6 +175,7 @@ traps AS (SELECT *, CASE WHEN cpt THEN 'trap' WHEN cpr THEN 'resource' WHEN wpt
   END AS trap_kind, CASE WHEN cpt OR cpr THEN 'cp' WHEN wpt OR wpr THEN 'wp' END AS trap_rule FROM t2)"""
 
 
+@plan_memo
 def traps_frame(spark, sf):
     return SEL.trap_detect(analysed(spark, sf))
 

@@ -13,6 +13,7 @@ from rookery.operators.sequences import (ExplodeParams, explode_plies, explode_p
                                          movetext_fallback)
 from rookery.plans import sqlfrag as S
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import (fx_candidates, fx_game_records, fx_puzzle_records,
                                       fx_valid_list, with_fx)
 from rookery.sources.records import scan_games, scan_puzzles
@@ -127,6 +128,7 @@ eligible AS (SELECT game_id, line_id, fen_id, avg_elo, weight, movetext, {S.pars
  FROM eg1 WHERE u <= weight AND movetext IS NOT NULL AND len({S.parse_movetext('movetext')}) >= 7)"""
 
 
+@plan_memo
 def eligible_games(spark, sf):
     """Cheap predicates first; one conjunction per stage for Catalyst."""
     g = movetext_fallback(fx_game_records(spark, sf))

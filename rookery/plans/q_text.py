@@ -13,6 +13,7 @@ from rookery.operators import traces as TR
 from rookery.plans import sqlfrag as S
 from rookery.plans.q_scoring import ANALYSED
 from rookery.plans.registry import register
+from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import (fx_candidates, fx_chat, fx_positions, fx_rollouts, fx_valid_list,
                                       with_fx)
 from rookery.sources.tables import table
@@ -30,6 +31,7 @@ def fill_sql(template: str, **exprs: str) -> str:
     return "concat(" + ", ".join(parts) + ")"
 
 
+@plan_memo
 def basic_rows(spark, sf):
     """Positions with their legal list and chosen move (best, else first legal)."""
     from rookery.operators.scoring import rank_candidates
