@@ -63,6 +63,12 @@ class Dialect:
     def empty_strings(self) -> str:
         return "CAST(array() AS ARRAY<STRING>)" if self.name == "spark" else "[]::VARCHAR[]"
 
+    def set_char(self, s: str, pos: str, c: str) -> str:
+        """Replace the character at 1-based ``pos``."""
+        if self.name == "spark":
+            return f"overlay({s}, {c}, {pos}, 1)"
+        return f"concat(substr({s}, 1, {pos} - 1), {c}, substr({s}, {pos} + 1))"
+
     def last(self, arr: str) -> str:
         return f"element_at({arr}, -1)" if self.name == "spark" else f"list_extract({arr}, -1)"
 
@@ -83,14 +89,12 @@ def expand_placement(d: Dialect, placement: str) -> str:
 
 
 def compress_board(d: Dialect, board: str) -> str:
-    """64-char board -> FEN piece placement (runs of '.' become digits)."""
-    ranks = []
-    for r in range(8):
-        s = f"substr({board}, {r * 8 + 1}, 8)"
-        for n in range(8, 0, -1):
-            s = d.replace_all(s, "[.]{" + str(n) + "}", str(n))
-        ranks.append(s)
-    return "concat_ws('/', " + ", ".join(ranks) + ")"
+    """64-char board -> FEN piece placement: ranks joined by '/', then runs of
+    '.' (which never cross a '/') become digits, longest first."""
+    s = "concat_ws('/', " + ", ".join(f"substr({board}, {r * 8 + 1}, 8)" for r in range(8)) + ")"
+    for n in range(8, 0, -1):
+        s = d.replace_all(s, "[.]{" + str(n) + "}", str(n))
+    return s
 
 
 def _move_struct(d: Dialect, m: str) -> str:
@@ -120,7 +124,16 @@ def _step(d: Dialect, a: str, m: str) -> str:
          f"WHEN {castle} AND {m}.tf = 2 AND i = {m}.ti - 2 THEN '.' " \
          f"WHEN {castle} AND {m}.tf = 2 AND i = {m}.ti + 1 THEN substr({a}.b, {m}.ti - 2, 1) " \
          f"ELSE substr({a}.b, i, 1) END"
-    board = d.join(d.transform(d.squares(), "i", sq))
+    if d.name == "spark":
+        # a few O(1) edits per move instead of rebuilding all 64 squares
+        b1 = d.set_char(d.set_char(f"{a}.b", f"{m}.fi", "'.'"), f"{m}.ti", placed)
+        b2 = f"(CASE WHEN {epcap} THEN {d.set_char(b1, ep_sq, chr(39) + '.' + chr(39))} ELSE {b1} END)"
+        king_side = d.set_char(d.set_char(b2, f"{m}.ti + 1", "'.'"), f"{m}.ti - 1", f"substr({a}.b, {m}.ti + 1, 1)")
+        queen_side = d.set_char(d.set_char(b2, f"{m}.ti - 2", "'.'"), f"{m}.ti + 1", f"substr({a}.b, {m}.ti - 2, 1)")
+        board = (f"(CASE WHEN {castle} AND {m}.tf = 6 THEN {king_side} WHEN {castle} AND {m}.tf = 2 "
+                 f"THEN {queen_side} ELSE {b2} END)")
+    else:
+        board = d.join(d.transform(d.squares(), "i", sq))
     # castling rights lost: king moves, or a move from/to a rook corner
     corners = (f"(CASE WHEN {piece} = 'K' THEN 'KQ' ELSE '' END) || (CASE WHEN {piece} = 'k' THEN 'kq' ELSE '' END)"
                f" || (CASE WHEN {m}.fi = 64 OR {m}.ti = 64 THEN 'K' ELSE '' END)"
