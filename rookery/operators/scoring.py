@@ -64,21 +64,26 @@ def softmax_policy(legal: DataFrame, scores: DataFrame, params: PolicyParams = P
 
     ``legal(key, uci)`` lists the legal moves, ``scores(key, uci, cp)`` the
     evaluated ones. Each legal move keeps ``min_p``; the remaining
-    ``1 - n*min_p`` is split by ``exp((cp - max)/T)`` among scored moves, then
-    renormalised. Uniform ``1/n`` when the floor mass reaches 1 or the position
-    has no scores. Output: ``(key, uci, cp, prob)``.
-    """
+    ``1 - n*min_p`` is split by ``exp((cp - max)/T)`` (denominator over every
+    scored move), then renormalised. Uniform ``1/n`` when the floor mass
+    reaches 1 or the position has no scores. Output: ``(key, uci, cp, prob)``.
+
+    Scores collapse to one map per position and are joined on the position
+    key alone, so the join and the windows share one ``key`` partitioning
+    (no shuffle on ``(key, uci)``)."""
     t = max(1e-6, float(params.temperature))
     mp = float(params.min_probability)
-    j = legal.join(scores.select(key, "uci", "cp"), [key, "uci"], "left")
+    sm = scores.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("uci", "cp"))).alias("_cps"), F.max("cp").alias("_mx"))
+    sm = sm.withColumn("_d", F.aggregate(F.map_values("_cps"), F.lit(0.0),
+                                         lambda acc, c: acc + F.exp((c - F.col("_mx")) / F.lit(t))))
+    j = legal.select(key, "uci").join(sm, key, "left")
     w = by_pos(key)
-    n = F.count(F.lit(1)).over(w)
-    mx = F.max("cp").over(w)
-    j = j.withColumn("_n", n).withColumn("_e", F.exp((F.col("cp") - mx) / F.lit(t)))
-    denom = F.sum("_e").over(w)
+    j = j.withColumn("cp", F.try_element_at(F.col("_cps"), F.col("uci")))
+    j = j.withColumn("_n", F.count(F.lit(1)).over(w))
+    e = F.exp((F.col("cp") - F.col("_mx")) / F.lit(t))
     reserved = F.lit(mp) * F.col("_n")
-    raw = F.lit(mp) + F.coalesce(F.col("_e") / denom, F.lit(0.0)) * (F.lit(1.0) - reserved)
-    j = j.withColumn("_d", denom).withColumn("_raw", raw)
+    j = j.withColumn("_raw", F.lit(mp) + F.coalesce(e / F.col("_d"), F.lit(0.0)) * (F.lit(1.0) - reserved))
     total = F.sum("_raw").over(w)
     uniform = (reserved >= 1.0) | F.col("_d").isNull() | (F.col("_d") <= 0)
     prob = F.when(uniform, F.lit(1.0) / F.col("_n")).otherwise(F.col("_raw") / total)
@@ -87,7 +92,9 @@ def softmax_policy(legal: DataFrame, scores: DataFrame, params: PolicyParams = P
 
 def decision_profile(cands: DataFrame, legal: DataFrame, policy: PolicyParams = PolicyParams(),
                      params: ProfileParams = ProfileParams(), key: str = "pos_id") -> DataFrame:
-    """One row per position with the 11 decision scalars."""
+    """One row per position with the 11 decision scalars. Every step keeps
+    the ``key`` partitioning: per-position aggregates join the policy on the
+    key and the best move's probability is a conditional aggregate."""
     a = analyse_candidates(cands, key)
     per_pos = a.groupBy(key).agg(
         F.max(F.when(F.col("rank") == 1, F.col("uci"))).alias("best_uci"),
@@ -98,12 +105,13 @@ def decision_profile(cands: DataFrame, legal: DataFrame, policy: PolicyParams =
         F.count_if(F.col("cp_loss") <= params.close_move_cp_loss).alias("close_moves"),
     )
     pol = softmax_policy(legal, cands, policy, key)
-    ent = pol.groupBy(key).agg(
+    pj = pol.join(per_pos.select(key, "best_uci"), key, "left")
+    ent = pj.groupBy(key).agg(
         F.sum(F.when(F.col("prob") > 0, -F.col("prob") * F.ln("prob"))).alias("entropy"),
         F.count_if(F.col("prob") > 0).alias("n_probs"),
+        F.max(F.when(F.col("uci") == F.col("best_uci"), F.col("prob"))).alias("best_prob"),
     )
-    probs = pol.select(key, F.col("uci").alias("best_uci"), F.col("prob").alias("best_prob"))
-    j = per_pos.join(ent, key, "left").join(probs, [key, "best_uci"], "left")
+    j = per_pos.join(ent, key, "left")
     entropy = F.coalesce(F.col("entropy"), F.lit(0.0))
     n_probs = F.coalesce(F.col("n_probs"), F.lit(0))
     best_prob = F.coalesce(F.col("best_prob"), F.lit(0.0))

@@ -192,14 +192,16 @@ def fx_puzzle_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan_memo
 def _candidate_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the key is named pos_id before the window so the window's hash
+    # partitioning is reused by every later per-position step
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        F.col("l_orderkey").alias("pos_id"), "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate", "l_returnflag")
-    w = Window.partitionBy("l_orderkey").orderBy(
+    w = Window.partitionBy("pos_id").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     fp = F.floor("l_extendedprice").cast("bigint")
     r = li.select(
-        F.col("l_orderkey").alias("pos_id"), "l_partkey", "l_suppkey", "l_returnflag",
+        "pos_id", "l_partkey", "l_suppkey", "l_returnflag",
         F.row_number().over(w).alias("slot"),
         (fp % 601 - 300).alias("cp0"),
         F.when((F.col("l_quantity") >= 45) & (fp % 10 == 0), 1 + fp % 3)
