@@ -372,7 +372,11 @@ def spark_features(spark, sf, select: str, pos=None, extra_views: dict | None =
     sql = f"WITH {BOARD_SQL}" + (f",\n{more_ctes}" if more_ctes else "") + f"\n{select}"
     for k, v in names.items():
         sql = re.sub(rf"\b{k}\b", v, sql)
-    return spark.sql(sql)
+    df = spark.sql(sql)
+    # the analysed plan already holds the view plans; drop the names
+    for v in names.values():
+        spark.catalog.dropTempView(v)
+    return df
 
 
 def board_query(key: str, cols: str):

@@ -100,7 +100,11 @@ def run_portable(spark, sf, sql: str):
     tpv.createOrReplaceTempView(names["tpv"])
     for k, v in names.items():
         sql = re.sub(rf"\b{k}\b", v, sql)
-    return spark.sql(sql)
+    df = spark.sql(sql)
+    # the analysed plan already holds the view plans; drop the names
+    for v in names.values():
+        spark.catalog.dropTempView(v)
+    return df
 
 
 # ---- DuckDB inputs ---------------------------------------------------------------
