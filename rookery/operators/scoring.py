@@ -90,12 +90,14 @@ def softmax_policy(legal: DataFrame, scores: DataFrame, params: PolicyParams = P
     return j.select(key, "uci", "cp", prob.alias("prob"))
 
 
-def decision_profile(cands: DataFrame, legal: DataFrame, policy: PolicyParams = PolicyParams(),
-                     params: ProfileParams = ProfileParams(), key: str = "pos_id") -> DataFrame:
+def decision_profile(cands: DataFrame | None, legal: DataFrame | None, policy: PolicyParams = PolicyParams(),
+                     params: ProfileParams = ProfileParams(), key: str = "pos_id",
+                     analysed_df: DataFrame | None = None, policy_df: DataFrame | None = None) -> DataFrame:
     """One row per position with the 11 decision scalars. Every step keeps
     the ``key`` partitioning: per-position aggregates join the policy on the
-    key and the best move's probability is a conditional aggregate."""
-    a = analyse_candidates(cands, key)
+    key and the best move's probability is a conditional aggregate.
+    Precomputed analysed candidates / policy can be passed in to share them."""
+    a = analysed_df if analysed_df is not None else analyse_candidates(cands, key)
     per_pos = a.groupBy(key).agg(
         F.max(F.when(F.col("rank") == 1, F.col("uci"))).alias("best_uci"),
         F.max(F.when(F.col("rank") == 1, F.col("cp"))).alias("best_cp"),
@@ -104,7 +106,7 @@ def decision_profile(cands: DataFrame, legal: DataFrame, policy: PolicyParams =
         F.max(F.when(F.col("rank") == 2, F.col("cp_loss"))).alias("second_cp_loss"),
         F.count_if(F.col("cp_loss") <= params.close_move_cp_loss).alias("close_moves"),
     )
-    pol = softmax_policy(legal, cands, policy, key)
+    pol = policy_df if policy_df is not None else softmax_policy(legal, cands, policy, key)
     pj = pol.join(per_pos.select(key, "best_uci"), key, "left")
     ent = pj.groupBy(key).agg(
         F.sum(F.when(F.col("prob") > 0, -F.col("prob") * F.ln("prob"))).alias("entropy"),

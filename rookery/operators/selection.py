@@ -254,3 +254,23 @@ def assessment_band(tb_result: Column, best_wp: Column, margin: float = 0.04) ->
             .when(best_wp.isNull(), "no_eval")
             .when(F.abs(best_wp - 0.5) <= margin, "balanced")
             .when(best_wp >= 0.60, "better").when(best_wp <= 0.40, "worse").otherwise("slight"))
+
+
+def avoid_blunder(analysed: DataFrame, policy: DataFrame, min_cp_loss: int = 120, min_prob: float = 0.05,
+                  gate: float = 0.25, seed: int = 42, trap: TrapParams = TrapParams()) -> DataFrame:
+    """Most tempting serious mistake per position (never the best move):
+    argmax of (tempting, p, cp_loss), first in rank order on ties; the
+    table-derivable tempting term is the shallow-good / deep-bad swing."""
+    w = Window.partitionBy("pos_id")
+    pol = policy.select("pos_id", "uci", "prob")
+    j = analysed.join(pol, ["pos_id", "uci"], "left").withColumn("p", F.coalesce(F.col("prob"), F.lit(0.0)))
+    j = j.withColumn("bs", F.max("shallow_cp").over(w))
+    j = j.filter((F.col("rank") != 1) & (F.col("cp_loss") >= min_cp_loss) & (F.col("p") >= min_prob))
+    tempting = F.when(F.col("bs").isNotNull() & F.col("shallow_cp").isNotNull()
+                      & (F.col("shallow_cp") >= F.col("bs") - trap.shallow_good_cp)
+                      & (F.col("cp") <= F.col("bs") - trap.shallow_bad_cp), 3).otherwise(0)
+    j = j.withColumn("tempting", tempting)
+    j = j.withColumn("r", F.row_number().over(w.orderBy(F.col("tempting").desc(), F.col("p").desc(),
+                                                        F.col("cp_loss").desc(), "rank")))
+    j = j.filter((F.col("r") == 1) & (hash_uniform(seed, F.col("pos_id"), F.lit("avoid")) < gate))
+    return j.select("pos_id", F.col("uci").alias("avoid_uci"), "tempting")

@@ -206,18 +206,8 @@ def q_trap_confirm(spark, sf):
 def q_avoid_blunder(spark, sf):
     """Most tempting serious mistake (not the best move), gated at 25%."""
     a = analysed(spark, sf)
-    pol = softmax_policy(fx_valid_moves(spark, sf), fx_candidates(spark, sf)).select("pos_id", "uci", "prob")
-    w = Window.partitionBy("pos_id")
-    j = a.join(pol, ["pos_id", "uci"], "left").withColumn("p", F.coalesce(F.col("prob"), F.lit(0.0)))
-    j = j.withColumn("bs", F.max("shallow_cp").over(w))
-    j = j.filter((F.col("rank") != 1) & (F.col("cp_loss") >= 120) & (F.col("p") >= 0.05))
-    tempting = F.when(F.col("bs").isNotNull() & F.col("shallow_cp").isNotNull() & (F.col("shallow_cp") >= F.col("bs") - 30)
-                      & (F.col("cp") <= F.col("bs") - 120), 3).otherwise(0)
-    j = j.withColumn("tempting", tempting)
-    j = j.withColumn("r", F.row_number().over(w.orderBy(F.col("tempting").desc(), F.col("p").desc(),
-                                                        F.col("cp_loss").desc(), "rank")))
-    j = j.filter((F.col("r") == 1) & (hash_uniform(42, F.col("pos_id"), F.lit("avoid")) < 0.25))
-    return j.select("pos_id", F.col("uci").alias("avoid_uci"), "tempting")
+    pol = softmax_policy(fx_valid_moves(spark, sf), fx_candidates(spark, sf))
+    return SEL.avoid_blunder(a, pol)
 
 
 BEST_WIN_SQL = "max(CASE WHEN rank = 1 THEN win_prob END) OVER (PARTITION BY pos_id)"

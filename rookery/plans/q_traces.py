@@ -27,20 +27,31 @@ from rookery.sources.fixtures import fx_candidates, fx_positions, fx_pv, fx_vali
 # ---- Spark inputs ---------------------------------------------------------------
 
 def spark_inputs(spark, sf):
-    from rookery.operators.lookups import opening_index, piece_count
+    """Per-position, per-candidate and best-line inputs of the trace job.
+
+    The analysed candidates and the policy feed six branches (profile, style
+    override, avoid, pool, traps, best line); each is computed once and
+    checkpointed to the shared folder instead of being re-derived per branch."""
+    from rookery.operators.lookups import opening_index
+    from rookery.operators.scoring import analyse_candidates, decision_profile, softmax_policy
     from rookery.plans.q_board import opening_book, q_endgame_table_lookup
     from rookery.plans.q_boardfx import spark_features
-    from rookery.plans.q_scoring import profile_frame
-    from rookery.plans.q_selection import (analysed, pool_frame, q_avoid_blunder, q_style_override,
-                                           traps_frame)
-    from rookery.sources.fixtures import START_FEN
+    from rookery.session import cut_lineage
+    from rookery.sources.fixtures import START_FEN, fx_valid_moves
 
-    a = analysed(spark, sf)
+    a = cut_lineage(analyse_candidates(fx_candidates(spark, sf)))
+    pol = cut_lineage(softmax_policy(fx_valid_moves(spark, sf), a.select("pos_id", "uci", "cp")))
     best = a.filter("rank = 1").select("pos_id", F.col("uci").alias("best_uci"),
                                        F.col("mate_in").alias("best_mate"), F.col("win_prob").alias("best_wp"))
     pos = fx_positions(spark, sf).select("pos_id", "fen").join(fx_valid_list(spark, sf), "pos_id")
-    prof = profile_frame(spark, sf).select("pos_id", "forced_mate", "only_move", "many_options")
-    style = q_style_override(spark, sf).select("pos_id", F.col("final_style").alias("style"))
+    prof = decision_profile(None, None, analysed_df=a, policy_df=pol) \
+        .select("pos_id", "forced_mate", "only_move", "many_options")
+    games = fx_positions(spark, sf).select(F.lit("game").alias("source"), F.col("pos_id").alias("id"),
+                                           F.array().cast("array<string>").alias("themes"),
+                                           F.lit(None).cast("int").alias("rating"))
+    st = SEL.select_style(games, "source", "id", "themes", "rating").select(F.col("id").alias("pos_id"), "style")
+    style = SEL.override_style(st.join(prof, "pos_id"), "pos_id").select(
+        "pos_id", F.col("final_style").alias("style"))
     tb = q_endgame_table_lookup(spark, sf).select("pos_id", "tb_result")
     idx = opening_index(opening_book(spark, sf), START_FEN).select("key", F.col("name").alias("opening_name"))
     fam = TR.opening_family(spark, idx.select(F.col("opening_name").alias("name")).distinct()) \
@@ -51,7 +62,7 @@ def spark_inputs(spark, sf):
         "END AS passed_own, a.open_files <> '' AS open_file, CASE WHEN a.side = 'w' THEN a.king_exposed_b ELSE "
         "a.king_exposed_w END AS enemy_king_exposed FROM fx_positions p JOIN feat a ON a.fen = p.fen "
         "JOIN efeat2 e ON e.fen = p.fen"))
-    avoid = q_avoid_blunder(spark, sf).select("pos_id", "avoid_uci")
+    avoid = SEL.avoid_blunder(a, pol).select("pos_id", "avoid_uci")
     t = (pos.join(best, "pos_id").join(prof, "pos_id").join(style, "pos_id").join(tb, "pos_id", "left")
          .join(feats, "pos_id").join(avoid, "pos_id", "left"))
     t = t.withColumn("key", fen_key("fen")).join(idx, "key", "left").join(fam, "opening_name", "left")
@@ -67,8 +78,8 @@ def spark_inputs(spark, sf):
         flt.resolve_chosen_move("best_uci", F.lit(None).cast("string"), "valid_moves").alias("chosen_move"),
         *[hash_uniform(42, F.col("pos_id"), F.lit(n)).alias(f"u_{n}") for n in A.POS_DRAWS])
     # pool candidates with traps, confirmation and stored PV (first 4 plies)
-    tr = SEL.trap_confirm(traps_frame(spark, sf)).select("pos_id", "uci", "trap_kind", "confidence")
-    pool = pool_frame(spark, sf).select("pos_id", "uci", "rank", "pick", "win_prob", "cp_loss", "category",
+    tr = SEL.trap_confirm(SEL.trap_detect(a)).select("pos_id", "uci", "trap_kind", "confidence")
+    pool = SEL.candidate_pool(a).select("pos_id", "uci", "rank", "pick", "win_prob", "cp_loss", "category",
                                         "mate_in", "slot")
     pv = fx_pv(spark, sf).select("pos_id", "ply", F.col("uci").alias("m"))
     pj = pool.select("pos_id", "uci", "slot").join(pv, "pos_id").filter(F.col("ply") >= F.col("slot"))

@@ -52,7 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives lost
-    executors, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from the table.
+
+    This cuts the lineage like a reliable ``checkpoint()`` (survives lost
+    executors; never a local checkpoint) but computes the plan once -- an
+    un-persisted RDD checkpoint recomputes it for the write -- and later
+    reads get column pruning and predicate pushdown."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/rookery-cut/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
