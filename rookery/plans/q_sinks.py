@@ -76,7 +76,8 @@ def q_shard_by_lines(spark, sf):
     "fx_puzzles"))
 def q_shard_by_interval(spark, sf):
     """Seal every 15 minutes (batch form): tumbling window on event time."""
-    p = fx_puzzles(spark, sf).select("puzzle_id", F.col("ts").cast("timestamp").alias("ts"))
+    # windows work on TIMESTAMP_NTZ directly, so the session time zone never shifts shard bounds
+    p = fx_puzzles(spark, sf).select("puzzle_id", "ts")
     w = F.window("ts", "15 minutes")
     return p.select("puzzle_id", F.date_format(w.start, "yyyy-MM-dd HH:mm:ss").alias("shard_start"))
 
