@@ -231,10 +231,6 @@ CODES = ("codes AS (SELECT a.fen, "
 WEAK_SQUARES = [("d", 4), ("e", 4), ("d", 5), ("e", 5), ("c", 4), ("f", 4), ("c", 5), ("f", 5)]
 
 
-def _att(fen_alias: str, idx: int, col: str) -> str:
-    return (f"coalesce((SELECT max({col}) FROM att x WHERE x.fen = {fen_alias}.fen AND x.to_idx = {idx}), 0)")
-
-
 def _weak_list() -> str:
     parts = []
     for f, r in WEAK_SQUARES:
