@@ -85,7 +85,7 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
     Each batch ranks its rows per source and accepts only what is left of
     the target after the batches before it (counted from the sink, excluding
     the batch itself, so a replay gives the same answer)."""
-    from pyspark.sql import Window
+    from rookery.operators.sampling import bucketed_rank
     sink = scratch_path(spark, f"sink-{name}")
     tgt = spark.createDataFrame(list(targets.items()), "source STRING, target BIGINT")
 
@@ -103,8 +103,15 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
             left = left.withColumn("done", F.lit(0).cast("bigint"))
         left = left.select("source", (F.col("target") - F.coalesce(F.col("done"), F.lit(0))).alias("room"))
         b = batch_df.join(F.broadcast(left), "source")
-        b = b.withColumn("_r", F.row_number().over(Window.partitionBy("source").orderBy(*order)))
-        b.filter(F.col("_r") <= F.col("room")).drop("_r", "room") \
+        # exact per-source rank by (ts, id) without a one-task-per-source
+        # window: event time (microseconds, time-zone free) normalised to
+        # [0, 1) over the batch feeds the bucketed rank
+        t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").cast("double")
+        b = b.withColumn("_t", t)
+        bounds = F.broadcast(b.agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi")))
+        b = b.crossJoin(bounds).withColumn("_u", (F.col("_t") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1.0))
+        r = bucketed_rank(b, "_u", list(order), ["source"], limit=F.col("room"), n_buckets=4096)
+        r.drop("_t", "_lo", "_hi", "_u", "rank", "room") \
             .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     run_batches(read_stream(spark, src, schema), handle, name)
