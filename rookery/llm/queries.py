@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rookery.llm import byte_bpe, quality_rules, token_store
-from rookery.llm.cluster import table
+from rookery.llm import byte_bpe, mixing, ngram_join, quality_rules, substring_dedup, token_store, topk, url_filter
+from rookery.llm.cluster import table, word_count
+from rookery.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,6 +21,21 @@ def query(fn):
     return fn
 
 
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.url_filter(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +46,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=50)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,6 +64,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
 
 
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = cut_lineage(table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    mixed = mixing.mix_sources(sized)
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"]).alias("taken"))
+
+
 @query
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
