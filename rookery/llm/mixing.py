@@ -110,15 +110,15 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
             .withColumn("__size", size)
             .withColumn("__block", F.pmod(F.xxhash64(seed, F.lit("block"), F.col("__s"), ident), F.col("__n")).cast("int")))
     by_source = Window.partitionBy("__sid").orderBy("__key", "__block")
-    blocks = (docs.groupBy("__sid", "__block").agg(F.sum("__size").alias("__words"), F.first("__rounds").alias("__rounds"),
+    blocks = (docs.groupBy("__sid", "__block").agg(F.sum("__size").alias("__block_words"), F.first("__rounds").alias("__rounds"),
                                                    F.first("__rest").alias("__rest"))
-              .where("__words > 0")
+              .where("__block_words > 0")
               .withColumn("__key", F.xxhash64(seed, F.lit("order"), F.col("__sid"), F.col("__block")))
               .withColumn("__rank", F.row_number().over(by_source) - 1)
               .withColumn("__count", F.count(F.lit(1)).over(Window.partitionBy("__sid")))
-              .withColumn("__until", F.sum("__words").over(by_source))
+              .withColumn("__until", F.sum("__block_words").over(by_source))
               # words of the last, partial round that fall on this block
-              .withColumn("__extra", F.greatest(F.lit(0), F.least("__words", F.col("__rest") - F.col("__until") + F.col("__words"))))
+              .withColumn("__extra", F.greatest(F.lit(0), F.least("__block_words", F.col("__rest") - F.col("__until") + F.col("__block_words"))))
               .drop("__key", "__until"))
     draws = (blocks.withColumn("__draws", F.col("__rounds") + F.when(F.col("__extra") > 0, 1).otherwise(0))
              .where("__draws > 0")
@@ -142,11 +142,11 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
               .select("__sid", "shard", F.explode(F.sequence(F.col("__from"), F.col("__from") + F.col("__own") - 1)).alias("__at")))
     placed = (draws.join(ranges, ["__sid", "__at"])
               .groupBy("__sid", "__block").agg(F.array_sort(F.collect_list(F.struct("__round", "shard"))).alias("__placed"),
-                                               F.first("__words").alias("__words"), F.first("__extra").alias("__extra")))
+                                               F.first("__block_words").alias("__block_words"), F.first("__extra").alias("__extra")))
 
     # at most BLOCKS rows a source, of a few bytes each
     docs = docs.join(F.broadcast(placed) if len(plan) <= 256 else placed, ["__sid", "__block"], "left")
-    cut = (F.col("__extra") > 0) & (F.col("__extra") < F.col("__words"))
+    cut = (F.col("__extra") > 0) & (F.col("__extra") < F.col("__block_words"))
     key = F.xxhash64(seed, F.lit("cut"), ident)
     in_block = Window.partitionBy("__sid", "__block").orderBy("__cut", "__size", ident)
     # one block a source is cut: only its documents are ordered

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rookery.llm import byte_bpe, mixing, ngram_join, quality_rules, substring_dedup, token_store, topk, url_filter
+from rookery.llm import (byte_bpe, mixing, ngram_join, pii, quality_model, quality_rules, substring_dedup, token_store, topk,
+                         url_filter)
 from rookery.llm.cluster import table, word_count
 from rookery.session import cut_lineage
 
@@ -51,12 +52,29 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+PII_KEY = "rookery-surrogates-1"  # a deployment passes its own secret
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=50)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"), fold != 1)
+    scored = quality_model.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
