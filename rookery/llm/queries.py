@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rookery.llm import (byte_bpe, mixing, ngram_join, pii, quality_model, quality_rules, substring_dedup, token_store, topk,
-                         url_filter)
+from rookery.llm import (byte_bpe, mixing, ngram_join, pii, quality_model, quality_rules, sql, substring_dedup,
+                         token_store, topk, url_filter)
 from rookery.llm.cluster import table, word_count
 from rookery.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_url_filter": sql.URL_FILTER,
+    "op2_topk": sql.TOPK,
+    "op4_ngram_join": sql.NGRAM_JOIN,
+    "op6_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op8_quality_rules": sql.QUALITY_RULES,
+}
 
 
 def query(fn):
