@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,17 +42,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and is only read here.
-    A scratch folder is created only when the setting is absent (local tests).
-    """
+    On a cluster the deployment sets it, and without it this raises: a folder
+    of one machine would lose what other executors write. Only a local master,
+    whose tasks all see this machine's disk, gets a scratch folder of its own
+    (removed when the process ends)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="rookery-ckpt-")
+        atexit.register(shutil.rmtree, path, True)
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rookery-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to the checkpoint folder. Call
+    it when results that read them have been written out."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and continue from the table.
@@ -62,7 +81,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     import uuid
 
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/rookery-cut/{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/cut/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

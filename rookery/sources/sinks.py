@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rookery.session import ensure_checkpoint_dir
+from rookery.session import scratch_root
 
 TRACE_ROW_SCHEMA = T.StructType([
     T.StructField("fen", T.StringType()),
@@ -24,8 +24,7 @@ TRACE_ROW_SCHEMA = T.StructType([
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rookery-io/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/io/{name}-{uuid.uuid4().hex}"
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
