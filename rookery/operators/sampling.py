@@ -26,14 +26,14 @@ DEFAULT_BUCKETS = 1 << 16
 
 def bucketed_rank(df: DataFrame, u: str, tie: list[str], group: list[str] | None = None,
                   limit: Column | int | None = None, n_buckets: int = DEFAULT_BUCKETS,
-                  small_groups: bool = True, rank_col: str = "rank") -> DataFrame:
+                  small_groups: bool = False, rank_col: str = "rank") -> DataFrame:
     """Exact 1-based rank by ``(u, *tie)`` within ``group`` (``u`` in [0, 1)).
 
     ``limit`` (a literal or a column already on ``df``) prunes whole buckets
     that start at or after it, so only about ``limit`` rows reach the final
-    window. ``small_groups`` marks the group count as bounded (e.g. sources),
-    which bounds the offset table at ``groups * n_buckets`` rows and allows
-    broadcasting it.
+    window. ``small_groups`` states that the number of groups is bounded by
+    construction (a fixed list of sources, or no groups), which bounds the
+    offset table at ``groups * n_buckets`` rows and allows broadcasting it.
     """
     group = list(group or [])
     d = df.withColumn("_b", F.least(F.floor(F.col(u) * n_buckets).cast("int"), F.lit(n_buckets - 1)))
@@ -101,7 +101,8 @@ def source_quota(positions: DataFrame, targets: DataFrame, u: str, tie: list[str
                  n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact per-source quota: the ``target`` rows with the smallest draws."""
     j = positions.join(targets, "source")
-    return bucketed_rank(j, u, tie, ["source"], limit=F.col("target"), n_buckets=n_buckets)
+    # the targets are a fixed list of sources
+    return bucketed_rank(j, u, tie, ["source"], limit=F.col("target"), n_buckets=n_buckets, small_groups=True)
 
 
 def quota_shortfall(positions: DataFrame, targets: DataFrame) -> DataFrame:
@@ -113,21 +114,14 @@ def quota_shortfall(positions: DataFrame, targets: DataFrame) -> DataFrame:
                     (a < F.col("target")).alias("exhausted"))
 
 
-def first_n_threshold(df: DataFrame, key: str, n: int) -> DataFrame:
-    """One-row frame holding the n-th smallest ``key`` (a distributed top-n:
-    each partition keeps n candidates, the merge keeps n)."""
-    return df.select(key).orderBy(key).limit(n).agg(F.max(key).alias("_thr"))
-
-
-def holdout_split(df: DataFrame, key: str, seed: int = 42, holdout: int = 500,
-                  extra: int = 5000, u: str = "u") -> DataFrame:
-    """Buffer the first ``holdout + extra`` rows (by ``key``), shuffle the
-    buffer by a keyed draw, hold out the first ``holdout`` for eval. The
-    train stream is the shuffled rest of the buffer (segment 0) followed by
-    the remaining rows in stream order (segment 1). Adds split/segment/ord.
-
-    The shuffle window spans only the buffer, whose size is the parameter."""
-    thr = F.broadcast(first_n_threshold(df, key, holdout + extra))
+def buffered_holdout_split(df: DataFrame, key: str, seed: int = 42, holdout: int = 500,
+                           extra: int = 5000, u: str = "u") -> DataFrame:
+    """The buffered form of :func:`holdout_split`: shuffle the first
+    ``holdout + extra`` rows (by ``key``) with a keyed draw and hold out the
+    first ``holdout`` of them. ``key`` is unique. The shuffle window spans only
+    the buffer, whose size is the parameter."""
+    first = df.select(key).orderBy(key).limit(holdout + extra)
+    thr = F.broadcast(first.agg(F.max(key).alias("_thr")))
     d = df.crossJoin(thr).withColumn("_in", F.coalesce(F.col(key) <= F.col("_thr"), F.lit(False)))
     buf = d.filter("_in").withColumn(u, hash_uniform_col(seed, key))
     r = F.row_number().over(Window.orderBy(F.col(u), F.col(key)))
@@ -141,6 +135,18 @@ def holdout_split(df: DataFrame, key: str, seed: int = 42, holdout: int = 500,
     return buf.unionByName(rest)
 
 
+def holdout_split(df: DataFrame, key: str, seed: int = 42, holdout: int = 500, u: str = "u") -> DataFrame:
+    """Hold out the ``holdout`` rows with the smallest keyed draws of the whole
+    table; the train stream is the rest in draw order. Adds split, segment
+    (0: eval, 1: train) and ord (the draw's bits, which order both)."""
+    d = df.withColumn(u, hash_uniform_col(seed, key))
+    out = label_smallest(d, u, key, F.lit(holdout), flag="_eval")
+    bits = (F.col(u) * F.lit(float(1 << 52))).cast("bigint")
+    return (out.withColumn("split", F.when(F.col("_eval"), F.lit("eval")).otherwise(F.lit("train")))
+            .withColumn("segment", F.when(F.col("_eval"), 0).otherwise(1)).withColumn("ord", bits)
+            .select(*df.columns, "split", "segment", "ord"))
+
+
 def hash_uniform_col(seed: int, key: str) -> Column:
     from rookery.functions.draws import hash_uniform
     return hash_uniform(seed, F.col(key))
@@ -151,12 +157,12 @@ def label_smallest(df: DataFrame, u: str, key: str, k: Column, n_buckets: int =
     """Flag the ``k`` rows with the smallest ``(u, key)`` without a join back:
     the bucketed rank finds the k-th row, a one-row threshold is broadcast
     and every row is labelled in a single pass."""
-    top = bucketed_rank(df.withColumn("_k", k), u, [key], limit=F.col("_k"), n_buckets=n_buckets)
+    top = bucketed_rank(df.withColumn("_k", k), u, [key], limit=F.col("_k"), n_buckets=n_buckets, small_groups=True)
     thr = top.agg(F.max_by(F.struct(F.col(u).alias("_tu"), F.col(key).alias("_tk")), F.col("rank")).alias("_t"))
     j = df.crossJoin(F.broadcast(thr))
     tu, tk = F.col("_t._tu"), F.col("_t._tk")
     sel = (F.col(u) < tu) | ((F.col(u) == tu) & (F.col(key) <= tk))
-    return j.withColumn(flag, F.coalesce(sel, F.lit(False))).drop("_t")
+    return j.withColumn(flag, F.coalesce(sel, F.lit(False))).drop("_t", "_k")
 
 
 def fraction_split(df: DataFrame, key: str, seed: int = 42, test_fraction: float = 0.05,
@@ -171,14 +177,10 @@ def fraction_split(df: DataFrame, key: str, seed: int = 42, test_fraction: float
         .drop("_test", "_n")
 
 
-def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, cap: int = 50000, u: str = "u") -> DataFrame:
-    """n rows without replacement from the first ``min(3n, cap)`` rows."""
-    buf = min(3 * n, cap)
-    thr = F.broadcast(first_n_threshold(df, key, buf))
-    d = df.crossJoin(thr).filter(F.col(key) <= F.col("_thr")).drop("_thr")
-    d = d.withColumn(u, hash_uniform_col(seed, key))
-    w = Window.orderBy(F.col(u), F.col(key))
-    return d.withColumn("pick", F.row_number().over(w)).filter(F.col("pick") <= n)
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, u: str = "u") -> DataFrame:
+    """n rows without replacement: the smallest keyed draws of all rows."""
+    d = df.withColumn(u, hash_uniform_col(seed, key))
+    return bucketed_rank(d, u, [key], limit=n, small_groups=True, rank_col="pick")
 
 
 def head_n(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -186,25 +188,21 @@ def head_n(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def ratio_interleave(spark: SparkSession, positions: DataFrame, n_slots: int, puzzle_ratio: float = 0.3,
-                     seed: int = 42, order: tuple[str, ...] = ("id", "idx")) -> DataFrame:
+                     seed: int = 42, order: tuple[str, ...] = ("id", "idx"), u: str = "u") -> DataFrame:
     """Slot i takes a puzzle when its draw is below ``puzzle_ratio``, else a
-    game; the k-th slot of a source takes that source's k-th position in
-    stream order, recycling the source when it runs out.
+    game; the k-th slot of a source takes the source's position with the k-th
+    smallest draw ``u``, recycling the source when it runs out.
 
-    Only the first ``n_slots`` positions of each source are ranked (a
-    distributed top-n per source), so no task sees a whole source."""
+    Every position of a source is eligible; whole draw buckets beyond the
+    slots are pruned before ranks are made, so no task sees a whole source."""
     from rookery.functions.draws import hash_uniform
     slots = spark.range(n_slots).select(F.col("id").alias("slot"))
     slots = slots.withColumn("source", F.when(hash_uniform(seed, F.lit("slot"), F.col("slot")) < puzzle_ratio,
                                               F.lit("puzzle")).otherwise(F.lit("game")))
     slots = slots.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("slot")))
     counts = positions.groupBy("source").agg(F.count(F.lit(1)).alias("ns"))
-    heads = None
-    for src in ("game", "puzzle"):
-        h = positions.filter(F.col("source") == src).orderBy(*order).limit(n_slots)
-        h = h.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(*order)))
-        heads = h if heads is None else heads.unionByName(h)
-    s = slots.join(F.broadcast(counts), "source")
+    heads = bucketed_rank(positions, u, list(order), ["source"], limit=n_slots, small_groups=True, rank_col="r")
+    s = slots.join(F.broadcast(counts), "source")  # two sources
     s = s.withColumn("r", ((F.col("k") - 1) % F.col("ns")) + 1)
     return s.join(heads, ["source", "r"]).drop("r", "k", "ns")
 

@@ -88,22 +88,19 @@ N_SLOTS = 2000
     f"slots AS (SELECT range AS slot, CASE WHEN {S.uniform(42, chr(39) + 'slot' + chr(39), 'range')} < 0.3::DOUBLE "
     f"THEN 'puzzle' ELSE 'game' END AS source FROM range({N_SLOTS})), "
     "sk AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY slot) AS k FROM slots), "
-    "pr AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY id, idx) AS r, "
+    "pr AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY u, id, idx) AS r, "
     "count(*) OVER (PARTITION BY source) AS ns FROM sp) "
     "SELECT sk.slot, sk.source, pr.id, pr.idx FROM sk JOIN pr ON pr.source = sk.source "
     "AND pr.r = ((sk.k - 1) % pr.ns) + 1", G, P))
 def q_ratio_interleave(spark, sf):
-    sp = source_positions(spark, sf).drop("u")
+    sp = source_positions(spark, sf)
     return smp.ratio_interleave(spark, sp, N_SLOTS).select("slot", "source", "id", "idx")
 
 
-HOLDOUT_SQL = f"""s AS (SELECT pos_id FROM fx_positions),
-buf AS (SELECT pos_id FROM s ORDER BY pos_id LIMIT 5500),
-bs AS (SELECT pos_id, row_number() OVER (ORDER BY u, pos_id) AS r
-  FROM (SELECT pos_id, {S.uniform(42, 'pos_id')} AS u FROM buf)),
-hs AS (SELECT pos_id, CASE WHEN r <= 500 THEN 'eval' ELSE 'train' END AS split, 0 AS segment,
-  CAST(CASE WHEN r <= 500 THEN r ELSE r - 500 END AS BIGINT) AS ord FROM bs
-  UNION ALL SELECT pos_id, 'train', 1, pos_id FROM s WHERE pos_id NOT IN (SELECT pos_id FROM buf))"""
+HOLDOUT_SQL = f"""s AS (SELECT pos_id, {S.uniform(42, 'pos_id')} AS u FROM fx_positions),
+hs AS (SELECT pos_id, CASE WHEN r <= 500 THEN 'eval' ELSE 'train' END AS split,
+  CASE WHEN r <= 500 THEN 0 ELSE 1 END AS segment, CAST(u * 4503599627370496 AS BIGINT) AS ord
+  FROM (SELECT pos_id, u, row_number() OVER (ORDER BY u, pos_id) AS r FROM s))"""
 
 
 @register("holdout_split", with_fx(f"WITH {HOLDOUT_SQL} SELECT pos_id, split, segment, ord FROM hs",
@@ -114,14 +111,14 @@ def q_holdout_split(spark, sf):
 
 
 @register("train_stream_order", with_fx(
-    f"WITH {HOLDOUT_SQL} SELECT pos_id, CAST(row_number() OVER (ORDER BY segment, ord) AS BIGINT) AS stream_pos "
+    f"WITH {HOLDOUT_SQL} SELECT pos_id, CAST(row_number() OVER (ORDER BY ord, pos_id) AS BIGINT) AS stream_pos "
     "FROM hs WHERE split = 'train'", "fx_positions"))
 def q_train_stream_order(spark, sf):
     """Dense stream positions; the global order is a range-partitioned sort
-    on (segment, ord), and the dense index comes from per-bucket counts."""
+    on (ord, pos_id), and the dense index comes from per-bucket counts."""
     p = fx_positions(spark, sf).select("pos_id")
     h = smp.holdout_split(p, "pos_id").filter(F.col("split") == "train")
-    return smp.dense_order(h, ["segment", "ord"]).select("pos_id", "stream_pos")
+    return smp.dense_order(h, ["ord", "pos_id"]).select("pos_id", "stream_pos")
 
 
 @register("fraction_split", with_fx(
@@ -134,7 +131,7 @@ def q_fraction_split(spark, sf):
 
 
 @register("sample_n", with_fx(
-    f"SELECT pos_id, CAST(pick AS INT) AS pick FROM (SELECT pos_id, row_number() OVER (ORDER BY u, pos_id) AS pick "
+    f"SELECT pos_id, CAST(pick AS BIGINT) AS pick FROM (SELECT pos_id, row_number() OVER (ORDER BY u, pos_id) AS pick "
     f"FROM (SELECT pos_id, {S.uniform(42, 'pos_id')} AS u FROM "
     f"(SELECT pos_id FROM fx_positions ORDER BY pos_id LIMIT 3000))) WHERE pick <= 1000", "fx_positions"))
 def q_sample_n(spark, sf):

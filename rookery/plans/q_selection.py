@@ -352,22 +352,28 @@ def q_refutation_line(spark, sf):
 
 @register("depth_merge", with_fx(
     f"WITH {ANALYSED}, m AS (SELECT pos_id, uci, cp, rank FROM analysed), "
-    "sh AS (SELECT pos_id, uci, shallow_cp FROM analysed WHERE rank <= 12), "
-    "cf AS (SELECT pos_id, uci, confirm_cp FROM analysed WHERE rank <= 12) "
+    "sh AS (SELECT pos_id, uci, shallow_cp FROM analysed), "
+    "cf AS (SELECT pos_id, uci, confirm_cp FROM analysed) "
     "SELECT m.pos_id, m.uci, m.cp, sh.shallow_cp, cf.confirm_cp, "
     f"round({win_prob_sql('sh.shallow_cp')}, 6) AS shallow_wp, round({win_prob_sql('cf.confirm_cp')}, 6) AS confirm_wp "
     "FROM m LEFT JOIN sh ON sh.pos_id = m.pos_id AND sh.uci = m.uci LEFT JOIN cf ON cf.pos_id = m.pos_id "
     "AND cf.uci = m.uci", *C))
 def q_depth_merge(spark, sf):
-    """Main scores left-joined with the shallow and confirm probes (top 12)."""
-    a = analysed(spark, sf)
-    m = a.select("pos_id", "uci", "cp")
-    sh = a.filter("rank <= 12").select("pos_id", "uci", "shallow_cp")
-    cf = a.filter("rank <= 12").select("pos_id", "uci", "confirm_cp")
-    j = m.join(sh, ["pos_id", "uci"], "left").join(cf, ["pos_id", "uci"], "left")
-    return j.select("pos_id", "uci", "cp", "shallow_cp", "confirm_cp",
-                    F.round(win_probability("shallow_cp"), 6).alias("shallow_wp"),
-                    F.round(win_probability("confirm_cp"), 6).alias("confirm_wp"))
+    """Main scores with the shallow and confirm probes of the same move."""
+    return depth_merge(analysed(spark, sf)).select(
+        "pos_id", "uci", "cp", "shallow_cp", "confirm_cp",
+        F.round(win_probability("shallow_cp"), 6).alias("shallow_wp"),
+        F.round(win_probability("confirm_cp"), 6).alias("confirm_wp"))
+
+
+def depth_merge(a, max_rank: int | None = None):
+    """The probes stand on the candidate's row, so nothing is joined.
+    ``max_rank``: only moves up to this rank were probed (default: all)."""
+    if max_rank is None:
+        return a
+    probed = F.col("rank") <= max_rank
+    return a.withColumn("shallow_cp", F.when(probed, F.col("shallow_cp"))).withColumn(
+        "confirm_cp", F.when(probed, F.col("confirm_cp")))
 
 
 # --- fixed values -----------------------------------------------------------
