@@ -78,9 +78,12 @@ def q_stream_dedup(spark, sf):
     return ST.stream_dedup(spark, src, EVENT_SCHEMA, "user_id", "dedup")
 
 
-@register("stream_rate")
+@register("stream_rate", with_fx(
+    f"WITH {EVENTS_SQL}, k AS (SELECT epoch(ts)::DOUBLE AS k FROM ev), b AS (SELECT min(k) AS lo, max(k) AS hi FROM k) "
+    "SELECT CAST(floor((k - lo) / ((hi - lo + 1) / 4)) AS INT) AS batch_id, count(*) AS n_rows FROM k, b GROUP BY 1",
+    "fx_puzzles"))
 def q_stream_rate(spark, sf):
-    """One staged file per trigger: the batch count equals the file count."""
+    """One staged file per trigger: a batch holds one range of event time."""
     src = staged_events(spark, sf)
     return ST.stream_batch_sizes(spark, src, EVENT_SCHEMA, "rate")
 

@@ -13,22 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rookery.session import cut_lineage
 from rookery.sources.sinks import scratch_path
 
 
-def stage_files(df: DataFrame, path: str, order_col: str, n_files: int = 4) -> None:
+def stage_files(df: DataFrame, path: str, order_col: str, n_files: int = 4, parts: int = 1) -> None:
     """Write ``df`` as ``n_files`` appends in ``order_col`` order (equal-width
-    ranges of the order value from a one-row min/max), so file modification
-    times follow the order and a file stream replays it in order."""
+    ranges of the order value), so file modification times follow the order
+    and a file stream replays it in order. Each range is ``parts`` files; a
+    stream that takes ``parts`` files a trigger takes a range a trigger.
+
+    The input is computed once, into the checkpoint folder; the bounds (two
+    numbers) and the ranges are read from there, with the range pushed down."""
     key = F.col(order_col).cast("timestamp").cast("double") if dict(df.dtypes)[order_col].startswith("timestamp") \
         else F.col(order_col).cast("double")
-    d = df.withColumn("_k", key)
-    bounds = F.broadcast(d.agg(F.min("_k").alias("_lo"), F.max("_k").alias("_hi")))
-    d = d.crossJoin(bounds).withColumn(
-        "_r", F.least(F.floor((F.col("_k") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1) * n_files),
-                      F.lit(n_files - 1)))
+    d = cut_lineage(df.withColumn("_k", key))
+    lo, hi = d.agg(F.min("_k"), F.max("_k")).first()
+    if lo is None:
+        d.drop("_k").write.mode("append").parquet(path)
+        return
     for i in range(n_files):
-        d.filter(F.col("_r") == i).drop("_k", "_lo", "_hi", "_r").write.mode("append").parquet(path)
+        low, high = (lo + (hi - lo + 1) * j / n_files for j in (i, i + 1))
+        d.filter((F.col("_k") >= low) & (F.col("_k") < high)).drop("_k").coalesce(parts).write.mode("append").parquet(path)
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
@@ -87,20 +93,17 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
     the batch itself, so a replay gives the same answer)."""
     from rookery.operators.sampling import bucketed_rank
     sink = scratch_path(spark, f"sink-{name}")
+    accepted = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
     tgt = spark.createDataFrame(list(targets.items()), "source STRING, target BIGINT")
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        from pyspark.errors import AnalysisException
-        try:
-            prior = (batch_df.sparkSession.read.parquet(sink).filter(F.col("batch_id") < batch_id)
-                     .groupBy("source").agg(F.count(F.lit(1)).alias("done")))
-        except AnalysisException:  # nothing accepted yet (first batch)
-            prior = None
         left = F.broadcast(tgt)
-        if prior is not None:
-            left = left.join(prior, "source", "left")
-        else:
+        if batch_id == 0:  # nothing accepted yet
             left = left.withColumn("done", F.lit(0).cast("bigint"))
+        else:
+            prior = (batch_df.sparkSession.read.schema(accepted).parquet(sink).filter(F.col("batch_id") < batch_id)
+                     .groupBy("source").agg(F.count(F.lit(1)).alias("done")))
+            left = left.join(prior, "source", "left")
         left = left.select("source", (F.col("target") - F.coalesce(F.col("done"), F.lit(0))).alias("room"))
         b = batch_df.join(F.broadcast(left), "source")
         # exact per-source rank by (ts, id) without a one-task-per-source
@@ -110,7 +113,8 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
         b = b.withColumn("_t", t)
         bounds = F.broadcast(b.agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi")))
         b = b.crossJoin(bounds).withColumn("_u", (F.col("_t") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1.0))
-        r = bucketed_rank(b, "_u", list(order), ["source"], limit=F.col("room"), n_buckets=4096)
+        r = bucketed_rank(b, "_u", list(order), ["source"], limit=F.col("room"), n_buckets=4096,
+                         small_groups=True)  # the targets are a fixed list
         r.drop("_t", "_lo", "_hi", "_u", "rank", "room") \
             .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
@@ -119,13 +123,26 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
 
 
 def stream_dedup(spark: SparkSession, src: str, schema: T.StructType, key: str, name: str,
-                 delay: str = "3650 days") -> DataFrame:
-    """Drop repeats of ``key`` seen within the watermark delay."""
+                 delay: str = "1 day") -> DataFrame:
+    """Drop repeats of ``key``.
+
+    Repeats within the watermark delay are dropped by the streaming state,
+    which holds only that span; older repeats are dropped against the sink
+    (batches before this one, so a replay gives the same answer)."""
     s = event_time(read_stream(spark, src, schema)).withWatermark("ts", delay)
     d = s.dropDuplicatesWithinWatermark([key]).select(key)
     sink = scratch_path(spark, f"sink-{name}")
-    run_batches(d, batch_writer(sink), name)
-    return spark.read.parquet(sink).drop("batch_id")
+    written = T.StructType([schema[key], T.StructField("batch_id", T.IntegerType())])
+
+    def handle(batch_df: DataFrame, batch_id: int) -> None:
+        new = batch_df.dropDuplicates([key])
+        if batch_id > 0:
+            prior = batch_df.sparkSession.read.schema(written).parquet(sink).filter(F.col("batch_id") < batch_id)
+            new = new.join(prior.select(key), key, "left_anti")
+        new.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    run_batches(d, handle, name)
+    return spark.read.schema(written).parquet(sink).drop("batch_id")
 
 
 def stream_batch_sizes(spark: SparkSession, src: str, schema: T.StructType, name: str,
