@@ -66,13 +66,19 @@ def rl_cp(cp: Column, mate_in: Column) -> Column:
 
 def score_rollouts(rollouts: DataFrame, positions: DataFrame, analysis: DataFrame,
                    p: RewardParams = P) -> DataFrame:
-    """Adds text, fen, pred, legal, rank, wpd and the reward columns.
+    """Adds fen, pred, legal, rank, wpd and the reward columns.
 
     ``rollouts(prompt_id, sample_id, completion)``; ``positions(pos_id, fen)``;
-    ``analysis`` from :func:`position_analysis`.
+    ``analysis`` from :func:`position_analysis`. What needs the completion's
+    text is taken from it first, so the joins carry no text; a registered
+    reward that needs more of it adds its column to ``rollouts`` beforehand.
     """
-    r = rollouts.withColumn("text", prefix_completion("completion"))
-    r = r.withColumn("pred", extract_move_lenient("text"))
+    r = rollouts.withColumn("_text", prefix_completion("completion"))
+    r = (r.withColumn("pred", extract_move_lenient("_text"))
+         .withColumn("reward_format", reward_format("_text", p))
+         .withColumn("reward_tag_count", reward_tag_count("_text", p))
+         .withColumn("completion_chars", F.length("completion"))
+         .drop("_text", "completion"))
     pos = positions.select(F.col("pos_id").alias("prompt_id"), "fen")
     an = analysis.withColumnRenamed("pos_id", "prompt_id")
     j = r.join(pos, "prompt_id", "left").join(an, "prompt_id", "left")
@@ -82,10 +88,7 @@ def score_rollouts(rollouts: DataFrame, positions: DataFrame, analysis: DataFram
     j = j.withColumn("outcome", outcome(p))
     j = j.withColumn("reward_topn", reward_topn(p))
     j = j.withColumn("wpd", wpd(p))
-    j = j.withColumn("reward_wpd", reward_wpd(p))
-    j = j.withColumn("reward_format", reward_format("text", p))
-    j = j.withColumn("reward_tag_count", reward_tag_count("text", p))
-    return j
+    return j.withColumn("reward_wpd", reward_wpd(p))
 
 
 def outcome(p: RewardParams = P) -> Column:
@@ -192,17 +195,29 @@ def reward_stats(scored: DataFrame) -> DataFrame:
 
 
 def group_diversity(scored: DataFrame, reward: str = "reward_total") -> DataFrame:
-    """Per-FEN group: size, parse rate, unique moves, mode share, reward stdev."""
-    mode = (scored.filter(F.col("pred").isNotNull()).groupBy("fen", "pred").agg(F.count(F.lit(1)).alias("_m"))
-            .groupBy("fen").agg(F.max("_m").alias("mode_count")))
-    g = scored.groupBy("fen").agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.count("pred").alias("parsed"),
-        F.count_distinct("pred").alias("unique_moves"),
-        F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("reward_std"))
-    g = g.join(mode, "fen", "left")
+    """Per-FEN group: size, parse rate, unique moves, mode share, reward stdev.
+
+    One aggregate by ``(fen, pred)``, rolled up by ``fen``: count, mean and
+    squared deviations add up (no second scan, no distinct)."""
+    n, mean = F.col("_n"), F.col("_mean")
+    by_move = scored.groupBy("fen", "pred").agg(
+        F.count(F.lit(1)).alias("_all"), F.count(reward).alias("_n"), F.avg(reward).alias("_mean"),
+        F.coalesce(F.var_pop(reward) * F.count(reward), F.lit(0.0)).alias("_dev"))
+    parsed = F.col("pred").isNotNull()
+    g = by_move.groupBy("fen").agg(
+        F.sum("_all").alias("group_size"),
+        F.coalesce(F.sum(F.when(parsed, F.col("_all"))), F.lit(0)).alias("parsed"),
+        F.count("pred").alias("unique_moves"),
+        F.max(F.when(parsed, F.col("_all"))).alias("mode_count"),
+        F.sum("_n").alias("_count"), F.sum(n * mean).alias("_sum"),
+        F.sum("_dev").alias("_within"),
+        F.collect_list(F.struct("_n", "_mean")).alias("_parts"))  # one entry a move
+    total_mean = F.col("_sum") / F.col("_count")
+    between = F.aggregate("_parts", F.lit(0.0), lambda a, x: a + F.coalesce(
+        x["_n"] * (x["_mean"] - total_mean) * (x["_mean"] - total_mean), F.lit(0.0)))
+    std = F.when(F.col("_count") > 1, F.sqrt((F.col("_within") + between) / (F.col("_count") - 1))).otherwise(F.lit(0.0))
     return g.select("fen", "group_size", (F.col("parsed") / F.col("group_size")).alias("parse_rate"),
                     "unique_moves",
                     F.when(F.col("parsed") > 0, F.col("mode_count") / F.col("parsed")).otherwise(F.lit(1.0))
                     .alias("mode_share"),
-                    "reward_std")
+                    F.coalesce(std, F.lit(0.0)).alias("reward_std"))

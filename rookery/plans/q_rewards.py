@@ -225,7 +225,7 @@ def q_reward_total(spark, sf):
     "AS reward_custom FROM scored", *FX))
 def q_reward_registry(spark, sf):
     """Rewards chosen by name and summed; a user-registered reward joins the sum."""
-    R.register_reward("length_penalty", lambda: F.when(F.length("completion") > 2000, F.lit(-0.05))
+    R.register_reward("length_penalty", lambda: F.when(F.col("completion_chars") > 2000, F.lit(-0.05))
                       .otherwise(F.lit(0.0)))
     s = scored(spark, sf)
     return s.select("prompt_id", "sample_id",
