@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from rookery.operators import board as BD
+from rookery.operators import board_features as BF
 from rookery.plans import sqlfrag as S
 from rookery.plans.registry import register
 from rookery.sources.fixtures import fx_positions, with_fx
@@ -105,6 +106,11 @@ PAWNS = ("pw AS (SELECT p.fen, p.color, p.file, p.rank, p.csq, p.idx FROM pcs p
          + " AS sh_b FROM pf f LEFT JOIN pw p ON p.fen = f.fen GROUP BY f.fen)")
 
 
+# Rooks on files without pawns (first by square).
+ROOKS = ("ropen AS (SELECT r.fen, min(CASE WHEN r.color = 'w' THEN r.csq END) AS ow_sq, min(CASE WHEN r.color = 'b' THEN r.csq END) AS ob_sq "
+         "FROM pcs r WHERE r.type = 'r' AND NOT EXISTS (SELECT 1 FROM pw x WHERE x.fen = r.fen AND x.file = r.file) GROUP BY r.fen)")
+
+
 def _csq_name(x: str) -> str:
     return f"CASE WHEN {x} IS NOT NULL THEN {_sq(f'{x} % 8', f'CAST(floor({x} / 8) AS INT) + 1')} END"
 
@@ -173,8 +179,11 @@ FEATURES = ("feat AS (SELECT f.fen, f.side, f.n_pieces, f.mat_w, f.mat_b, f.mat_
             "(f.kfb IS NOT NULL AND f.krb > 1 AND coalesce(sh.sh_b, 0) < 2) AS king_exposed_b, "
             "f.undev_w, f.undev_b, (f.n_bw >= 2) AS bishop_pair_w, (f.n_bb >= 2) AS bishop_pair_b, "
             "(CASE WHEN f.side = 'w' THEN f.n_bw >= 2 AND f.n_bb < 2 ELSE f.n_bb >= 2 AND f.n_bw < 2 END) "
-            "AS bishop_pair_adv_stm, (f.r7_w > 0) AS rook_7th_w, (f.r7_b > 0) AS rook_7th_b "
-            "FROM pf f LEFT JOIN isok ik ON ik.fen = f.fen LEFT JOIN pask pk_ ON pk_.fen = f.fen "
+            "AS bishop_pair_adv_stm, (f.r7_w > 0) AS rook_7th_w, (f.r7_b > 0) AS rook_7th_b, "
+            "substr('abcdefgh', CAST(ro.ow_sq % 8 AS INT) + 1, 1) AS rook_open_w, substr('abcdefgh', CAST(ro.ob_sq % 8 AS INT) + 1, 1) AS rook_open_b, "
+            "CASE WHEN f.n_pieces <= 10 OR f.fullmove > 10 THEN '' WHEN (CASE WHEN f.side = 'w' THEN f.undev_w ELSE f.undev_b END) >= 3 "
+            "THEN 'several' WHEN (CASE WHEN f.side = 'w' THEN f.undev_w ELSE f.undev_b END) <= 1 THEN 'complete' ELSE 'some' END AS development "
+            "FROM pf f LEFT JOIN ropen ro ON ro.fen = f.fen LEFT JOIN isok ik ON ik.fen = f.fen LEFT JOIN pask pk_ ON pk_.fen = f.fen "
             "LEFT JOIN shield sh ON sh.fen = f.fen)")
 
 EDGE_FEATURES = ("efeat AS (SELECT f.fen, " + _cnt("e.from_color = 'w'") + " AS edges_w, "
@@ -195,37 +204,41 @@ EDGE_FEATURES = ("efeat AS (SELECT f.fen, " + _cnt("e.from_color = 'w'") + " AS
                  "LEFT JOIN chk c ON c.fen = f.fen LEFT JOIN fks fk ON fk.fen = f.fen LEFT JOIN pins pn ON pn.fen = f.fen "
                  "LEFT JOIN rays_ r ON r.fen = f.fen LEFT JOIN ovl o ON o.fen = f.fen LEFT JOIN bkr bk ON bk.fen = f.fen)")
 
-CODES = ("codes AS (SELECT a.fen, "
-         # pawn-structure note for the side to move: own weakness, islands comparison, opponent weakness
-         "CASE WHEN (a.side = 'w' AND a.isolated_w IS NOT NULL) OR (a.side = 'b' AND a.isolated_b IS NOT NULL) "
-         "THEN 'own_isolated' WHEN (a.side = 'w' AND a.doubled_w IS NOT NULL) OR (a.side = 'b' AND a.doubled_b IS NOT NULL) "
-         "THEN 'own_doubled' WHEN (a.side = 'w' AND a.islands_w > a.islands_b) OR (a.side = 'b' AND a.islands_b > "
-         "a.islands_w) THEN 'more_islands' WHEN (a.side = 'w' AND a.islands_w < a.islands_b) OR (a.side = 'b' AND "
-         "a.islands_b < a.islands_w) THEN 'fewer_islands' WHEN (a.side = 'w' AND (a.isolated_b IS NOT NULL OR "
-         "a.doubled_b IS NOT NULL)) OR (a.side = 'b' AND (a.isolated_w IS NOT NULL OR a.doubled_w IS NOT NULL)) "
-         "THEN 'opponent_weakness' ELSE 'healthy' END AS pawn_structure_code, "
-         # problems: in check, own hanging pieces, exposed king -> first two
-         "concat_ws(',', CASE WHEN e.in_check THEN 'in_check' END, CASE WHEN (a.side = 'w' AND e.hanging_w > 0) OR "
-         "(a.side = 'b' AND e.hanging_b > 0) THEN 'hanging' END, CASE WHEN NOT e.in_check OR NOT ((a.side = 'w' AND "
-         "e.hanging_w > 0) OR (a.side = 'b' AND e.hanging_b > 0)) THEN CASE WHEN (a.side = 'w' AND a.king_exposed_w) "
-         "OR (a.side = 'b' AND a.king_exposed_b) THEN 'king_exposed' END END) AS problem_code, "
-         # king safety: own exposed, opponent exposed, both safe
-         "CASE WHEN (a.side = 'w' AND a.king_exposed_w) OR (a.side = 'b' AND a.king_exposed_b) THEN 'own_exposed' "
-         "WHEN (a.side = 'w' AND a.king_exposed_b) OR (a.side = 'b' AND a.king_exposed_w) THEN 'opponent_exposed' "
-         "ELSE 'both_safe' END AS king_safety_code, "
-         # first motif by priority
-         "CASE WHEN e.double_check THEN 'double_check' WHEN e.in_check THEN 'check' WHEN e.pinned_stm > 0 THEN 'pin' "
-         "WHEN (a.side = 'w' AND e.forks_b > 0) OR (a.side = 'b' AND e.forks_w > 0) THEN 'fork' "
-         "WHEN (a.side = 'w' AND e.skewers_b > 0) OR (a.side = 'b' AND e.skewers_w > 0) THEN 'skewer' "
-         "WHEN (a.side = 'w' AND e.hanging_w > 0) OR (a.side = 'b' AND e.hanging_b > 0) THEN 'hanging' "
-         "WHEN (a.side = 'w' AND e.back_rank_w) OR (a.side = 'b' AND e.back_rank_b) THEN 'back_rank' "
-         "WHEN (a.side = 'w' AND e.overloaded_w > 0) OR (a.side = 'b' AND e.overloaded_b > 0) THEN 'overloaded' "
-         "ELSE NULL END AS top_motif, "
-         # positional cues in fixed order, first three
-         "concat_ws(',', CASE WHEN a.bishop_pair_adv_stm THEN 'bishop_pair' END, CASE WHEN a.open_files <> '' "
-         "THEN 'open_file' END, CASE WHEN (a.side = 'w' AND a.rook_7th_w) OR (a.side = 'b' AND a.rook_7th_b) THEN "
-         "'rook_7th' END, CASE WHEN (a.side = 'w' AND a.passed_w IS NOT NULL) OR (a.side = 'b' AND a.passed_b IS NOT "
-         "NULL) THEN 'passed_pawn' END) AS cues_all FROM feat a JOIN efeat2 e ON e.fen = a.fen)")
+# Choices for the side to move, from its own (o) and the other side's (t) columns.
+_PAIRS = ("isolated", "doubled", "islands", "passed", "majority", "rook_open", "rook_7th", "king_exposed", "bishop_pair")
+CODES = ("sides AS (SELECT a.fen, a.open_files, a.half_open_stm, e.in_check, e.double_check, e.pinned_stm, x.weak_squares, "
+         + ", ".join(f"CASE WHEN a.side = 'w' THEN a.{k}_{p} ELSE a.{k}_{q} END AS {t}_{k}" for k in _PAIRS for t, p, q in (("o", "w", "b"), ("t", "b", "w")))
+         + ", " + ", ".join(f"CASE WHEN a.side = 'w' THEN e.{k}_{p} ELSE e.{k}_{q} END AS {t}_{k}" for k in ("hanging", "forks", "skewers", "overloaded", "back_rank")
+                            for t, p, q in (("o", "w", "b"), ("t", "b", "w")))
+         + ", " + ", ".join(f"CASE WHEN a.side = 'w' THEN x.{k}_{p} ELSE x.{k}_{q} END AS {t}_{k}" for k in ("outpost", "backward")
+                            for t, p, q in (("o", "w", "b"), ("t", "b", "w")))
+         + " FROM feat a JOIN efeat2 e ON e.fen = a.fen JOIN sfeat x ON x.fen = a.fen), "
+         "cue AS (SELECT fen, 1 AS n, 'bishop_pair' AS c FROM sides WHERE o_bishop_pair "
+         "UNION ALL SELECT fen, 2, concat('rook_open_', o_rook_open) FROM sides WHERE o_rook_open IS NOT NULL "
+         "UNION ALL SELECT fen, 3, concat('weak_', substr(weak_squares, 1, 2)) FROM sides WHERE weak_squares <> '' "
+         "UNION ALL SELECT fen, 4, concat('passed_', o_passed) FROM sides WHERE o_passed IS NOT NULL "
+         "UNION ALL SELECT fen, 5, concat('outpost_', o_outpost) FROM sides WHERE o_outpost IS NOT NULL "
+         "UNION ALL SELECT fen, 6, concat('isolated_', o_isolated) FROM sides WHERE o_isolated IS NOT NULL "
+         "UNION ALL SELECT fen, 7, concat('doubled_', o_doubled) FROM sides WHERE o_doubled IS NOT NULL "
+         "UNION ALL SELECT fen, 8, concat('backward_', o_backward) FROM sides WHERE o_backward IS NOT NULL "
+         "UNION ALL SELECT fen, 9, concat('half_open_', substr(half_open_stm, 1, 1)) FROM sides WHERE half_open_stm <> '' "
+         "UNION ALL SELECT fen, 10, concat('majority_', o_majority) FROM sides WHERE o_majority IS NOT NULL "
+         "UNION ALL SELECT fen, 11, 'rook_7th' FROM sides WHERE o_rook_7th "
+         "UNION ALL SELECT fen, 12, 'exposed_king' FROM sides WHERE o_king_exposed), "
+         "cue2 AS (SELECT fen, max(CASE WHEN r = 1 THEN c END) AS c1, max(CASE WHEN r = 2 THEN c END) AS c2 FROM "
+         "(SELECT fen, c, row_number() OVER (PARTITION BY fen ORDER BY n) AS r FROM cue) GROUP BY fen), "
+         "codes AS (SELECT s.fen, CASE WHEN o_isolated IS NOT NULL THEN 'own_isolated' WHEN o_doubled IS NOT NULL THEN 'own_doubled' "
+         "WHEN o_backward IS NOT NULL THEN 'own_backward' WHEN o_islands > t_islands THEN 'more_islands' WHEN o_islands < t_islands "
+         "THEN 'fewer_islands' WHEN t_isolated IS NOT NULL OR t_doubled IS NOT NULL OR t_backward IS NOT NULL THEN 'opponent_weakness' "
+         "ELSE 'healthy' END AS pawn_structure_code, "
+         "CASE WHEN in_check AND o_hanging > 0 THEN 'in_check,hanging' WHEN in_check AND o_king_exposed THEN 'in_check,king_exposed' "
+         "WHEN in_check THEN 'in_check' WHEN o_hanging > 0 AND o_king_exposed THEN 'hanging,king_exposed' WHEN o_hanging > 0 THEN 'hanging' "
+         "WHEN o_king_exposed THEN 'king_exposed' ELSE 'no_problem' END AS problem_code, "
+         "CASE WHEN o_king_exposed THEN 'own_exposed' WHEN t_king_exposed THEN 'opponent_exposed' ELSE 'both_safe' END AS king_safety_code, "
+         "CASE WHEN double_check THEN 'double_check' WHEN t_forks > 0 THEN 'fork' WHEN pinned_stm > 0 THEN 'pin' WHEN t_skewers > 0 THEN 'skewer' "
+         "WHEN o_overloaded > 0 THEN 'overloaded' WHEN o_back_rank THEN 'back_rank' END AS top_motif, "
+         "CASE WHEN c1 IS NULL THEN '' WHEN c2 IS NULL THEN c1 ELSE concat(c1, ',', c2) END AS cues_all "
+         "FROM sides s LEFT JOIN cue2 c ON c.fen = s.fen)")
 
 # Static structure: weak squares, outposts, batteries, backward pawns (side-aware).
 WEAK_SQUARES = [("d", 4), ("e", 4), ("d", 5), ("e", 5), ("c", 4), ("f", 4), ("c", 5), ("f", 5)]
@@ -290,7 +303,7 @@ STATIC2 = (
     "FROM pf f JOIN weak w ON w.fen = f.fen LEFT JOIN opost o ON o.fen = f.fen LEFT JOIN bats bt ON bt.fen = f.fen "
     "LEFT JOIN bwd bw ON bw.fen = f.fen)")
 
-BOARD_SQL = ",\n".join([PF, PAWNS, EDGE, FEATURES, EDGE_FEATURES, CODES, STATIC2])
+BOARD_SQL = ",\n".join([PF, PAWNS, ROOKS, EDGE, FEATURES, EDGE_FEATURES, STATIC2, CODES])
 
 
 # ---- DuckDB side: pieces, geometry, edges ------------------------------------------------
@@ -378,9 +391,13 @@ def spark_features(spark, sf, select: str, pos=None, extra_views: dict | None =
 def board_query(key: str, cols: str):
     select = f"SELECT p.pos_id, {cols} FROM fx_positions p JOIN feat a ON a.fen = p.fen JOIN efeat2 e ON e.fen = p.fen " \
              "JOIN codes c ON c.fen = p.fen JOIN sfeat x ON x.fen = p.fen"
+    names = [c.strip().split(".")[1] for c in cols.split(",")]
 
     def fn(spark, sf):
-        return spark_features(spark, sf, select)
+        """In-row features of each distinct board, joined to its positions."""
+        pos = fx_positions(spark, sf).select("pos_id", "fen")
+        found = BF.features(BD.boards(pos)).withColumnRenamed("cues", "cues_all").select("fen", *names)
+        return pos.join(found, "fen").select("pos_id", *names)
     fn.__name__ = f"q_{key}"
     register(key, duck_sql(select))(fn)
 
@@ -396,8 +413,8 @@ board_query("passed_pawns", "a.passed_w, a.passed_b")
 board_query("pawn_majority", "a.majority_w, a.majority_b")
 board_query("open_files", "a.open_files, a.half_open_stm")
 board_query("king_exposed", "a.king_exposed_w, a.king_exposed_b")
-board_query("undeveloped_minors", "a.undev_w, a.undev_b")
-board_query("piece_cues", "a.bishop_pair_w, a.bishop_pair_b, a.bishop_pair_adv_stm, a.rook_7th_w, a.rook_7th_b")
+board_query("undeveloped_minors", "a.undev_w, a.undev_b, a.development")
+board_query("piece_cues", "a.bishop_pair_w, a.bishop_pair_b, a.bishop_pair_adv_stm, a.rook_7th_w, a.rook_7th_b, a.rook_open_w, a.rook_open_b")
 board_query("attack_edges", "e.edges_w, e.edges_b")
 board_query("hanging_pieces", "e.hanging_w, e.hanging_b, e.top_hanging")
 board_query("check_status", "e.checkers, e.in_check, e.double_check")
