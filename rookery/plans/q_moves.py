@@ -3,8 +3,8 @@
 Moves come from the games' coordinate lines (real, legal moves): every
 distinct line is replayed once with the board fold, giving the board before
 each move, after it and after the reply. Pieces and attack edges are built
-for those boards (deduplicated by FEN), and the move rules below are one
-portable SQL text over them, joined back to every game that plays the line.
+inside each distinct board's row, and the rules join back to every game that
+plays the line. The oracle states the rules separately, over edge tables.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from rookery.functions.board import DUCK, replay_states, replay_states_sql
 from rookery.functions.text import UCI_MOVE, tokens, valid_prefix
+from rookery.operators import board as BD
+from rookery.operators import board_features as BF
+from rookery.operators.move_features import move_features
 from rookery.plans import sqlfrag as S
 from rookery.plans.registry import register
 from rookery.sources.fixtures import START_FEN, with_fx
@@ -42,6 +45,8 @@ def _fidx(u: str, a: int, b: int) -> str:
 
 VAL = ("CASE {t} WHEN 'p' THEN 1 WHEN 'n' THEN 3 WHEN 'b' THEN 3 WHEN 'r' THEN 5 WHEN 'q' THEN 9 ELSE 0 END")
 
+KEY_VALUES = ", ".join(f"({n}, '{q}', {BF._idx(q)})" for n, q in enumerate(BF.WEAK_SQUARES))
+
 MOVE_SQL = f"""m0 AS (SELECT mv.*, {_fidx('muci', 1, 2)} AS fi, {_fidx('muci', 3, 4)} AS ti,
   CASE WHEN ruci IS NOT NULL THEN {_fidx('ruci', 3, 4)} END AS rti FROM mv),
 m1 AS (SELECT m0.*, substr(db.b, fi, 1) AS pc, substr(db.b, ti, 1) AS tp, db.side AS mover,
@@ -77,18 +82,27 @@ m7 AS (SELECT m6.*,
   CASE WHEN mover = 'w' THEN coalesce(ha.hang_w, 0) ELSE coalesce(ha.hang_b, 0) END AS own_hang_after,
   CASE WHEN mover = 'w' THEN coalesce(hb.hang_b, 0) ELSE coalesce(hb.hang_w, 0) END AS opp_hang_before,
   CASE WHEN mover = 'w' THEN coalesce(ha.hang_b, 0) ELSE coalesce(ha.hang_w, 0) END AS opp_hang_after,
-  fa.open_files AS open_after, xa.outpost_w AS ow_after, xa.outpost_b AS ob_after,
-  er.in_check AS reply_check, CASE WHEN mover = 'w' THEN er.hanging_w ELSE er.hanging_b END AS own_hang_reply
+  fb.open_files AS open_before, fb.half_open_stm AS half_before, coalesce(pa.apw, 0) AS apw, coalesce(pa.apb, 0) AS apb,
+  er.in_check AS reply_check, CASE WHEN mover = 'w' THEN er.hanging_w ELSE er.hanging_b END AS own_hang_reply,
+  CASE WHEN mover = 'w' THEN er.forks_b ELSE er.forks_w END AS reply_forks, er.pinned_stm AS reply_pins,
+  CASE WHEN mover = 'w' THEN er.skewers_b ELSE er.skewers_w END AS reply_skewers
   FROM m6 LEFT JOIN hangk hb ON hb.fen = m6.bfen LEFT JOIN hangk ha ON ha.fen = m6.afen
-  JOIN feat fa ON fa.fen = m6.afen JOIN sfeat xa ON xa.fen = m6.afen LEFT JOIN efeat2 er ON er.fen = m6.rfen),
-moves AS (SELECT m7.*,
-  CASE WHEN best_target_value >= 3 THEN CASE best_target_value WHEN 9 THEN 'targets_queen' WHEN 5 THEN 'targets_rook'
-    ELSE 'targets_minor' END WHEN lower(moved) = 'r' AND instr(open_after, substr(muci, 3, 1)) > 0
-    THEN 'rook_open_file' WHEN lower(moved) = 'n' AND ((mover = 'w' AND ow_after = substr(muci, 3, 2)) OR
-    (mover = 'b' AND ob_after = substr(muci, 3, 2))) THEN 'knight_post' END AS move_target,
+  JOIN feat fb ON fb.fen = m6.bfen LEFT JOIN att pa ON pa.fen = m6.afen AND pa.to_idx = m6.ti LEFT JOIN efeat2 er ON er.fen = m6.rfen),
+key_squares AS (SELECT * FROM (VALUES {KEY_VALUES}) t(n, sq, i)),
+press AS (SELECT m7.line_uci, m7.ply, min(k.n * 100 + k.i) AS p FROM m7 JOIN edges e ON e.fen = m7.afen AND e.from_idx = m7.ti
+  JOIN key_squares k ON k.i = e.to_idx GROUP BY m7.line_uci, m7.ply),
+moves AS (SELECT m7.*, CASE WHEN NOT quiet THEN '' ELSE concat_ws(',',
+  CASE best_target_value WHEN 9 THEN 'targets_queen' WHEN 5 THEN 'targets_rook' WHEN 3 THEN 'targets_minor' END,
+  CASE WHEN lower(moved) = 'r' THEN CASE WHEN instr(open_before, substr(muci, 3, 1)) > 0 THEN 'rook_open_file'
+    WHEN instr(half_before, substr(muci, 3, 1)) > 0 THEN 'rook_half_open_file' END END,
+  CASE WHEN lower(moved) = 'n' AND (substr(muci, 3, 2) IN (SELECT sq FROM key_squares) OR
+    (mover = 'w' AND substr(muci, 4, 1) >= '5' AND apw > 0 AND apb = 0) OR
+    (mover = 'b' AND substr(muci, 4, 1) <= '4' AND apb > 0 AND apw = 0)) THEN 'knight_post' END,
+  (SELECT 'presses_' || k.sq FROM key_squares k WHERE k.n = floor(press.p / 100))) END AS move_target,
   CASE WHEN ruci IS NULL THEN NULL WHEN rtp IS NOT NULL AND rtp <> '.' THEN 'loses_' || lower(rtp)
-    WHEN reply_check THEN 'allows_check' WHEN own_hang_reply > 0 THEN 'leaves_hanging' ELSE 'generic' END
-    AS blunder_outcome FROM m7)"""
+    WHEN reply_check THEN 'allows_check' WHEN own_hang_reply > 0 THEN 'leaves_hanging' WHEN reply_forks > 0 THEN 'runs_into_fork'
+    WHEN reply_pins > 0 THEN 'runs_into_pin' WHEN reply_skewers > 0 THEN 'runs_into_skewer' ELSE 'generic' END
+    AS blunder_outcome FROM m7 LEFT JOIN press ON press.line_uci = m7.line_uci AND press.ply = m7.ply)"""
 
 
 def _duck_moves() -> str:
@@ -106,22 +120,24 @@ def _duck_moves() -> str:
             f"WHERE rfen IS NOT NULL), {base},\n{BOARD_SQL},\n{MOVE_SQL}")
 
 
-def move_query(key: str, cols: str):
-    sel = f"SELECT gl.game_id, m.ply, {cols} FROM gl JOIN moves m ON m.line_uci = gl.line_uci"
+def move_query(key: str, cols: list[str]):
+    sel = f"SELECT gl.game_id, m.ply, {', '.join(SQL_NAMES.get(c, f'm.{c}') for c in cols)} FROM gl JOIN moves m ON m.line_uci = gl.line_uci"
 
     def fn(spark, sf):
-        from rookery.plans.q_boardfx import spark_features
+        """Moves of each distinct line, joined to every game that plays it."""
         g, mv, fens = spark_moves(spark, sf)
-        return spark_features(spark, sf, sel, pos=fens, extra_views={"mv": mv, "gl": g}, more_ctes=MOVE_SQL)
+        found = move_features(mv, BD.boards(fens)).select("line_uci", "ply", *cols)
+        return g.join(found, "line_uci").select("game_id", "ply", *cols)
     fn.__name__ = f"q_{key}"
     register(key, with_fx(f"WITH {_duck_moves()}\n{sel}", "fx_games", "fx_lines"))(fn)
 
 
-move_query("move_flags", "m.capture, m.promotion, m.underpromotion, m.en_passant, m.castling, m.gives_check, "
-                         "m.quiet, m.discovered_check")
-move_query("sacrifice_flags", "m.hanging_after, m.sacrifice")
-move_query("edge_delta_motifs", "m.discovered_attacks, m.new_targets")
-move_query("tempo_threat_flags", "m.own_hang_before > m.own_hang_after AS threat_reduced, "
-                                 "m.opp_hang_after > m.opp_hang_before AS threat_created")
-move_query("move_targets", "m.move_target")
-move_query("blunder_outcome", "m.blunder_outcome")
+SQL_NAMES = {"threat_reduced": "m.own_hang_before > m.own_hang_after AS threat_reduced",
+             "threat_created": "m.opp_hang_after > m.opp_hang_before AS threat_created"}
+
+move_query("move_flags", ["capture", "promotion", "underpromotion", "en_passant", "castling", "gives_check", "quiet", "discovered_check"])
+move_query("sacrifice_flags", ["hanging_after", "sacrifice"])
+move_query("edge_delta_motifs", ["discovered_attacks", "new_targets"])
+move_query("tempo_threat_flags", ["threat_reduced", "threat_created"])
+move_query("move_targets", ["move_target"])
+move_query("blunder_outcome", ["blunder_outcome"])
