@@ -1,19 +1,20 @@
-"""Trace assembly rules.
-
-The assembly is written once as portable SQL (CASE / concat_ws / window
-functions only) and evaluated by Spark over per-position input relations
-built with DataFrame operations; the DuckDB oracle runs the same text over
-its own inputs. Everything is per position (one row, or a window over at most
-``max_candidates`` rows), so the whole job is map-side after the position
-shuffle that builds the inputs.
-
-Phrase pools below are this engine's own short wording; the section order,
-gates, multipliers, caps, trim order and fallbacks follow the reference
-pipeline.
+"""Trace assembly.
+
+One row a position: the pool candidates and the best line are arrays on it, so
+after the join that builds the row everything is expressions in place, without
+a window or another shuffle. Section order, gates, multipliers, caps, trim order
+and fallbacks follow the reference; the wording is in ``phrases``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from rookery.operators.phrases import NOTES, POOLS
+
 # --- fixed values -----------------------------------------------------------
 SECTION_ORDER = ["orientation", "opening_plan", "fen_walkthrough", "context_hint", "assessment",
                  "decision_profile", "static_eval", "endgame_technique", "threat_scan", "plan", "opponent",
@@ -24,277 +25,227 @@ DROP_ORDER = ["avoid_blunder", "opening_plan", "endgame_technique", "decision_pr
               "candidates", "threat_scan", "opponent", "plan", "assessment", "orientation"]
 # Gate probabilities (strict u < p) before style / source multipliers.
 SECTION_PROBS = {"opening_plan": 0.25, "fen_walkthrough": 0.15, "context_hint": 0.18, "decision_profile": 0.25,
-                 "endgame_technique": 0.30, "threat_scan": 0.45, "plan": 0.30, "opponent": 0.25,
+                 "static_eval": 0.25, "endgame_technique": 0.30, "threat_scan": 0.45, "plan": 0.30, "opponent": 0.25,
                  "reconsideration": 0.20, "dead_end": 0.20, "comparison": 0.30}
 SOURCE_MULT = {"context_hint": {"game": 0.7, "puzzle": 1.5}, "decision_profile": {"game": 0.8, "puzzle": 1.2}}
 STYLE_MULT = {"quick": 0.25, "concise": 0.6}
 PV_PROB, PV_FORCED_MIN = 0.55, 0.85
-CAND_PV_PROB, CAND_PV_BEST_MULT, CAND_PV_CAP = 0.30, 1.2, 1
-CAND_MOTIF_PROB, CAND_MOTIF_BEST_MULT, CAND_MOTIF_CAP = 0.50, 1.1, 2
-CAND_TRAP_PROB, CAND_TRAP_CAP = 1.0, 1
+PV_STYLE = {"quick": 0.25, "concise": 0.6, "dialogue": 0.6}
+# Extras of a candidate: probability, factor for the best move, most per trace, factors by style.
+EXTRAS = {"pv": (0.30, 1.2, 1, {"concise": 0.4, "tactical": 1.2}),
+          "motif": (0.50, 1.1, 2, {"quick": 0.25, "concise": 0.5, "tactical": 1.1}),
+          "trap": (1.0, 1.0, 1, {"quick": 0.25, "concise": 0.6, "tactical": 1.1})}
 INITIAL_GUESS_BEST_PROB = 0.7
 EXPLAIN_MAX_PLIES = 4
-POOLS = {
-    "context_mate": ["Hint: start with forcing checks.", "Hint: look at the king's escape squares.",
-                     "Hint: checks and direct threats first."],
-    "context_endgame": ["Hint: activate the king.", "Hint: watch the passed pawns.",
-                        "Hint: think about conversion technique."],
-    "context_loose": ["Hint: look for loose pieces.", "Hint: check what is undefended."],
-    "context_tactical": ["Hint: forcing moves may decide this.", "Hint: look for forks and pins."],
-    "context_generic": ["Hint: checks, captures and threats first.", "Hint: find the main threat first.",
-                        "Hint: improve the worst-placed piece if nothing is forcing."],
-    "assess_balanced": ["The position is roughly balanced.", "Neither side has a clear edge."],
-    "assess_better": ["The side to move stands better.", "The side to move has the upper hand."],
-    "assess_worse": ["The side to move is under pressure.", "The side to move is worse here."],
-    "assess_slight": ["There is a slight edge to play for.", "The balance is only slightly tilted."],
-    "conclusion_firm": ["The move is {move}.", "Only {move} holds everything together."],
-    "conclusion_soft": ["On balance I prefer {move}.", "Several moves are fine, but {move} is the most precise."],
-    "conclusion_default": ["So I play {move}.", "The best move is {move}.", "I will go with {move}."],
-    "reconsider": ["Let me double-check that before committing.", "Wait, let me re-check the forcing lines."],
-    "opponent": ["From the other side, the opponent wants counterplay.",
-                 "The opponent is looking for active moves."],
-    "quality_best": ["it looks best", "it is the strongest option"],
-    "quality_close": ["it is close to the best", "it is nearly as good"],
-    "quality_inferior": ["it is somewhat inferior", "it gives up part of the advantage"],
-    "quality_bad": ["it is clearly worse", "it runs into trouble"],
-    "quality_mate": ["it forces mate", "it leads to a forced mate"],
-    "quality_allows_mate": ["it allows a mating attack", "it walks into mate"],
-}
+MAX_STATIC_NOTES = 2
+# Theme substrings that choose a hint, in order of precedence with the board's own signs.
+THEME_MARKERS = {"mate": ["mate"], "endgame": ["endgame"], "loose": ["hanging", "trapped"],
+                 "tactical": ["fork", "pin", "skewer", "deflection", "attraction", "interference", "discovered", "double", "backrank"]}
 # --- end of fixed values -----------------------------------------------------
 
+UNGATED = ("static_eval",)  # their gate does not depend on the style
 POS_DRAWS = ["opening_plan", "fen_walkthrough", "context_hint", "ctx_phrase", "assess_phrase", "decision_profile",
+             "static_eval", "note_material", "note_structure", "note_king", "note_development", "orient_phrase",
              "endgame_technique", "threat_scan", "plan", "plan_pick", "opponent", "opp_phrase", "reconsideration",
              "recon_phrase", "dead_end", "comparison", "concl_phrase", "guess", "guess_pick", "pv_gate"]
 CAND_DRAWS = ["ord", "quality", "cand_pv", "cand_motif", "cand_trap"]
+CAND_FIELDS = ["uci", "win_prob", "category", "mate_in", "trap_kind", "confidence", "pv", "u_quality", "u_cand_pv",
+               "u_cand_motif", "u_cand_trap"]
+SEPARATOR = "\n\n"
 
 
-def q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+def drawn(u: Column, n: int) -> Column:
+    """0-based index of an even draw among ``n``."""
+    return F.floor(u * n).cast("int")
 
 
-def pick(pool: str, u: str) -> str:
+def pick(pool: str, u: Column) -> Column:
     items = POOLS[pool]
-    whens = " ".join(f"WHEN {i} THEN {q(t)}" for i, t in enumerate(items))
-    return f"(CASE CAST(floor({u} * {len(items)}) AS INT) {whens} END)"
+    return F.element_at(F.array(*[F.lit(x) for x in items]), drawn(u, len(items)) + 1)
 
 
-def pick_tpl(pool: str, u: str, move: str) -> str:
-    items = POOLS[pool]
-    whens = []
-    for i, t in enumerate(items):
-        pre, _, post = t.partition("{move}")
-        whens.append(f"WHEN {i} THEN concat({q(pre)}, {move}, {q(post)})")
-    return f"(CASE CAST(floor({u} * {len(items)}) AS INT) {' '.join(whens)} END)"
+def by_code(code: Column, choices: dict[str, Column]) -> Column:
+    out = F.lit(None).cast("string")
+    for k, v in choices.items():
+        out = F.when(code == k, v).otherwise(out)
+    return out
 
 
-def style_mult(style: str = "style") -> str:
-    return " * ".join(
-        [f"(CASE WHEN {style} = {q(s)} THEN {m} ELSE 1.0 END)" for s, m in STYLE_MULT.items()])
+def factor(column: Column, factors: dict[str, float]) -> Column:
+    return F.coalesce(by_code(column, {k: F.lit(v) for k, v in factors.items()}).cast("double"), F.lit(1.0))
 
 
-def gate(name: str, source: str = "'game'") -> str:
-    p = f"{SECTION_PROBS[name]}"
+def gate(name: str) -> Column:
+    p = F.lit(SECTION_PROBS[name])
     if name in SOURCE_MULT:
-        p += " * " + "(CASE " + " ".join(f"WHEN {source} = {q(k)} THEN {v}" for k, v in SOURCE_MULT[name].items()) \
-             + " ELSE 1.0 END)"
-    return f"(u_{name} < least(1.0, greatest(0.0, {p} * {style_mult()})))"
-
-
-def ws(x: str) -> str:
-    return f"(length({x}) - length(replace(replace(replace({x}, ' ', ''), chr(10), ''), chr(9), '')))"
-
-
-# ---------------------------------------------------------------------------
-# Portable SQL over inputs ``tin`` (one row per position) and ``tc`` (pool
-# candidates) and ``tpv`` (plies of the best line).
-# ---------------------------------------------------------------------------
-
-CAND_SQL = f"""tord AS (SELECT tc.*, tin.style, tin.best_uci, tin.best_wp,
-  row_number() OVER (PARTITION BY tc.pos_id ORDER BY tc.u_ord, tc.uci) AS ord,
-  count(*) OVER (PARTITION BY tc.pos_id) AS n_cands
-  FROM tc JOIN tin ON tin.pos_id = tc.pos_id),
-tflag AS (SELECT *,
-  CASE WHEN u_cand_pv < least(1.0, {CAND_PV_PROB} * (CASE WHEN style = 'concise' THEN 0.4 WHEN style = 'tactical'
-    THEN 1.2 ELSE 1.0 END) * (CASE WHEN uci = best_uci THEN {CAND_PV_BEST_MULT} ELSE 1.0 END)) AND pv <> ''
-    THEN 1 ELSE 0 END AS f_pv,
-  CASE WHEN u_cand_motif < least(1.0, {CAND_MOTIF_PROB} * (CASE WHEN style = 'quick' THEN 0.25 WHEN style =
-    'concise' THEN 0.5 WHEN style = 'tactical' THEN 1.1 ELSE 1.0 END) * (CASE WHEN uci = best_uci THEN
-    {CAND_MOTIF_BEST_MULT} ELSE 1.0 END)) THEN 1 ELSE 0 END AS f_motif,
-  CASE WHEN trap_kind IS NOT NULL AND u_cand_trap < least(1.0, {CAND_TRAP_PROB} * (CASE WHEN style = 'quick'
-    THEN 0.25 WHEN style = 'concise' THEN 0.6 WHEN style = 'tactical' THEN 1.1 ELSE 1.0 END)) THEN 1 ELSE 0 END
-    AS f_trap FROM tord),
-tcap AS (SELECT *,
-  f_pv = 1 AND sum(f_pv) OVER (PARTITION BY pos_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-    <= {CAND_PV_CAP} AS inc_pv,
-  f_motif = 1 AND sum(f_motif) OVER (PARTITION BY pos_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT
-    ROW) <= {CAND_MOTIF_CAP} AS inc_motif,
-  f_trap = 1 AND sum(f_trap) OVER (PARTITION BY pos_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-    <= {CAND_TRAP_CAP} AS inc_trap FROM tflag),
-tpara AS (SELECT pos_id, ord, uci, concat(uci, ': ',
-  CASE WHEN mate_in > 0 THEN {pick('quality_mate', 'u_quality')}
-       WHEN mate_in IS NOT NULL THEN {pick('quality_allows_mate', 'u_quality')}
-       WHEN best_wp - win_prob <= 0.02 THEN {pick('quality_best', 'u_quality')}
-       WHEN best_wp - win_prob <= 0.06 THEN {pick('quality_close', 'u_quality')}
-       WHEN best_wp - win_prob <= 0.12 THEN {pick('quality_inferior', 'u_quality')}
-       ELSE {pick('quality_bad', 'u_quality')} END, '.',
-  CASE WHEN inc_pv THEN concat(' A likely line is ', pv, '.') ELSE '' END,
-  CASE WHEN inc_motif THEN concat(' It is rated ', category, '.') ELSE '' END,
-  CASE WHEN inc_trap THEN concat(' It ', CASE WHEN trap_kind = 'trap' THEN 'looks strong at first glance but fails on '
-    || 'deeper analysis' ELSE 'looks dubious at first glance but holds up' END, ' (', confidence, ').') ELSE '' END)
-  AS para FROM tcap),
-tparas AS (SELECT pos_id, count(*) AS n_paras, {', '.join(
-    f"max(CASE WHEN ord = {k} THEN para END) AS p{k}" for k in range(1, 9))},
-  concat_ws(', ', {', '.join(f"max(CASE WHEN ord = {k} THEN uci END)" for k in range(1, 9))}) AS cand_list
-  FROM tpara GROUP BY pos_id),
-tfail AS (SELECT pos_id, concat_ws(',', max(CASE WHEN rn = 1 THEN uci END), max(CASE WHEN rn = 2 THEN uci END))
-  AS failed_attempts FROM (SELECT tc.pos_id, tc.uci, row_number() OVER (PARTITION BY tc.pos_id ORDER BY o.ord) AS rn
-  FROM tc JOIN tord o ON o.pos_id = tc.pos_id AND o.uci = tc.uci JOIN tin ON tin.pos_id = tc.pos_id
-  WHERE tc.uci <> tin.best_uci) GROUP BY pos_id),
-tworst AS (SELECT pos_id, max(CASE WHEN lo = 1 THEN uci END) AS worst_uci, max(CASE WHEN hi = 1 THEN uci END) AS top1,
-  max(CASE WHEN hi = 2 THEN uci END) AS top2 FROM (SELECT pos_id, uci,
-  row_number() OVER (PARTITION BY pos_id ORDER BY win_prob, ord) AS lo,
-  row_number() OVER (PARTITION BY pos_id ORDER BY win_prob DESC, ord) AS hi FROM tord) GROUP BY pos_id),
-tline AS (SELECT pos_id, concat_ws('; ', {', '.join(
-    f"max(CASE WHEN n = {k} THEN concat(uci, CASE WHEN forcing THEN ' (forcing)' ELSE '' END) END)"
-    for k in range(1, EXPLAIN_MAX_PLIES + 1))}) AS line_text FROM tpv WHERE n <= {EXPLAIN_MAX_PLIES} GROUP BY pos_id)"""
-
-
-def _plan_list() -> str:
-    return ("concat_ws(',', CASE WHEN (side = 'w' AND (instr(castling, 'K') > 0 OR instr(castling, 'Q') > 0)) OR "
-            "(side = 'b' AND (instr(castling, 'k') > 0 OR instr(castling, 'q') > 0)) THEN 'castle' END, "
-            "CASE WHEN passed_own THEN 'push_passed_pawn' END, CASE WHEN open_file THEN 'rook_to_open_file' END, "
-            "CASE WHEN enemy_king_exposed THEN 'attack_king' END, 'improve_pieces')")
-
-
-POS_SQL = f"""tcodes AS (SELECT tin.*, p.n_paras, p.cand_list, {', '.join(f'p.p{k}' for k in range(1, 9))},
-  f.failed_attempts, w.worst_uci, w.top1, w.top2, l.line_text,
-  CASE WHEN forced_mate OR only_move THEN 'firm' WHEN many_options THEN 'soft' ELSE 'default' END AS conclusion_pool,
-  CASE WHEN p.n_paras >= 3 THEN 'three_way' WHEN p.n_paras = 2 THEN 'two_way' ELSE 'quick' END AS decision_frame,
-  CASE WHEN opening_name IS NOT NULL THEN 'opening' WHEN phase = 'endgame' THEN 'endgame' WHEN phase = 'opening'
-    THEN 'opening_phase' ELSE 'middlegame' END AS orientation_code,
-  CASE WHEN best_mate IS NOT NULL AND best_mate <> 0 THEN 'mate' WHEN phase = 'endgame' THEN 'endgame'
-    WHEN hang_own > 0 THEN 'loose' WHEN in_check THEN 'tactical' ELSE 'generic' END AS context_code,
-  {_plan_list()} AS plan_options,
-  u_pv_gate < (CASE WHEN forced_mate OR only_move THEN greatest({PV_PROB} * (CASE WHEN style = 'quick' THEN 0.25
-    WHEN style IN ('concise', 'dialogue') THEN 0.6 ELSE 1.0 END), {PV_FORCED_MIN}) ELSE {PV_PROB} * (CASE WHEN
-    style = 'quick' THEN 0.25 WHEN style IN ('concise', 'dialogue') THEN 0.6 ELSE 1.0 END) END) AS pv_gate
-  FROM tin LEFT JOIN tparas p ON p.pos_id = tin.pos_id LEFT JOIN tfail f ON f.pos_id = tin.pos_id
-  LEFT JOIN tworst w ON w.pos_id = tin.pos_id LEFT JOIN tline l ON l.pos_id = tin.pos_id),
-tplan AS (SELECT *, split_part(plan_options, ',', CAST(floor(u_plan_pick * (length(plan_options) -
-  length(replace(plan_options, ',', '')) + 1)) AS INT) + 1) AS plan_option,
-  CASE WHEN u_guess < {INITIAL_GUESS_BEST_PROB} THEN best_uci ELSE split_part(cand_list, ', ',
-  CAST(floor(u_guess_pick * n_paras) AS INT) + 1) END AS initial_guess FROM tcodes),
-tgates AS (SELECT *, {gate('opening_plan')} AND opening_name IS NOT NULL AS g_opening_plan,
-  {gate('fen_walkthrough')} AS g_fen_walkthrough, {gate('context_hint')} AS g_context_hint,
-  {gate('decision_profile')} AS g_decision_profile, {gate('endgame_technique')} AND phase = 'endgame'
-  AS g_endgame_technique, {gate('threat_scan')} AS g_threat_scan, {gate('plan')} AS g_plan,
-  {gate('opponent')} AS g_opponent, {gate('reconsideration')} AS g_reconsideration,
-  {gate('dead_end')} AND n_paras >= 2 AS g_dead_end, {gate('comparison')} AND n_paras >= 2 AS g_comparison
-  FROM tplan),
-tsec AS (SELECT pos_id, fen, valid_moves_str, chosen_move, style, tb_result, conclusion_pool, decision_frame,
-  orientation_code, context_code, plan_option, initial_guess, pv_gate, failed_attempts, line_text,
-  CAST(floor(u_ctx_phrase * 3) AS INT) AS ctx_phrase_idx, CAST(floor(u_concl_phrase * 3) AS INT) AS concl_phrase_idx,
-  g_opening_plan, g_fen_walkthrough, g_context_hint, g_decision_profile, g_endgame_technique, g_threat_scan, g_plan,
-  g_opponent, g_reconsideration, g_dead_end, g_comparison,
-  CASE WHEN opening_name IS NOT NULL THEN concat('We are in the ', opening_short, '.') WHEN phase = 'endgame'
-    THEN 'This is an endgame.' WHEN phase = 'opening' THEN 'We are still in the opening.'
-    ELSE 'This is a middlegame position.' END AS s_orientation,
-  CASE WHEN g_opening_plan THEN concat('Typical ', family, ' plans apply here.') ELSE '' END AS s_opening_plan,
-  CASE WHEN g_fen_walkthrough THEN concat(CASE WHEN side = 'w' THEN 'White' ELSE 'Black' END, ' to move, move ',
-    CAST(fullmove AS STRING), '.') ELSE '' END AS s_fen_walkthrough,
-  CASE WHEN NOT g_context_hint THEN '' WHEN context_code = 'mate' THEN {pick('context_mate', 'u_ctx_phrase')}
-    WHEN context_code = 'endgame' THEN {pick('context_endgame', 'u_ctx_phrase')}
-    WHEN context_code = 'loose' THEN {pick('context_loose', 'u_ctx_phrase')}
-    WHEN context_code = 'tactical' THEN {pick('context_tactical', 'u_ctx_phrase')}
-    ELSE {pick('context_generic', 'u_ctx_phrase')} END AS s_context_hint,
-  CASE WHEN tb_result IS NOT NULL THEN concat('Tablebase result: ', tb_result, '.')
-    WHEN assessment = 'balanced' THEN {pick('assess_balanced', 'u_assess_phrase')}
-    WHEN assessment = 'better' THEN {pick('assess_better', 'u_assess_phrase')}
-    WHEN assessment = 'worse' THEN {pick('assess_worse', 'u_assess_phrase')}
-    ELSE {pick('assess_slight', 'u_assess_phrase')} END AS s_assessment,
-  CASE WHEN NOT g_decision_profile THEN '' WHEN forced_mate THEN 'There is a forced mate.'
-    WHEN only_move THEN 'Only one move really works here.' WHEN many_options THEN 'Several moves are playable.'
-    ELSE 'The choice is between a few reasonable moves.' END AS s_decision_profile,
-  '' AS s_static_eval,
-  CASE WHEN g_endgame_technique THEN concat('Technique matters in this ', endgame_type, '.') ELSE '' END
-    AS s_endgame_technique,
-  CASE WHEN g_threat_scan THEN CASE WHEN in_check THEN 'First, the king is in check.' WHEN hang_own > 0
-    THEN 'First, some pieces are hanging.' ELSE 'No immediate threats are visible.' END ELSE '' END AS s_threat_scan,
-  CASE WHEN g_plan THEN concat('A sensible plan: ', replace(plan_option, '_', ' '), '.') ELSE '' END AS s_plan,
-  CASE WHEN g_opponent THEN {pick('opponent', 'u_opp_phrase')} ELSE '' END AS s_opponent,
-  concat('Candidate moves: ', cand_list, '.') AS s_candidates,
-  CASE WHEN avoid_uci IS NOT NULL THEN concat('Avoid ', avoid_uci, ': it looks tempting but loses too much.')
-    ELSE '' END AS s_avoid_blunder,
-  {', '.join(f'coalesce(p{k}, {q("")}) AS p{k}' for k in range(1, 9))},
-  CASE WHEN g_reconsideration THEN {pick('reconsider', 'u_recon_phrase')} ELSE '' END AS s_reconsideration,
-  CASE WHEN g_dead_end THEN concat('I looked at ', worst_uci, ', but it does not work.') ELSE '' END AS s_dead_end,
-  CASE WHEN g_comparison THEN concat('Comparing ', top1, ' with ', top2, ', the first is more convincing.')
-    ELSE '' END AS s_comparison,
-  concat(CASE conclusion_pool WHEN 'firm' THEN {pick_tpl('conclusion_firm', 'u_concl_phrase', 'best_uci')}
-    WHEN 'soft' THEN {pick_tpl('conclusion_soft', 'u_concl_phrase', 'best_uci')}
-    ELSE {pick_tpl('conclusion_default', 'u_concl_phrase', 'best_uci')} END,
-    CASE WHEN pv_gate AND line_text <> '' THEN concat(' Main line: ', line_text, '.') ELSE '' END) AS s_conclusion
-  FROM tgates)"""
-
-PARAS = [f"p{k}" for k in range(1, 9)]
-BLOCKS = [s for s in SECTION_ORDER if s != "exploration"]
-
-
-def _blocks_cols() -> list[str]:
-    cols = []
-    for s in SECTION_ORDER:
-        if s == "exploration":
-            cols.extend(PARAS)
-        else:
-            cols.append(f"s_{s}")
-    return cols
-
-
-ASSEMBLE_SQL = ("tsections AS (SELECT *, concat_ws(concat(chr(10), chr(10)), "
-                + ", ".join(f"nullif({c}, '')" for c in _blocks_cols()) + ") AS assembled FROM tsec)")
-
-
-def _tokens(kept_sections: list[str], n_paras: int | str) -> str:
-    """Token estimate of the join of kept sections plus the first n paragraphs."""
-    ws_terms, len_terms, ne_terms = [], [], []
-    for s in kept_sections:
-        ws_terms.append(f"w_{s}")
-        len_terms.append(f"l_{s}")
-        ne_terms.append(f"n_{s}")
-    for k in range(1, 9):
-        cond = f"{k} <= {n_paras}"
-        ws_terms.append(f"CASE WHEN {cond} THEN w_p{k} ELSE 0 END")
-        len_terms.append(f"CASE WHEN {cond} THEN l_p{k} ELSE 0 END")
-        ne_terms.append(f"CASE WHEN {cond} THEN n_p{k} ELSE 0 END")
-    k = "(" + " + ".join(ne_terms) + ")"
-    sep = f"(CASE WHEN {k} > 0 THEN 2 * ({k} - 1) ELSE 0 END)"
-    w = f"(({' + '.join(ws_terms)}) + {sep})"
-    ln = f"(({' + '.join(len_terms)}) + {sep})"
-    return f"greatest(1, greatest({w} + 1, CAST(floor({ln} / 4) AS BIGINT)))"
-
-
-def budget_sql(budget: int) -> str:
-    stats = ", ".join(f"{ws(f's_{s}')} AS w_{s}, length(s_{s}) AS l_{s}, CASE WHEN s_{s} <> '' THEN 1 ELSE 0 END "
-                      f"AS n_{s}" for s in BLOCKS)
-    stats += ", " + ", ".join(f"{ws(p)} AS w_{p}, length({p}) AS l_{p}, CASE WHEN {p} <> '' THEN 1 ELSE 0 END "
-                              f"AS n_{p}" for p in PARAS)
-    npar = "(" + " + ".join(f"n_{p}" for p in PARAS) + ")"
-    fits_j = [f"CASE WHEN {j} <= {npar} AND {_tokens(BLOCKS, j)} <= {budget} THEN {j} END" for j in range(0, 9)]
-    jstar = "greatest(" + ", ".join(fits_j) + ")"
-    drops = []
-    for d in range(0, len(DROP_ORDER) + 1):
-        kept = [s for s in BLOCKS if s not in DROP_ORDER[:d]]
-        drops.append(f"CASE WHEN {_tokens(kept, 0)} <= {budget} THEN {d} END")
-    dstar = "least(" + ", ".join(drops) + ")"
-    return (f"tstat AS (SELECT *, {stats} FROM tsec), "
-            f"tjd AS (SELECT *, {jstar} AS j_fit, {dstar} AS d_fit, {npar} AS n_par FROM tstat), "
-            "ttrim AS (SELECT pos_id, CASE WHEN j_fit = n_par THEN 'full' WHEN j_fit IS NOT NULL THEN 'popped' "
-            "WHEN d_fit IS NOT NULL THEN 'dropped' ELSE 'conclusion' END AS stage, j_fit, d_fit, "
-            "CASE WHEN j_fit IS NOT NULL THEN concat_ws(concat(chr(10), chr(10)), "
-            + ", ".join(f"nullif({c}, '')" if not c.startswith("p") else
-                        f"CASE WHEN {c[1:]} <= j_fit THEN nullif({c}, '') END" for c in _blocks_cols())
-            + ") WHEN d_fit IS NOT NULL THEN concat_ws(concat(chr(10), chr(10)), "
-            + ", ".join(
-                f"CASE WHEN d_fit < {DROP_ORDER.index(c[2:]) + 1 if c[2:] in DROP_ORDER else 99} "
-                f"THEN nullif({c}, '') END" if c.startswith("s_") else "NULL" for c in _blocks_cols())
-            + ") ELSE s_conclusion END AS trimmed FROM tjd)")
+        p = p * factor(F.col("source"), SOURCE_MULT[name])
+    if name not in UNGATED:
+        p = p * factor(F.col("style"), STYLE_MULT)
+    return F.col(f"u_{name}") < F.least(F.lit(1.0), p)
+
+
+def tokens(text: Column) -> Column:
+    """Estimate: words by white space, or a quarter of the characters if more."""
+    gaps = F.length(text) - F.length(F.translate(text, " \n\t", ""))
+    return F.greatest(F.lit(1), gaps + 1, F.floor(F.length(text) / 4)).cast("bigint")
+
+
+def joined(texts: Column) -> Column:
+    return F.array_join(F.filter(texts, lambda x: F.coalesce(x, F.lit("")) != ""), SEPARATOR)
+
+
+def with_candidates(rows: DataFrame, cands: DataFrame, line: DataFrame) -> DataFrame:
+    """Put the candidates (in their drawn order) and the best line on the row."""
+    c = cands.groupBy("pos_id").agg(F.array_sort(F.collect_list(F.struct("u_ord", *CAND_FIELDS))).alias("cands"))
+    plies = line.where(F.col("n") <= EXPLAIN_MAX_PLIES)
+    text = F.concat("uci", F.when(F.col("forcing"), F.lit(" (forcing)")).otherwise(F.lit("")))
+    p = plies.groupBy("pos_id").agg(F.array_sort(F.collect_list(F.struct("n", text.alias("t")))).alias("plies"))
+    p = p.select("pos_id", F.array_join(F.transform("plies", lambda x: x["t"]), "; ").alias("line_text"))
+    rows = rows.join(c, "pos_id", "left").join(p, "pos_id", "left")
+    return rows.withColumn("cands", F.coalesce("cands", F.array().cast(c.schema["cands"].dataType)))
+
+
+def with_extras(rows: DataFrame) -> DataFrame:
+    """Which candidates get a line, a motif, a trap note: a draw each, and at
+    most so many per trace in candidate order."""
+    def wants(name: str) -> Callable[[Column], Column]:
+        p, best, _, styles = EXTRAS[name]
+        have = {"pv": lambda c: c["pv"] != "", "motif": lambda c: F.lit(True), "trap": lambda c: c["trap_kind"].isNotNull()}[name]
+        return lambda c: have(c) & (c[f"u_cand_{name}"] < F.least(F.lit(1.0), F.lit(p) * factor(F.col("style"), styles)
+                                                                  * F.when(c["uci"] == F.col("best_uci"), best).otherwise(1.0)))
+
+    for name in EXTRAS:
+        rows = rows.withColumn(f"want_{name}", F.transform("cands", wants(name)))
+    def first(wanted: Column, most: int) -> Column:
+        return F.transform(wanted, lambda w, i: w & (F.size(F.filter(F.slice(wanted, F.lit(1), i + 1), lambda x: x)) <= most))
+
+    return rows.withColumns({f"inc_{name}": first(F.col(f"want_{name}"), most) for name, (_, _, most, _) in EXTRAS.items()})
+
+
+def paragraph(c: Column, i: Column) -> Column:
+    behind = F.col("best_wp") - c["win_prob"]
+    quality = (F.when(c["mate_in"] > 0, pick("quality_mate", c["u_quality"]))
+               .when(c["mate_in"].isNotNull(), pick("quality_allows_mate", c["u_quality"]))
+               .when(behind <= 0.02, pick("quality_best", c["u_quality"]))
+               .when(behind <= 0.06, pick("quality_close", c["u_quality"]))
+               .when(behind <= 0.12, pick("quality_inferior", c["u_quality"]))
+               .otherwise(pick("quality_bad", c["u_quality"])))
+    motif = F.coalesce(F.concat(F.lit(" Motif: "), F.replace(F.col("top_motif"), F.lit("_"), F.lit(" ")), F.lit(".")),
+                       F.concat(F.lit(" It is rated "), c["category"], F.lit(".")))
+    trap = F.concat(F.lit(" It "), F.when(c["trap_kind"] == "trap", F.lit("tempts, yet deeper search refutes it"))
+                    .otherwise(F.lit("looks odd, yet deeper search supports it")), F.lit(" ("), c["confidence"], F.lit(")."))
+    at = lambda name: F.element_at(F.col(f"inc_{name}"), i + 1)
+    empty = F.lit("")
+    return F.concat(c["uci"], F.lit(": "), quality, F.lit("."),
+                    F.when(at("pv"), F.concat(F.lit(" Line: "), c["pv"], F.lit("."))).otherwise(empty),
+                    F.when(at("motif"), motif).otherwise(empty), F.when(at("trap"), trap).otherwise(empty))
+
+
+def with_codes(rows: DataFrame) -> DataFrame:
+    """The choices behind the wording."""
+    rows = with_extras(rows)
+    n = F.size("cands")
+    ranked = F.array_sort(F.transform("cands", lambda c, i: F.struct((-c["win_prob"]).alias("w"), i.alias("i"), c["uci"].alias("uci"))))
+    worst = F.array_sort(F.transform("cands", lambda c, i: F.struct(c["win_prob"].alias("w"), i.alias("i"), c["uci"].alias("uci"))))
+    theme = lambda kind: F.exists("themes", lambda t: F.lower(t).rlike("|".join(THEME_MARKERS[kind])))
+    mover = F.when(F.col("side") == "w", F.lit("KQ")).otherwise(F.lit("kq"))
+    may_castle = F.col("castling").contains(F.substring(mover, 1, 1)) | F.col("castling").contains(F.substring(mover, 2, 1))
+    options = F.array_compact(F.array(F.when(may_castle, "castle"), F.when(F.col("passed_own"), "push_passed_pawn"),
+                                      F.when(F.col("open_file"), "rook_to_open_file"),
+                                      F.when(F.col("enemy_king_exposed"), "attack_king"), F.lit("improve_pieces")))
+    line_p = F.lit(PV_PROB) * factor(F.col("style"), PV_STYLE)
+    pressed = F.col("forced_mate") | F.col("only_move")
+    rows = rows.withColumns({
+        "n_cands": n, "paras": F.transform("cands", paragraph),
+        "cand_ucis": F.transform("cands", lambda c: c["uci"]),
+        "worst_uci": F.try_element_at(worst, F.lit(1))["uci"],
+        "top1": F.try_element_at(ranked, F.lit(1))["uci"], "top2": F.try_element_at(ranked, F.lit(2))["uci"],
+        "conclusion_pool": F.when(pressed, "firm").when(F.col("many_options"), "soft").otherwise("default"),
+        "decision_frame": F.when(n >= 3, "three_way").when(n == 2, "two_way").otherwise("quick"),
+        "orientation_code": F.when(F.col("opening_name").isNotNull(), "opening").when(F.col("phase") == "endgame", "endgame")
+        .when(F.col("phase") == "opening", "opening_phase").otherwise("middlegame"),
+        "context_code": F.when(theme("mate") | (F.coalesce(F.col("best_mate"), F.lit(0)) != 0), "mate")
+        .when(theme("endgame") | (F.col("phase") == "endgame"), "endgame").when(theme("loose"), "loose")
+        .when(theme("tactical"), "tactical").otherwise("generic"),
+        "pv_gate": F.col("u_pv_gate") < F.when(pressed, F.greatest(line_p, F.lit(PV_FORCED_MIN))).otherwise(line_p),
+        "plan_option": F.element_at(options, F.floor(F.col("u_plan_pick") * F.size(options)).cast("int") + 1)})
+    failed = F.slice(F.filter("cand_ucis", lambda u: u != F.col("best_uci")), 1, 2)
+    guess = F.try_element_at(F.col("cand_ucis"), F.floor(F.col("u_guess_pick") * F.col("n_cands")).cast("int") + 1)
+    rows = rows.withColumns({
+        "failed_attempts": F.when(F.size(failed) > 0, F.array_join(failed, ",")),
+        "initial_guess": F.when(F.col("u_guess") < INITIAL_GUESS_BEST_PROB, F.col("best_uci")).otherwise(guess)})
+    extra = {"opening_plan": F.col("opening_name").isNotNull(), "endgame_technique": F.col("phase") == "endgame",
+             "dead_end": F.col("n_cands") >= 2, "comparison": F.col("n_cands") >= 2}
+    rows = rows.withColumns({f"g_{k}": gate(k) & extra.get(k, F.lit(True)) for k in SECTION_PROBS})
+    sizes = lambda prefix, code: factor(code, {k[len(prefix):]: float(len(v)) for k, v in POOLS.items() if k.startswith(prefix)})
+    return rows.withColumns({
+        "ctx_phrase_idx": F.floor(F.col("u_ctx_phrase") * sizes("context_", F.col("context_code"))).cast("int"),
+        "concl_phrase_idx": F.floor(F.col("u_concl_phrase") * sizes("conclusion_", F.col("conclusion_pool"))).cast("int")})
+
+
+def with_sections(rows: DataFrame) -> DataFrame:
+    """``s_<name>`` for each section; empty where it is left out."""
+    white = F.col("side") == "w"
+    sentence = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    opener = by_code(F.col("orientation_code"), {
+        "opening": sentence("Opening: ", F.col("opening_short"), "."), "endgame": F.lit("An endgame."),
+        "opening_phase": F.lit("Still the opening.")})
+    origin = by_code(F.col("source"), {s: pick(f"orient_{s}", F.col("u_orient_phrase")) for s in ("game", "puzzle")})
+    mover = F.when(white, F.lit("White")).otherwise(F.lit("Black"))
+    hint = by_code(F.col("context_code"), {k: pick(f"context_{k}", F.col("u_ctx_phrase")) for k in ("mate", "endgame", "loose", "tactical", "generic")})
+    assess = F.coalesce(sentence("Tablebase: ", F.col("tb_result"), "."), by_code(F.col("assessment"), {
+        k: pick(f"assess_{k}", F.col("u_assess_phrase")) for k in ("balanced", "better", "worse")}), pick("assess_slight", F.col("u_assess_phrase")))
+    balance = F.when(F.col("mat_diff") == 0, "even").when(F.col("mat_diff") > 0, "white").otherwise("black")
+    codes = {"material": balance, "structure": F.col("pawn_structure_code"), "king": F.col("king_safety_code"), "development": F.col("development")}
+    notes = F.array(*[F.struct(F.col(f"u_note_{k}").alias("u"), by_code(code, {c: F.lit(t) for c, t in NOTES[k].items()}).alias("t"))
+                      for k, code in codes.items()])
+    notes = F.slice(F.transform(F.array_sort(F.filter(notes, lambda x: x["t"].isNotNull())), lambda x: x["t"]), 1, MAX_STATIC_NOTES)
+    move = lambda pool: F.replace(pick(pool, F.col("u_concl_phrase")), F.lit("{move}"), F.col("best_uci"))
+    ending = by_code(F.col("conclusion_pool"), {k: move(f"conclusion_{k}") for k in ("firm", "soft", "default")})
+    main = F.when(F.col("pv_gate") & (F.coalesce("line_text", F.lit("")) != ""), sentence(" Main line: ", F.col("line_text"), ".")).otherwise(F.lit(""))
+    texts = {
+        "orientation": F.concat_ws(" ", opener, origin, sentence(mover, " to move.")),
+        "opening_plan": sentence("Usual ", F.col("family"), " plans fit."),
+        "fen_walkthrough": sentence(mover, " to move, move ", F.col("fullmove").cast("string"), "."),
+        "context_hint": hint, "assessment": assess,
+        "decision_profile": F.when(F.col("forced_mate"), "Mate can be forced.").when(F.col("only_move"), "There is one good move.")
+        .when(F.col("many_options"), "Many moves are playable.").otherwise("A few moves compete."),
+        "static_eval": sentence("Snapshot: ", F.array_join(notes, " ")),
+        "endgame_technique": sentence("Technique decides this ", F.col("endgame_type"), "."),
+        "threat_scan": F.when(F.col("in_check"), "The king is in check.").when(F.col("hang_own") > 0, "Something hangs.")
+        .otherwise("Nothing is threatened at once."),
+        "plan": sentence("Plan: ", F.replace(F.col("plan_option"), F.lit("_"), F.lit(" ")), "."),
+        "opponent": pick("opponent", F.col("u_opp_phrase")),
+        "candidates": sentence("Candidates: ", F.array_join("cand_ucis", ", "), "."),
+        "avoid_blunder": sentence("Avoid ", F.col("avoid_uci"), ": it costs too much."),
+        "exploration": joined(F.col("paras")),
+        "reconsideration": pick("reconsider", F.col("u_recon_phrase")),
+        "dead_end": sentence("I tried ", F.col("worst_uci"), " without success."),
+        "comparison": sentence(F.col("top1"), " convinces me more than ", F.col("top2"), "."),
+        "conclusion": F.concat(ending, main)}
+    return rows.withColumns({f"s_{k}": F.coalesce(F.when(F.col(f"g_{k}"), v) if k in SECTION_PROBS else v, F.lit("")) for k, v in texts.items()})
+
+
+def assembled(exploration: Column | None = None) -> Column:
+    return joined(F.array(*[exploration if k == "exploration" and exploration is not None else F.col(f"s_{k}") for k in SECTION_ORDER]))
+
+
+def with_budget(rows: DataFrame, budget: int) -> DataFrame:
+    """``stage`` and ``trimmed``: the whole text if it fits; else as many
+    paragraphs as fit; else without paragraphs and the first optional sections
+    in drop order; else the conclusion."""
+    n = F.size("paras")
+    fewer = F.transform(F.sequence(n, F.lit(0), F.lit(-1)), lambda j: F.struct(
+        j.alias("j"), assembled(joined(F.slice("paras", F.lit(1), j))).alias("t")))
+    fits = F.filter(fewer, lambda x: tokens(x["t"]) <= budget)
+    place = {k: i for i, k in enumerate(DROP_ORDER)}
+    left = F.array(*[F.struct(F.lit(place.get(k, len(DROP_ORDER))).alias("o"), F.col(f"s_{k}").alias("t"))
+                     for k in SECTION_ORDER if k != "exploration"])
+    dropped = F.transform(F.sequence(F.lit(0), F.lit(len(DROP_ORDER))), lambda d: joined(
+        F.transform(F.filter(left, lambda x: x["o"] >= d), lambda x: x["t"])))
+    small = F.filter(dropped, lambda t: tokens(t) <= budget)
+    rows = rows.withColumn("_fit", F.try_element_at(fits, F.lit(1))).withColumn("_drop", F.try_element_at(small, F.lit(1)))
+    return rows.withColumns({
+        "stage": F.when(F.col("_fit")["j"] == n, "full").when(F.col("_fit").isNotNull(), "popped")
+        .when(F.col("_drop").isNotNull(), "dropped").otherwise("conclusion"),
+        "trimmed": F.coalesce(F.col("_fit")["t"], F.col("_drop"), F.col("s_conclusion"))}).drop("_fit", "_drop")

@@ -1,17 +1,14 @@
 """Board analytics queries.
 
-``pcs`` (one row per piece of each distinct board) and ``edges`` (attack
-edges) are built with DataFrame operations in Spark and with CTEs in DuckDB;
-the feature rules on top are one portable SQL text run by both engines.
+Spark computes a board's features inside its row (``operators.board_features``).
+The oracle below states the same rules separately, as relational SQL: ``pcs`` (a
+row a piece), ``edges`` (a row an attacked square) and aggregates over them.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from rookery.operators import board as BD
 from rookery.operators import board_features as BF
-from rookery.plans import sqlfrag as S
 from rookery.plans.registry import register
 from rookery.sources.fixtures import fx_positions, with_fx
 
@@ -359,35 +356,6 @@ def duck_sql(select: str) -> str:
     return with_fx(f"WITH {DUCK_BASE},\n{BOARD_SQL}\n{select}", "fx_positions")
 
 
-def spark_features(spark, sf, select: str, pos=None, extra_views: dict | None = None, more_ctes: str = ""):
-    """Builds pcs / edges with DataFrame ops over the boards of ``pos``
-    (default: the fixture positions), registers them under unique view
-    names and runs the shared feature SQL."""
-    import re
-
-    from rookery.session import cut_lineage
-    pos = fx_positions(spark, sf) if pos is None else pos
-    bd = BD.boards(pos)
-    # pieces and edges are referenced by several feature CTEs: materialise
-    # each once (reliable checkpoint) instead of re-deriving them per reference
-    pcs = cut_lineage(BD.pieces(bd))
-    edges = cut_lineage(BD.attack_edges(spark, pcs))
-    tag = uuid.uuid4().hex[:12]
-    views = {"pcs": pcs, "edges": edges, "leaps": BD.leaps(spark), "bds": bd, "fx_positions": pos,
-             **(extra_views or {})}
-    names = {k: f"{k}_{tag}" for k in views}
-    for k, v in views.items():
-        v.createOrReplaceTempView(names[k])
-    sql = f"WITH {BOARD_SQL}" + (f",\n{more_ctes}" if more_ctes else "") + f"\n{select}"
-    for k, v in names.items():
-        sql = re.sub(rf"\b{k}\b", v, sql)
-    df = spark.sql(sql)
-    # the analysed plan already holds the view plans; drop the names
-    for v in names.values():
-        spark.catalog.dropTempView(v)
-    return df
-
-
 def board_query(key: str, cols: str):
     select = f"SELECT p.pos_id, {cols} FROM fx_positions p JOIN feat a ON a.fen = p.fen JOIN efeat2 e ON e.fen = p.fen " \
              "JOIN codes c ON c.fen = p.fen JOIN sfeat x ON x.fen = p.fen"

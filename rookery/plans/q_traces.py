@@ -1,16 +1,13 @@
 """Trace assembly queries.
 
-Inputs per position (``tin``), per pool candidate (``tc``) and per ply of
-the best line (``tpv``) are built per engine from the operators already
-registered; the assembly itself is the shared SQL in
-``rookery.operators.assembly``.
+Spark joins a position's inputs to one row and assembles the trace in place
+(``rookery.operators.assembly``). The oracle states the same rules separately,
+as relational SQL over its own inputs (``trace_sql``). A position that is also a
+puzzle is a puzzle here, with its themes and rating; the others come from games.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-
 from pyspark.sql import functions as F
 
 from rookery.functions.board import fen_key
@@ -20,8 +17,9 @@ from rookery.operators import filters as flt
 from rookery.operators import selection as SEL
 from rookery.operators import traces as TR
 from rookery.plans import sqlfrag as S
+from rookery.plans import trace_sql as TS
 from rookery.plans.registry import register
-from rookery.sources.fixtures import fx_candidates, fx_positions, fx_pv, fx_valid_list, with_fx
+from rookery.sources.fixtures import fx_candidates, fx_positions, fx_puzzle_records, fx_pv, fx_valid_list, with_fx
 
 
 # ---- Spark inputs ---------------------------------------------------------------
@@ -29,42 +27,47 @@ from rookery.sources.fixtures import fx_candidates, fx_positions, fx_pv, fx_vali
 def spark_inputs(spark, sf):
     """Per-position, per-candidate and best-line inputs of the trace job.
 
-    The analysed candidates and the policy feed six branches (profile, style
-    override, avoid, pool, traps, best line); each is computed once and
-    checkpointed to the shared folder instead of being re-derived per branch."""
+    Only the analysed candidates, which feed six branches, are written to the
+    shared folder first."""
+    from rookery.functions.casts import rating_or_default
+    from rookery.functions.text import tokens
+    from rookery.operators import board as BD
+    from rookery.operators import board_features as BF
     from rookery.operators.lookups import opening_index
     from rookery.operators.scoring import analyse_candidates, decision_profile, softmax_policy
     from rookery.plans.q_board import opening_book, q_endgame_table_lookup
-    from rookery.plans.q_boardfx import spark_features
     from rookery.session import cut_lineage
     from rookery.sources.fixtures import START_FEN, fx_valid_moves
 
     a = cut_lineage(analyse_candidates(fx_candidates(spark, sf)))
-    pol = cut_lineage(softmax_policy(fx_valid_moves(spark, sf), a.select("pos_id", "uci", "cp")))
+    pol = softmax_policy(fx_valid_moves(spark, sf), a.select("pos_id", "uci", "cp"))
     best = a.filter("rank = 1").select("pos_id", F.col("uci").alias("best_uci"),
                                        F.col("mate_in").alias("best_mate"), F.col("win_prob").alias("best_wp"))
     pos = fx_positions(spark, sf).select("pos_id", "fen").join(fx_valid_list(spark, sf), "pos_id")
     prof = decision_profile(None, None, analysed_df=a, policy_df=pol) \
         .select("pos_id", "forced_mate", "only_move", "many_options")
-    games = fx_positions(spark, sf).select(F.lit("game").alias("source"), F.col("pos_id").alias("id"),
-                                           F.array().cast("array<string>").alias("themes"),
-                                           F.lit(None).cast("int").alias("rating"))
-    st = SEL.select_style(games, "source", "id", "themes", "rating").select(F.col("id").alias("pos_id"), "style")
+    puz = fx_puzzle_records(spark, sf).select(
+        F.col("puzzle_id").alias("pos_id"), tokens(F.coalesce("themes", F.lit(""))).alias("themes"),
+        rating_or_default("rating").alias("rating"), F.lit("puzzle").alias("source"))
+    origin = fx_positions(spark, sf).select("pos_id").join(puz, "pos_id", "left").select(
+        "pos_id", F.coalesce("source", F.lit("game")).alias("source"),
+        F.coalesce("themes", F.array().cast("array<string>")).alias("themes"), "rating")
+    st = SEL.select_style(origin, "source", "pos_id", "themes", "rating").select("pos_id", "source", "themes", "style")
     style = SEL.override_style(st.join(prof, "pos_id"), "pos_id").select(
-        "pos_id", F.col("final_style").alias("style"))
+        "pos_id", "source", "themes", F.col("final_style").alias("style"))
     tb = q_endgame_table_lookup(spark, sf).select("pos_id", "tb_result")
     idx = opening_index(opening_book(spark, sf), START_FEN).select("key", F.col("name").alias("opening_name"))
     fam = TR.opening_family(spark, idx.select(F.col("opening_name").alias("name")).distinct()) \
         .withColumnRenamed("name", "opening_name")
-    feats = spark_features(spark, sf, (
-        "SELECT p.pos_id, a.phase, a.endgame_type, CASE WHEN a.side = 'w' THEN e.hanging_w ELSE e.hanging_b END "
-        "AS hang_own, e.in_check, CASE WHEN a.side = 'w' THEN a.passed_w IS NOT NULL ELSE a.passed_b IS NOT NULL "
-        "END AS passed_own, a.open_files <> '' AS open_file, CASE WHEN a.side = 'w' THEN a.king_exposed_b ELSE "
-        "a.king_exposed_w END AS enemy_king_exposed FROM fx_positions p JOIN feat a ON a.fen = p.fen "
-        "JOIN efeat2 e ON e.fen = p.fen"))
+    own = lambda k: F.when(F.col("side") == "w", F.col(f"{k}_w")).otherwise(F.col(f"{k}_b"))
+    foe = lambda k: F.when(F.col("side") == "w", F.col(f"{k}_b")).otherwise(F.col(f"{k}_w"))
+    feats = BF.features(BD.boards(fx_positions(spark, sf))).select(
+        "fen", "phase", "endgame_type", own("hanging").alias("hang_own"), "in_check", own("passed").isNotNull().alias("passed_own"),
+        (F.col("open_files") != "").alias("open_file"), foe("king_exposed").alias("enemy_king_exposed"), "mat_diff",
+        "pawn_structure_code", "king_safety_code", "development", "top_motif")
     avoid = SEL.avoid_blunder(a, pol).select("pos_id", "avoid_uci")
     t = (pos.join(best, "pos_id").join(prof, "pos_id").join(style, "pos_id").join(tb, "pos_id", "left")
-         .join(feats, "pos_id").join(avoid, "pos_id", "left"))
+         .join(feats, "fen").join(avoid, "pos_id", "left"))
     t = t.withColumn("key", fen_key("fen")).join(idx, "key", "left").join(fam, "opening_name", "left")
     t = t.withColumn("assessment", SEL.assessment_band(F.lit(None).cast("string"), F.col("best_wp")))
     t = t.select(
@@ -74,6 +77,7 @@ def spark_inputs(spark, sf):
         "style", "forced_mate", "only_move", "many_options", "best_uci", "best_mate", "best_wp", "assessment",
         "tb_result", "opening_name", TR.opening_short_name("opening_name").alias("opening_short"), "family",
         "phase", "endgame_type", "hang_own", "in_check", "passed_own", "open_file", "enemy_king_exposed",
+        "mat_diff", "pawn_structure_code", "king_safety_code", "development", "top_motif", "source", "themes",
         "avoid_uci", F.array_join("valid_moves", ", ").alias("valid_moves_str"),
         flt.resolve_chosen_move("best_uci", F.lit(None).cast("string"), "valid_moves").alias("chosen_move"),
         *[hash_uniform(42, F.col("pos_id"), F.lit(n)).alias(f"u_{n}") for n in A.POS_DRAWS])
@@ -98,24 +102,10 @@ def spark_inputs(spark, sf):
     return t, tc, tpv
 
 
-def run_portable(spark, sf, sql: str):
-    """Inputs are checkpointed (reliable, shared checkpoint folder): the
-    assembly SQL references them several times, and a cut lineage keeps the
-    analyzed plan small and the inputs computed once."""
-    from rookery.session import cut_lineage
-    t, tc, tpv = (cut_lineage(x) for x in spark_inputs(spark, sf))
-    tag = uuid.uuid4().hex[:12]
-    names = {"tin": f"tin_{tag}", "tc": f"tc_{tag}", "tpv": f"tpv_{tag}"}
-    t.createOrReplaceTempView(names["tin"])
-    tc.createOrReplaceTempView(names["tc"])
-    tpv.createOrReplaceTempView(names["tpv"])
-    for k, v in names.items():
-        sql = re.sub(rf"\b{k}\b", v, sql)
-    df = spark.sql(sql)
-    # the analysed plan already holds the view plans; drop the names
-    for v in names.values():
-        spark.catalog.dropTempView(v)
-    return df
+def sections(spark, sf):
+    """One row a position with its candidates, codes and section texts."""
+    t, tc, tpv = spark_inputs(spark, sf)
+    return A.with_sections(A.with_codes(A.with_candidates(t, tc, tpv)))
 
 
 # ---- DuckDB inputs ---------------------------------------------------------------
@@ -136,9 +126,10 @@ def duck_inputs() -> str:
     return f"""{ANALYSED}, {POLICY}, {PROFILE}, {STYLE_SQL},
 sov AS (SELECT pos_id, CASE WHEN u < 0.35::DOUBLE THEN CASE WHEN forced_mate THEN {_pool_sql('forced_mate', 'u2')}
   WHEN only_move THEN {_pool_sql('only_move', 'u2')} WHEN many_options THEN {_pool_sql('many_options', 'u2')}
-  ELSE style END ELSE style END AS style FROM (SELECT s.id AS pos_id, s.style, p.forced_mate, p.only_move,
-  p.many_options, {S.uniform(42, 's.id', "'override'")} AS u, {S.uniform(42, 's.id', "'override_pick'")} AS u2
-  FROM styles s JOIN profile p ON p.pos_id = s.id WHERE s.source = 'game')),
+  ELSE style END ELSE style END AS style, source, themes FROM (SELECT s.id AS pos_id, s.style, s.source, z.themes, p.forced_mate,
+  p.only_move, p.many_options, {S.uniform(42, 's.id', "'override'")} AS u, {S.uniform(42, 's.id', "'override_pick'")} AS u2
+  FROM styles s JOIN profile p ON p.pos_id = s.id LEFT JOIN fx_puzzle_records z ON z.puzzle_id = s.id
+  WHERE s.source = CASE WHEN z.puzzle_id IS NULL THEN 'game' ELSE 'puzzle' END)),
 {TB_SQL},
 {BOOK_SQL},
 fam AS (SELECT n.name, coalesce(min_by(r.family, r.prio), 'other') AS family FROM (SELECT DISTINCT name FROM oidx) n
@@ -150,7 +141,8 @@ fam AS (SELECT n.name, coalesce(min_by(r.family, r.prio), 'other') AS family FRO
 bfe AS (SELECT p.pos_id, a.phase, a.endgame_type, CASE WHEN a.side = 'w' THEN e.hanging_w ELSE e.hanging_b END
   AS hang_own, e.in_check, CASE WHEN a.side = 'w' THEN a.passed_w IS NOT NULL ELSE a.passed_b IS NOT NULL END
   AS passed_own, a.open_files <> '' AS open_file, CASE WHEN a.side = 'w' THEN a.king_exposed_b ELSE a.king_exposed_w
-  END AS enemy_king_exposed FROM fx_positions p JOIN feat a ON a.fen = p.fen JOIN efeat2 e ON e.fen = p.fen),
+  END AS enemy_king_exposed, a.mat_diff, a.development, c.pawn_structure_code, c.king_safety_code, c.top_motif
+  FROM fx_positions p JOIN feat a ON a.fen = p.fen JOIN efeat2 e ON e.fen = p.fen JOIN codes c ON c.fen = p.fen),
 av AS (SELECT pos_id, uci AS avoid_uci FROM (SELECT *, row_number() OVER (PARTITION BY pos_id ORDER BY tempting DESC,
   p DESC, cp_loss DESC, rank) AS r FROM (SELECT *, CASE WHEN bs IS NOT NULL AND shallow_cp IS NOT NULL AND
   shallow_cp >= bs - 30 AND cp <= bs - 120 THEN 3 ELSE 0 END AS tempting FROM (SELECT a.*, coalesce(pl.prob,
@@ -167,6 +159,8 @@ tin AS (SELECT pos.pos_id, pos.fen, split_part(pos.fen, ' ', 2) AS side, CAST(sp
   CASE WHEN tbl.wdl > 0 THEN 'winning' WHEN tbl.wdl < 0 THEN 'losing' WHEN tbl.wdl = 0 THEN 'drawing' END AS tb_result,
   oi.name AS opening_name, trim(split_part(split_part(oi.name, ':', 1), ',', 1)) AS opening_short, fam.family,
   bfe.phase, bfe.endgame_type, bfe.hang_own, bfe.in_check, bfe.passed_own, bfe.open_file, bfe.enemy_king_exposed,
+  bfe.mat_diff, bfe.development, bfe.pawn_structure_code, bfe.king_safety_code, bfe.top_motif, sov.source,
+  CASE WHEN sov.source = 'puzzle' THEN coalesce(sov.themes, '') ELSE '' END AS themes,
   av.avoid_uci, array_to_string(vl.valid_moves, ', ') AS valid_moves_str,
   CASE WHEN bst.best_uci IS NOT NULL AND list_contains(vl.valid_moves, bst.best_uci) THEN bst.best_uci
     ELSE coalesce(vl.valid_moves[1], '') END AS chosen_move, {draws_pos}
@@ -196,61 +190,77 @@ def duck(select: str, *ctes: str) -> str:
     return with_fx(f"WITH {body}\n{select}", *DUCK_FX)
 
 
-def portable(select: str, *ctes: str) -> str:
-    return f"WITH {',\n'.join(ctes)}\n{select}"
+BASE_CTES = (TS.CAND_SQL, TS.POS_SQL)
 
 
-BASE_CTES = (A.CAND_SQL, A.POS_SQL)
+# ---- registrations -----------------------------------------------------------------
 
+GATES = [f"g_{n}" for n in A.SECTION_PROBS]
 
-def trace_query(key: str, select: str, ctes=BASE_CTES, post=None):
+_REG = {
+    "section_gate": GATES,
+    "phrase_pick": ["context_code", "ctx_phrase_idx", "conclusion_pool", "concl_phrase_idx"],
+    "context_hint": ["context_code", "s_context_hint AS hint"],
+    "conclusion_pool": ["conclusion_pool", "s_conclusion AS conclusion"],
+    "decision_frame": ["decision_frame"],
+    "orientation_code": ["orientation_code", "s_orientation AS orientation"],
+    "plan_option": ["plan_option"],
+    "pv_gate": ["pv_gate"],
+    "line_explainer": ["line_text"],
+    "failed_attempts": ["failed_attempts"],
+}
+
+
+def trace_query(key: str, cols: list[str], table: str = "tsec"):
     def fn(spark, sf):
-        df = run_portable(spark, sf, portable(select, *ctes))
-        return post(df) if post else df
+        return sections(spark, sf).selectExpr("pos_id", *cols)
     fn.__name__ = f"q_{key}"
-    return fn
+    register(key, duck(f"SELECT pos_id, {', '.join(cols)} FROM {table}", *BASE_CTES))(fn)
 
 
-# ---- registrations -----------------------------------------------------------------
+for _k, _spec in _REG.items():
+    trace_query(_k, _spec)
+trace_query("initial_guess", ["initial_guess", "initial_guess = best_uci AS confirmed"], "tplan")
 
-GATES = ", ".join(f"g_{n}" for n in ["opening_plan", "fen_walkthrough", "context_hint", "decision_profile",
-                                      "endgame_technique", "threat_scan", "plan", "opponent", "reconsideration",
-                                      "dead_end", "comparison"])
 
-_REG = {
-    "section_gate": f"SELECT pos_id, {GATES} FROM tsec",
-    "phrase_pick": "SELECT pos_id, context_code, ctx_phrase_idx, conclusion_pool, concl_phrase_idx FROM tsec",
-    "context_hint": "SELECT pos_id, context_code, s_context_hint AS hint FROM tsec",
-    "conclusion_pool": "SELECT pos_id, conclusion_pool, s_conclusion AS conclusion FROM tsec",
-    "decision_frame": "SELECT pos_id, decision_frame FROM tsec",
-    "orientation_code": "SELECT pos_id, orientation_code, s_orientation AS orientation FROM tsec",
-    "plan_option": "SELECT pos_id, plan_option FROM tsec",
-    "initial_guess": "SELECT pos_id, initial_guess, initial_guess = best_uci AS confirmed FROM tplan",
-    "pv_gate": "SELECT pos_id, pv_gate FROM tsec",
-    "line_explainer": "SELECT pos_id, line_text FROM tsec",
-    "failed_attempts": "SELECT pos_id, failed_attempts FROM tsec",
-    "candidate_order": "SELECT pos_id, uci, CAST(ord AS INT) AS ord FROM tord",
-    "capped_enrichment": "SELECT pos_id, uci, inc_pv, inc_motif, inc_trap FROM tcap",
-}
+@register("candidate_order", duck("SELECT pos_id, uci, CAST(ord AS INT) AS ord FROM tord", *BASE_CTES))
+def q_candidate_order(spark, sf):
+    t, tc, tpv = spark_inputs(spark, sf)
+    rows = A.with_candidates(t, tc, tpv)
+    return rows.select("pos_id", F.posexplode("cands").alias("i", "c")).select(
+        "pos_id", F.col("c.uci").alias("uci"), (F.col("i") + 1).cast("int").alias("ord"))
+
+
+@register("capped_enrichment", duck("SELECT pos_id, uci, inc_pv, inc_motif, inc_trap FROM tcap", *BASE_CTES))
+def q_capped_enrichment(spark, sf):
+    t, tc, tpv = spark_inputs(spark, sf)
+    rows = A.with_extras(A.with_candidates(t, tc, tpv))
+    names = ["inc_pv", "inc_motif", "inc_trap"]
+    return rows.select("pos_id", F.posexplode("cands").alias("i", "c"), *names).select(
+        "pos_id", F.col("c.uci").alias("uci"), *[F.element_at(n, F.col("i") + 1).alias(n) for n in names])
+
 
-for _k, _sel in _REG.items():
-    register(_k, duck(_sel, *BASE_CTES))(trace_query(_k, _sel))
+@register("assemble_sections", duck("SELECT pos_id, md5(assembled) AS text_md5, CAST(length(assembled) AS INT) AS n_chars "
+                                    "FROM tsections", *BASE_CTES, TS.ASSEMBLE_SQL))
+def q_assemble_sections(spark, sf):
+    text = A.assembled()
+    return sections(spark, sf).select("pos_id", F.md5(text).alias("text_md5"), F.length(text).alias("n_chars"))
 
-ASSEMBLE_SELECT = ("SELECT pos_id, md5(assembled) AS text_md5, CAST(length(assembled) AS INT) AS n_chars "
-                   "FROM tsections")
-register("assemble_sections", duck(ASSEMBLE_SELECT, *BASE_CTES, A.ASSEMBLE_SQL))(
-    trace_query("assemble_sections", ASSEMBLE_SELECT, BASE_CTES + (A.ASSEMBLE_SQL,)))
 
-BUDGET = 80
-BUDGET_SELECT = ("SELECT pos_id, stage, md5(trimmed) AS text_md5, CAST(greatest(1, greatest(" + A.ws("trimmed")
-                 + " + 1, CAST(floor(length(trimmed) / 4) AS BIGINT))) AS BIGINT) AS tokens FROM ttrim")
-register("budget_trim", duck(BUDGET_SELECT, *BASE_CTES, A.budget_sql(BUDGET)))(
-    trace_query("budget_trim", BUDGET_SELECT, BASE_CTES + (A.budget_sql(BUDGET),)))
+BUDGET = 80         # small, so that every stage of the trimming occurs
+TRACE_BUDGET = 140  # of the traces themselves
+
+
+@register("budget_trim", duck(f"SELECT pos_id, stage, md5(trimmed) AS text_md5, CAST({TS.tokens('trimmed')} AS BIGINT) AS tokens "
+                              "FROM ttrim", *BASE_CTES, TS.budget_sql(BUDGET)))
+def q_budget_trim(spark, sf):
+    t = A.with_budget(sections(spark, sf), BUDGET)
+    return t.select("pos_id", "stage", F.md5("trimmed").alias("text_md5"), A.tokens(F.col("trimmed")).alias("tokens"))
 
 
 def _finish_spark(df):
     """Guardrail for drawn endings, dialogue rendering, failure fallback."""
-    text = F.col("assembled")
+    text = F.col("trimmed")
     text = F.when(F.col("tb_result") == "drawing", TR.guardrail(text)).otherwise(text)
     text = F.when(F.col("style") == "dialogue", TR.dialogue(text, F.col("pos_id"))).otherwise(text)
     text = F.when(F.coalesce(text, F.lit("")) == "", F.concat(F.lit("Play "), F.col("chosen_move"), F.lit(".")))\
@@ -262,22 +272,18 @@ def _finish_duck() -> str:
     from rookery.plans.q_text import dialogue_sql, guard_sql
     speaker = ("CASE WHEN " + S.uniform(42, "pos_id", "'speaker'") + " < 0.5::DOUBLE THEN "
                + S.q(TR.SPEAKERS[0][0]) + " ELSE " + S.q(TR.SPEAKERS[1][0]) + " END || ': '")
-    t1 = f"CASE WHEN tb_result = 'drawing' THEN {guard_sql('assembled')} ELSE assembled END"
+    t1 = f"CASE WHEN tb_result = 'drawing' THEN {guard_sql('trimmed')} ELSE trimmed END"
     return ("tfinal AS (SELECT *, CASE WHEN coalesce(t2, '') = '' THEN 'Play ' || chosen_move || '.' ELSE t2 END "
             f"AS reasoning_trace FROM (SELECT *, CASE WHEN style = 'dialogue' THEN {dialogue_sql('t1', speaker)} "
-            f"ELSE t1 END AS t2 FROM (SELECT *, {t1} AS t1 FROM tsections)))")
-
-
-TRACE_COLS_SPARK = "SELECT pos_id, fen, valid_moves_str, chosen_move, style, tb_result, assembled FROM tsections"
+            f"ELSE t1 END AS t2 FROM (SELECT *, {t1} AS t1 FROM ttrim)))")
 
 
 def _trace_rows(spark, sf):
-    df = run_portable(spark, sf, portable(TRACE_COLS_SPARK, *BASE_CTES, A.ASSEMBLE_SQL))
-    return _finish_spark(df)
+    return _finish_spark(A.with_budget(sections(spark, sf), TRACE_BUDGET))
 
 
 @register("trace_rows", duck("SELECT pos_id, fen, valid_moves_str AS valid_moves, reasoning_trace, chosen_move "
-                             "FROM tfinal", *BASE_CTES, A.ASSEMBLE_SQL, _finish_duck()))
+                             "FROM tfinal", *BASE_CTES, TS.budget_sql(TRACE_BUDGET), _finish_duck()))
 def q_trace_rows(spark, sf):
     """End-to-end trace rows: gates -> phrase picks -> sections -> guardrail -> row."""
     t = _trace_rows(spark, sf)
@@ -285,7 +291,7 @@ def q_trace_rows(spark, sf):
 
 
 @register("project_trace_row", duck("SELECT fen, valid_moves_str AS valid_moves, reasoning_trace, chosen_move "
-                                    "FROM tfinal", *BASE_CTES, A.ASSEMBLE_SQL, _finish_duck()))
+                                    "FROM tfinal", *BASE_CTES, TS.budget_sql(TRACE_BUDGET), _finish_duck()))
 def q_project_trace_row(spark, sf):
     """Egress projection: exactly the four output columns."""
     t = _trace_rows(spark, sf)
@@ -325,14 +331,21 @@ def q_shuffled_pick(spark, sf):
 
 @register("temptation_code", duck(
     "SELECT a.pos_id, a.avoid_uci, CASE WHEN t.trap_kind = 'trap' THEN 'shallow_good' "
-    "WHEN a.avoid_uci IS NOT NULL THEN 'feature' END AS temptation FROM tin a LEFT JOIN traps t ON t.pos_id = a.pos_id "
-    "AND t.uci = a.avoid_uci WHERE a.avoid_uci IS NOT NULL"))
+    "WHEN d.b IS NOT NULL AND substr(d.b, (8 - CAST(substr(a.avoid_uci, 4, 1) AS INT)) * 8 + ascii(substr(a.avoid_uci, 3, 1)) - 96, 1) "
+    "SIMILAR TO (CASE WHEN a.side = 'w' THEN '[pnbrq]' ELSE '[PNBRQ]' END) THEN 'capture' "
+    "WHEN length(a.avoid_uci) = 5 THEN 'promotion' ELSE 'feature' END AS temptation FROM tin a LEFT JOIN bds d ON d.fen = a.fen "
+    "LEFT JOIN traps t ON t.pos_id = a.pos_id AND t.uci = a.avoid_uci WHERE a.avoid_uci IS NOT NULL"))
 def q_temptation_code(spark, sf):
-    """Why the avoided move tempts: shallow-good trap, else a generic feature
-    (check / capture / promotion need the solver's move flags)."""
+    """Why the avoided move tempts: a shallow-good trap, else what it takes,
+    else a promotion, else a generic feature (a check needs the solver)."""
+    from rookery.functions.board import board64
     from rookery.plans.q_selection import q_avoid_blunder, traps_frame
     av = q_avoid_blunder(spark, sf).select("pos_id", "avoid_uci")
     tr = traps_frame(spark, sf).select("pos_id", F.col("uci").alias("avoid_uci"), "trap_kind")
-    j = av.join(tr, ["pos_id", "avoid_uci"], "left")
-    code = F.when(F.col("trap_kind") == "trap", "shallow_good").otherwise("feature")
+    pos = fx_positions(spark, sf).select("pos_id", board64("fen").alias("b"), F.split_part("fen", F.lit(" "), F.lit(2)).alias("side"))
+    j = av.join(tr, ["pos_id", "avoid_uci"], "left").join(pos, "pos_id")
+    to = F.expr("substr(b, int((8 - int(substr(avoid_uci, 4, 1))) * 8 + ascii(substr(avoid_uci, 3, 1)) - 96), 1)")
+    takes = F.when(F.col("side") == "w", to.rlike("^[pnbrq]$")).otherwise(to.rlike("^[PNBRQ]$"))
+    code = (F.when(F.col("trap_kind") == "trap", "shallow_good").when(takes, "capture")
+            .when(F.length("avoid_uci") == 5, "promotion").otherwise("feature"))
     return j.select("pos_id", "avoid_uci", code.alias("temptation"))
