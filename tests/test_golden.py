@@ -115,9 +115,9 @@ def test_fraction_split_exact_and_disjoint(spark):
     assert s.count() == 1001 and s.select("k").distinct().count() == 1001
 
 
-def test_holdout_split_sizes(spark):
+def test_buffered_holdout_split_sizes(spark):
     df = spark.range(8000).select(F.col("id").alias("k"))
-    s = smp.holdout_split(df, "k", holdout=500, extra=5000)
+    s = smp.buffered_holdout_split(df, "k", holdout=500, extra=5000)
     c = {(r.split, r.segment): r["count"] for r in s.groupBy("split", "segment").count().collect()}
     assert c == {("eval", 0): 500, ("train", 0): 5000, ("train", 1): 2500}
 
@@ -132,3 +132,27 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
     assert E.entry(spark).count() > 0
     assert SF_SMALL.endswith("sf0.001")
+
+
+def test_holdout_split_takes_all_rows(spark):
+    """The held-out rows are the smallest draws of the whole table."""
+    df = spark.range(8000).select(F.col("id").alias("k"))
+    s = smp.holdout_split(df, "k", holdout=500)
+    held = [r.k for r in s.where("split = 'eval'").collect()]
+    assert s.count() == 8000 and len(held) == 500 and max(held) > 7000
+    u = smp.hash_uniform_col(42, "k")
+    assert set(held) == {r.k for r in df.orderBy(u, "k").limit(500).collect()}
+
+
+def test_sample_n_takes_all_rows(spark):
+    df = spark.range(9000).select(F.col("id").alias("k"))
+    got = smp.sample_n(df, "k", 100).collect()
+    assert sorted(r.pick for r in got) == list(range(1, 101)) and max(r.k for r in got) > 8000
+
+
+def test_ratio_interleave_draws_from_the_whole_source(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") % 2 == 0, "game").otherwise("puzzle").alias("source"),
+                                    F.col("id"), F.lit(0).alias("idx"))
+    rows = rows.withColumn("u", smp.hash_uniform_col(1, "id"))
+    got = smp.ratio_interleave(spark, rows, 500).collect()
+    assert len(got) == 500 and max(r["id"] for r in got) > 5500 and len({(r.source, r["id"]) for r in got}) == 500

@@ -40,3 +40,30 @@ def test_quota_ranks_inside_draw_buckets(spark):
     source holding most rows is still spread over many tasks."""
     plan = _plan(spark, "source_quota")
     assert re.search(r"Window \[.*\], \[source#\d+, _b#\d+\]", plan), plan[:2000]
+
+
+def test_rewards_join_without_the_text(spark):
+    """Format and tag rewards come from the completion before the joins."""
+    plan = _plan(spark, "reward_total")
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "completion#" not in line and "text#" not in line, line
+    assert not re.search(r"SortMergeJoin[^\n]*\n[^\n]*Project \[[^\]]*RLIKE", plan)
+
+
+def test_moves_join_by_position_only(spark):
+    plan = _plan(spark, "edge_delta_motifs")
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_board_features_do_not_explode(spark):
+    """A board's features are made in its row: one exchange for the distinct
+    boards and those of the join back."""
+    for key in ("material_balance", "hanging_pieces", "motif_rank"):
+        plan = _plan(spark, key)
+        assert "Generate" not in plan and plan.count("Exchange hashpartitioning") <= 3, key
+
+
+def test_diversity_scans_documents_once(spark):
+    assert _plan(spark, "group_diversity").count("documents.parquet") == 1
+    assert _plan(spark, "class_mix_sample").count("documents.parquet") == 1
