@@ -2,9 +2,11 @@
 
 A document is the set of its distinct word shingles (64-bit hashes); equal sets
 are one class. Two sets with ``Jaccard >= t`` share a shingle among the first
-``n - ceil(t * n) + 1`` of each in any common order, and the order used puts
-frequent shingles last (a count-min sketch of the corpus, of bounded size, tells
-them). Sets that share such a shingle are in one cluster; most sets are alone.
+``n - ceil(t * n) + 1`` of each in any common order. The order used: shingles
+of a fixed part of the hash space (a little more than a prefix needs), the rarer
+the earlier, then the others. Only the former are counted across the corpus, and
+a set whose prefix no other set holds is alone at once. Sets that share a
+shingle of their prefixes are in one cluster.
 
 Within a cluster a signature tree is built: a leaf holds a few sets of near size,
 every node the OR of their token bitmaps, the range of their sizes, and by how
@@ -14,10 +16,11 @@ differ in too many bits are pruned, then sets are compared exactly. Pairs that
 are linked already, directly or through others, need no comparison, so a group
 of near copies costs about as many comparisons as members and no pair list.
 
-A cluster of more than ``BLOCK`` sets is dealt into blocks by hash. Some of its
-sets, taken by hash, join every block; sets that stay apart from the cluster's
-largest part meet all blocks in a second pass. So no task holds more than a
-block, and no link is lost.
+A cluster of more than ``BLOCK`` sets falls into cells of neighbouring sizes, and
+a cell of more than that into blocks by hash. Some of its sets, taken by hash,
+join every block; sets that stay apart from the cell's largest part meet all
+blocks in a second pass. So no task holds more than a block and those, and no
+link is lost.
 
 Defined results: null or blank text has no shingles and links with nothing;
 fewer words than a shingle make one shingle of all words; copies, also in
@@ -28,7 +31,7 @@ text columns are read.
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +47,11 @@ from rookery.llm.components import components
 from rookery.session import cut_lineage
 
 U = np.uint64
-BLOCK = 2048      # sets that a task compares
+BLOCK = 512       # sets that a task compares
 PIVOTS = 32       # sets of a large cluster that join all its blocks, about
 LEAF = 16
 FANOUT = 4
 BITS = 2048
-CLASS_SHIFT = U(58)
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -66,6 +68,11 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
                 yield np.empty(0, dtype=np.uint64)
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).view(np.int64)))
+
+
 def set_id(s: np.ndarray) -> int:
     """64-bit name of a set (signed)."""
     x = xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s))
@@ -77,61 +84,6 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-# ---- frequency classes -------------------------------------------------------
-
-SKETCH_BLOCK = 1 << 16
-
-
-def frequency_classes(docs: DataFrame, n: int, width: int) -> np.ndarray:
-    """Class of each of ``width`` hash slots: 0 for all but slots far above the
-    mean count, then the logarithm. Tasks hand over compressed blocks of
-    counters; they are added up in streams, one block in a few hundred KB."""
-    shift = U(64 - (width.bit_length() - 1))
-    blocks = max(1, width // SKETCH_BLOCK)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width, dtype=np.uint32)
-        for b in batches:
-            if b.num_rows:
-                for t in W.texts(b.column(0)):
-                    g = W.grams(t.hashes(lower=True), n)
-                    slot, c = np.unique((g >> shift).astype(np.int64), return_counts=True)
-                    total[slot] += c.astype(np.uint32)
-        if total.any():
-            parts = total.reshape(blocks, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(blocks, dtype=np.int32)),
-                                              pa.array([zlib.compress(p.tobytes(), 1) for p in parts], type=pa.binary())],
-                                             names=["block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, data in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(zlib.decompress(data.as_buffer()), dtype=np.uint32)
-                held[k] = held[k] + part if k in held else part.astype(np.uint64)
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), type=pa.int32()),
-                                              pa.array([v.astype("<u8").tobytes() for v in held.values()], type=pa.binary())],
-                                             names=["block", "counts"])
-
-    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, data in zip(b.column(0).to_pylist(), b.column(1)):
-                c = np.frombuffer(data.as_buffer(), dtype="<u8").astype(np.float64)
-                usual = 4.0 * c.mean() + 4.0
-                cls = np.clip(np.floor(np.log2(np.maximum(c / usual, 1.0))), 0, 62).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([pa.array([k], type=pa.int32()), pa.array([cls.tobytes()], type=pa.binary())],
-                                                 names=["block", "classes"])
-
-    merged = (docs.select("text").mapInArrow(count, "block int, counts binary").repartition(min(blocks, 64), "block")
-              .mapInArrow(add, "block int, counts binary").mapInArrow(classes, "block int, classes binary")).toArrow()
-    out = np.zeros(width, dtype=np.uint8)
-    for k, data in zip(merged.column("block").to_pylist(), merged.column("classes").to_pylist()):
-        part = np.frombuffer(data, dtype=np.uint8)
-        out[k * len(part):(k + 1) * len(part)] = part
-    return out
-
-
 # ---- the comparison of a block -----------------------------------------------
 
 class Links:
@@ -252,44 +204,62 @@ def _edges(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
 
 def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each row. ``component_id``: the
-    smallest id that links of ``Jaccard >= percent / 100`` reach."""
+    """``doc_id, n_shingles, component_id, text_hash`` for each row.
+    ``component_id``: the smallest id that links of ``Jaccard >= percent / 100``
+    reach; ``text_hash``: ``xxhash64`` of the text, which with the id tells the row."""
     spark = df.sparkSession
     ship(spark)
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = sketch.slots_for(size // 200, each=1, most=1 << 24)  # a slot for about thirty shingles
-    classes = spark.sparkContext.broadcast(frequency_classes(docs, n, width))
-    shift = U(64 - (width.bit_length() - 1))
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    sampled = U(max(1, int(100 / (1.25 * (100 - percent)))) if percent < 100 else 64)
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls = classes.value
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sizes, names, keys = [], [], []
+            sizes, names, some, rest = [], [], [], []
             for s in shingle_sets(b.column(1), n):
-                first = len(s) - needed(len(s), percent) + 1
-                k = (s >> U(6)) | (cls[(s >> shift).astype(np.int64)].astype(np.uint64) << CLASS_SHIFT)
-                keys.append(np.sort(k)[:first] if len(s) else k)
+                first = s % sampled == U(0)
+                prefix = len(s) - needed(len(s), percent) + 1
+                some.append(s[first])
+                rest.append(s[~first][:max(0, prefix - len(some[-1]))])
                 sizes.append(len(s))
                 names.append(set_id(s))
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = pa.array(np.concatenate(keys).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
-                                              pa.ListArray.from_arrays(pa.array(offsets), flat)],
-                                             names=["doc_id", "n", "g", "keys"])
-
-    rows = cut_lineage(docs.mapInArrow(prefixes, "doc_id long, n long, g long, keys array<long>"))
-    keyed = rows.where("n > 0").select(F.explode("keys").alias("key"), "g")
-    shared = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last"))
-                         .where("hub < last").select("key", "hub"))
-    clusters = components(keyed.join(shared, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
+                                              _lists(some), _lists(rest)], names=["doc_id", "text_hash", "n", "g", "some", "rest"])
+
+    rows = cut_lineage(docs.mapInArrow(signatures, "doc_id long, text_hash long, n long, g long, some array<long>, rest array<long>"))
+    # in the common order sampled shingles come first, the rarer the earlier
+    some = rows.where("n > 0").select(F.explode("some").alias("key"), "g")
+    repeated = cut_lineage(some.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count(F.lit(1)).alias("df"))
+                           .where("low < high").select("key", "df"))
+    shared = (some.join(repeated, "key").groupBy("g").agg(F.array_sort(F.collect_set(F.struct("df", "key"))).alias("shared")))
+    prefix = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    first = (rows.where("n > 0").groupBy("g").agg(F.first("n").alias("n"), F.first(F.size("some")).alias("some"), F.first("rest").alias("rest"))
+             .join(shared, "g", "left").withColumn("shared", F.coalesce("shared", F.array().cast("array<struct<df:bigint,key:bigint>>")))
+             .withColumn("room", F.greatest(F.lit(0), (prefix - F.col("some") + F.size("shared"))).cast("int"))
+             .select("g", "n", F.concat(F.slice("shared.key", F.lit(1), F.col("room")), "rest").alias("keys")))
+    # linked sets are of the same size class or the next, so they meet under one of two keys
+    width = max(math.log(100 / percent), 1e-6) * (1 + 1e-6)
+    size_class = F.floor(F.log(F.col("n").cast("double")) / width)
+    keyed = cut_lineage(first.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "g", size_class.alias("c"))
+                        .select("g", F.explode(F.array(F.xxhash64("key", "c"), F.xxhash64("key", F.col("c") + 1))).alias("key")))
+    hubs = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last")).where("hub < last").select("key", "hub"))
+    clusters = components(keyed.join(hubs, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
 
     # the sets of the clustered classes, one document for each class
     clusters = clusters.withColumnRenamed("id", "g").withColumnRenamed("component", "cluster")
-    member = cut_lineage(rows.join(clusters, "g").groupBy("g", "cluster").agg(F.min("doc_id").alias("doc_id")))
-    held = sketch.bits(member.select(_slot(F.col("g"), width).alias("slot")), F.col("slot"), width)
+    member = cut_lineage(rows.join(clusters, "g").groupBy("g", "cluster").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
+    # a large cluster falls into cells of neighbouring size classes
+    sizes = cut_lineage(member.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets")))
+    cells = cut_lineage(member.join(sizes, "cluster").select("g", "doc_id", F.when(
+        F.col("sets") > BLOCK, F.array(F.xxhash64("cluster", size_class), F.xxhash64("cluster", size_class + 1)))
+        .otherwise(F.array("cluster")).alias("cells")))
+    counts = cut_lineage(cells.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
+                         .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
+    # a bit for each class, so that other texts go no further than their task
+    slots = sketch.slots_for(member.count(), each=16)
+    held = sketch.bits(member.select(_slot(F.col("g"), slots).alias("slot")), F.col("slot"), slots)
     wanted = spark.sparkContext.broadcast(held)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,20 +267,19 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
             if not b.num_rows:
                 continue
             found = [(i, set_id(s), s) for i, s in enumerate(shingle_sets(b.column(1), n)) if len(s)]
-            keep = [x for x in found if sketch.has(wanted.value, np.array([x[1] & (width - 1)]))[0]]
+            keep = [x for x in found if sketch.has(wanted.value, np.array([x[1] & (slots - 1)]))[0]]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _, _ in keep], pa.int64())),
                                               pa.array([g for _, g, _ in keep], pa.int64()),
                                               pa.array([s.astype("<u8").tobytes() for _, _, s in keep], pa.binary())],
                                              names=["doc_id", "g", "shingles"])
 
-    counts = cut_lineage(member.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
-                         .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
-    placed = (member.join(counts, "cluster")
+    named_cells = cells.select(F.col("g").alias("own_g"), F.col("doc_id").alias("own_id"), "cells")
+    held_sets = cut_lineage(docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, g long, shingles binary")
+                            .join(named_cells, (F.col("g") == F.col("own_g")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+                            .select("g", "shingles", "cells").dropDuplicates(["g"]))
+    placed = (held_sets.select("g", "shingles", F.explode("cells").alias("cell")).join(counts, "cell")
               .withColumn("own", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
-              .withColumn("pivot", (F.col("blocks") > 1) &
-                          (F.pmod(F.xxhash64(F.lit("pivot"), "g"), F.col("members")) < PIVOTS)))
-    placed = cut_lineage(docs.mapInArrow(sets, "doc_id long, g long, shingles binary")
-                         .join(placed, ["doc_id", "g"]).dropDuplicates(["g"]))
+              .withColumn("pivot", (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "g"), F.col("members")) < PIVOTS)))
     in_blocks = placed.withColumn("block", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1))
                                                      .otherwise(F.array("own"))))
 
@@ -318,22 +287,22 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
         ids, s = _unpack(t)
         return _edges(ids, link_block(s, percent, Links(len(s))))
 
-    links = cut_lineage(in_blocks.select("cluster", "block", "g", "shingles").groupBy("cluster", "block")
+    links = cut_lineage(in_blocks.select("cell", "block", "g", "shingles").groupBy("cell", "block")
                         .applyInArrow(within, "u long, v long"))
     parts = components(links)
 
-    # clusters of several blocks: what is apart from the largest part meets every block
+    # cells of several blocks: what is apart from the largest part meets every block
     large = placed.where("blocks > 1")
     if not large.isEmpty():
         labelled = cut_lineage(large.join(parts.withColumnRenamed("id", "g"), "g", "left")
                                .withColumn("part", F.coalesce("component", "g")).drop("component"))
-        largest = cut_lineage(labelled.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("size"))
-                              .groupBy("cluster").agg(F.max_by("part", F.struct("size", "part")).alias("largest")))
-        labelled = labelled.join(largest, "cluster").withColumn("minor", F.col("part") != F.col("largest"))
+        largest = cut_lineage(labelled.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("size"))
+                              .groupBy("cell").agg(F.max_by("part", F.struct("size", "part")).alias("largest")))
+        labelled = labelled.join(largest, "cell").withColumn("minor", F.col("part") != F.col("largest"))
         everywhere = (labelled.where("minor").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                      .select("cluster", "block", "g", "shingles", "part", "minor"))
+                      .select("cell", "block", "g", "shingles", "part", "minor"))
         at_home = (labelled.where("not minor").withColumn("block", F.col("own"))
-                   .select("cluster", "block", "g", "shingles", "part", "minor"))
+                   .select("cell", "block", "g", "shingles", "part", "minor"))
 
         def across(t: pa.Table) -> pa.Table:
             ids, s = _unpack(t)
@@ -344,17 +313,17 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
             minor = np.array([first[g][1] for g in ids.tolist()], dtype=bool)
             return _edges(ids, link_block(s, percent, linked, minor))
 
-        more = cut_lineage(at_home.unionByName(everywhere).groupBy("cluster", "block").applyInArrow(across, "u long, v long"))
+        more = cut_lineage(at_home.unionByName(everywhere).groupBy("cell", "block").applyInArrow(across, "u long, v long"))
         if not more.isEmpty():
             parts = components(links.unionByName(more))
 
-    named = cut_lineage(rows.select("doc_id", "n", "g").join(parts.withColumnRenamed("id", "g"), "g", "left")
-                        .select("doc_id", "n", F.coalesce("component", "g").alias("part")))
+    named = cut_lineage(rows.select("doc_id", "text_hash", "n", "g").join(parts.withColumnRenamed("id", "g"), "g", "left")
+                        .select("doc_id", "text_hash", "n", F.coalesce("component", "g").alias("part")))
     leads = cut_lineage(named.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("copies"))
                         .where("copies > 1").select("part", "lead"))
     return (named.join(leads, "part", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.coalesce("lead", "doc_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.coalesce("lead", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"))
 
 
 def _slot(g, width: int):

@@ -55,7 +55,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    found = ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 PII_KEY = "rookery-surrogates-1"  # a deployment passes its own secret
