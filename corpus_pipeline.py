@@ -25,10 +25,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates
     (five-word shingles, Jaccard 0.8 or more). Of rows that repeat a document
-    one stays; those without words are in no group."""
+    one stays; those without words are in no group, and rows without an id stay
+    if their group has no id at all."""
     found = ngram_join.jaccard_components(docs, n=5, percent=80)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return (docs.join(others, "doc_id", "left_anti").withColumn("__text", F.xxhash64("text"))
+    others = found.where("NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    rows = docs.withColumn("__text", F.xxhash64("text"))
+    return (rows.join(others, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_anti")
             .dropDuplicates(["doc_id", "__text"]).select(*docs.columns))
 
 
