@@ -7,8 +7,9 @@ SQL text (``FX_SQL``), built from the same constants.
 Key identities shared by all views:
   * a position is an order: ``pos_id = game_id = o_orderkey = l_orderkey``;
   * candidates of a position are its lineitems (up to ~13, uci unique);
-  * every game replays one of 16 coordinate lines (``line_id = key % 16``)
-    and sits on one of 20 boards (``fen_id = key % 20``).
+  * every game replays one of 16 coordinate lines (``line_id = key % 16``);
+  * a position stands on one of 20 boards (``fen_id = key % 20``) or, every
+    second one, on a board made from it by keyed draws.
 """
 
 from __future__ import annotations
@@ -256,11 +257,33 @@ def fx_valid_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(*[F.lit(m) for m in UNSCORED_MOVES])).alias("valid_moves"))
 
 
+BOARD_EDITS = 6
+
+
 @plan_memo
 def fx_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One position per game: its board comes from ``fen_id``."""
+    """One position per game. Even ones stand on the board of ``fen_id``; odd
+    ones start from it and have up to six men put on other squares by keyed
+    draws (kings stay, pawns keep off the end ranks), so different boards grow
+    with the data."""
+    from rookery.functions.board import SPARK, compress_board, expand_placement
+    from rookery.functions.draws import hash_uniform
     g = fx_games(spark, sf_dir).select(F.col("game_id").alias("pos_id"), "fen_id")
-    return g.join(fx_fens(spark), "fen_id").select("pos_id", "fen_id", "fen")
+    p = g.join(fx_fens(spark), "fen_id")
+    p = p.withColumn("draws", F.array(*[hash_uniform(42, F.col("pos_id"), F.lit(f"board{j}")) for j in range(BOARD_EDITS)]))
+    p = p.withColumn("b", F.expr(_edited_sql(SPARK, expand_placement(SPARK, "split_part(fen, ' ', 1)"))))
+    field = lambda i: F.split_part("fen", F.lit(" "), F.lit(i))
+    moved = F.concat_ws(" ", F.expr(compress_board(SPARK, "b")), field(2), F.lit("-"), F.lit("-"), F.lit("0"), field(6))
+    return p.select("pos_id", "fen_id", F.when(F.col("pos_id") % 2 == 0, F.col("fen")).otherwise(moved).alias("fen"))
+
+
+def _edited_sql(d, board: str) -> str:
+    """Fold the draws over a board: each puts one man on another, empty square."""
+    man, square = "substr(b, e.f, 1)", "substr(b, e.t, 1)"
+    moves = d.transform("draws", "u", d.struct(f="CAST(floor(u * 64) AS INT) + 1", t="CAST(floor(u * 4096) AS INT) % 64 + 1"))
+    edited = d.set_char(d.set_char("b", "e.f", "'.'"), "e.t", man)
+    return d.fold(moves, board, "b", "e", f"CASE WHEN {man} NOT IN ('.', 'k', 'K') AND {square} = '.' AND "
+                                          f"(lower({man}) <> 'p' OR (e.t >= 9 AND e.t <= 56)) THEN {edited} ELSE b END")
 
 
 @plan_memo
@@ -384,8 +407,19 @@ FX_SQL["fx_valid_list"] = (
     "SELECT pos_id, list(uci ORDER BY slot) || [" + ", ".join(f"'{m}'" for m in UNSCORED_MOVES)
     + "] AS valid_moves FROM fx_candidates GROUP BY pos_id")
 FX_DEPS["fx_valid_list"] = ["fx_candidates"]
-FX_SQL["fx_positions"] = """
-SELECT g.game_id AS pos_id, g.fen_id, f.fen FROM fx_games g JOIN fx_fens f ON f.fen_id = g.fen_id"""
+
+
+def _positions_sql() -> str:
+    from rookery.functions.board import DUCK, compress_board, expand_placement
+    from rookery.functions.draws import sql_uniform
+    draws = ", ".join(sql_uniform(42, "g.game_id", f"'board{j}'") for j in range(BOARD_EDITS))
+    base = ("SELECT g.game_id AS pos_id, g.fen_id, f.fen, " + expand_placement(DUCK, "split_part(f.fen, ' ', 1)") + f" AS b0, [{draws}] AS draws "
+            "FROM fx_games g JOIN fx_fens f ON f.fen_id = g.fen_id")
+    return (f"SELECT pos_id, fen_id, CASE WHEN pos_id % 2 = 0 THEN fen ELSE {compress_board(DUCK, 'b')} || ' ' || split_part(fen, ' ', 2) "
+            f"|| ' - - 0 ' || split_part(fen, ' ', 6) END AS fen FROM (SELECT *, {_edited_sql(DUCK, 'b0')} AS b FROM ({base}))")
+
+
+FX_SQL["fx_positions"] = _positions_sql()
 FX_DEPS["fx_positions"] = ["fx_games", "fx_fens"]
 FX_SQL["fx_rollouts"] = """
 SELECT p.prompt_id, p.sample_id, coalesce(c.uci, 'a1a1') AS uci,
