@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SLICE = 8 << 20  # bytes of a batch that a task works on at a time
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -61,8 +62,10 @@ def map_texts(df: DataFrame, text_col: str, fields: T.StructType, fn: Callable[[
     wanted = df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text_col}`").cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
+        for whole in batches:
+            step = max(1, int(whole.num_rows * SLICE / max(1, whole.nbytes)))
+            for at in range(0, whole.num_rows, step):
+                b = whole.slice(at, step)
                 own = [b.column(i) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays(own + fn(b.column(len(names))), names=names + fields.names)
 

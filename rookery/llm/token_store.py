@@ -7,8 +7,9 @@ columns, row groups and pages that it asks for. The offset of each document in
 the whole token stream comes from the shard totals and the lengths before it in
 its shard, read back from the files.
 
-Words are encoded by the tokenizers library, each different word of a batch
-once: its normaliser and its splitting never join what white space parts.
+Words are encoded by the tokenizers library, each different one about once a
+worker: its normaliser and its splitting never join what white space parts, nor
+a letter and the punctuation behind it. A worker knows a word by a 64-bit hash.
 
 Defined results: null counts as the empty text and holds the end id alone;
 null document ids come first; rows that repeat a document id are kept, in the
@@ -17,6 +18,8 @@ order of their ids' checksum; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+import os
 import uuid
 import zlib
 
@@ -28,34 +31,80 @@ from pyspark.sql import types as T
 
 from rookery.llm import words as W
 from rookery.llm.cluster import map_texts, ship
-from rookery.session import ensure_checkpoint_dir
+from rookery.session import scratch_root
 
-REMEMBERED = 400_000  # words a worker keeps
+REMEMBERED = 1 << 19  # words a worker keeps; the first ones, so the frequent ones
+POOLED = 1 << 22      # ids of those words
+ENDING = np.zeros(256, dtype=bool)
+ENDING[list(b".,;:!?")] = True
+PLAIN = np.zeros(256, dtype=bool)  # bytes that are a letter or digit by themselves
+PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
-class Words(dict):
-    """Ids of a word as little-endian 32-bit integers, by its bytes."""
+class Words:
+    """Ids of words by the words' 64-bit hashes: an open table in numpy."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of the words, all of them remembered while there is room."""
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(words)
-        found = self if len(new) <= REMEMBERED else {}
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, encoded):
-                found[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return found
+        self.slots = np.full(4 * REMEMBERED, -1, dtype=np.int32)
+        self.shift = W.U(64 - (len(self.slots).bit_length() - 1))
+        # of fixed size: arrays that grow by copies leave holes in the heap
+        self.n, self.used = 0, 0
+        self.keys = np.empty(REMEMBERED, dtype=np.uint64)
+        self.begin, self.size = np.empty(REMEMBERED, dtype=np.int32), np.empty(REMEMBERED, dtype=np.int32)
+        self.pool = np.empty(POOLED, dtype=np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1."""
+        out = np.full(len(h), -1, dtype=np.int64)
+        left, slot = np.arange(len(h)), (h >> self.shift).astype(np.int64)
+        while len(left):
+            entry = self.slots[slot]
+            used = entry >= 0
+            left, slot, entry = left[used], slot[used], entry[used]
+            same = self.keys[entry] == h[left]
+            out[left[same]] = entry[same]
+            left, slot = left[~same], (slot[~same] + 1) % len(self.slots)
+        return out
+
+    def keep(self, h: np.ndarray, begin: np.ndarray, size: np.ndarray, pool: np.ndarray) -> None:
+        """Remember new words while there is room."""
+        n = min(len(h), REMEMBERED - self.n)
+        if n <= 0 or self.used + len(pool) > POOLED:
+            return
+        base, to = self.n, self.n + n
+        self.keys[base:to], self.begin[base:to], self.size[base:to] = h[:n], begin[:n] + self.used, size[:n]
+        self.pool[self.used:self.used + len(pool)] = pool
+        self.n, self.used = to, self.used + len(pool)
+        left, slot = np.arange(n), (h[:n] >> self.shift).astype(np.int64)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = base + left[free]
+            lost = self.slots[slot] != base + left
+            left, slot = left[lost], (slot[lost] + 1) % len(self.slots)
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words, end to end, and how many each has."""
+        ids, size = [], []
+        for at in range(0, len(words), 2048):
+            part = [w.decode("utf-8", "replace") for w in words[at:at + 2048]]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            size.append(np.array([len(x) for x in got], dtype=np.int64))
+            ids.append(np.fromiter(itertools.chain.from_iterable(got), dtype=np.int32))
+        return np.concatenate(ids), np.concatenate(size)
+
+
+def _pieces(t: W.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words with a closing punctuation mark behind a letter or digit split off;
+    starts, ends and the texts' first ones."""
+    last = t.ends - 1
+    cut = (t.ends - t.starts > 1) & ENDING[t.buf[last]] & PLAIN[t.buf[np.maximum(last - 1, 0)]]
+    at = np.flatnonzero(cut)
+    starts, ends = np.insert(t.starts, at + 1, last[at]), np.insert(np.where(cut, last, t.ends), at + 1, t.ends[at])
+    return starts, ends, t.first + np.concatenate([[0], np.cumsum(cut)])[t.first]
 
 
 _LOADED: dict[str, Words] = {}
@@ -63,19 +112,38 @@ _LOADED: dict[str, Words] = {}
 
 def _encode(column: pa.Array, path: str, end_id: int) -> list[pa.Array]:
     if path not in _LOADED:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _LOADED[path] = Words(path)
-    known, end, ids = _LOADED[path], np.array([end_id], dtype="<u4").tobytes(), []
+    known, flat, lengths = _LOADED[path], [], []
     for t in W.texts(column):
-        split = [t.bytes(i).split() for i in range(len(t))]
-        get = known.learn(set().union(*split)).__getitem__
-        ids += [b"".join(map(get, x)) + end for x in split]
-    lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-    flat = np.frombuffer(b"".join(ids), dtype="<i4")
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(lengths)]
+        starts, ends, first = _pieces(t)
+        # A-Z as a-z, as the normaliser does last; not where marks could combine before
+        marks = bool(((t.buf == 0xCC) | (t.buf == 0xCD)).any())
+        h = W.hash_spans(t.buf, starts, ends, lower=not marks)
+        entry = known.find(h)
+        old = entry >= 0
+        begin, size = np.where(old, known.begin[entry], 0), np.where(old, known.size[entry], 0)
+        fresh = np.array([end_id], dtype=np.int32)  # ids not in the table; the end id is the first
+        if not old.all():
+            new, where, which = np.unique(h[~old], return_index=True, return_inverse=True)
+            at = np.flatnonzero(~old)
+            ids, n = known.encode([t.buf[starts[i]:ends[i]].tobytes() for i in at[where].tolist()])
+            to = np.cumsum(n) - n
+            begin[at], size[at] = to[which] + 1, n[which]
+            fresh = np.concatenate([fresh, ids])
+            known.keep(new, to, n, ids)
+        # the end id follows each text's words
+        begin, size, old = np.insert(begin, first[1:], 0), np.insert(size, first[1:], 1), np.insert(old, first[1:], False)
+        until = np.cumsum(size, dtype=np.int64)
+        at = np.repeat(begin - (until - size), size) + np.arange(until[-1])
+        seen = np.repeat(old, size)
+        out = np.empty(len(at), dtype=np.int32)
+        out[seen], out[~seen] = known.pool[at[seen]], fresh[at[~seen]]
+        flat.append(out)
+        lengths.append(np.diff(np.concatenate([[0], until])[first + np.arange(len(first))]))
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+    return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(flat))),
+            pa.array(np.diff(offsets))]
 
 
 def write_tokens(df: DataFrame, tokenizer: str, path: str, end_id: int, id_col: str = "doc_id",
@@ -147,4 +215,4 @@ def describe_tokens(spark, path: str) -> DataFrame:
 
 
 def scratch(spark, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
