@@ -117,9 +117,8 @@ def _mapped(core: Column, numbers: Column, classes: list[tuple[str, str, str]])
     return F.array_join(F.transform(F.filter(F.split(core, ""), lambda c: c != ""), one), "")
 
 
-def surrogate_of(key: str, kind: Column, core: Column, counter: Column) -> Column:
-    """Core of the surrogate."""
-    s = _stream(key, kind, core, counter)
+def surrogate_of(kind: Column, core: Column, s: Column) -> Column:
+    """Core of the surrogate; ``s``: the entity's numbers."""
     plain = _mapped(core, s, CLASSES)
     local = _mapped(F.regexp_replace(core, "@.*$", ""), s, CLASSES)
     host = _mapped(F.regexp_extract(core, r"@([^.]*)", 1), F.slice(s, 14, F.length(core)), CLASSES)
@@ -174,9 +173,18 @@ def written(kind: Column, mention: Column, core: Column) -> Column:
 
 
 def entity_map(entities: DataFrame, key: str) -> DataFrame:
-    """``kind, core, surrogate`` for each entity (``kind, core``, distinct)."""
+    """``kind, core, surrogate`` for each entity (``kind, core``, distinct).
+
+    The entities are dealt out evenly first: few bytes, but much work each. An
+    entity's numbers are a column of their own, made once."""
     kind, core = F.col("kind"), F.col("core")
-    current = cut_lineage(entities.withColumn("counter", F.lit(0)).withColumn("surrogate", surrogate_of(key, kind, core, F.lit(0))))
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def draw(df: DataFrame) -> DataFrame:
+        df = df.withColumn("__numbers", _stream(key, kind, core, F.col("counter")))
+        return df.withColumn("surrogate", surrogate_of(kind, core, F.col("__numbers"))).drop("__numbers")
+
+    current = cut_lineage(draw(entities.repartition(parts, "kind", "core").withColumn("counter", F.lit(0))))
     for _ in range(MOST_ROUNDS):
         first = current.groupBy("kind", "surrogate").agg(F.min(F.struct("counter", "core")).alias("first"), F.count(F.lit(1)).alias("n"))
         clash = (current.join(first.where("n > 1"), ["kind", "surrogate"])
@@ -186,10 +194,9 @@ def entity_map(entities: DataFrame, key: str) -> DataFrame:
         again = cut_lineage(clash.union(real).distinct().withColumn("again", F.lit(1)))
         if again.isEmpty():
             return current.select("kind", "core", "surrogate")
-        raised = (current.join(again, ["kind", "core"], "left")
-                  .withColumn("counter", F.col("counter") + F.coalesce("again", F.lit(0))))
-        current = cut_lineage(raised.withColumn("surrogate", F.when(
-            F.col("again") == 1, surrogate_of(key, kind, core, F.col("counter"))).otherwise(F.col("surrogate"))).drop("again"))
+        raised = current.join(again, ["kind", "core"], "left")
+        moved = draw(raised.where("again = 1").select("kind", "core", (F.col("counter") + 1).alias("counter")))
+        current = cut_lineage(raised.where("again IS NULL").drop("again").unionByName(moved))
     raise ValueError("surrogates still collide; the entities fill their format")
 
 
