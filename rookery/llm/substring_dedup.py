@@ -7,7 +7,7 @@ Count-min prefilter, then exact grouping:
    have equal anchors and neighbours mostly share one. Spark adds the tasks'
    sketches up; the slots counted twice or more are broadcast as bits (a fixed
    bound). The sketch only overestimates, so no repeated window is lost.
-2. Windows whose anchor may be repeated are grouped exactly, by a 128-bit hash:
+2. Windows whose anchor may be repeated are grouped exactly, by a 96-bit hash:
    partial aggregation gives the smallest and largest document id of each.
 3. Windows whose smallest id is less than their own document's are joined back
    and gathered by document; the words they cover are removed.
@@ -86,7 +86,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
 
     seen = sketch.repeated(docs.select("text"), keys, slots)
     shared = spark.sparkContext.broadcast(seen)
-    fields = [("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("check", pa.int32()), ("at", pa.int32())]
+    names = ["w1", "w2", "doc_id", "check", "at"]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -105,11 +105,11 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 owner = t.owner[at]
                 rows = pa.array(owner + t.row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(W.grams(h, window)[at].view(np.int64)), pa.array(W.grams(h, window, 1)[at].view(np.int64)),
-                     b.column(0).take(rows), b.column(1).take(rows), pa.array((at - t.first[owner]).astype(np.int32))],
-                    names=[n for n, _ in fields])
+                    [pa.array(W.grams(h, window)[at].view(np.int64)),
+                     pa.array((W.grams(h, window, 1)[at] >> W.U(32)).astype(np.uint32).view(np.int32)), b.column(0).take(rows), b.column(1).take(rows), pa.array((at - t.first[owner]).astype(np.int32))],
+                    names=names)
 
-    found = docs.select("doc_id", "check", "text").mapInArrow(windows, "w1 long, w2 long, doc_id long, check int, at int")
+    found = docs.select("doc_id", "check", "text").mapInArrow(windows, "w1 long, w2 int, doc_id long, check int, at int")
     first = cut_lineage(found.groupBy("w1", "w2").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
                         .where("lead < last").select("w1", "w2", "lead"))
     return (found.join(first, ["w1", "w2"]).where("lead < doc_id")
