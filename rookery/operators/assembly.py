@@ -244,8 +244,12 @@ def with_budget(rows: DataFrame, budget: int) -> DataFrame:
     dropped = F.transform(F.sequence(F.lit(0), F.lit(len(DROP_ORDER))), lambda d: joined(
         F.transform(F.filter(left, lambda x: x["o"] >= d), lambda x: x["t"])))
     small = F.filter(dropped, lambda t: tokens(t) <= budget)
-    rows = rows.withColumn("_fit", F.try_element_at(fits, F.lit(1))).withColumn("_drop", F.try_element_at(small, F.lit(1)))
+    # the shorter forms are made only where the longer ones do not fit
+    rows = rows.withColumn("_full", assembled())
+    rows = rows.withColumn("_fit", F.when(tokens(F.col("_full")) <= budget, F.struct(n.alias("j"), F.col("_full").alias("t")))
+                           .otherwise(F.try_element_at(fits, F.lit(1))))
+    rows = rows.withColumn("_drop", F.when(F.col("_fit").isNull(), F.try_element_at(small, F.lit(1))))
     return rows.withColumns({
         "stage": F.when(F.col("_fit")["j"] == n, "full").when(F.col("_fit").isNotNull(), "popped")
         .when(F.col("_drop").isNotNull(), "dropped").otherwise("conclusion"),
-        "trimmed": F.coalesce(F.col("_fit")["t"], F.col("_drop"), F.col("s_conclusion"))}).drop("_fit", "_drop")
+        "trimmed": F.coalesce(F.col("_fit")["t"], F.col("_drop"), F.col("s_conclusion"))}).drop("_full", "_fit", "_drop")

@@ -95,14 +95,18 @@ def with_edges(df: DataFrame) -> DataFrame:
     last = "r.hit > 0 and j + 1 = r.hit and r.behind is not null"
     slides = edge.format(p="r.p", ray="true", x="x", sc=f"if({last}, {_color('r.behind')}, null)", st=f"if({last}, {_type('r.behind')}, null)")
     leaps = edge.format(p="p", ray="false", x="x", sc="cast(null as string)", st="cast(null as string)")
-    return df.withColumn("edges", F.expr(
+    df = df.withColumn("edges", F.expr(
         f"concat(flatten(transform(R1, r -> transform(r.reach, (x, j) -> {slides}))), flatten(transform(pieces, p -> transform("
         "case p.type when 'n' then geo[p.idx - 1].n when 'k' then geo[p.idx - 1].k when 'p' then if(p.color = 'w', geo[p.idx - 1].wp, "
-        f"geo[p.idx - 1].bp) else array() end, x -> {leaps}))))")).withColumn("targets", F.expr(
-            "transform(pieces, p -> named_struct('idx', p.idx, 'csq', p.csq, 'color', p.color, 'type', p.type, "
-            "'own', size(filter(edges, e -> e.to = p.idx and e.fc = p.color)), 'foe', size(filter(edges, e -> e.to = p.idx and e.fc <> p.color)), "
-            "'own_p', size(filter(edges, e -> e.to = p.idx and e.fc = p.color and e.ft = 'p')), "
-            "'foe_p', size(filter(edges, e -> e.to = p.idx and e.fc <> p.color and e.ft = 'p'))))"))
+        f"geo[p.idx - 1].bp) else array() end, x -> {leaps}))))"))
+    # attacked squares by colour, and by pawns; lookups in them are plain array searches
+    df = df.withColumns({f"A_{c}": F.expr(f"transform(filter(edges, e -> e.fc = '{c}'), e -> e.to)") for c in "wb"} | {
+        f"Q_{c}": F.expr(f"transform(filter(edges, e -> e.fc = '{c}' and e.ft = 'p'), e -> e.to)") for c in "wb"})
+    own, foe = "if(p.color = 'w', A_w, A_b)", "if(p.color = 'w', A_b, A_w)"
+    return df.withColumn("targets", F.expr(
+        "transform(pieces, p -> named_struct('idx', p.idx, 'csq', p.csq, 'color', p.color, 'type', p.type, "
+        f"'own', array_contains({own}, p.idx), 'foe', array_contains({foe}, p.idx), "
+        "'own_p', array_contains(if(p.color = 'w', Q_w, Q_b), p.idx), 'foe_p', array_contains(if(p.color = 'w', Q_b, Q_w), p.idx)))"))
 
 
 def _stm(w: str, b: str) -> Column:
@@ -175,20 +179,21 @@ def with_attacks(df: DataFrame) -> DataFrame:
     """Features that need the attacks (``edges``, ``targets``)."""
     cols: dict[str, str] = {
         "pinned": "filter(edges, e -> e.ray and e.tc is not null and e.tc <> e.fc and e.st = 'k' and e.sc = e.tc)",
-        "loose": "filter(targets, t -> t.type <> 'k' and t.foe > 0 and t.own = 0)",
-        "checkers": "bigint(coalesce(try_element_at(transform(filter(targets, t -> t.type = 'k' and t.color = side), t -> t.foe), 1), 0))"}
+        "loose": "filter(targets, t -> t.type <> 'k' and t.foe and not t.own)",
+        "checkers": "bigint(coalesce(try_element_at(transform(filter(pieces, p -> p.type = 'k' and p.color = side), "
+                    "p -> size(filter(if(side = 'w', A_b, A_w), x -> x = p.idx))), 1), 0))"}
     for c, o in ("wb", "bw"):
         cols[f"edges_{c}"] = _n("edges", f"e -> e.fc = '{c}'")
         cols[f"forks_{c}"] = _n("pieces", f"p -> p.color = '{c}' and size(filter(edges, e -> e.fi = p.idx and e.tc = '{o}' and e.tt in ('n', 'b', 'r', 'q'))) >= 2")
         cols[f"skewers_{c}"] = _n("edges", f"e -> e.fc = '{c}' and e.ray and e.tc = '{o}' and e.sc = '{o}' and (e.tt = 'k' or {_value('e.tt')} >= {_value('e.st')})")
         cols[f"xrays_{c}"] = _n("edges", f"e -> e.fc = '{c}' and e.ray and e.tc is not null and e.sc = '{o}' and e.st in ('k', 'q')")
         cols[f"overloaded_{c}"] = _n("pieces", f"p -> p.color = '{c}' and size(filter(edges, e -> e.fi = p.idx and e.tc = '{c}' and e.tt <> 'k' "
-                                          f"and exists(edges, x -> x.to = e.to and x.fc = '{o}'))) >= 2")
+                                          f"and array_contains(A_{o}, e.to))) >= 2")
         home = 1 if c == "w" else 8
         cols[f"back_rank_{c}"] = (f"exists(pieces, p -> p.type = 'k' and p.color = '{c}' and p.rank = {home} and not exists(geo[p.idx - 1].k, "
-                                  f"x -> {_at('x')} = '.' and not exists(edges, e -> e.to = x and e.fc = '{o}')))")
+                                  f"x -> {_at('x')} = '.' and not array_contains(A_{o}, x)))")
         half = "t.csq >= 32" if c == "w" else "t.csq < 32"
-        cols[f"O_{c}"] = (f"array_min(transform(filter(targets, t -> t.color = '{c}' and t.type in ('n', 'b') and {half} and t.own_p > 0 and t.foe_p = 0), "
+        cols[f"O_{c}"] = (f"array_min(transform(filter(targets, t -> t.color = '{c}' and t.type in ('n', 'b') and {half} and t.own_p and not t.foe_p), "
                           "t -> if(t.type = 'n', 0, 100) + t.csq))")
         pair = (f"exists(pieces, p -> p.color = '{c}' and p.type = '{{a}}' and exists(pieces, x -> x.color = '{c}' and x.type = '{{b}}' "
                 "and x.idx <> p.idx and {on}))")
@@ -200,13 +205,12 @@ def with_attacks(df: DataFrame) -> DataFrame:
         front = f"p.idx + ({step})"
         cols[f"W_{c}"] = (f"array_min(transform(filter(pieces, p -> p.type = 'p' and p.color = '{c}' and exists(pieces, x -> {mate}) "
                           f"and not exists(pieces, x -> {mate} and x.rank {back} p.rank) and {front} between 1 and 64 and {_at(front)} = '.' "
-                          f"and exists(edges, e -> e.to = {front} and e.fc = '{o}') and not exists(edges, e -> e.to = {front} and e.fc = '{c}')), "
+                          f"and array_contains(A_{o}, {front}) and not array_contains(A_{c}, {front})), "
                           f"p -> named_struct('r', p.rank * ({sign}), 'f', p.file)))")
     weak = []
     for s in WEAK_SQUARES:
         mover, other = ("w", "b") if int(s[1]) >= 5 else ("b", "w")
-        weak.append(f"if(side = '{mover}' and exists(edges, e -> e.to = {_idx(s)} and e.fc = '{mover}') and not exists(edges, e -> e.to = {_idx(s)} "
-                    f"and e.fc = '{other}' and e.ft = 'p'), '{s}', null)")
+        weak.append(f"if(side = '{mover}' and array_contains(A_{mover}, {_idx(s)}) and not array_contains(Q_{other}, {_idx(s)}), '{s}', null)")
     cols["weak"] = f"array_compact(array({', '.join(weak)}))"
     df = df.withColumns({k: F.expr(v) for k, v in cols.items()})
     top_hang = "array_max(transform(loose, t -> named_struct('v', {v}, 'own', if(t.color = side, 1, 0), 'csq', t.csq))).csq"

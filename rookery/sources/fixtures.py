@@ -9,7 +9,7 @@ Key identities shared by all views:
   * candidates of a position are its lineitems (up to ~13, uci unique);
   * every game replays one of 16 coordinate lines (``line_id = key % 16``);
   * a position stands on one of 20 boards (``fen_id = key % 20``) or, every
-    second one, on a board made from it by keyed draws.
+    eighth one, on a board made from it by keyed draws.
 """
 
 from __future__ import annotations
@@ -262,10 +262,9 @@ BOARD_EDITS = 6
 
 @plan_memo
 def fx_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One position per game. Even ones stand on the board of ``fen_id``; odd
-    ones start from it and have up to six men put on other squares by keyed
-    draws (kings stay, pawns keep off the end ranks), so different boards grow
-    with the data."""
+    """One position per game, on the board of ``fen_id``. In every eighth up to
+    six men are put on other squares by keyed draws (kings stay, pawns keep off
+    the end ranks), so different boards grow with the data."""
     from rookery.functions.board import SPARK, compress_board, expand_placement
     from rookery.functions.draws import hash_uniform
     g = fx_games(spark, sf_dir).select(F.col("game_id").alias("pos_id"), "fen_id")
@@ -274,7 +273,7 @@ def fx_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = p.withColumn("b", F.expr(_edited_sql(SPARK, expand_placement(SPARK, "split_part(fen, ' ', 1)"))))
     field = lambda i: F.split_part("fen", F.lit(" "), F.lit(i))
     moved = F.concat_ws(" ", F.expr(compress_board(SPARK, "b")), field(2), F.lit("-"), F.lit("-"), F.lit("0"), field(6))
-    return p.select("pos_id", "fen_id", F.when(F.col("pos_id") % 2 == 0, F.col("fen")).otherwise(moved).alias("fen"))
+    return p.select("pos_id", "fen_id", F.when(F.col("pos_id") % 8 != 1, F.col("fen")).otherwise(moved).alias("fen"))
 
 
 def _edited_sql(d, board: str) -> str:
@@ -415,7 +414,7 @@ def _positions_sql() -> str:
     draws = ", ".join(sql_uniform(42, "g.game_id", f"'board{j}'") for j in range(BOARD_EDITS))
     base = ("SELECT g.game_id AS pos_id, g.fen_id, f.fen, " + expand_placement(DUCK, "split_part(f.fen, ' ', 1)") + f" AS b0, [{draws}] AS draws "
             "FROM fx_games g JOIN fx_fens f ON f.fen_id = g.fen_id")
-    return (f"SELECT pos_id, fen_id, CASE WHEN pos_id % 2 = 0 THEN fen ELSE {compress_board(DUCK, 'b')} || ' ' || split_part(fen, ' ', 2) "
+    return (f"SELECT pos_id, fen_id, CASE WHEN pos_id % 8 <> 1 THEN fen ELSE {compress_board(DUCK, 'b')} || ' ' || split_part(fen, ' ', 2) "
             f"|| ' - - 0 ' || split_part(fen, ' ', 6) END AS fen FROM (SELECT *, {_edited_sql(DUCK, 'b0')} AS b FROM ({base}))")
 
 
