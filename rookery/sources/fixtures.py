@@ -269,11 +269,13 @@ def fx_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rookery.functions.draws import hash_uniform
     g = fx_games(spark, sf_dir).select(F.col("game_id").alias("pos_id"), "fen_id")
     p = g.join(fx_fens(spark), "fen_id")
-    p = p.withColumn("draws", F.array(*[hash_uniform(42, F.col("pos_id"), F.lit(f"board{j}")) for j in range(BOARD_EDITS)]))
+    edited = F.col("pos_id") % 8 == 1
+    draws = F.array(*[hash_uniform(42, F.col("pos_id"), F.lit(f"board{j}")) for j in range(BOARD_EDITS)])
+    p = p.withColumn("draws", F.when(edited, draws).otherwise(F.array().cast("array<double>")))
     p = p.withColumn("b", F.expr(_edited_sql(SPARK, expand_placement(SPARK, "split_part(fen, ' ', 1)"))))
     field = lambda i: F.split_part("fen", F.lit(" "), F.lit(i))
     moved = F.concat_ws(" ", F.expr(compress_board(SPARK, "b")), field(2), F.lit("-"), F.lit("-"), F.lit("0"), field(6))
-    return p.select("pos_id", "fen_id", F.when(F.col("pos_id") % 8 != 1, F.col("fen")).otherwise(moved).alias("fen"))
+    return p.select("pos_id", "fen_id", F.when(edited, moved).otherwise(F.col("fen")).alias("fen"))
 
 
 def _edited_sql(d, board: str) -> str:
