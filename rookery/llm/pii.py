@@ -49,8 +49,8 @@ PATTERNS = [
     ("name", r"(?<!\p{L})(?:" + MALE + "|" + FEMALE + r")\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"),
 ]
 ANY = "|".join(p for _, p in PATTERNS)
-#: A text without any of these has no entity.
-QUICK = r"[\d@]|(?i:pass|pwd|secret|token|api)|(?:" + MALE + "|" + FEMALE + ") "
+#: A text without any of these has no entity: each pattern needs one of them.
+QUICK = r"[\d@]|(?i:pass|pwd|secret|token|api)|AKIA|ASIA|(?:" + MALE + "|" + FEMALE + r")\.? "
 
 # Given names to draw from, by script and gender.
 GIVEN = {
