@@ -96,6 +96,11 @@ def core_of(kind: Column, mention: Column) -> Column:
             .otherwise(mention))
 
 
+def country_of(kind: Column, mention: Column) -> Column:
+    """Digits of a phone's country code, which its surrogate keeps; else 0."""
+    return F.when((kind == "phone") & mention.startswith("+"), F.length(F.regexp_extract(mention, r"^\+(\d{1,3})", 1))).otherwise(F.lit(0))
+
+
 def _stream(key: str, kind: Column, core: Column, counter: Column) -> Column:
     """Numbers below 65536, at least one a character of the core and 16 more."""
     blocks = F.sequence(F.lit(0), F.ceil((F.length(core) + 16) / 16).cast("int"))
@@ -151,21 +156,17 @@ def surrogate_of(kind: Column, core: Column, s: Column) -> Column:
 def written(kind: Column, mention: Column, core: Column) -> Column:
     """The surrogate in the mention's format."""
     chars = F.filter(F.split(mention, ""), lambda c: c != "")
-    country = F.when(mention.startswith("+"), F.length(F.regexp_extract(mention, r"^\+(\d{1,3})", 1))).otherwise(F.lit(0))
-
-    def filled(kept: Column) -> Column:
-        """Digits of the mention beyond the first ``kept`` taken from the core."""
-        def put(acc: Column, c: Column) -> Column:
-            digit = (c >= "0") & (c <= "9")
-            n = acc["n"] + F.when(digit, 1).otherwise(0)
-            out = F.when(digit & (n > kept), F.substring(core, n, F.lit(1))).otherwise(c)
-            return F.struct(n.cast("int").alias("n"), F.concat(acc["s"], out).alias("s"))
 
-        return F.aggregate(chars, F.struct(F.lit(0).alias("n"), F.lit("").alias("s")), put, lambda a: a["s"])
+    def put(acc: Column, c: Column) -> Column:
+        """Digits of the mention taken from the core."""
+        digit = (c >= "0") & (c <= "9")
+        n = acc["n"] + F.when(digit, 1).otherwise(0)
+        out = F.when(digit, F.substring(core, n, F.lit(1))).otherwise(c)
+        return F.struct(n.cast("int").alias("n"), F.concat(acc["s"], out).alias("s"))
 
+    filled = F.aggregate(chars, F.struct(F.lit(0).alias("n"), F.lit("").alias("s")), put, lambda a: a["s"])
     loud = (mention == F.upper(mention)) & (mention != F.lower(mention))
-    return (F.when(kind == "phone", filled(country))
-            .when(kind.isin("card", "national_id"), filled(F.lit(0)))
+    return (F.when(kind.isin("phone", "card", "national_id"), filled)
             .when(kind == "secret", F.concat(F.regexp_extract(mention, "^" + SECRET_KEY, 0), core))
             .when(kind == "email", F.when(loud, F.upper(core)).otherwise(core))
             .when(kind == "name", F.concat(F.regexp_extract(mention, r"^(?:" + MALE + "|" + FEMALE + r")\.? ", 0), F.substring(core, F.lit(3), F.length(core))))
@@ -173,16 +174,23 @@ def written(kind: Column, mention: Column, core: Column) -> Column:
 
 
 def entity_map(entities: DataFrame, key: str) -> DataFrame:
-    """``kind, core, surrogate`` for each entity (``kind, core``, distinct).
+    """``kind, core, surrogate`` for each entity (``kind, core``, distinct, and
+    ``country``, 0 if there is no such column: so many first digits stay).
 
     The entities are dealt out evenly first: few bytes, but much work each. An
     entity's numbers are a column of their own, made once."""
     kind, core = F.col("kind"), F.col("core")
+    country, drawn = F.col("country"), F.col("surrogate")
     parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if "country" not in entities.columns:
+        entities = entities.withColumn("country", F.lit(0))
 
     def draw(df: DataFrame) -> DataFrame:
         df = df.withColumn("__numbers", _stream(key, kind, core, F.col("counter")))
-        return df.withColumn("surrogate", surrogate_of(kind, core, F.col("__numbers"))).drop("__numbers")
+        df = df.withColumn("surrogate", surrogate_of(kind, core, F.col("__numbers"))).drop("__numbers")
+        # before the checks, which so see what is written
+        return df.withColumn("surrogate", F.when(country > 0, F.concat(
+            F.substring(core, F.lit(1), country), F.substring(drawn, country + 1, F.length(drawn)))).otherwise(drawn))
 
     current = cut_lineage(draw(entities.repartition(parts, "kind", "core").withColumn("counter", F.lit(0))))
     for _ in range(MOST_ROUNDS):
@@ -195,7 +203,7 @@ def entity_map(entities: DataFrame, key: str) -> DataFrame:
         if again.isEmpty():
             return current.select("kind", "core", "surrogate")
         raised = current.join(again, ["kind", "core"], "left")
-        moved = draw(raised.where("again = 1").select("kind", "core", (F.col("counter") + 1).alias("counter")))
+        moved = draw(raised.where("again = 1").select("kind", "core", "country", (F.col("counter") + 1).alias("counter")))
         current = cut_lineage(raised.where("again IS NULL").drop("again").unionByName(moved))
     raise ValueError("surrogates still collide; the entities fill their format")
 
@@ -211,9 +219,10 @@ def replace_pii(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
     some = rows.where(F.size("__found") > 0).withColumn("__check", F.xxhash64(text))
     mentions = (some.select(ident.alias("__id"), "__check", F.explode(F.array_distinct("__found")).alias("mention"))
                 .withColumn("kind", type_of(F.col("mention"))).withColumn("core", core_of(F.col("kind"), F.col("mention")))
-                .where("core IS NOT NULL"))
+                .where("core IS NOT NULL").withColumn("country", country_of(F.col("kind"), F.col("mention"))))
     mentions = cut_lineage(mentions)
-    mapping = entity_map(mentions.select("kind", "core").distinct(), key)
+    # written with the code once, an entity keeps it in all its mentions
+    mapping = entity_map(mentions.groupBy("kind", "core").agg(F.max("country").alias("country")), key)
     replaced = (mentions.join(mapping, ["kind", "core"])
                 .select("__id", "__check", "mention", written(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("as"))
                 .distinct()

@@ -252,6 +252,23 @@ def test_pii_collisions(spark):
     assert len(got) == 2000 and len({r.surrogate for r in got}) == 2000
 
 
+def test_pii_phones_stay_apart(spark):
+    """Numbers that differ only in the country code's place are one when written."""
+    phones = [f"+1 (800) 555-0{i:03d}" for i in range(120)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(phones)] + [(500, "+1 800 555 0007 and 1 (800) 555-0007")], "doc_id long, text string")
+    original = pii.surrogate_of
+    try:
+        pii.surrogate_of = lambda kind, core, s: F.concat((F.element_at(s, 1) % 10).cast("string"), F.lit("8005550"), F.lpad(
+            (F.element_at(s, 2) % 1000).cast("string"), 3, "0"))
+        got = {r.doc_id: r.text for r in pii.replace_pii(df, "k").collect()}
+    finally:
+        pii.surrogate_of = original
+    both = got.pop(500)
+    assert all(t.startswith("+1 (800) 555-0") for t in got.values())
+    assert len(set(got.values())) == 120 and not set(got.values()) & set(phones)
+    assert [re.sub(r"\D", "", x) for x in both.split(" and ")] == [re.sub(r"\D", "", got[7])] * 2
+
+
 def test_mix_shards(spark):
     rng = random.Random(9)
     rows = [(i, rng.choice(["b", "a", None, "ü", "a", "a"]), rng.randrange(0, 400)) for i in range(3000)]
