@@ -16,11 +16,14 @@ differ in too many bits are pruned, then sets are compared exactly. Pairs that
 are linked already, directly or through others, need no comparison, so a group
 of near copies costs about as many comparisons as members and no pair list.
 
-A cluster of more than ``BLOCK`` sets falls into cells of neighbouring sizes, and
+A cluster of more than ``BLOCK`` sets is clustered again, now with all shingles of
+its sets in order of their counts in the cluster, so sets that only share a common
+passage leave it. If still as large, it falls into cells of neighbouring sizes, and
 a cell of more than that into blocks by hash. Some of its sets, taken by hash,
 join every block; sets that stay apart from the cell's largest part meet all
-blocks in a second pass. So no task holds more than a block and those, and no
-link is lost.
+others in a second pass, a pair of blocks in a task. So no task holds more than
+two blocks, or one and the sets that join all, and no link is lost. The second
+pass holds about ``M * M / BLOCK`` rows for ``M`` sets that stay apart in a cell.
 
 Defined results: null or blank text has no shingles and links with nothing;
 fewer words than a shingle make one shingle of all words; copies, also in
@@ -150,9 +153,9 @@ class Tree:
         yield from zip(a.tolist(), b.tolist())
 
 
-def link_block(sets: list[np.ndarray], percent: int, links: Links, wanted: np.ndarray | None = None) -> list[tuple[int, int]]:
+def link_block(sets: list[np.ndarray], percent: int, links: Links, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join the sets' parts (indices into ``sets``, which are in
-    ascending size). ``wanted``: a pair counts only if one of the two is."""
+    ascending size). ``side``: a pair counts only if the two are of different sides."""
     tree, found = Tree(sets), []
     sizes, bitmaps, n = tree.sizes, tree.bitmaps, len(sets)
     for x, y in tree.leaf_pairs(percent):
@@ -161,8 +164,8 @@ def link_block(sets: list[np.ndarray], percent: int, links: Links, wanted: np.nd
         apart = ri[:, None] != rj[None, :]
         if x == y:
             apart &= i[:, None] < j[None, :]
-        if wanted is not None:
-            apart &= wanted[i][:, None] | wanted[j][None, :]
+        if side is not None:
+            apart &= side[i][:, None] != side[j][None, :]
         if not apart.any():
             continue
         differ = np.bitwise_count(bitmaps[i][:, None, :] ^ bitmaps[j][None, :, :]).sum(axis=2).astype(np.int64)
@@ -247,36 +250,61 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
     hubs = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last")).where("hub < last").select("key", "hub"))
     clusters = components(keyed.join(hubs, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
 
+    def sets_of(chosen: DataFrame) -> DataFrame:
+        """``chosen`` (``g, doc_id`` and more) with the sets, without ``doc_id``."""
+        # a bit for each class, so that other texts go no further than their task
+        slots = sketch.slots_for(chosen.count(), each=16)
+        held = sketch.bits(chosen.select(_slot(F.col("g"), slots).alias("slot")), F.col("slot"), slots)
+        wanted = spark.sparkContext.broadcast(held)
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                found = [(i, set_id(s), s) for i, s in enumerate(shingle_sets(b.column(1), n)) if len(s)]
+                keep = [x for x in found if sketch.has(wanted.value, np.array([x[1] & (slots - 1)]))[0]]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _, _ in keep], pa.int64())),
+                                                  pa.array([g for _, g, _ in keep], pa.int64()),
+                                                  pa.array([s.astype("<u8").tobytes() for _, _, s in keep], pa.binary())],
+                                                 names=["doc_id", "g", "shingles"])
+
+        own = chosen.withColumnsRenamed({"g": "own_g", "doc_id": "own_id"})
+        return cut_lineage(docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, g long, shingles binary")
+                           .join(own, (F.col("g") == F.col("own_g")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+                           .drop("doc_id", "own_g", "own_id").dropDuplicates(["g"]))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                parts = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in b.column(2)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(parts)], names=["g", "cluster", "shingles"])
+
     # the sets of the clustered classes, one document for each class
     clusters = clusters.withColumnRenamed("id", "g").withColumnRenamed("component", "cluster")
     member = cut_lineage(rows.join(clusters, "g").groupBy("g", "cluster").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    # a large cluster falls into cells of neighbouring size classes
+    # a large cluster is clustered again, with all its shingles ordered by their counts in it
+    crowds = cut_lineage(member.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > BLOCK).select("cluster"))
+    if not crowds.isEmpty():
+        crowd = cut_lineage(member.join(crowds, "cluster").select("g", "cluster", "doc_id", "n"))
+        spread = (sets_of(crowd.select("g", "doc_id", "cluster")).select("g", "cluster", "shingles")
+                  .mapInArrow(counted, "g long, cluster long, shingles array<long>").select("g", "cluster", F.explode("shingles").alias("key")))
+        common = cut_lineage(spread.groupBy("cluster", "key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+        ordered = (spread.join(common, ["cluster", "key"]).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("shared"))
+                   .join(crowd, "g").withColumn("room", F.greatest(F.lit(0), prefix - F.col("n") + F.size("shared")).cast("int")))
+        keyed = cut_lineage(ordered.select("g", "cluster", size_class.alias("c"), F.explode(F.slice("shared.key", F.lit(1), F.col("room"))).alias("key"))
+                            .select("g", F.explode(F.array(F.xxhash64("cluster", "key", "c"), F.xxhash64("cluster", "key", F.col("c") + 1))).alias("key")))
+        hubs = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last")).where("hub < last").select("key", "hub"))
+        again = components(keyed.join(hubs, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
+        member = cut_lineage(member.join(crowds, "cluster", "left_anti").unionByName(
+            crowd.drop("cluster").join(again.withColumnsRenamed({"id": "g", "component": "cluster"}), "g")))
+    # one that stays large falls into cells of neighbouring size classes
     sizes = cut_lineage(member.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets")))
     cells = cut_lineage(member.join(sizes, "cluster").select("g", "doc_id", F.when(
         F.col("sets") > BLOCK, F.array(F.xxhash64("cluster", size_class), F.xxhash64("cluster", size_class + 1)))
         .otherwise(F.array("cluster")).alias("cells")))
     counts = cut_lineage(cells.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
                          .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
-    # a bit for each class, so that other texts go no further than their task
-    slots = sketch.slots_for(member.count(), each=16)
-    held = sketch.bits(member.select(_slot(F.col("g"), slots).alias("slot")), F.col("slot"), slots)
-    wanted = spark.sparkContext.broadcast(held)
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            found = [(i, set_id(s), s) for i, s in enumerate(shingle_sets(b.column(1), n)) if len(s)]
-            keep = [x for x in found if sketch.has(wanted.value, np.array([x[1] & (slots - 1)]))[0]]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _, _ in keep], pa.int64())),
-                                              pa.array([g for _, g, _ in keep], pa.int64()),
-                                              pa.array([s.astype("<u8").tobytes() for _, _, s in keep], pa.binary())],
-                                             names=["doc_id", "g", "shingles"])
-
-    named_cells = cells.select(F.col("g").alias("own_g"), F.col("doc_id").alias("own_id"), "cells")
-    held_sets = cut_lineage(docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, g long, shingles binary")
-                            .join(named_cells, (F.col("g") == F.col("own_g")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
-                            .select("g", "shingles", "cells").dropDuplicates(["g"]))
+    held_sets = sets_of(cells)
     placed = (held_sets.select("g", "shingles", F.explode("cells").alias("cell")).join(counts, "cell")
               .withColumn("own", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
               .withColumn("pivot", (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "g"), F.col("members")) < PIVOTS)))
@@ -291,29 +319,34 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
                         .applyInArrow(within, "u long, v long"))
     parts = components(links)
 
-    # cells of several blocks: what is apart from the largest part meets every block
+    # cells of several blocks: what is apart from the largest part meets all others,
+    # in blocks numbered with those apart first; a task holds a pair of blocks
     large = placed.where("blocks > 1")
     if not large.isEmpty():
         labelled = cut_lineage(large.join(parts.withColumnRenamed("id", "g"), "g", "left")
                                .withColumn("part", F.coalesce("component", "g")).drop("component"))
         largest = cut_lineage(labelled.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("size"))
-                              .groupBy("cell").agg(F.max_by("part", F.struct("size", "part")).alias("largest")))
-        labelled = labelled.join(largest, "cell").withColumn("minor", F.col("part") != F.col("largest"))
-        everywhere = (labelled.where("minor").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                      .select("cell", "block", "g", "shingles", "part", "minor"))
-        at_home = (labelled.where("not minor").withColumn("block", F.col("own"))
-                   .select("cell", "block", "g", "shingles", "part", "minor"))
+                              .groupBy("cell").agg(F.max_by("part", F.struct("size", "part")).alias("largest"), F.sum("size").alias("all"),
+                                                   F.max("size").alias("most"))
+                              .select("cell", "largest", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("apart"),
+                                      F.ceil(F.col("most") / BLOCK).cast("int").alias("together")))
+        numbered = (labelled.join(largest, "cell").where("apart > 0").withColumn("minor", F.col("part") != F.col("largest"))
+                    .withColumn("block", F.when(F.col("minor"), F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("apart")))
+                                .otherwise(F.col("apart") + F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("together"))).cast("int")))
+        paired = (numbered.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("apart") - 1 + F.when(F.col("minor"), F.col("together")).otherwise(0))))
+                  .select("cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "g", "shingles", "part", "block"))
 
         def across(t: pa.Table) -> pa.Table:
             ids, s = _unpack(t)
-            first = dict(zip(t.column("g").to_pylist(), zip(t.column("part").to_pylist(), t.column("minor").to_pylist())))
+            first = dict(zip(t.column("g").to_pylist(), zip(t.column("part").to_pylist(), t.column("block").to_pylist())))
             linked, of = Links(len(s)), {}
             for i, g in enumerate(ids.tolist()):
                 linked.join(of.setdefault(first[g][0], i), i)
-            minor = np.array([first[g][1] for g in ids.tolist()], dtype=bool)
-            return _edges(ids, link_block(s, percent, linked, minor))
+            side = np.array([first[g][1] for g in ids.tolist()], dtype=np.int64)
+            alone = t.column("low")[0].as_py() == t.column("high")[0].as_py()
+            return _edges(ids, link_block(s, percent, linked, None if alone else side))
 
-        more = cut_lineage(at_home.unionByName(everywhere).groupBy("cell", "block").applyInArrow(across, "u long, v long"))
+        more = cut_lineage(paired.groupBy("cell", "low", "high").applyInArrow(across, "u long, v long"))
         if not more.isEmpty():
             parts = components(links.unionByName(more))
 

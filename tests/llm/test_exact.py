@@ -149,6 +149,33 @@ def test_ngram_join_brute_force(spark, monkeypatch, block):
     assert got == want and len(set(want.values())) < len(want)
 
 
+def test_ngram_join_bounded_tasks(spark, monkeypatch, tmp_path):
+    """Sets of one size that share a passage and link with none, and a crowd of sets
+    just below the threshold: no comparison holds more than about two blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    rng, seen, original = random.Random(11), str(tmp_path), ngram_join.link_block
+
+    def watched(sets, *more):
+        import os
+        import uuid
+
+        open(os.path.join(seen, f"{len(sets)}-{uuid.uuid4().hex}"), "w").close()
+        return original(sets, *more)
+
+    monkeypatch.setattr(ngram_join, "link_block", watched)
+    passage, core = [f"p{i}" for i in range(40)], [f"c{i}" for i in range(70)]
+    rows = [(i, " ".join(passage + [f"q{rng.randrange(10 ** 6)}" for _ in range(60)])) for i in range(80)]
+    rows += [(100 + i, " ".join(core + [f"r{rng.randrange(10 ** 6)}" for _ in range(14)])) for i in range(80)]
+    rows += [(200 + i, " ".join(rows[90 + i][1].split()[:-1])) for i in range(3)]
+    want = _components(_sets(rows, 5), 80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(df, n=5, percent=80).collect()}
+    assert got == want and len(set(want.values())) == 160
+    sizes = [int(x.name.split("-")[0]) for x in tmp_path.iterdir()]
+    assert sizes and max(sizes) <= 40
+
+
 def test_substring_dedup_hot_passage(spark):
     rng = random.Random(2)
     passage = [f"p{i}" for i in range(55)]
