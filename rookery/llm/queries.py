@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rookery.llm import (byte_bpe, mixing, ngram_join, pii, quality_model, quality_rules, sql, substring_dedup,
+from rookery.llm import (byte_bpe, hard_negatives, mixing, ngram_join, pii, quality_model, quality_rules, sql, substring_dedup,
                          token_store, topk, url_filter)
 from rookery.llm.cluster import table, word_count
 from rookery.session import cut_lineage
@@ -20,6 +20,7 @@ ORACLE: dict[str, str] = {
     "op4_ngram_join": sql.NGRAM_JOIN,
     "op6_substring_dedup": sql.SUBSTRING_DEDUP,
     "op8_quality_rules": sql.QUALITY_RULES,
+    "op13_hard_negatives": sql.HARD_NEGATIVES,
 }
 
 
@@ -103,3 +104,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.scratch(spark, "tokens")
     token_store.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), path, end_id=2)
     return token_store.describe_tokens(spark, path)
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
