@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rookery.llm import (byte_bpe, hard_negatives, mixing, ngram_join, pii, quality_model, quality_rules, sql, substring_dedup,
+from rookery.llm import (byte_bpe, hard_negatives, minhash, mixing, ngram_join, pii, prefix_trie, quality_model, quality_rules, sql, substring_dedup,
                          token_store, topk, url_filter)
 from rookery.llm.cluster import table, word_count
 from rookery.session import cut_lineage
@@ -20,6 +20,8 @@ ORACLE: dict[str, str] = {
     "op4_ngram_join": sql.NGRAM_JOIN,
     "op6_substring_dedup": sql.SUBSTRING_DEDUP,
     "op8_quality_rules": sql.QUALITY_RULES,
+    "op11_prefix_trie": sql.PREFIX_TRIE,
+    "op12_minhash": sql.MINHASH,
     "op13_hard_negatives": sql.HARD_NEGATIVES,
 }
 
@@ -106,6 +108,18 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.describe_tokens(spark, path)
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.share_heads(turns, 20, lambda c: F.crc32(c.cast("string").cast("binary")) % 4, most=4))
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

@@ -25,6 +25,34 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_CRC = ("list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), "
+        "lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))")
+PREFIX_TRIE = f"""
+WITH crc AS (SELECT {_CRC} AS t),
+own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS pos, k, w
+        FROM (SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                     len(regexp_extract_all(coalesce(text, ''), {WORD})) AS w FROM conversations WHERE conv_id IS NOT NULL)),
+conv AS (SELECT c, c - c % 20 AS base,
+                xor(list_reduce(list_concat([4294967295], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                                lambda a, b: xor(a // 256, t[1 + xor(a, b) % 256])), 4294967295) % 4 AS h
+         FROM (SELECT DISTINCT c FROM own), crc),
+turns AS (SELECT conv.c, 0 AS part, pos, k, w FROM conv JOIN own ON own.c = conv.base AND pos < h
+          UNION ALL SELECT conv.c, 1, pos, k, w FROM conv JOIN own ON own.c = conv.c AND pos >= h),
+lists AS (SELECT conv.c, coalesce(list(k ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS ks, coalesce(list(w ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS ws
+          FROM conv LEFT JOIN turns USING (c) GROUP BY conv.c),
+steps AS (SELECT c, ks, ws, unnest(range(0, len(ks) + 1)) AS d FROM lists),
+named AS (SELECT c, d, md5(array_to_string(ks[1:d], ',')) AS node, CASE WHEN d > 0 THEN md5(array_to_string(ks[1:d - 1], ',')) END AS up,
+                 CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w, d = len(ks) AS ends, list_transform(range(0, d + 1), lambda e: md5(array_to_string(ks[1:e], ','))) AS path FROM steps),
+node AS (SELECT node, any_value(d) AS depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n, any_value(w) AS w, any_value(path) AS path,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM named GROUP BY node),
+kids AS (SELECT up AS node, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up),
+sums AS (SELECT a AS node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n - 1) * w) AS saved_tokens
+         FROM (SELECT unnest(path) AS a, n, w, n_children FROM node LEFT JOIN kids USING (node)) GROUP BY a)
+SELECT x.conv_id, x.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM node x LEFT JOIN node p ON p.node = x.up LEFT JOIN kids ON kids.node = x.node JOIN sums ON sums.node = x.node
+"""
+
 HARD_NEGATIVES = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -39,23 +67,30 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3
 """
 
-NGRAM_JOIN = f"""
+
+def _components(n: int, percent: int) -> str:
+    """Components of word shingle sets by Jaccard similarity."""
+    return f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce({LOWER.format('text')}, ''), {WORD}) AS ws FROM documents),
 g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
-               WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-               ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS s FROM w),
+               WHEN len(ws) < {n} THEN [array_to_string(ws, ' ')]
+               ELSE list_transform(range(1, len(ws) - {n - 2}), lambda i: array_to_string(ws[i:i + {n - 1}], ' ')) END) AS s FROM w),
 x AS (SELECT doc_id, len(s) AS n, unnest(s) AS k FROM g),
 many AS (SELECT k FROM x GROUP BY k HAVING count(*) > 1),
 y AS (SELECT x.* FROM x JOIN many USING (k)),
 common AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS nu, any_value(b.n) AS nv, count(*) AS c
            FROM y a JOIN y b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
-links AS (SELECT u, v FROM common WHERE 100 * c >= 85 * (nu + nv - c)),
+links AS (SELECT u, v FROM common WHERE 100 * c >= {percent} * (nu + nv - c)),
 reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
 least AS (SELECT u, min(v) AS m FROM reach GROUP BY u)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
 FROM g LEFT JOIN least ON g.doc_id = least.u
 """
 
+
+NGRAM_JOIN = _components(4, 85)
+MINHASH = f"SELECT *, doc_id = component_id AS kept FROM ({_components(5, 85)})"
+
 SUBSTRING_DEDUP = f"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws FROM documents),
 p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w),
