@@ -230,10 +230,12 @@ def assembled(exploration: Column | None = None) -> Column:
     return joined(F.array(*[exploration if k == "exploration" and exploration is not None else F.col(f"s_{k}") for k in SECTION_ORDER]))
 
 
-def with_budget(rows: DataFrame, budget: int) -> DataFrame:
-    """``stage`` and ``trimmed``: the whole text if it fits; else as many
-    paragraphs as fit; else without paragraphs and the first optional sections
-    in drop order; else the conclusion."""
+def with_budget(rows: DataFrame, budget: int | None = None) -> DataFrame:
+    """``stage`` and ``trimmed``: the whole text if it fits or there is no budget
+    (the default); else as many paragraphs as fit; else without paragraphs and the
+    first optional sections in drop order; else the conclusion."""
+    if budget is None:
+        return rows.withColumn("stage", F.lit("full")).withColumn("trimmed", assembled())
     n = F.size("paras")
     fewer = F.transform(F.sequence(n, F.lit(0), F.lit(-1)), lambda j: F.struct(
         j.alias("j"), assembled(joined(F.slice("paras", F.lit(1), j))).alias("t")))

@@ -175,6 +175,37 @@ def with_static(df: DataFrame) -> DataFrame:
                               "when if(side = 'w', undev_w, undev_b) <= 1 then 'complete' else 'some' end")})
 
 
+def _threats(c: str, o: str) -> dict[str, str]:
+    """``loose_to_<c>``: the other side's pieces, its king too, that ``c`` attacks
+    and nobody defends. ``may_check_<c>``: whether a pseudo-move of ``c`` (no
+    castling, no en passant) gives check, found from the other king: by the squares
+    from which each kind of piece would attack it, or by a piece that stands between
+    a slider and the king and can leave the line."""
+    forward, last, home = (-8, "between 1 and 8", "between 49 and 56") if c == "w" else (8, "between 57 and 64", "between 9 and 16")
+    king = f"K{o}.idx"
+    line = lambda kind: (f"flatten(transform(geo[{king} - 1].{kind}, c -> if(exists(c, x -> {_at('x')} <> '.'), "
+                         f"slice(c, 1, int(array_position(transform(c, x -> {_at('x')} <> '.'), true))), c)))")
+    to = lambda squares, x: f"array_contains({squares}, {x})"
+    orth, diag, leap, pawn = f"V_{o}.orth", f"V_{o}.diag", f"V_{o}.n", f"V_{o}.p"
+    at = {"n": to(leap, "e.to"), "b": to(diag, "e.to"), "r": to(orth, "e.to"), "q": f"({to(orth, 'e.to')} or {to(diag, 'e.to')})"}
+    promoted = lambda x: f"({x} {last} and ({to(orth, x)} or {to(diag, x)} or {to(leap, x)}))"
+    free = f"(e.tc is null or (e.tc = '{o}' and e.tt <> 'k'))"
+    direct = (f"exists(edges, e -> e.fc = '{c}' and case e.ft " + " ".join(f"when '{t}' then {free} and {x}" for t, x in at.items())
+              + f" when 'p' then e.tc = '{o}' and e.tt <> 'k' and ({to(pawn, 'e.to')} or {promoted('e.to')}) else false end)")
+    step, two = f"p.idx + ({forward})", f"p.idx + ({2 * forward})"
+    push = (f"exists(pieces, p -> p.type = 'p' and p.color = '{c}' and {step} between 1 and 64 and {_at(step)} = '.' and ({to(pawn, step)} or {promoted(step)} "
+            f"or (p.idx {home} and {_at(two)} = '.' and {to(pawn, two)})))")
+    off = "not array_contains(filter(concat(geo[e.fi - 1].orth, geo[e.fi - 1].diag), c -> array_contains(c, e.to))[0], {x})"
+    front = f"e.to + ({forward})"
+    leaves = (f"(exists(edges, y -> y.fi = e.to and if(y.ft = 'p', y.tc = '{o}', y.tc is null or y.tc = '{o}') and coalesce(y.tt <> 'k', true) and {off.format(x='y.to')}) "
+              f"or (e.tt = 'p' and {front} between 1 and 64 and {_at(front)} = '.' and {off.format(x=front)}))")
+    discovered = f"exists(edges, e -> e.fc = '{c}' and e.ray and e.tc = '{c}' and e.sc = '{o}' and e.st = 'k' and {leaves})"
+    seen = (f"if(K{o} is null, null, named_struct('orth', {line('orth')}, 'diag', {line('diag')}, 'n', geo[{king} - 1].n, "
+            f"'p', geo[{king} - 1].{'bp' if c == 'w' else 'wp'}))")
+    return {f"loose_to_{c}": f"bigint(size(filter(targets, t -> t.color = '{o}' and t.foe and not t.own)))",
+            f"V_{o}": seen, f"may_check_{c}": f"K{o} is not null and ({direct} or {push} or {discovered})"}
+
+
 def with_attacks(df: DataFrame) -> DataFrame:
     """Features that need the attacks (``edges``, ``targets``)."""
     cols: dict[str, str] = {
@@ -207,14 +238,18 @@ def with_attacks(df: DataFrame) -> DataFrame:
                           f"and not exists(pieces, x -> {mate} and x.rank {back} p.rank) and {front} between 1 and 64 and {_at(front)} = '.' "
                           f"and array_contains(A_{o}, {front}) and not array_contains(A_{c}, {front})), "
                           f"p -> named_struct('r', p.rank * ({sign}), 'f', p.file)))")
+        cols |= _threats(c, o)
     weak = []
     for s in WEAK_SQUARES:
         mover, other = ("w", "b") if int(s[1]) >= 5 else ("b", "w")
         weak.append(f"if(side = '{mover}' and array_contains(A_{mover}, {_idx(s)}) and not array_contains(Q_{other}, {_idx(s)}), '{s}', null)")
     cols["weak"] = f"array_compact(array({', '.join(weak)}))"
-    df = df.withColumns({k: F.expr(v) for k, v in cols.items()})
+    df = df.withColumns({k: F.expr(v) for k, v in cols.items() if k.startswith("V_")})
+    df = df.withColumns({k: F.expr(v) for k, v in cols.items() if not k.startswith("V_")})
     top_hang = "array_max(transform(loose, t -> named_struct('v', {v}, 'own', if(t.color = side, 1, 0), 'csq', t.csq))).csq"
     top_pin = "array_max(transform(filter(pinned, e -> e.tc = side), e -> named_struct('v', {v}, 'csq', {s}))).csq"
+    for c in "wb":
+        df = df.withColumn(f"threats_{c}", F.expr(f"loose_to_{c} + if(may_check_{c}, 1, 0)"))
     return df.withColumns({
         "hanging_w": F.expr(_n("loose", "t -> t.color = 'w'")), "hanging_b": F.expr(_n("loose", "t -> t.color = 'b'")),
         "top_hanging": F.expr(f"if(size(loose) = 0, null, {_name(top_hang.format(v=_value('t.type')))})"),

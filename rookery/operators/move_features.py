@@ -13,8 +13,15 @@ from pyspark.sql import functions as F
 
 from rookery.operators import board_features as BF
 
-BOARD_COLUMNS = ["b", "side", "edges", "in_check", "hanging_w", "hanging_b", "open_files", "half_open_stm",
-                 "forks_w", "forks_b", "skewers_w", "skewers_b", "pinned_stm"]
+BOARD_COLUMNS = ["b", "side", "pieces", "edges", "in_check", "double_check", "hanging_w", "hanging_b", "open_files", "half_open_stm",
+                 "forks_w", "forks_b", "skewers_w", "skewers_b", "pinned_stm", "xrays_w", "xrays_b", "overloaded_w", "overloaded_b",
+                 "back_rank_w", "back_rank_b", "weak", "threats_w", "threats_b"]
+# --- fixed values -----------------------------------------------------------
+#: Order in which a move's motifs are named; those that need the solver or the wording are left out.
+MOTIF_ORDER = ["underpromotion", "en_passant", "double_check", "fork", "pin", "skewer", "discovered_attack", "clearance", "deflection",
+               "interference", "xray", "desperado", "sacrifice", "decoy", "overload", "back_rank", "zwischenzug", "weak_square", "quiet",
+               "battery", "outpost", "tempo", "prophylactic"]
+# --- end of fixed values -----------------------------------------------------
 
 
 def _square(uci: str, at: int) -> str:
@@ -56,7 +63,6 @@ def move_features(moves: DataFrame, boards: DataFrame) -> DataFrame:
     foe = "if(mover = 'w', {0}_hanging_b, {0}_hanging_w)"
     m = m.withColumns({
         "capture": F.expr("taken <> '.' or en_passant"),
-        "sacrifice": F.expr(f"hanging_after and {BF._value('moved')} >= 3"),
         "threat_reduced": F.expr(f"{own.format('b')} > {own.format('a')}"),
         "threat_created": F.expr(f"{foe.format('a')} > {foe.format('b')}")})
     m = m.withColumn("quiet", F.expr("not (capture or gives_check or promotion or castling)"))
@@ -74,4 +80,62 @@ def move_features(moves: DataFrame, boards: DataFrame) -> DataFrame:
              f"when {own.format('r')} > 0 then 'leaves_hanging' when if(mover = 'w', r_forks_b, r_forks_w) > 0 then 'runs_into_fork' "
              "when r_pinned_stm > 0 then 'runs_into_pin' when if(mover = 'w', r_skewers_b, r_skewers_w) > 0 then 'runs_into_skewer' "
              "else 'generic' end")
-    return m.withColumns({"move_target": F.expr(f"if(quiet, array_join({targets}, ','), '')"), "blunder_outcome": F.expr(reply)})
+    m = m.withColumns({"move_target": F.expr(f"if(quiet, array_join({targets}, ','), '')"), "blunder_outcome": F.expr(reply)})
+    return with_motifs(m)
+
+
+def with_motifs(m: DataFrame) -> DataFrame:
+    """Motifs of a move from the board before it (``b_``) and after it (``a_``)."""
+    foe = "if(mover = 'w', {0}_b, {0}_w)"
+    own = "if(mover = 'w', {0}_w, {0}_b)"
+    held = "exists(a_edges, y -> y.to = {x} and y.fc {who} mover)"
+    lost = f"{held.format(x='e.to', who='=')} and not {held.format(x='e.to', who='<>')}"
+    m = m.withColumn("geo", BF.geometry())
+    m = m.withColumns({
+        "clearance": F.expr("a_in_check and not exists(a_edges, e -> e.fi = ti and e.tc is not null and e.tt = 'k' and e.tc <> mover)"),
+        "discovered_attack": F.expr("exists(b_edges, e -> e.fc = mover and e.ray and e.to = fi and e.sc is not null and e.sc <> mover)"),
+        "cap_at": F.expr("if(en_passant, ti + if(mover = 'w', 8, -8), ti)"),
+        "loose_before": F.expr("exists(b_edges, e -> e.to = fi and e.fc <> mover) and not exists(b_edges, e -> e.to = fi and e.fc = mover)"),
+        # a slider's line to a piece that it alone held is cut by the moved piece
+        "cut": F.expr("if(capture or promotion, null, array_max(transform(filter(b_edges, e -> e.fc <> mover and e.tc <> mover and e.tt <> 'k' and e.ray and "
+                      f"{lost} and exists(concat(geo[e.fi - 1].orth, geo[e.fi - 1].diag), c -> array_position(c, ti) > 0 and "
+                      f"array_position(c, e.to) > array_position(c, ti))), e -> named_struct('t', {BF._csq('e.to')}, 'd', {BF._csq('e.fi')}, 'tt', e.tt, 'dt', e.ft))))"),
+    })
+    m = m.withColumns({
+        "cap_type": F.expr("if(capture, lower(substr(b_b, cap_at, 1)), null)"),
+        "interference": F.expr(f"if(cut is null, null, cut.tt || {BF._name('cut.t')} || '/' || cut.dt || {BF._name('cut.d')})"),
+        # what the captured piece held, and nobody holds any more
+        "freed": F.expr("if(not capture, null, array_max(transform(filter(b_edges, e -> e.fi = cap_at and e.fc <> mover and e.tc <> mover and e.tt <> 'k' and "
+                        f"{lost}), e -> named_struct('v', {BF._value('e.tt')}, 's', -{BF._csq('e.to')}, 'tt', e.tt))))")})
+    given_up = f"(capture or gives_check) and hanging_after and {BF._value('pc')} >= 3"
+    m = m.withColumns({
+        "deflection": F.expr(f"if(freed is null, null, freed.tt || {BF._name('-freed.s')})"),
+        "desperado": F.expr(f"coalesce({given_up} and loose_before and capture and {BF._value('cap_type')} >= greatest(3, {BF._value('pc')} - 1), false)"),
+        "decoy": F.expr("gives_check and hanging_after"),
+        "zwischenzug": F.expr(f"(capture or gives_check) and {own.format('b_hanging')} > 0")})
+    at_home = "if(mover = 'w', fi > 48, fi <= 16)"
+    met = f"array_min(transform(filter(hits, e -> e.tt in ('n', 'b', 'r', 'q')), e -> named_struct('s', {BF._csq('e.to')}, 't', e.tt))).t"
+    there = "exists(a_pieces, p -> p.color = mover and p.idx <> ti and p.type = '{t}' and {on})"
+    file = "p.file = (ti - 1) % 8"
+    slant = "abs(p.file - (ti - 1) % 8) = abs(p.rank - (8 - int((ti - 1) div 8)))"
+    battery = (f"case when moved = 'r' and {there.format(t='r', on=file)} then 'rooks' "
+               f"when moved in ('q', 'r') and {there.format(t='q', on=file)} or moved = 'q' and {there.format(t='r', on=file)} then 'queen_rook' "
+               f"when moved in ('q', 'b') and {there.format(t='q', on=slant)} or moved = 'q' and {there.format(t='b', on=slant)} then 'queen_bishop' end")
+    rank = "(8 - int((ti - 1) div 8))"
+    outpost = (f"moved = 'n' and if(mover = 'w', {rank} >= 4, {rank} <= 5) and exists(a_edges, e -> e.to = ti and e.ft = 'p' and e.fc = mover) and not "
+               f"exists(a_pieces, p -> p.type = 'p' and p.color <> mover and abs(p.file - (ti - 1) % 8) = 1 and if(mover = 'w', p.rank > {rank}, p.rank < {rank}))")
+    m = m.withColumns({
+        "sacrifice": F.expr(f"{given_up} and not desperado"),
+        "tempo": F.expr(f"case when not ({at_home}) then null when gives_check then 'check' when {met} in ('q', 'r') then 'heavy' when {met} is not null then 'minor' end"),
+        "threats_before": F.expr(foe.format("b_threats")), "threats_after": F.expr(foe.format("a_threats")),
+        "battery": F.expr(battery), "outpost": F.expr(outpost)})
+    m = m.withColumn("prophylactic", F.expr("case when threats_before - threats_after >= 2 then 'several' when threats_before - threats_after = 1 then 'one' end"))
+    found = {"underpromotion": "underpromotion", "en_passant": "en_passant", "double_check": "a_double_check",
+             "fork": "size(filter(hits, e -> e.tt in ('n', 'b', 'r', 'q'))) >= 2", "pin": "a_pinned_stm > 0", "skewer": f"{own.format('a_skewers')} > 0",
+             "discovered_attack": "discovered_attack", "clearance": "clearance and not discovered_attack", "deflection": "deflection is not null",
+             "interference": "interference is not null", "xray": f"{own.format('a_xrays')} > 0", "desperado": "desperado", "sacrifice": "sacrifice",
+             "decoy": "decoy", "overload": f"{foe.format('a_overloaded')} > 0", "back_rank": foe.format("a_back_rank"), "zwischenzug": "zwischenzug",
+             "weak_square": "array_contains(b_weak, substr(muci, 3, 2))", "quiet": "quiet", "battery": "battery is not null", "outpost": "outpost",
+             "tempo": "tempo is not null", "prophylactic": "prophylactic is not null"}
+    m = m.withColumn("motifs", F.expr(f"array_compact(array({', '.join(f'if({found[k]}, {chr(39)}{k}{chr(39)}, null)' for k in MOTIF_ORDER)}))"))
+    return m.withColumns({f"motifs_{n}": F.array_join(F.slice("motifs", 1, n), ",") for n in (1, 2, 3)})

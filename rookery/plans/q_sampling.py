@@ -132,8 +132,7 @@ def q_fraction_split(spark, sf):
 
 @register("sample_n", with_fx(
     f"SELECT pos_id, CAST(pick AS BIGINT) AS pick FROM (SELECT pos_id, row_number() OVER (ORDER BY u, pos_id) AS pick "
-    f"FROM (SELECT pos_id, {S.uniform(42, 'pos_id')} AS u FROM "
-    f"(SELECT pos_id FROM fx_positions ORDER BY pos_id LIMIT 3000))) WHERE pick <= 1000", "fx_positions"))
+    f"FROM (SELECT pos_id, {S.uniform(42, 'pos_id')} AS u FROM fx_positions)) WHERE pick <= 1000", "fx_positions"))
 def q_sample_n(spark, sf):
     p = fx_positions(spark, sf).select("pos_id")
     return smp.sample_n(p, "pos_id", 1000).select("pos_id", "pick")

@@ -247,8 +247,7 @@ def q_assemble_sections(spark, sf):
     return sections(spark, sf).select("pos_id", F.md5(text).alias("text_md5"), F.length(text).alias("n_chars"))
 
 
-BUDGET = 80         # small, so that every stage of the trimming occurs
-TRACE_BUDGET = 140  # of the traces themselves
+BUDGET = 80  # small, so that every stage of the trimming occurs; traces have none
 
 
 @register("budget_trim", duck(f"SELECT pos_id, stage, md5(trimmed) AS text_md5, CAST({TS.tokens('trimmed')} AS BIGINT) AS tokens "
@@ -279,11 +278,11 @@ def _finish_duck() -> str:
 
 
 def _trace_rows(spark, sf):
-    return _finish_spark(A.with_budget(sections(spark, sf), TRACE_BUDGET))
+    return _finish_spark(A.with_budget(sections(spark, sf)))
 
 
 @register("trace_rows", duck("SELECT pos_id, fen, valid_moves_str AS valid_moves, reasoning_trace, chosen_move "
-                             "FROM tfinal", *BASE_CTES, TS.budget_sql(TRACE_BUDGET), _finish_duck()))
+                             "FROM tfinal", *BASE_CTES, TS.WHOLE_SQL, _finish_duck()))
 def q_trace_rows(spark, sf):
     """End-to-end trace rows: gates -> phrase picks -> sections -> guardrail -> row."""
     t = _trace_rows(spark, sf)
@@ -291,7 +290,7 @@ def q_trace_rows(spark, sf):
 
 
 @register("project_trace_row", duck("SELECT fen, valid_moves_str AS valid_moves, reasoning_trace, chosen_move "
-                                    "FROM tfinal", *BASE_CTES, TS.budget_sql(TRACE_BUDGET), _finish_duck()))
+                                    "FROM tfinal", *BASE_CTES, TS.WHOLE_SQL, _finish_duck()))
 def q_project_trace_row(spark, sf):
     """Egress projection: exactly the four output columns."""
     t = _trace_rows(spark, sf)

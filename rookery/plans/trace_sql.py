@@ -161,6 +161,10 @@ def _join(parts: list[str]) -> str:
 ASSEMBLE_SQL = f"tsections AS (SELECT *, {_join([f's_{k}' for k in A.SECTION_ORDER])} AS assembled FROM tsec)"
 
 
+#: Traces without a budget.
+WHOLE_SQL = f"ttrim AS (SELECT *, assembled AS trimmed FROM (SELECT *, {_join([f's_{k}' for k in A.SECTION_ORDER])} AS assembled FROM tsec))"
+
+
 def budget_sql(budget: int) -> str:
     """Tries every number of paragraphs, then every number of dropped sections."""
     text = _join([f"array_to_string(paras[1:j], {SEP})" if k == "exploration" else f"s_{k}" for k in A.SECTION_ORDER])
