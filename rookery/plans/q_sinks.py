@@ -8,7 +8,7 @@ from rookery.operators import evaluation as EV
 from rookery.operators import sampling as smp
 from rookery.plans import sqlfrag as S
 from rookery.plans.registry import register
-from rookery.sources import sinks
+from rookery.sources import shards, sinks
 from rookery.sources.fixtures import fx_positions, fx_puzzles, with_fx
 
 BFX = ("fx_positions", "fx_valid_list", "fx_candidates")
@@ -56,30 +56,37 @@ def q_jsonl_to_parquet(spark, sf):
 
 
 @register("shard_by_lines", with_fx(
-    f"WITH {_basic_sql()} SELECT pos_id, printf('split-%06d.jsonl', CAST(floor((rn - 1) / {LINES_PER_SHARD}) AS BIGINT)) "
-    "AS shard_name FROM (SELECT pos_id, row_number() OVER (ORDER BY pos_id) AS rn FROM basic)", *BFX))
+    f"WITH {_basic_sql()} SELECT printf('split-%06d.jsonl', CAST(floor((rn - 1) / {LINES_PER_SHARD}) AS BIGINT)) AS shard_name, "
+    "fen, array_to_string(valid_moves, ', ') AS valid_moves, 'Play ' || chosen_move || '.' AS reasoning_trace, chosen_move "
+    "FROM (SELECT *, row_number() OVER (ORDER BY pos_id) AS rn FROM basic)", *BFX))
 def q_shard_by_lines(spark, sf):
     """Seal a shard every N lines: dense stream position (range-partitioned
-    sort + per-partition offsets) -> shard id; written with one folder per
-    shard and ``maxRecordsPerFile`` as the size guard."""
+    sort + per-partition offsets) -> sealed shards, and read back from those."""
     rows = trace_rows_basic(spark, sf)
-    d = smp.dense_order(rows, ["pos_id"], "stream_pos")
-    d = sinks.shard_ids(d, "stream_pos", LINES_PER_SHARD)
-    path = sinks.scratch_path(spark, "shards")
-    (d.select("shard_id", "fen", "valid_moves", "reasoning_trace", "chosen_move")
-     .write.mode("overwrite").option("maxRecordsPerFile", LINES_PER_SHARD).partitionBy("shard_id").json(path))
-    return d.select("pos_id", "shard_name")
+    d = shards.by_lines(smp.dense_order(rows, ["pos_id"], "stream_pos"), "stream_pos", LINES_PER_SHARD)
+    sink = shards.ShardSink(spark, sinks.scratch_path(spark, "shards"))
+    sink.seal(d.select("shard", "line", "fen", "valid_moves", "reasoning_trace", "chosen_move"))
+    back = sink.read("fen string, valid_moves array<string>, reasoning_trace string, chosen_move string")
+    return back.select("shard_name", "fen", F.array_join("valid_moves", ", ").alias("valid_moves"), "reasoning_trace", "chosen_move")
+
+
+INTERVAL_LINES = 200
 
 
 @register("shard_by_interval", with_fx(
-    "SELECT puzzle_id, CAST(time_bucket(INTERVAL 15 minutes, ts) AS VARCHAR) AS shard_start FROM fx_puzzles",
-    "fx_puzzles"))
+    "WITH w AS (SELECT puzzle_id, time_bucket(INTERVAL 6 hours, ts) AS w, row_number() OVER (PARTITION BY "
+    "time_bucket(INTERVAL 6 hours, ts) ORDER BY ts, puzzle_id) - 1 AS i FROM fx_puzzles) "
+    f"SELECT printf('split-%06d.jsonl', dense_rank() OVER (ORDER BY w, i // {INTERVAL_LINES}) - 1) AS shard_name, puzzle_id, "
+    "CAST(w AS VARCHAR) AS shard_start FROM w", "fx_puzzles"))
 def q_shard_by_interval(spark, sf):
-    """Seal every 15 minutes (batch form): tumbling window on event time."""
+    """Seal every six hours of event time, earlier if a shard is full."""
     # windows work on TIMESTAMP_NTZ directly, so the session time zone never shifts shard bounds
-    p = fx_puzzles(spark, sf).select("puzzle_id", "ts")
-    w = F.window("ts", "15 minutes")
-    return p.select("puzzle_id", F.date_format(w.start, "yyyy-MM-dd HH:mm:ss").alias("shard_start"))
+    p = smp.dense_order(fx_puzzles(spark, sf).select("puzzle_id", "ts"), ["ts", "puzzle_id"], "stream_pos")
+    d = shards.by_interval(p, "stream_pos", "ts", "6 hours", INTERVAL_LINES)
+    start = F.date_format(F.window("ts", "6 hours").getField("start"), "yyyy-MM-dd HH:mm:ss")
+    sink = shards.ShardSink(spark, sinks.scratch_path(spark, "shards"))
+    sink.seal(d.select("shard", "line", "puzzle_id", start.alias("shard_start")), reason="interval")
+    return sink.read("puzzle_id long, shard_start string").select("shard_name", "puzzle_id", "shard_start")
 
 
 def _report_sql():

@@ -22,6 +22,7 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampNTZType()),
 ])
 QUOTA = {"game": 700, "puzzle": 300}
+ROWS = 4000  # of a trigger
 
 
 def staged_events(spark, sf):
@@ -31,7 +32,7 @@ def staged_events(spark, sf):
     p = p.select(F.col("event_id").alias("id"), "puzzle_id", "rating", "themes", "user_id", src.alias("source"),
                  "ts")
     path = scratch_path(spark, "events-stream")
-    ST.stage_files(p, path, "ts")
+    ST.stage_files(p, path, ["ts", "id"], ROWS)
     return path
 
 
@@ -79,11 +80,10 @@ def q_stream_dedup(spark, sf):
 
 
 @register("stream_rate", with_fx(
-    f"WITH {EVENTS_SQL}, k AS (SELECT epoch(ts)::DOUBLE AS k FROM ev), b AS (SELECT min(k) AS lo, max(k) AS hi FROM k) "
-    "SELECT CAST(floor((k - lo) / ((hi - lo + 1) / 4)) AS INT) AS batch_id, count(*) AS n_rows FROM k, b GROUP BY 1",
-    "fx_puzzles"))
+    f"WITH {EVENTS_SQL}, r AS (SELECT row_number() OVER (ORDER BY ts, id) AS rn FROM ev) "
+    f"SELECT CAST((rn - 1) // {ROWS} AS INT) AS batch_id, count(*) AS n_rows FROM r GROUP BY 1", "fx_puzzles"))
 def q_stream_rate(spark, sf):
-    """One staged file per trigger: a batch holds one range of event time."""
+    """A bound in rows a trigger: every batch but the last has exactly that many."""
     src = staged_events(spark, sf)
     return ST.stream_batch_sizes(spark, src, EVENT_SCHEMA, "rate")
 
@@ -106,6 +106,6 @@ def q_stream_stats(spark, sf):
     from rookery.plans.q_rewards import scored
     s = scored(spark, sf).select("prompt_id", "sample_id", "outcome", F.col("reward_topn").alias("reward"))
     path = scratch_path(spark, "rollouts-stream")
-    ST.stage_files(s, path, "prompt_id")
+    ST.stage_files(s, path, ["prompt_id", "sample_id"], ROWS)
     out = ST.stream_running_stats(spark, path, SCORED_SCHEMA, "outcome", "reward", "stats")
     return out.select("outcome", "n", F.round("total", 6).alias("total"))

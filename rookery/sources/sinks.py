@@ -54,11 +54,3 @@ def jsonl_to_parquet(spark: SparkSession, src: str, dst: str,
                      schema: T.StructType = TRACE_ROW_SCHEMA) -> DataFrame:
     read_jsonl(spark, src, schema).write.mode("overwrite").parquet(dst)
     return spark.read.parquet(dst)
-
-
-def shard_ids(df: DataFrame, pos_col: str, lines_per_shard: int) -> DataFrame:
-    """Deterministic shard id from a dense 1-based stream position:
-    ``floor((pos - 1) / N)``, named ``split-%06d.jsonl``."""
-    sid = F.floor((F.col(pos_col) - 1) / F.lit(lines_per_shard)).cast("bigint")
-    return df.withColumn("shard_id", sid).withColumn(
-        "shard_name", F.format_string("split-%06d.jsonl", F.col("shard_id")))

@@ -9,45 +9,53 @@ checkpoints live under the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rookery.operators.sampling import dense_order
 from rookery.session import cut_lineage
 from rookery.sources.sinks import scratch_path
 
 
-def stage_files(df: DataFrame, path: str, order_col: str, n_files: int = 4, parts: int = 1) -> None:
-    """Write ``df`` as ``n_files`` appends in ``order_col`` order (equal-width
-    ranges of the order value), so file modification times follow the order
-    and a file stream replays it in order. Each range is ``parts`` files; a
-    stream that takes ``parts`` files a trigger takes a range a trigger.
-
-    The input is computed once, into the checkpoint folder; the bounds (two
-    numbers) and the ranges are read from there, with the range pushed down."""
-    key = F.col(order_col).cast("timestamp").cast("double") if dict(df.dtypes)[order_col].startswith("timestamp") \
-        else F.col(order_col).cast("double")
-    d = cut_lineage(df.withColumn("_k", key))
-    lo, hi = d.agg(F.min("_k"), F.max("_k")).first()
-    if lo is None:
-        d.drop("_k").write.mode("append").parquet(path)
-        return
-    for i in range(n_files):
-        low, high = (lo + (hi - lo + 1) * j / n_files for j in (i, i + 1))
-        d.filter((F.col("_k") >= low) & (F.col("_k") < high)).drop("_k").coalesce(parts).write.mode("append").parquet(path)
-
-
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
+def stage_files(df: DataFrame, path: str, order: list[str], rows_per_trigger: int, files_per_trigger: int = 4) -> int:
+    """Let ``df`` arrive in ``path`` in ``order``, as a producer would: appends of
+    exactly ``rows_per_trigger`` rows (the last has what is left), each written by
+    ``files_per_trigger`` tasks as so many files. A stream that takes
+    ``files_per_trigger`` files a trigger takes one append a trigger, so a batch has
+    a bound in rows. Returns the number of appends.
+
+    The rows are sorted by range and numbered once; every append reads its own
+    numbers from that table, pushed down to the files."""
+    d = cut_lineage(dense_order(df, order, "_pos"))
+    n = d.agg(F.coalesce(F.max("_pos"), F.lit(0)).alias("n")).first().n
+    if not n:
+        d.drop("_pos").write.mode("append").parquet(path)
+        return 0
+    batches = -(-n // rows_per_trigger)
+    for i in range(batches):
+        part = d.where((F.col("_pos") > i * rows_per_trigger) & (F.col("_pos") <= (i + 1) * rows_per_trigger)).drop("_pos")
+        part.repartition(files_per_trigger).write.mode("append").parquet(path)
+    return batches
+
+
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 4) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def run_batches(stream: DataFrame, handler, name: str, mode: str = "append") -> None:
-    """Drive ``stream`` to completion with ``foreachBatch(handler)``."""
+def run_batches(stream: DataFrame, handler, name: str, mode: str = "append", done: threading.Event | None = None) -> None:
+    """Drive ``stream`` to completion with ``foreachBatch(handler)``, or until
+    ``done`` is set, which ends the query before the rest is read."""
     spark = stream.sparkSession
     ckpt = scratch_path(spark, f"ckpt-{name}")
     q = (stream.writeStream.outputMode(mode).foreachBatch(handler)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    while not q.awaitTermination(1 if done is not None else 3600):
+        if done is not None and done.is_set():
+            q.stop()
+            return
 
 
 def batch_writer(sink: str):
@@ -88,24 +96,23 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
                  order: tuple[str, ...] = ("ts", "id")) -> DataFrame:
     """Per-source quota with early stop across micro-batches.
 
-    Each batch ranks its rows per source and accepts only what is left of
-    the target after the batches before it (counted from the sink, excluding
-    the batch itself, so a replay gives the same answer)."""
+    Each batch ranks its rows per source and accepts only what is left of the
+    target. The counts so far are a row a source, committed with each batch in a
+    folder of its id, so a batch reads the counts of the batch before it and
+    nothing of the sink, and a replay gives the same answer. Once all sources are
+    full the query ends; a batch that has begun by then is not read."""
     from rookery.operators.sampling import bucketed_rank
-    sink = scratch_path(spark, f"sink-{name}")
-    accepted = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+    sink, state = scratch_path(spark, f"sink-{name}"), scratch_path(spark, f"counts-{name}")
     tgt = spark.createDataFrame(list(targets.items()), "source STRING, target BIGINT")
+    full = threading.Event()
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        left = F.broadcast(tgt)
-        if batch_id == 0:  # nothing accepted yet
-            left = left.withColumn("done", F.lit(0).cast("bigint"))
-        else:
-            prior = (batch_df.sparkSession.read.schema(accepted).parquet(sink).filter(F.col("batch_id") < batch_id)
-                     .groupBy("source").agg(F.count(F.lit(1)).alias("done")))
-            left = left.join(prior, "source", "left")
-        left = left.select("source", (F.col("target") - F.coalesce(F.col("done"), F.lit(0))).alias("room"))
-        b = batch_df.join(F.broadcast(left), "source")
+        if full.is_set():
+            return
+        session = batch_df.sparkSession
+        done = dict(session.read.parquet(f"{state}/batch_id={batch_id - 1}").collect()) if batch_id else {}  # a row a source
+        left = session.createDataFrame([(k, v - done.get(k, 0)) for k, v in targets.items()], "source STRING, room BIGINT")
+        b = batch_df.join(F.broadcast(left), "source").where("room > 0")
         # exact per-source rank by (ts, id) without a one-task-per-source
         # window: event time (microseconds, time-zone free) normalised to
         # [0, 1) over the batch feeds the bucketed rank
@@ -115,39 +122,65 @@ def stream_quota(spark: SparkSession, src: str, schema: T.StructType, targets: d
         b = b.crossJoin(bounds).withColumn("_u", (F.col("_t") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1.0))
         r = bucketed_rank(b, "_u", list(order), ["source"], limit=F.col("room"), n_buckets=4096,
                          small_groups=True)  # the targets are a fixed list
-        r.drop("_t", "_lo", "_hi", "_u", "rank", "room") \
-            .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        out = f"{sink}/batch_id={batch_id}"
+        r.drop("_t", "_lo", "_hi", "_u", "rank", "room").write.mode("overwrite").parquet(out)
+        new = dict(session.read.schema(schema).parquet(out).groupBy("source").count().collect())
+        counts = [(k, done.get(k, 0) + new.get(k, 0)) for k in targets]
+        session.createDataFrame(counts, "source STRING, done BIGINT").coalesce(1).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        if all(c >= targets[k] for k, c in counts):
+            full.set()
 
-    run_batches(read_stream(spark, src, schema), handle, name)
-    return spark.read.parquet(sink)
+    if any(v > 0 for v in targets.values()):
+        run_batches(read_stream(spark, src, schema), handle, name, done=full)
+        return spark.read.parquet(sink)
+    return spark.createDataFrame([], schema)
+
+
+KEY_BUCKETS = 64
+
+
+def key_bucket(key: str, buckets: int = KEY_BUCKETS):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def touched_history(spark: SparkSession, sink: str, written: T.StructType, buckets: list[int], batch_id: int) -> DataFrame:
+    """What batches before ``batch_id`` wrote to these buckets: the only folders read."""
+    return (spark.read.schema(written).parquet(sink)
+            .where(F.col("bucket").isin(buckets) & (F.col("batch_id") < batch_id)))
 
 
 def stream_dedup(spark: SparkSession, src: str, schema: T.StructType, key: str, name: str,
-                 delay: str = "1 day") -> DataFrame:
+                 delay: str = "1 day", buckets: int = KEY_BUCKETS) -> DataFrame:
     """Drop repeats of ``key``.
 
-    Repeats within the watermark delay are dropped by the streaming state,
-    which holds only that span; older repeats are dropped against the sink
-    (batches before this one, so a replay gives the same answer)."""
+    Repeats within the watermark delay are dropped by the streaming state, which
+    holds only that span; older repeats are dropped against the sink, whose
+    folders are ``buckets`` of the key's hash: a batch meets the buckets that its
+    own new keys fall into (at most ``buckets`` numbers on the driver) and none of
+    the others. Only batches before this one count, and a batch overwrites its own
+    folders, so a replay gives the same answer."""
     s = event_time(read_stream(spark, src, schema)).withWatermark("ts", delay)
     d = s.dropDuplicatesWithinWatermark([key]).select(key)
     sink = scratch_path(spark, f"sink-{name}")
-    written = T.StructType([schema[key], T.StructField("batch_id", T.IntegerType())])
+    written = T.StructType([schema[key], T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.IntegerType())])
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        new = batch_df.dropDuplicates([key])
+        new = cut_lineage(batch_df.dropDuplicates([key]).withColumn("bucket", key_bucket(key, buckets)))
         if batch_id > 0:
-            prior = batch_df.sparkSession.read.schema(written).parquet(sink).filter(F.col("batch_id") < batch_id)
-            new = new.join(prior.select(key), key, "left_anti")
-        new.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+            prior = touched_history(batch_df.sparkSession, sink, written, touched, batch_id)
+            new = new.join(prior.select(key, "bucket"), ["bucket", key], "left_anti")
+        (new.withColumn("batch_id", F.lit(batch_id)).repartition("bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(sink))
 
     run_batches(d, handle, name)
-    return spark.read.schema(written).parquet(sink).drop("batch_id")
+    return spark.read.schema(written).parquet(sink).drop("bucket", "batch_id")
 
 
 def stream_batch_sizes(spark: SparkSession, src: str, schema: T.StructType, name: str,
-                       files_per_trigger: int = 1) -> DataFrame:
-    """Rate limit: at most ``files_per_trigger`` files per micro-batch."""
+                       files_per_trigger: int = 4) -> DataFrame:
+    """Rate limit: at most ``files_per_trigger`` files per micro-batch, and so at
+    most the rows that the producer puts into so many files."""
     sink = scratch_path(spark, f"sink-{name}")
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
