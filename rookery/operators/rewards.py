@@ -173,10 +173,27 @@ REWARDS: dict[str, Callable[[], Column]] = {
 
 
 def register_reward(name: str, fn: Callable[[], Column]) -> None:
-    """Add a reward (a Column factory; wrap user Python in a pandas_udf)."""
+    """Add a reward: a Column factory."""
     REWARDS[name] = fn
 
 
+def register_arrow_reward(name: str, fn: Callable, columns: list[str]) -> None:
+    """Add a user's reward function. It gets Arrow arrays of ``columns`` of the
+    scored rollouts, a batch at a time, and returns one double for each row; a
+    null counts as 0, like a reward that does not apply."""
+    from pyspark.sql.functions import ArrowUDFType, arrow_udf
+
+    def batch(*arrays):
+        import pyarrow as pa
+        out = fn(*arrays)
+        if len(out) != len(arrays[0]):
+            raise ValueError(f"reward {name} returned {len(out)} values for {len(arrays[0])} rows")
+        return out.cast(pa.float64())
+
+    call = arrow_udf(batch, "double", ArrowUDFType.SCALAR)
+    REWARDS[name] = lambda: F.coalesce(call(*[F.col(c) for c in columns]), F.lit(0.0))
+
+
 def reward_total(names: list[str]) -> Column:
     total = None
     for n in names:

@@ -218,20 +218,31 @@ def q_reward_total(spark, sf):
                     F.round(R.reward_total(["wpd", "format", "xml_count"]), 6).alias("reward_total"))
 
 
+def brevity(chars):
+    """A user's reward: up to 0.1 for a short completion."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    share = pc.subtract(1.0, pc.divide(chars.cast(pa.float64()), 4000.0))
+    return pc.multiply(0.1, pc.max_element_wise(share, 0.0, skip_nulls=False))
+
+
 @register("reward_registry", with_fx(
     f"WITH {SCORED_SQL} SELECT prompt_id, sample_id, round(reward_topn + reward_format + reward_tag_count, 6) "
     "AS reward_topn_total, round(reward_wpd + reward_format + reward_tag_count, 6) AS reward_wpd_total, "
     "round(reward_format + reward_tag_count + CASE WHEN length(completion) > 2000 THEN -0.05 ELSE 0.0 END, 6) "
-    "AS reward_custom FROM scored", *FX))
+    "AS reward_custom, round(reward_format + 0.1::DOUBLE * greatest(0.0::DOUBLE, 1.0::DOUBLE - length(completion) / 4000.0::DOUBLE), 6) AS reward_arrow FROM scored", *FX))
 def q_reward_registry(spark, sf):
-    """Rewards chosen by name and summed; a user-registered reward joins the sum."""
+    """Rewards chosen by name and summed; rewards that a user registers, a column
+    and a function over Arrow batches, join the sum."""
+    R.register_arrow_reward("brevity", brevity, ["completion_chars"])
     R.register_reward("length_penalty", lambda: F.when(F.col("completion_chars") > 2000, F.lit(-0.05))
                       .otherwise(F.lit(0.0)))
     s = scored(spark, sf)
     return s.select("prompt_id", "sample_id",
                     F.round(R.reward_total(["topn", "format", "xml_count"]), 6).alias("reward_topn_total"),
                     F.round(R.reward_total(["wpd", "format", "xml_count"]), 6).alias("reward_wpd_total"),
-                    F.round(R.reward_total(["format", "xml_count", "length_penalty"]), 6).alias("reward_custom"))
+                    F.round(R.reward_total(["format", "xml_count", "length_penalty"]), 6).alias("reward_custom"),
+                    F.round(R.reward_total(["format", "brevity"]), 6).alias("reward_arrow"))
 
 
 @register("reward_stats", with_fx(

@@ -14,9 +14,11 @@ from rookery.operators.scoring import analyse_candidates, softmax_policy
 from rookery.plans import sqlfrag as S
 from rookery.plans.q_scoring import ANALYSED, POLICY, PROFILE, profile_frame, win_prob_sql
 from rookery.plans.registry import register
+from rookery.session import cut_lineage
 from rookery.sources.fixtures import plan_memo
 from rookery.sources.fixtures import (fx_candidates, fx_games, fx_positions, fx_puzzle_records, fx_puzzles,
                                       fx_pv, fx_valid_moves, with_fx)
+from rookery.sources.sinks import write_bucketed
 from rookery.functions.casts import rating_or_default
 from rookery.functions.text import tokens
 
@@ -350,30 +352,41 @@ def q_refutation_line(spark, sf):
 
 # ---- depth merge, config overrides ------------------------------------------------------
 
+PROBED = 5  # moves of a position that the probes look at
+
+
 @register("depth_merge", with_fx(
     f"WITH {ANALYSED}, m AS (SELECT pos_id, uci, cp, rank FROM analysed), "
-    "sh AS (SELECT pos_id, uci, shallow_cp FROM analysed), "
-    "cf AS (SELECT pos_id, uci, confirm_cp FROM analysed) "
+    f"sh AS (SELECT pos_id, uci, shallow_cp FROM analysed WHERE rank <= {PROBED} AND slot % 7 <> 0), "
+    f"cf AS (SELECT pos_id, uci, confirm_cp FROM analysed WHERE rank <= {PROBED} AND slot % 5 <> 0) "
     "SELECT m.pos_id, m.uci, m.cp, sh.shallow_cp, cf.confirm_cp, "
     f"round({win_prob_sql('sh.shallow_cp')}, 6) AS shallow_wp, round({win_prob_sql('cf.confirm_cp')}, 6) AS confirm_wp "
     "FROM m LEFT JOIN sh ON sh.pos_id = m.pos_id AND sh.uci = m.uci LEFT JOIN cf ON cf.pos_id = m.pos_id "
     "AND cf.uci = m.uci", *C))
 def q_depth_merge(spark, sf):
-    """Main scores with the shallow and confirm probes of the same move."""
-    return depth_merge(analysed(spark, sf)).select(
+    """Main scores with those of the shallow and the confirming probe, three tables
+    of their own; the probes saw the first moves only and missed some."""
+    return depth_merge(*score_tables(spark, sf)).select(
         "pos_id", "uci", "cp", "shallow_cp", "confirm_cp",
         F.round(win_probability("shallow_cp"), 6).alias("shallow_wp"),
         F.round(win_probability("confirm_cp"), 6).alias("confirm_wp"))
 
 
-def depth_merge(a, max_rank: int | None = None):
-    """The probes stand on the candidate's row, so nothing is joined.
-    ``max_rank``: only moves up to this rank were probed (default: all)."""
-    if max_rank is None:
-        return a
-    probed = F.col("rank") <= max_rank
-    return a.withColumn("shallow_cp", F.when(probed, F.col("shallow_cp"))).withColumn(
-        "confirm_cp", F.when(probed, F.col("confirm_cp")))
+def score_tables(spark, sf):
+    """The three score tables, each written by itself in the same buckets."""
+    a = cut_lineage(analysed(spark, sf))
+    probed = a.where(F.col("rank") <= PROBED)
+    return tuple(write_bucketed(df, name, ["pos_id", "uci"]) for name, df in (
+        ("scores_main", a.select("pos_id", "uci", "cp", "rank")),
+        ("scores_shallow", probed.where("slot % 7 <> 0").select("pos_id", "uci", "shallow_cp")),
+        ("scores_confirm", probed.where("slot % 5 <> 0").select("pos_id", "uci", "confirm_cp"))))
+
+
+def depth_merge(main, shallow, confirm):
+    """``main`` with the probes' scores, null where a probe has none. Tables in the
+    same buckets of ``(pos_id, uci)`` are joined bucket by bucket, without a shuffle."""
+    on = ["pos_id", "uci"]
+    return main.join(shallow.hint("merge"), on, "left").join(confirm.hint("merge"), on, "left")
 
 
 # --- fixed values -----------------------------------------------------------

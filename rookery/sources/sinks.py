@@ -54,3 +54,15 @@ def jsonl_to_parquet(spark: SparkSession, src: str, dst: str,
                      schema: T.StructType = TRACE_ROW_SCHEMA) -> DataFrame:
     read_jsonl(spark, src, schema).write.mode("overwrite").parquet(dst)
     return spark.read.parquet(dst)
+
+
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int = 16) -> DataFrame:
+    """Write ``df`` as a table of the session's catalog in ``buckets`` of ``keys``,
+    sorted by them, its files in the shared folder. Tables of the same buckets join
+    on the keys without a shuffle. Rows go to their bucket before they are written,
+    so a bucket is one file."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", scratch_path(spark, table)).format("parquet").saveAsTable(table))
+    return spark.table(table)

@@ -67,3 +67,50 @@ def test_board_features_do_not_explode(spark):
 def test_diversity_scans_documents_once(spark):
     assert _plan(spark, "group_diversity").count("documents.parquet") == 1
     assert _plan(spark, "class_mix_sample").count("documents.parquet") == 1
+
+
+def test_score_tables_merge_without_a_shuffle(spark):
+    """Three tables written apart, in the same buckets; moves are missing in two."""
+    from pyspark.sql import functions as F
+
+    from rookery.plans.q_selection import depth_merge
+    from rookery.sources.sinks import write_bucketed
+
+    moves = spark.range(300).select(F.col("id").alias("pos_id"), F.concat(F.lit("m"), (F.col("id") % 5).cast("string")).alias("uci"))
+    tables = [write_bucketed(moves.where(keep).withColumn(c, F.col("pos_id") * k), f"probe_{c}", ["pos_id", "uci"], 4)
+              for c, keep, k in (("cp", "true", 1), ("shallow_cp", "pos_id % 3 > 0", 2), ("confirm_cp", "pos_id % 2 > 0", 3))]
+    merged = depth_merge(*tables)
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2, plan
+    rows = {r.pos_id: r for r in merged.collect()}
+    assert len(rows) == 300 and rows[7].shallow_cp == 14 and rows[7].confirm_cp == 21
+    assert rows[6].shallow_cp is None and rows[6].confirm_cp is None and rows[4].shallow_cp == 8 and rows[4].confirm_cp is None
+
+
+def test_rewards_of_a_user_in_arrow(spark):
+    import pyarrow.compute as pc
+
+    from rookery.operators import rewards as R
+
+    df = spark.createDataFrame([(1, 10.0, 2.0), (2, None, 1.0), (3, 4.0, 0.0)], "i int, a double, reward_format double")
+    try:
+        R.register_arrow_reward("double_a", lambda a: pc.multiply(a, 2), ["a"])
+        R.register_arrow_reward("sum_of", lambda a, b: pc.add(a, b), ["a", "reward_format"])
+        got = df.select("i", R.reward_total(["format", "double_a"]).alias("r"), R.reward_total(["sum_of"]).alias("s")).collect()
+        assert {r.i: (r.r, r.s) for r in got} == {1: (22.0, 12.0), 2: (1.0, 0.0), 3: (8.0, 4.0)}
+        R.register_arrow_reward("short", lambda a: a.slice(0, 1), ["a"])
+        try:
+            df.coalesce(1).select(R.reward_total(["short"])).collect()
+            raise AssertionError("a reward of too few values passed")
+        except Exception as ex:  # noqa: BLE001
+            assert "returned 1 values" in str(ex)
+    finally:
+        for k in ("double_a", "sum_of", "short"):
+            R.REWARDS.pop(k, None)
