@@ -262,8 +262,9 @@ def avoid_blunder(analysed: DataFrame, policy: DataFrame, min_cp_loss: int = 120
     argmax of (tempting, p, cp_loss), first in rank order on ties; the
     table-derivable tempting term is the shallow-good / deep-bad swing."""
     w = Window.partitionBy("pos_id")
-    pol = policy.select("pos_id", "uci", "prob")
-    j = analysed.join(pol, ["pos_id", "uci"], "left").withColumn("p", F.coalesce(F.col("prob"), F.lit(0.0)))
+    # a map a position, so the join keeps the partitioning by position
+    pol = policy.groupBy("pos_id").agg(F.map_from_entries(F.collect_list(F.struct("uci", "prob"))).alias("_probs"))
+    j = analysed.join(pol, "pos_id", "left").withColumn("p", F.coalesce(F.try_element_at("_probs", F.col("uci")), F.lit(0.0))).drop("_probs")
     j = j.withColumn("bs", F.max("shallow_cp").over(w))
     j = j.filter((F.col("rank") != 1) & (F.col("cp_loss") >= min_cp_loss) & (F.col("p") >= min_prob))
     tempting = F.when(F.col("bs").isNotNull() & F.col("shallow_cp").isNotNull()

@@ -19,86 +19,96 @@ from rookery.operators import traces as TR
 from rookery.plans import sqlfrag as S
 from rookery.plans import trace_sql as TS
 from rookery.plans.registry import register
-from rookery.sources.fixtures import fx_candidates, fx_positions, fx_puzzle_records, fx_pv, fx_valid_list, with_fx
+from rookery.sources.fixtures import fx_positions, fx_puzzle_records, with_fx
+from rookery.sources.sinks import write_bucketed
 
 
 # ---- Spark inputs ---------------------------------------------------------------
 
-def spark_inputs(spark, sf):
-    """Per-position, per-candidate and best-line inputs of the trace job.
-
-    Only the analysed candidates, which feed six branches, are written to the
-    shared folder first."""
+def position_table(spark, sf):
+    """What a position has by itself, a row each: board features, opening,
+    tablebase, puzzle. Written in buckets of ``pos_id``."""
     from rookery.functions.casts import rating_or_default
     from rookery.functions.text import tokens
     from rookery.operators import board as BD
     from rookery.operators import board_features as BF
+    from rookery.operators import lookups as L
     from rookery.operators.lookups import opening_index
-    from rookery.operators.scoring import analyse_candidates, decision_profile, softmax_policy
-    from rookery.plans.q_board import opening_book, q_endgame_table_lookup
-    from rookery.session import cut_lineage
-    from rookery.sources.fixtures import START_FEN, fx_valid_moves
-
-    a = cut_lineage(analyse_candidates(fx_candidates(spark, sf)))
-    pol = softmax_policy(fx_valid_moves(spark, sf), a.select("pos_id", "uci", "cp"))
-    best = a.filter("rank = 1").select("pos_id", F.col("uci").alias("best_uci"),
-                                       F.col("mate_in").alias("best_mate"), F.col("win_prob").alias("best_wp"))
-    pos = fx_positions(spark, sf).select("pos_id", "fen").join(fx_valid_list(spark, sf), "pos_id")
-    prof = decision_profile(None, None, analysed_df=a, policy_df=pol) \
-        .select("pos_id", "forced_mate", "only_move", "many_options")
+    from rookery.plans.q_board import opening_book, tablebase
+    from rookery.sources.fixtures import START_FEN
+
+    positions = fx_positions(spark, sf).select("pos_id", "fen")
     puz = fx_puzzle_records(spark, sf).select(
         F.col("puzzle_id").alias("pos_id"), tokens(F.coalesce("themes", F.lit(""))).alias("themes"),
         rating_or_default("rating").alias("rating"), F.lit("puzzle").alias("source"))
-    origin = fx_positions(spark, sf).select("pos_id").join(puz, "pos_id", "left").select(
-        "pos_id", F.coalesce("source", F.lit("game")).alias("source"),
-        F.coalesce("themes", F.array().cast("array<string>")).alias("themes"), "rating")
-    st = SEL.select_style(origin, "source", "pos_id", "themes", "rating").select("pos_id", "source", "themes", "style")
-    style = SEL.override_style(st.join(prof, "pos_id"), "pos_id").select(
-        "pos_id", "source", "themes", F.col("final_style").alias("style"))
-    tb = q_endgame_table_lookup(spark, sf).select("pos_id", "tb_result")
     idx = opening_index(opening_book(spark, sf), START_FEN).select("key", F.col("name").alias("opening_name"))
     fam = TR.opening_family(spark, idx.select(F.col("opening_name").alias("name")).distinct()) \
         .withColumnRenamed("name", "opening_name")
     own = lambda k: F.when(F.col("side") == "w", F.col(f"{k}_w")).otherwise(F.col(f"{k}_b"))
     foe = lambda k: F.when(F.col("side") == "w", F.col(f"{k}_b")).otherwise(F.col(f"{k}_w"))
-    feats = BF.features(BD.boards(fx_positions(spark, sf))).select(
+    feats = BF.features(BD.boards(positions)).select(
         "fen", "phase", "endgame_type", own("hanging").alias("hang_own"), "in_check", own("passed").isNotNull().alias("passed_own"),
         (F.col("open_files") != "").alias("open_file"), foe("king_exposed").alias("enemy_king_exposed"), "mat_diff",
         "pawn_structure_code", "king_safety_code", "development", "top_motif")
+    tb = tablebase(spark, sf).select(F.col("key").alias("tb_key"), "wdl")
+    t = positions.withColumn("key", fen_key("fen")).withColumn("n_pieces", L.piece_count("fen"))
+    t = t.join(feats, "fen").join(idx, "key", "left").join(tb, (F.col("key") == F.col("tb_key")) & (F.col("n_pieces") <= 7), "left")
+    t = t.join(fam, "opening_name", "left").join(puz, "pos_id", "left")
+    tb_result = F.when(F.col("wdl") > 0, "winning").when(F.col("wdl") < 0, "losing").when(F.col("wdl") == 0, "drawing")
+    return in_buckets(t.select(
+        "pos_id", "fen", F.split_part("fen", F.lit(" "), F.lit(2)).alias("side"), F.split_part("fen", F.lit(" "), F.lit(6)).cast("int").alias("fullmove"),
+        F.split_part("fen", F.lit(" "), F.lit(3)).alias("castling"), tb_result.alias("tb_result"), "opening_name",
+        TR.opening_short_name("opening_name").alias("opening_short"), "family", "phase", "endgame_type", "hang_own", "in_check", "passed_own",
+        "open_file", "enemy_king_exposed", "mat_diff", "pawn_structure_code", "king_safety_code", "development", "top_motif",
+        F.coalesce("source", F.lit("game")).alias("source"), F.coalesce("themes", F.array().cast("array<string>")).alias("themes"), "rating"), "positions")
+
+
+def in_buckets(df, name):
+    """A table by position: what is joined or grouped by it later stays in its bucket."""
+    return write_bucketed(df, name, ["pos_id"], int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spark_inputs(spark, sf):
+    """Per-position, per-candidate and best-line inputs of the trace job.
+
+    Two tables are written in the same buckets of ``pos_id``: the positions and the
+    analysed candidates. Lines, legal moves, policy, profile, traps and pools are
+    windows and aggregates inside the buckets, so none of them is shuffled."""
+    from rookery.operators.scoring import analyse_candidates, decision_profile, softmax_policy
+    from rookery.sources.fixtures import UNSCORED_MOVES, fx_scored_lines
+
+    p = position_table(spark, sf)
+    a = in_buckets(SEL.trap_confirm(SEL.trap_detect(analyse_candidates(fx_scored_lines(spark, sf)))), "analysed")
+    lines = a.groupBy("pos_id").agg(F.array_sort(F.collect_list(F.struct("slot", "uci", "forcing"))).alias("line"))
+    valid = lines.select("pos_id", F.concat(F.transform("line", lambda x: x["uci"]), F.array(*[F.lit(m) for m in UNSCORED_MOVES])).alias("valid_moves"))
+    pol = softmax_policy(valid.select("pos_id", F.explode("valid_moves").alias("uci")), a.select("pos_id", "uci", "cp"))
+    best = a.filter("rank = 1").select("pos_id", F.col("uci").alias("best_uci"), F.col("mate_in").alias("best_mate"),
+                                       F.col("win_prob").alias("best_wp"), F.col("slot").alias("best_slot"))
+    prof = decision_profile(None, None, analysed_df=a, policy_df=pol).select("pos_id", "forced_mate", "only_move", "many_options")
     avoid = SEL.avoid_blunder(a, pol).select("pos_id", "avoid_uci")
-    t = (pos.join(best, "pos_id").join(prof, "pos_id").join(style, "pos_id").join(tb, "pos_id", "left")
-         .join(feats, "fen").join(avoid, "pos_id", "left"))
-    t = t.withColumn("key", fen_key("fen")).join(idx, "key", "left").join(fam, "opening_name", "left")
+    t = p.join(valid, "pos_id").join(best.drop("best_slot"), "pos_id").join(prof, "pos_id").join(avoid, "pos_id", "left")
+    t = SEL.override_style(SEL.select_style(t, "source", "pos_id", "themes", "rating"), "pos_id")
     t = t.withColumn("assessment", SEL.assessment_band(F.lit(None).cast("string"), F.col("best_wp")))
     t = t.select(
-        "pos_id", "fen", F.split_part("fen", F.lit(" "), F.lit(2)).alias("side"),
-        F.split_part("fen", F.lit(" "), F.lit(6)).cast("int").alias("fullmove"),
-        F.split_part("fen", F.lit(" "), F.lit(3)).alias("castling"),
-        "style", "forced_mate", "only_move", "many_options", "best_uci", "best_mate", "best_wp", "assessment",
-        "tb_result", "opening_name", TR.opening_short_name("opening_name").alias("opening_short"), "family",
+        "pos_id", "fen", "side", "fullmove", "castling",
+        F.col("final_style").alias("style"), "forced_mate", "only_move", "many_options", "best_uci", "best_mate", "best_wp", "assessment",
+        "tb_result", "opening_name", "opening_short", "family",
         "phase", "endgame_type", "hang_own", "in_check", "passed_own", "open_file", "enemy_king_exposed",
         "mat_diff", "pawn_structure_code", "king_safety_code", "development", "top_motif", "source", "themes",
         "avoid_uci", F.array_join("valid_moves", ", ").alias("valid_moves_str"),
         flt.resolve_chosen_move("best_uci", F.lit(None).cast("string"), "valid_moves").alias("chosen_move"),
         *[hash_uniform(42, F.col("pos_id"), F.lit(n)).alias(f"u_{n}") for n in A.POS_DRAWS])
     # pool candidates with traps, confirmation and stored PV (first 4 plies)
-    tr = SEL.trap_confirm(SEL.trap_detect(a)).select("pos_id", "uci", "trap_kind", "confidence")
-    pool = SEL.candidate_pool(a).select("pos_id", "uci", "rank", "pick", "win_prob", "cp_loss", "category",
-                                        "mate_in", "slot")
-    pv = fx_pv(spark, sf).select("pos_id", "ply", F.col("uci").alias("m"))
-    pj = pool.select("pos_id", "uci", "slot").join(pv, "pos_id").filter(F.col("ply") >= F.col("slot"))
-    pvs = pj.groupBy("pos_id", "uci").agg(F.array_sort(F.collect_list(F.struct("ply", "m"))).alias("_s"))
-    pvs = pvs.select("pos_id", "uci", F.array_join(F.slice(F.transform("_s", lambda x: x["m"]), 1, 4), " ")
-                     .alias("pv"))
-    tc = pool.join(tr, ["pos_id", "uci"], "left").join(pvs, ["pos_id", "uci"], "left")
+    after = F.filter("line", lambda x: x["slot"] >= F.col("slot"))
+    tc = SEL.candidate_pool(a).join(lines, "pos_id")
     tc = tc.select("pos_id", "uci", "rank", "pick", "win_prob", "cp_loss", "category", "mate_in", "trap_kind",
-                   "confidence", F.coalesce(F.col("pv"), F.lit("")).alias("pv"),
+                   "confidence", F.array_join(F.slice(F.transform(after, lambda x: x["uci"]), 1, 4), " ").alias("pv"),
                    *[hash_uniform(42, F.col("pos_id"), F.col("uci"), F.lit(n)).alias(f"u_{n}")
                      for n in A.CAND_DRAWS])
     # plies of the best candidate's line
-    bs = a.filter("rank = 1").select("pos_id", "slot")
-    tpv = fx_pv(spark, sf).join(bs, "pos_id").filter(F.col("ply") >= F.col("slot"))
-    tpv = tpv.select("pos_id", (F.col("ply") - F.col("slot") + 1).cast("int").alias("n"), "uci", "forcing")
+    tpv = lines.join(best.select("pos_id", "best_slot"), "pos_id").select("pos_id", "best_slot", F.explode("line").alias("x"))
+    tpv = tpv.where(F.col("x.slot") >= F.col("best_slot")).select(
+        "pos_id", (F.col("x.slot") - F.col("best_slot") + 1).cast("int").alias("n"), "x.uci", "x.forcing")
     return t, tc, tpv
 
 

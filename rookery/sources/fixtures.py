@@ -231,6 +231,12 @@ def fx_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candidate_base(spark, sf_dir).drop("forcing")
 
 
+@plan_memo
+def fx_scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates, each also a ply of its position's line (``slot``, ``forcing``)."""
+    return _candidate_base(spark, sf_dir)
+
+
 @plan_memo
 def fx_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Principal-variation plies: one per lineitem, ``ply = slot``."""

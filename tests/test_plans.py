@@ -114,3 +114,28 @@ def test_rewards_of_a_user_in_arrow(spark):
     finally:
         for k in ("double_a", "sum_of", "short"):
             R.REWARDS.pop(k, None)
+
+
+def test_traces_join_inside_buckets(spark, monkeypatch):
+    """Traces are made from two tables in the same buckets of the position: one
+    shuffle makes the candidates, few the positions, none comes after."""
+    from rookery.plans import q_traces
+
+    made = {}
+    write = q_traces.write_bucketed
+
+    def watch(df, name, keys, buckets):
+        made[name] = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        return write(df, name, keys, buckets)
+
+    monkeypatch.setattr(q_traces, "write_bucketed", watch)
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = E.queries()["trace_rows"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert "Exchange" not in plan
+    assert made["analysed"] == 1 and made["positions"] <= 12
