@@ -139,7 +139,11 @@ def test_rows_that_share_an_id(spark):
 
 
 def test_pii(docs, empty, spark):
-    got = pii.replace_pii(docs.withColumn("N_entities", F.lit(9)), "k")
+    clash = docs.withColumn("N_entities", F.lit(9))
+    for c in ("pieces", "map", "check", "id", "c0", "mention", "found_id"):
+        clash = clash.withColumn(c, F.lit("kept"))
+    got = pii.replace_pii(clash, "k")
+    assert got.where("pieces = 'kept' AND map = 'kept' AND c0 = 'kept' AND found_id = 'kept'").count() == len(ROWS)
     assert [c.lower() for c in got.columns].count("n_entities") == 1
     assert rows(got, "doc_id", "text") == rows(docs, "doc_id", "text")
     assert pii.replace_pii(empty, "k").count() == 0

@@ -272,7 +272,7 @@ def test_pii_collisions(spark):
     df = spark.createDataFrame([("ip", f"1.1.{i // 250}.{i % 250}") for i in range(2000)], "kind string, core string")
     original = pii.surrogate_of
     try:
-        pii.surrogate_of = lambda kind, core, s: F.concat(F.lit("9.9."), (F.element_at(s, 1) % 3000).cast("string"))
+        pii.surrogate_of = lambda kind, core, s, n: F.concat(F.lit("9.9."), (F.element_at(s, 1) % 3000).cast("string"))
         got = pii.entity_map(df, "k").collect()
     finally:
         pii.surrogate_of = original
@@ -280,20 +280,98 @@ def test_pii_collisions(spark):
 
 
 def test_pii_phones_stay_apart(spark):
-    """Numbers that differ only in the country code's place are one when written."""
+    """A number is one entity with and without its country code, which stays."""
     phones = [f"+1 (800) 555-0{i:03d}" for i in range(120)]
-    df = spark.createDataFrame([(i, p) for i, p in enumerate(phones)] + [(500, "+1 800 555 0007 and 1 (800) 555-0007")], "doc_id long, text string")
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(phones)] + [(500, "+1 800 555 0007 and (800) 555-0007 and 1 (800) 555-0007 and +44 (800) 555-0007")],
+                               "doc_id long, text string")
     original = pii.surrogate_of
     try:
-        pii.surrogate_of = lambda kind, core, s: F.concat((F.element_at(s, 1) % 10).cast("string"), F.lit("8005550"), F.lpad(
-            (F.element_at(s, 2) % 1000).cast("string"), 3, "0"))
+        pii.surrogate_of = lambda kind, core, s, n: F.concat(F.lit("8005550"), F.lpad((F.element_at(s, 2) % 1000).cast("string"), 3, "0"))
         got = {r.doc_id: r.text for r in pii.replace_pii(df, "k").collect()}
     finally:
         pii.surrogate_of = original
     both = got.pop(500)
     assert all(t.startswith("+1 (800) 555-0") for t in got.values())
     assert len(set(got.values())) == 120 and not set(got.values()) & set(phones)
-    assert [re.sub(r"\D", "", x) for x in both.split(" and ")] == [re.sub(r"\D", "", got[7])] * 2
+    mine = re.sub(r"\D", "", got[7])
+    assert [re.sub(r"\D", "", x) for x in both.split(" and ")] == [mine, mine[1:], mine, "44" + mine[1:]]
+
+
+def test_pii_names_follow(spark):
+    df = spark.createDataFrame([(1, "Mr. John Smith called. Later Mr. Smith wrote. Smith left, John stayed. Smithson came."),
+                                (2, "Mrs Mary Smith and Mr. Peter Smith; nobody else."), (3, "Smith and John have no title here."),
+                                (4, "Mr. John Jones. Frau Li Li met Li's friend."), (5, "Господин Иван Петров. Петров ушёл.")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.replace_pii(df, "k").collect()}
+    one = re.fullmatch(r"Mr\. (\w+) (\w+) called\. Later Mr\. (\w+) wrote\. (\w+) left, (\w+) stayed\. Smithson came\.", got[1])
+    assert one and one[2] == one[3] == one[4] != "Smith" and one[1] == one[5] != "John"
+    two = re.fullmatch(r"Mrs (\w+) (\w+) and Mr\. (\w+) (\w+); nobody else\.", got[2])
+    assert two[2] == two[4] == one[2] and two[1] != two[3]
+    assert got[3] == "Smith and John have no title here."
+    four = re.fullmatch(r"Mr\. (\w+) (\w+)\. Frau (\w+) (\w+) met (\w+)'s friend\.", got[4])
+    assert four and four[1] == one[1] and four[2] != one[2] and four[5] in (four[3], four[4])
+    five = re.fullmatch(r"Господин (\w+) (\w+ов)\. (\w+) ушёл\.", got[5])
+    assert five and five[2] == five[3] != "Петров"
+
+
+def test_pii_many_names_stay_apart(spark):
+    """More given names than the pool has, and short family names."""
+    letters = "abcdefghij"
+    rows = [(i, f"Mr. {letters[i // 10].upper()}{letters[i % 10]}n {letters[i % 10].upper()}{letters[i // 10]}.") for i in range(100)]
+    got = [r.text for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()]
+    found = [re.fullmatch(r"Mr\. (\w+) (\w+)\.", t) for t in got]
+    assert len({m[1] for m in found}) == 100 and len({m[2] for m in found}) == 100
+    real = {w for _, t in rows for w in re.findall(r"\w+", t)} - {"Mr"}
+    assert not real & {w for m in found for w in m.groups()}
+
+
+def _python_pieces(text):
+    """Mentions by the same patterns in another engine: plain, match, plain, ..."""
+    import regex
+
+    out, last = [], 0
+    for m in regex.finditer(pii.ANY, text):
+        out += [text[last:m.start()], m[0]]
+        last = m.end()
+    return out + [text[last:]]
+
+
+def test_pii_against_python(spark):
+    """Texts cut by Python: plain parts stay to the letter, each entity has one
+    surrogate over all texts and formats, no two the same, none a real one."""
+    import regex
+
+    rows = [r for r in PERSONAL if not re.search(pii.MALE + "|" + pii.FEMALE, r[1])] + [(100 + i, f"Mail u{i % 40}@h{i % 7}.org, ring +{i % 3 + 1} ({200 + i % 30}) 555-{1000 + i % 50}, or ({200 + i % 30}) 555-{1000 + i % 50}; host 10.0.{i % 9}.{i % 50}, "
+                        f"id {100 + i % 60}-22-{3000 + i % 60} {chr(0xE000) if i % 11 == 0 else ''} pwd=abc{i % 13}defgh") for i in range(150)]
+    got = {r.doc_id: r.text for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    surrogate, real = {}, set()
+    for i, text in rows:
+        pieces, rest = _python_pieces(text), got[i]
+        for n, piece in enumerate(pieces):
+            if n % 2 == 0:
+                assert rest.startswith(piece), (i, piece, rest)
+                rest = rest[len(piece):]
+                continue
+            kind = next(k for k, p in pii.PATTERNS if regex.fullmatch(p, piece))
+            until = len(piece) if kind not in ("email", "ip") else rest.find(pieces[n + 1]) if pieces[n + 1] else len(rest)
+            new, rest = rest[:until], rest[until:]
+            digits = re.sub(r"\D", "", piece)
+            if kind == "card" and (len(digits) < 13 or sum(int(c) * 2 - 9 if j % 2 and int(c) > 4 else int(c) * (1 + j % 2) for j, c in enumerate(reversed(digits))) % 10):
+                assert new == piece
+                continue
+            if kind == "name":
+                raise AssertionError(piece)
+            code = regex.match(pii.COUNTRY, piece) if kind == "phone" else None
+            skip = len("".join(x or "" for x in code.groups())) if code else 0
+            if kind in ("phone", "national_id", "card"):
+                assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", piece)  # the format stays
+                assert re.sub(r"\D", "", new)[:skip] == digits[:skip]
+            core = digits[skip:] if kind in ("phone", "national_id", "card") else piece.lower() if kind == "email" else piece
+            value = re.sub(r"\D", "", new)[skip:] if kind in ("phone", "national_id", "card") else new.lower() if kind == "email" else new
+            assert surrogate.setdefault((kind, core), value) == value
+            real.add((kind, core))
+        assert rest == ""
+    values = [(k, v) for (k, _), v in surrogate.items()]
+    assert len(values) > 150 and len(set(values)) == len(values) and not set(values) & real
 
 
 def test_mix_shards(spark):
