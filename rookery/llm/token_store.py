@@ -13,12 +13,15 @@ a letter and the punctuation behind it. A worker knows a word by a 64-bit hash.
 
 Defined results: null counts as the empty text and holds the end id alone;
 null document ids come first; rows that repeat a document id are kept, in the
-order of their ids' checksum; an empty table gives an empty result.
+order of their texts, and ``start`` is the place in the files; an empty table gives
+an empty result. A tokenizer of another kind than the word-splitting ones that the
+shortcuts hold for is refused.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import uuid
 import zlib
@@ -41,12 +44,33 @@ PLAIN = np.zeros(256, dtype=bool)  # bytes that are a letter or digit by themsel
 PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
+def _parts(node: dict | None, of: str) -> list[dict]:
+    return [] if node is None else [p for x in node[of] for p in _parts(x, of)] if node.get("type") == "Sequence" else [node]
+
+
+def folds_case(path: str) -> bool:
+    """Whether the tokenizer of a file lowers letters. Raises for one that might join
+    what white space parts or a letter and the punctuation behind it: any but byte-level
+    ones whose pattern takes letters, digits and the rest apart."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    normal, split = _parts(found.get("normalizer"), "normalizers"), _parts(found.get("pre_tokenizer"), "pretokenizers")
+    patterns = [p["pattern"].get("Regex", "") for p in split if p["type"] == "Split"]
+    if ([p["type"] for p in split] != ["Split", "ByteLevel"] or split[1].get("add_prefix_space") or split[1].get("use_regex")
+            or not all(f"[{x}" in patterns[0] for x in (r"\p{L}]+", r"^\s\p{L}\p{N}]+"))):
+        raise ValueError(f"{path}: words of this tokenizer cannot be coded apart")
+    if any(p["type"] not in ("NFC", "NFKC", "NFD", "NFKD", "Lowercase", "Replace", "StripAccents") for p in normal):
+        raise ValueError(f"{path}: a normalizer of this kind may reach over words")
+    return any(p["type"] == "Lowercase" for p in normal)
+
+
 class Words:
     """Ids of words by the words' 64-bit hashes: an open table in numpy."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self.lower = folds_case(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.slots = np.full(4 * REMEMBERED, -1, dtype=np.int32)
@@ -117,9 +141,9 @@ def _encode(column: pa.Array, path: str, end_id: int) -> list[pa.Array]:
     known, flat, lengths = _LOADED[path], [], []
     for t in W.texts(column):
         starts, ends, first = _pieces(t)
-        # A-Z as a-z, as the normaliser does last; not where marks could combine before
+        # A-Z as a-z where the normaliser does that last; not where marks could combine before
         marks = bool(((t.buf == 0xCC) | (t.buf == 0xCD)).any())
-        h = W.hash_spans(t.buf, starts, ends, lower=not marks)
+        h = W.hash_spans(t.buf, starts, ends, lower=known.lower and not marks)
         entry = known.find(h)
         old = entry >= 0
         begin, size = np.where(old, known.begin[entry], 0), np.where(old, known.size[entry], 0)
@@ -153,10 +177,11 @@ def write_tokens(df: DataFrame, tokenizer: str, path: str, end_id: int, id_col:
 
     Texts are shuffled, not ids (they are smaller compressed). One shuffle."""
     spark = df.sparkSession
+    folds_case(tokenizer)  # refuses a tokenizer of another kind before anything runs
     n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = (df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
              .repartitionByRange(n, F.col("doc_id").asc_nulls_first())
-             .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
              .withColumn("shard", F.spark_partition_id()))
     fields = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())])
     (map_texts(dealt, "text", fields, lambda c: _encode(c, tokenizer, end_id), ["doc_id", "shard"])
@@ -178,9 +203,15 @@ def _checksums(column: pa.ListArray) -> pa.Array:
     return pa.array([zlib.crc32(data[4 * a:4 * b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())], type=pa.int64())
 
 
-def read_tokens(spark, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The written columns asked for; the others are not read."""
+def read_tokens(spark, path: str, columns: list[str] | None = None, first: int | None = None, last: int | None = None) -> DataFrame:
+    """The written columns asked for, and the documents from ``first`` to ``last``.
+    Other columns are not read, nor files, row groups and pages of other ids: the
+    ids are in order, so the range is pushed down to their statistics."""
     df = spark.read.parquet(path)
+    if first is not None:
+        df = df.where(F.col("doc_id") >= first)
+    if last is not None:
+        df = df.where(F.col("doc_id") <= last)
     return df if columns is None else df.select(*columns)
 
 
@@ -194,21 +225,20 @@ def describe_tokens(spark, path: str) -> DataFrame:
     before = (F.sum("__total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)))
     offsets = totals.select("shard", F.coalesce(before, F.lit(0)).alias("__before"))
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("shard", T.IntegerType()),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
+                           T.StructField("n_tokens", T.LongType()), T.StructField("place", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
     def run(batches):
         for b in batches:
             if b.num_rows:
-                lists = b.column(3)
+                lists = b.column(4)
                 if lists.offset:
                     lists = pa.concat_arrays([lists])
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _checksums(lists)],
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], _checksums(lists)],
                                                  names=schema.names)
 
-    rows = (read_tokens(spark, path, ["doc_id", "shard", "n_tokens", "ids"])
-            .select(F.col("doc_id").cast("long"), "shard", "n_tokens", "ids").mapInArrow(run, schema))
-    order = [F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens"]
-    inside = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = (read_tokens(spark, path).select(F.col("doc_id").cast("long"), "shard", "n_tokens", F.col("_metadata.row_index").alias("place"), "ids")
+            .mapInArrow(run, schema))
+    inside = Window.partitionBy("shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # a shard is a file
     return (rows.withColumn("__inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .join(F.broadcast(offsets), "shard")  # one small row a shard, their number is set by the writer
             .select("doc_id", (F.col("__before") + F.col("__inside")).cast("long").alias("start"), "n_tokens", "ids_crc32"))
