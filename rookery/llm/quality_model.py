@@ -6,8 +6,8 @@ attention weighs the passages, and the weighted sum is scored. The weights are
 learned from document labels alone.
 
 Fitting uses a bounded sample: for each label the ``per_label`` training rows
-that come first by a hash of the id, and of a long document ``most_passages``
-passages at even distances. Scoring reads every passage of every document.
+that come first by a hash of the id, with all their passages. Scoring reads every
+passage of every document.
 
 Defined results: a null or blank text is one empty passage and has a score;
 repeated rows get equal scores; a document with several label rows counts with
@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rookery.llm import words as W
-from rookery.llm.cluster import map_texts
+from rookery.llm.cluster import map_texts, word_count
+from rookery.session import cut_lineage
 
 PASSAGE = 64
 BUCKETS = 128
@@ -144,24 +145,28 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 40, batch: int = 64
     return Model(mean, scale, w)
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, per_label: int = 1500, most_passages: int = 64,
+def train(docs: DataFrame, labels: DataFrame, fold: Column, per_label: int = 1500, most_words: int = 20_000_000,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fit on at most ``per_label`` documents of each label among the label rows
-    that ``fold`` (a condition on the id) takes."""
+    that ``fold`` (a condition on the id) takes, in the order of a hash. Of a
+    document every passage counts; a document that begins after ``most_words`` words
+    of others is not chosen, which bounds what is gathered."""
     known = (labels.where(fold & F.col(f"`{label_col}`").isin(0, 1) & F.col(f"`{id_col}`").isNotNull())
              .groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.min(f"`{label_col}`").alias("label")))
     order = [F.xxhash64(F.lit("sample"), "__id"), F.col("__id")]
     sample = known.where("label = 0").orderBy(*order).limit(per_label).union(known.where("label = 1").orderBy(*order).limit(per_label))
     # at most two times per_label small rows
-    chosen = docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("__id")).select("__id", "label", F.col(f"`{text_col}`").alias("text"))
+    chosen = cut_lineage(docs.join(F.broadcast(sample), F.col(f"`{id_col}`") == F.col("__id")).select("__id", "label", F.col(f"`{text_col}`").alias("text")))
+    sized = chosen.groupBy("__id").agg(F.sum(word_count(F.col("text"))).alias("words"))
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # two times per_label rows at most
+    within = sized.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0))).where(F.col("before") < most_words).select("__id")
+    chosen = chosen.join(F.broadcast(within), "__id")
 
     def features(column: pa.Array) -> list[pa.Array]:
         out = []
         for t in W.texts(column):
             x, first = passages(t)
-            for a, b in zip(first[:-1], first[1:]):
-                pick = np.unique(np.linspace(a, b - 1, min(b - a, most_passages)).astype(int))
-                out.append(x[pick].astype("<f4").tobytes())
+            out += [x[a:b].astype("<f4").tobytes() for a, b in zip(first[:-1], first[1:])]
         return [pa.array(out, pa.binary())]
 
     got = map_texts(chosen, "text", T.StructType([T.StructField("bag", T.BinaryType())]), features, ["__id", "label"]).toArrow()
