@@ -11,7 +11,7 @@ and orders its documents by a keyed hash.
 
 Every choice is a hash of the seed and the ids, so reruns agree, whatever the
 partitions. What is gathered: one row a source on the driver (at most
-``MAX_SOURCES``, or an error), at most ``BLOCKS`` block rows a source in a
+``Mix.sources``, or an error), at most ``BLOCKS`` block rows a source in a
 window, and the documents of one cut block a source.
 
 Defined results: a null source is a source of its own, after the others; a
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from rookery.llm.cluster import ship
 
 BLOCKS = 4096
-MAX_SOURCES = 100_000
+ROW_BYTES = 256             # of a block's row with its draws, more than it takes
+BROADCAST_BYTES = 64 << 20  # a table of blocks beyond this is joined by a shuffle
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,8 @@ class Mix:
     most: float = 2.0                     # times a source's size
     shards: int = 32
     seed: int = 20
+    tree_seed: int = 20                   # of the splits between shards
+    sources: int = 1_000_000              # more are refused: their sizes are one row each on the driver
 
 
 def targets(sizes: list[int], mix: Mix) -> list[float]:
@@ -91,13 +94,16 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
     spark = df.sparkSession
     ship(spark)
     df = df.drop("source_size", "target", "draws")
+    names, at = df.columns, {c.lower(): f"c{i}" for i, c in enumerate(df.columns)}  # own names would clash with some
+    df = df.toDF(*at.values())
+    id_col, source_col, size_col = (at[c.lower()] for c in (id_col, source_col, size_col))
     source, ident = F.col(f"`{source_col}`").cast("string"), F.col(f"`{id_col}`")
     size = F.coalesce(F.col(f"`{size_col}`"), F.lit(0)).cast("long")
     seed = F.lit(mix.seed)
     totals = (df.groupBy(source.alias("s")).agg(F.sum(size).alias("words"), F.count(F.lit(1)).alias("docs"))
-              .limit(MAX_SOURCES + 1).collect())
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+              .limit(mix.sources + 1).collect())
+    if len(totals) > mix.sources:
+        raise ValueError(f"more than {mix.sources} sources")
     totals.sort(key=lambda r: (r.s is None, r.s or ""))
     wanted = targets([r.words for r in totals], mix)
     plan = [(i, r.s, int(r.words), float(t), min(BLOCKS, int(r.docs)),
@@ -105,7 +111,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
             for i, (r, t) in enumerate(zip(totals, wanted))]
     sources = spark.createDataFrame(plan, "__sid int, __s string, source_size long, target double, __n int, __rounds int, __rest long")
 
-    # at most MAX_SOURCES small rows
+    # a small row a source
     docs = (df.join(F.broadcast(sources), source.eqNullSafe(F.col("__s")), "left")
             .withColumn("__size", size)
             .withColumn("__block", F.pmod(F.xxhash64(seed, F.lit("block"), F.col("__s"), ident), F.col("__n")).cast("int")))
@@ -129,7 +135,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
     vector = np.zeros(len(plan), dtype=np.int64)
     for r in quotas:
         vector[r["__sid"]] = r["n"]
-    shards, tree_seed = mix.shards, mix.seed
+    shards, tree_seed = mix.shards, mix.tree_seed
 
     def leaves(it):
         for pdf in it:
@@ -144,8 +150,9 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
               .groupBy("__sid", "__block").agg(F.array_sort(F.collect_list(F.struct("__round", "shard"))).alias("__placed"),
                                                F.first("__block_words").alias("__block_words"), F.first("__extra").alias("__extra")))
 
-    # at most BLOCKS rows a source, of a few bytes each
-    docs = docs.join(F.broadcast(placed) if len(plan) <= 256 else placed, ["__sid", "__block"], "left")
+    # how many blocks there are is known, so the size of the table is
+    small = sum(p[4] for p in plan) * ROW_BYTES <= BROADCAST_BYTES
+    docs = docs.join(F.broadcast(placed) if small else placed, ["__sid", "__block"], "left")
     cut = (F.col("__extra") > 0) & (F.col("__extra") < F.col("__block_words"))
     key = F.xxhash64(seed, F.lit("cut"), ident)
     in_block = Window.partitionBy("__sid", "__block").orderBy("__cut", "__size", ident)
@@ -163,7 +170,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
     return (wholly.unionByName(partly)
             .withColumn("draws", F.coalesce(F.filter(taken, lambda d: d["words"] > 0),
                                             F.array().cast("array<struct<shard:int,round:int,words:bigint>>")))
-            .select(*[F.col(f"`{c}`") for c in df.columns], "source_size", "target", "draws"))
+            .select(*df.columns, "source_size", "target", "draws").toDF(*names, "source_size", "target", "draws"))
 
 
 def mixture(mixed: DataFrame, id_col: str = "doc_id", seed: int = 20) -> DataFrame:

@@ -97,7 +97,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = cut_lineage(table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")))
     mixed = mixing.mix_sources(sized)
     return mixed.select("doc_id", "size", "source_size", "target",
-                        F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"]).alias("taken"))
+                        F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"]).alias("taken"),
+                        F.array_join(F.transform("draws", lambda d: d["shard"].cast("string")), ",").alias("shards"))
 
 
 @query
