@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rookery.operators.phrases import NOTES, POOLS
+from rookery.operators.phrases import NOTES, with_phrases
 
 # --- fixed values -----------------------------------------------------------
 SECTION_ORDER = ["orientation", "opening_plan", "fen_walkthrough", "context_hint", "assessment",
@@ -47,7 +47,9 @@ UNGATED = ("static_eval",)  # their gate does not depend on the style
 POS_DRAWS = ["opening_plan", "fen_walkthrough", "context_hint", "ctx_phrase", "assess_phrase", "decision_profile",
              "static_eval", "note_material", "note_structure", "note_king", "note_development", "orient_phrase",
              "endgame_technique", "threat_scan", "plan", "plan_pick", "opponent", "opp_phrase", "reconsideration",
-             "recon_phrase", "dead_end", "comparison", "concl_phrase", "guess", "guess_pick", "pv_gate"]
+             "recon_phrase", "dead_end", "comparison", "concl_phrase", "guess", "guess_pick", "pv_gate",
+             "side_phrase", "opens_phrase", "plans_phrase", "walk_phrase", "tb_phrase", "profile_phrase", "snap_phrase", "tech_phrase",
+             "threat_phrase", "plan_phrase", "cands_phrase", "avoid_phrase", "dead_phrase", "cmp_phrase", "line_phrase"]
 CAND_DRAWS = ["ord", "quality", "cand_pv", "cand_motif", "cand_trap"]
 CAND_FIELDS = ["uci", "win_prob", "category", "mate_in", "trap_kind", "confidence", "pv", "u_quality", "u_cand_pv",
                "u_cand_motif", "u_cand_trap"]
@@ -59,9 +61,13 @@ def drawn(u: Column, n: int) -> Column:
     return F.floor(u * n).cast("int")
 
 
-def pick(pool: str, u: Column) -> Column:
-    items = POOLS[pool]
-    return F.element_at(F.array(*[F.lit(x) for x in items]), drawn(u, len(items)) + 1)
+def pick(pool: str | Column, u: Column, **values: Column) -> Column:
+    """A phrase of the slot, its placeholders filled; null where a value is."""
+    texts = F.element_at(F.col("phrases"), F.lit(pool) if isinstance(pool, str) else pool)
+    out = F.element_at(texts, F.floor(u * F.size(texts)).cast("int") + 1)
+    for name, value in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), value)
+    return out
 
 
 def by_code(code: Column, choices: dict[str, Column]) -> Column:
@@ -143,7 +149,7 @@ def paragraph(c: Column, i: Column) -> Column:
 
 def with_codes(rows: DataFrame) -> DataFrame:
     """The choices behind the wording."""
-    rows = with_extras(rows)
+    rows = with_phrases(with_extras(rows))
     n = F.size("cands")
     ranked = F.array_sort(F.transform("cands", lambda c, i: F.struct((-c["win_prob"]).alias("w"), i.alias("i"), c["uci"].alias("uci"))))
     worst = F.array_sort(F.transform("cands", lambda c, i: F.struct(c["win_prob"].alias("w"), i.alias("i"), c["uci"].alias("uci"))))
@@ -177,51 +183,49 @@ def with_codes(rows: DataFrame) -> DataFrame:
     extra = {"opening_plan": F.col("opening_name").isNotNull(), "endgame_technique": F.col("phase") == "endgame",
              "dead_end": F.col("n_cands") >= 2, "comparison": F.col("n_cands") >= 2}
     rows = rows.withColumns({f"g_{k}": gate(k) & extra.get(k, F.lit(True)) for k in SECTION_PROBS})
-    sizes = lambda prefix, code: factor(code, {k[len(prefix):]: float(len(v)) for k, v in POOLS.items() if k.startswith(prefix)})
+    at = lambda prefix, code, u: drawn(u, F.size(F.element_at(F.col("phrases"), F.concat(F.lit(prefix), code))))
     return rows.withColumns({
-        "ctx_phrase_idx": F.floor(F.col("u_ctx_phrase") * sizes("context_", F.col("context_code"))).cast("int"),
-        "concl_phrase_idx": F.floor(F.col("u_concl_phrase") * sizes("conclusion_", F.col("conclusion_pool"))).cast("int")})
+        "ctx_phrase_idx": at("context_", F.col("context_code"), F.col("u_ctx_phrase")),
+        "concl_phrase_idx": at("conclusion_", F.col("conclusion_pool"), F.col("u_concl_phrase"))})
 
 
 def with_sections(rows: DataFrame) -> DataFrame:
     """``s_<name>`` for each section; empty where it is left out."""
     white = F.col("side") == "w"
-    sentence = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    mover = F.when(white, F.lit("White")).otherwise(F.lit("Black"))
     opener = by_code(F.col("orientation_code"), {
-        "opening": sentence("Opening: ", F.col("opening_short"), "."), "endgame": F.lit("An endgame."),
-        "opening_phase": F.lit("Still the opening.")})
+        "opening": pick("opens_opening", F.col("u_opens_phrase"), name=F.col("opening_short")),
+        "endgame": pick("opens_endgame", F.col("u_opens_phrase")), "opening_phase": pick("opens_phase", F.col("u_opens_phrase"))})
     origin = by_code(F.col("source"), {s: pick(f"orient_{s}", F.col("u_orient_phrase")) for s in ("game", "puzzle")})
-    mover = F.when(white, F.lit("White")).otherwise(F.lit("Black"))
-    hint = by_code(F.col("context_code"), {k: pick(f"context_{k}", F.col("u_ctx_phrase")) for k in ("mate", "endgame", "loose", "tactical", "generic")})
-    assess = F.coalesce(sentence("Tablebase: ", F.col("tb_result"), "."), by_code(F.col("assessment"), {
+    hint = pick(F.concat(F.lit("context_"), F.col("context_code")), F.col("u_ctx_phrase"))
+    assess = F.coalesce(pick("tablebase", F.col("u_tb_phrase"), result=F.col("tb_result")), by_code(F.col("assessment"), {
         k: pick(f"assess_{k}", F.col("u_assess_phrase")) for k in ("balanced", "better", "worse")}), pick("assess_slight", F.col("u_assess_phrase")))
+    profile = F.when(F.col("forced_mate"), "mate").when(F.col("only_move"), "only").when(F.col("many_options"), "many").otherwise("few")
+    threat = F.when(F.col("in_check"), "check").when(F.col("hang_own") > 0, "loose").otherwise("none")
     balance = F.when(F.col("mat_diff") == 0, "even").when(F.col("mat_diff") > 0, "white").otherwise("black")
     codes = {"material": balance, "structure": F.col("pawn_structure_code"), "king": F.col("king_safety_code"), "development": F.col("development")}
     notes = F.array(*[F.struct(F.col(f"u_note_{k}").alias("u"), by_code(code, {c: F.lit(t) for c, t in NOTES[k].items()}).alias("t"))
                       for k, code in codes.items()])
     notes = F.slice(F.transform(F.array_sort(F.filter(notes, lambda x: x["t"].isNotNull())), lambda x: x["t"]), 1, MAX_STATIC_NOTES)
-    move = lambda pool: F.replace(pick(pool, F.col("u_concl_phrase")), F.lit("{move}"), F.col("best_uci"))
-    ending = by_code(F.col("conclusion_pool"), {k: move(f"conclusion_{k}") for k in ("firm", "soft", "default")})
-    main = F.when(F.col("pv_gate") & (F.coalesce("line_text", F.lit("")) != ""), sentence(" Main line: ", F.col("line_text"), ".")).otherwise(F.lit(""))
+    ending = pick(F.concat(F.lit("conclusion_"), F.col("conclusion_pool")), F.col("u_concl_phrase"), move=F.col("best_uci"))
+    main = F.when(F.col("pv_gate") & (F.coalesce("line_text", F.lit("")) != ""), pick("main_line", F.col("u_line_phrase"), line=F.col("line_text"))).otherwise(F.lit(""))
     texts = {
-        "orientation": F.concat_ws(" ", opener, origin, sentence(mover, " to move.")),
-        "opening_plan": sentence("Usual ", F.col("family"), " plans fit."),
-        "fen_walkthrough": sentence(mover, " to move, move ", F.col("fullmove").cast("string"), "."),
+        "orientation": F.concat_ws(" ", opener, origin, pick("side_to_move", F.col("u_side_phrase"), mover=mover)),
+        "opening_plan": pick("plans_opening", F.col("u_plans_phrase"), family=F.col("family")),
+        "fen_walkthrough": pick("walkthrough", F.col("u_walk_phrase"), mover=mover, move=F.col("fullmove").cast("string")),
         "context_hint": hint, "assessment": assess,
-        "decision_profile": F.when(F.col("forced_mate"), "Mate can be forced.").when(F.col("only_move"), "There is one good move.")
-        .when(F.col("many_options"), "Many moves are playable.").otherwise("A few moves compete."),
-        "static_eval": sentence("Snapshot: ", F.array_join(notes, " ")),
-        "endgame_technique": sentence("Technique decides this ", F.col("endgame_type"), "."),
-        "threat_scan": F.when(F.col("in_check"), "The king is in check.").when(F.col("hang_own") > 0, "Something hangs.")
-        .otherwise("Nothing is threatened at once."),
-        "plan": sentence("Plan: ", F.replace(F.col("plan_option"), F.lit("_"), F.lit(" ")), "."),
+        "decision_profile": pick(F.concat(F.lit("profile_"), profile), F.col("u_profile_phrase")),
+        "static_eval": pick("snapshot", F.col("u_snap_phrase"), notes=F.array_join(notes, " ")),
+        "endgame_technique": pick("technique", F.col("u_tech_phrase"), type=F.col("endgame_type")),
+        "threat_scan": pick(F.concat(F.lit("threat_"), threat), F.col("u_threat_phrase")),
+        "plan": pick("plan", F.col("u_plan_phrase"), plan=F.replace(F.col("plan_option"), F.lit("_"), F.lit(" "))),
         "opponent": pick("opponent", F.col("u_opp_phrase")),
-        "candidates": sentence("Candidates: ", F.array_join("cand_ucis", ", "), "."),
-        "avoid_blunder": sentence("Avoid ", F.col("avoid_uci"), ": it costs too much."),
+        "candidates": pick("candidates", F.col("u_cands_phrase"), moves=F.array_join("cand_ucis", ", ")),
+        "avoid_blunder": pick("avoid", F.col("u_avoid_phrase"), move=F.col("avoid_uci")),
         "exploration": joined(F.col("paras")),
         "reconsideration": pick("reconsider", F.col("u_recon_phrase")),
-        "dead_end": sentence("I tried ", F.col("worst_uci"), " without success."),
-        "comparison": sentence(F.col("top1"), " convinces me more than ", F.col("top2"), "."),
+        "dead_end": pick("dead_end", F.col("u_dead_phrase"), move=F.col("worst_uci")),
+        "comparison": pick("compare", F.col("u_cmp_phrase"), first=F.col("top1"), second=F.col("top2")),
         "conclusion": F.concat(ending, main)}
     return rows.withColumns({f"s_{k}": F.coalesce(F.when(F.col(f"g_{k}"), v) if k in SECTION_PROBS else v, F.lit("")) for k, v in texts.items()})
 

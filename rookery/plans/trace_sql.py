@@ -25,6 +25,13 @@ def pick(pool: str, u: str) -> str:
     return f"[{', '.join(map(q, POOLS[pool]))}][CAST(floor({u} * {len(POOLS[pool])}) AS INT) + 1]"
 
 
+def say(pool: str, u: str, **values: str) -> str:
+    out = pick(pool, u)
+    for name, value in values.items():
+        out = f"replace({out}, '{{{name}}}', {value})"
+    return out
+
+
 def factor(column: str, factors: dict[str, float]) -> str:
     return "(CASE " + column + " " + " ".join(f"WHEN {q(k)} THEN {num(v)}" for k, v in factors.items()) + f" ELSE {num(1.0)} END)"
 
@@ -95,33 +102,35 @@ def _move(pool: str) -> str:
 _PV = f"{num(A.PV_PROB)} * {factor('style', A.PV_STYLE)}"
 _BALANCE = "(CASE WHEN mat_diff = 0 THEN 'even' WHEN mat_diff > 0 THEN 'white' ELSE 'black' END)"
 _TEXTS = {
-    "orientation": "concat_ws(' ', CASE orientation_code WHEN 'opening' THEN 'Opening: ' || opening_short || '.' WHEN 'endgame' THEN "
-                   "'An endgame.' WHEN 'opening_phase' THEN 'Still the opening.' END, CASE source WHEN 'puzzle' THEN "
-                   f"{pick('orient_puzzle', 'u_orient_phrase')} ELSE {pick('orient_game', 'u_orient_phrase')} END, mover || ' to move.')",
-    "opening_plan": "'Usual ' || family || ' plans fit.'",
-    "fen_walkthrough": "mover || ' to move, move ' || CAST(fullmove AS VARCHAR) || '.'",
+    "orientation": f"concat_ws(' ', CASE orientation_code WHEN 'opening' THEN {say('opens_opening', 'u_opens_phrase', name='opening_short')} "
+                   f"WHEN 'endgame' THEN {say('opens_endgame', 'u_opens_phrase')} WHEN 'opening_phase' THEN {say('opens_phase', 'u_opens_phrase')} END, "
+                   f"CASE source WHEN 'puzzle' THEN {pick('orient_puzzle', 'u_orient_phrase')} ELSE {pick('orient_game', 'u_orient_phrase')} END, "
+                   f"{say('side_to_move', 'u_side_phrase', mover='mover')})",
+    "opening_plan": say("plans_opening", "u_plans_phrase", family="family"),
+    "fen_walkthrough": say("walkthrough", "u_walk_phrase", mover="mover", move="CAST(fullmove AS VARCHAR)"),
     "context_hint": "CASE context_code " + " ".join(f"WHEN '{k}' THEN {pick(f'context_{k}', 'u_ctx_phrase')}" for k in
                                                     ("mate", "endgame", "loose", "tactical", "generic")) + " END",
-    "assessment": "CASE WHEN tb_result IS NOT NULL THEN 'Tablebase: ' || tb_result || '.' WHEN assessment = 'balanced' THEN "
+    "assessment": f"CASE WHEN tb_result IS NOT NULL THEN {say('tablebase', 'u_tb_phrase', result='tb_result')} WHEN assessment = 'balanced' THEN "
                   f"{pick('assess_balanced', 'u_assess_phrase')} WHEN assessment = 'better' THEN {pick('assess_better', 'u_assess_phrase')} "
                   f"WHEN assessment = 'worse' THEN {pick('assess_worse', 'u_assess_phrase')} ELSE {pick('assess_slight', 'u_assess_phrase')} END",
-    "decision_profile": "CASE WHEN forced_mate THEN 'Mate can be forced.' WHEN only_move THEN 'There is one good move.' "
-                        "WHEN many_options THEN 'Many moves are playable.' ELSE 'A few moves compete.' END",
-    "static_eval": "'Snapshot: ' || array_to_string(list_transform(list_sort(list_filter([" + ", ".join(
+    "decision_profile": f"CASE WHEN forced_mate THEN {pick('profile_mate', 'u_profile_phrase')} WHEN only_move THEN {pick('profile_only', 'u_profile_phrase')} "
+                        f"WHEN many_options THEN {pick('profile_many', 'u_profile_phrase')} ELSE {pick('profile_few', 'u_profile_phrase')} END",
+    "static_eval": say("snapshot", "u_snap_phrase", notes="array_to_string(list_transform(list_sort(list_filter([" + ", ".join(
         (_note("material", _BALANCE), _note("structure", "pawn_structure_code"), _note("king", "king_safety_code"),
-         _note("development", "development"))) + f"], lambda x: x.t IS NOT NULL))[1:{A.MAX_STATIC_NOTES}], lambda x: x.t), ' ')",
-    "endgame_technique": "'Technique decides this ' || endgame_type || '.'",
-    "threat_scan": "CASE WHEN in_check THEN 'The king is in check.' WHEN hang_own > 0 THEN 'Something hangs.' ELSE 'Nothing is threatened at once.' END",
-    "plan": "'Plan: ' || replace(plan_option, '_', ' ') || '.'",
+         _note("development", "development"))) + f"], lambda x: x.t IS NOT NULL))[1:{A.MAX_STATIC_NOTES}], lambda x: x.t), ' ')"),
+    "endgame_technique": say("technique", "u_tech_phrase", type="endgame_type"),
+    "threat_scan": f"CASE WHEN in_check THEN {pick('threat_check', 'u_threat_phrase')} WHEN hang_own > 0 THEN {pick('threat_loose', 'u_threat_phrase')} "
+                   f"ELSE {pick('threat_none', 'u_threat_phrase')} END",
+    "plan": say("plan", "u_plan_phrase", plan="replace(plan_option, '_', ' ')"),
     "opponent": pick("opponent", "u_opp_phrase"),
-    "candidates": "'Candidates: ' || coalesce(array_to_string(ucis, ', '), '') || '.'",
-    "avoid_blunder": "'Avoid ' || avoid_uci || ': it costs too much.'",
+    "candidates": say("candidates", "u_cands_phrase", moves="coalesce(array_to_string(ucis, ', '), '')"),
+    "avoid_blunder": say("avoid", "u_avoid_phrase", move="avoid_uci"),
     "exploration": f"array_to_string(paras, {SEP})",
     "reconsideration": pick("reconsider", "u_recon_phrase"),
-    "dead_end": "'I tried ' || worst_uci || ' without success.'",
-    "comparison": "top1 || ' convinces me more than ' || top2 || '.'",
+    "dead_end": say("dead_end", "u_dead_phrase", move="worst_uci"),
+    "comparison": say("compare", "u_cmp_phrase", first="top1", second="top2"),
     "conclusion": f"CASE conclusion_pool WHEN 'firm' THEN {_move('conclusion_firm')} WHEN 'soft' THEN {_move('conclusion_soft')} "
-                  f"ELSE {_move('conclusion_default')} END || CASE WHEN pv_gate AND coalesce(line_text, '') <> '' THEN ' Main line: ' || line_text || '.' ELSE '' END",
+                  f"ELSE {_move('conclusion_default')} END || CASE WHEN pv_gate AND coalesce(line_text, '') <> '' THEN {say('main_line', 'u_line_phrase', line='line_text')} ELSE '' END",
 }
 _EXTRA = {"opening_plan": " AND opening_name IS NOT NULL", "endgame_technique": " AND phase = 'endgame'",
           "dead_end": " AND coalesce(n_cands, 0) >= 2", "comparison": " AND coalesce(n_cands, 0) >= 2"}

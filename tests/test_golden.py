@@ -156,3 +156,19 @@ def test_ratio_interleave_draws_from_the_whole_source(spark):
     rows = rows.withColumn("u", smp.hash_uniform_col(1, "id"))
     got = smp.ratio_interleave(spark, rows, 500).collect()
     assert len(got) == 500 and max(r["id"] for r in got) > 5500 and len({(r.source, r["id"]) for r in got}) == 500
+
+
+def test_phrases_come_from_a_table(spark):
+    """Another version of the wording is used by its number; every slot has a phrase."""
+    from pyspark.sql import functions as F
+
+    from rookery.operators import assembly as A
+    from rookery.operators.phrases import POOLS, phrase_table, with_phrases
+
+    assert all(texts for texts in POOLS.values())
+    both = phrase_table(spark).unionByName(phrase_table(spark, {"plan": ["Next: {plan}!"]}, version=9))
+    row = spark.createDataFrame([(0.99, "castle")], "u double, p string")
+    old = with_phrases(row, both).select(A.pick("plan", F.col("u"), plan=F.col("p")).alias("t")).first().t
+    new = with_phrases(row, both, version=9).select(A.pick("plan", F.col("u"), plan=F.col("p")).alias("t"),
+                                                    A.pick("plan", F.col("u"), plan=F.lit(None).cast("string")).alias("n")).first()
+    assert old == "I would like to castle." and new.t == "Next: castle!" and new.n is None
