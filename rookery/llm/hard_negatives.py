@@ -21,7 +21,8 @@ Defined results: rows with a null id, label or vector, or a null or non-finite
 component, take no part; of rows sharing an id the smallest vector, then label,
 counts; an anchor meets only vectors of its own length; ties go to the smaller
 id; fewer positives or negatives give fewer rows; a positive below zero opens an
-empty window, one of score zero a window of zeros; empty tables give none.
+empty window, one of score zero a window of zeros; scores that a long cannot hold
+are not defined; empty tables give none.
 """
 
 from __future__ import annotations

@@ -1,8 +1,8 @@
 """Count-min sketches and bit sets that tasks build and Spark merges.
 
-Both have a fixed number of slots, chosen from the input's size up to a bound,
-so what is broadcast has a proven size. More input than the bound was made for
-only lets more rows through to the exact pass behind the sketch.
+The number of slots is chosen from the input's size. Up to ``MOST_SLOTS`` the
+counted slots are broadcast as bits, a proven size; beyond that they stay a table
+(``merged``) that rows are joined with, so a sketch stays as selective as it was.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ FLUSH = 1 << 22       # slots a task holds before it hands over its counts
 SEEDS = (U(0x243F6A8885A308D3), U(0x13198A2E03707344))
 
 
-def slots_for(keys: int, each: int = 8, most: int = MOST_SLOTS) -> int:
+def slots_for(keys: int, each: int = 8, most: int | None = MOST_SLOTS) -> int:
     """A power of two, ``each`` times the keys or a little more, within bounds."""
-    return min(max(1 << 16, 1 << max(0, int(keys) * each - 1).bit_length()), most)
+    slots = max(1 << 16, 1 << max(0, int(keys) * each - 1).bit_length())
+    return slots if most is None else min(slots, most)
 
 
 def rows_of(keys: np.ndarray, slots: int) -> list[np.ndarray]:
@@ -54,14 +55,53 @@ def partial_counts(keys: Iterator[np.ndarray], slots: int) -> Iterator[pa.Record
     yield from flush()
 
 
-def repeated(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], slots: int) -> np.ndarray:
-    """Merge the tasks' sketches; bits of the slots counted twice or more."""
+def merged(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], slots: int) -> DataFrame:
+    """``slot, n`` of the slots counted twice or more, over the tasks' sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return partial_counts((k for b in batches if b.num_rows for k in keys(b)), slots)
 
-    merged = df.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n >= 2")
-    return bits(merged, F.col("slot"), 2 * slots)
+    return df.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n >= 2")
+
+
+def repeated(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], slots: int) -> np.ndarray:
+    """The same as bits, for a number of slots that can be broadcast."""
+    return bits(merged(df, keys, slots), F.col("slot"), 2 * slots)
+
+
+CHUNK = 1 << 16       # slots of a row of merged counts
+MOST_COUNTS = 1 << 25  # a byte each when broadcast: 32 MiB
+
+
+def counts(df: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]], slots: int) -> np.ndarray:
+    """Merged counts of a sketch of one row, at most 255 each. Tasks hand over the
+    slots they used, packed by chunk; ``slots`` bytes come to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [k for b in batches if b.num_rows for k in keys(b)]
+        if not held:
+            return
+        slot, n = np.unique(one_row(np.concatenate(held), slots), return_counts=True)
+        starts = np.flatnonzero(np.concatenate([[True], slot[1:] // CHUNK != slot[:-1] // CHUNK]))
+        ends = np.append(starts[1:], len(slot))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((slot[starts] // CHUNK).astype(np.int32)), pa.array([(slot[a:b] % CHUNK).astype("<u2").tobytes() for a, b in zip(starts, ends)], pa.binary()),
+             pa.array([np.minimum(n[a:b], 255).astype(np.uint8).tobytes() for a, b in zip(starts, ends)], pa.binary())], names=["chunk", "at", "n"])
+
+    def add(t: pa.Table) -> pa.Table:
+        out = np.zeros(min(CHUNK, slots), dtype=np.int64)
+        for at, n in zip(t.column("at").to_pylist(), t.column("n").to_pylist()):
+            out[np.frombuffer(at, dtype="<u2")] += np.frombuffer(n, dtype=np.uint8)
+        return pa.table({"chunk": pa.array([t.column("chunk")[0].as_py()], pa.int32()), "n": pa.array([np.minimum(out, 255).astype(np.uint8).tobytes()], pa.binary())})
+
+    merged_rows = df.mapInArrow(run, "chunk int, at binary, n binary").groupBy("chunk").applyInArrow(add, "chunk int, n binary").toArrow()
+    out = np.zeros(slots, dtype=np.uint8)
+    for chunk, n in zip(merged_rows.column("chunk").to_pylist(), merged_rows.column("n").to_pylist()):
+        out[chunk * CHUNK:chunk * CHUNK + len(n)] = np.frombuffer(n, dtype=np.uint8)
+    return out
+
+
+def one_row(keys: np.ndarray, slots: int) -> np.ndarray:
+    return (mix(keys ^ SEEDS[0]) >> U(64 - (slots.bit_length() - 1))).astype(np.int64)
 
 
 def bits(df: DataFrame, slot: Column, size: int) -> np.ndarray:
