@@ -7,7 +7,8 @@ set. What stays apart from the cell's largest part then meets all its others, a
 pair of blocks in a task. So a task holds at most about two blocks, each pair of
 sets of a cell is either linked through others or compared, and no link is lost.
 The second pass has about ``M * (S + M) / BLOCK`` rows for ``M`` sets apart among
-``S`` of a cell.
+``S`` of a cell. An operator that can tell which of the ``M`` may be linked with
+each other gives ``regroup``, and only ``2 * M * (S - M) / BLOCK`` rows are left.
 """
 
 from __future__ import annotations
@@ -51,9 +52,13 @@ def _edges(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"u": u, "v": v})
 
 
-def linked_parts(sets: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
+def linked_parts(sets: DataFrame, link: Link, regroup: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """``sets``: ``g, cell, shingles`` (a set may be in several cells), as a
-    written table. The links found (``u, v``) and their components."""
+    written table. The links found (``u, v``) and their components.
+
+    ``regroup``: given the sets (``g, cell, shingles``) that stay apart from the
+    largest parts of their cells, says by new cells (``g, cell``) which may be
+    linked; of those that share a cell but no new one none may be."""
     counts = cut_lineage(sets.groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
                          .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
     placed = (sets.join(counts, "cell").withColumn("own", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
@@ -73,14 +78,14 @@ def linked_parts(sets: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
         return links, parts
     labelled = cut_lineage(sets.join(large, "cell").join(parts.withColumnRenamed("id", "g"), "g", "left")
                            .withColumn("part", F.coalesce("component", "g")).drop("component"))
-    more = across_parts(labelled, link)
+    more = across_parts(labelled, link, regroup)
     if more.isEmpty():
         return links, parts
     links = links.unionByName(more)
     return links, components(links)
 
 
-def across_parts(labelled: DataFrame, link: Link) -> DataFrame:
+def across_parts(labelled: DataFrame, link: Link, regroup: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``labelled``: ``g, cell, part, shingles``, as a written table. Links between
     sets of a cell that are of different parts, as far as they join parts: those
     outside the cell's largest part meet all others, in pairs of blocks."""
@@ -93,7 +98,10 @@ def across_parts(labelled: DataFrame, link: Link) -> DataFrame:
     numbered = (labelled.join(largest, "cell").withColumn("minor", F.col("part") != F.col("largest"))
                 .withColumn("block", F.when(F.col("minor"), F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("apart")))
                             .otherwise(F.col("apart") + F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("together"))).cast("int")))
-    paired = (numbered.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("apart") - 1 + F.when(F.col("minor"), F.col("together")).otherwise(0))))
+    others = F.sequence(F.lit(0), F.col("apart") - 1 + F.when(F.col("minor"), F.col("together")).otherwise(0))
+    if regroup is not None:  # those apart do not meet each other here
+        others = F.when(F.col("minor"), F.sequence(F.col("apart"), F.col("apart") + F.col("together") - 1)).otherwise(F.sequence(F.lit(0), F.col("apart") - 1))
+    paired = (numbered.withColumn("other", F.explode(others))
               .select("cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "g", "shingles", "part", "block"))
 
     def across(t: pa.Table) -> pa.Table:
@@ -104,7 +112,12 @@ def across_parts(labelled: DataFrame, link: Link) -> DataFrame:
         alone = t.column("low")[0].as_py() == t.column("high")[0].as_py()
         return _edges(ids, link(s, list(of.values()), None if alone else side))
 
-    return cut_lineage(paired.groupBy("cell", "low", "high").applyInArrow(across, "u long, v long"))
+    more = cut_lineage(paired.groupBy("cell", "low", "high").applyInArrow(across, "u long, v long"))
+    if regroup is None:
+        return more
+    apart = cut_lineage(numbered.where("minor").select("g", "cell", "shingles"))
+    again = cut_lineage(apart.drop("cell").join(regroup(apart), "g"))
+    return more.unionByName(linked_parts(again, link)[0])
 
 
 def gather_sets(docs: DataFrame, chosen: DataFrame, sets: Callable[[pa.Array], Iterator[np.ndarray]], name: Callable[[np.ndarray], int]) -> DataFrame:

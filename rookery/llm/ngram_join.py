@@ -16,14 +16,11 @@ differ in too many bits are pruned, then sets are compared exactly. Pairs that
 are linked already, directly or through others, need no comparison, so a group
 of near copies costs about as many comparisons as members and no pair list.
 
-A cluster of more than ``BLOCK`` sets is clustered again, now with all shingles of
-its sets in order of their counts in the cluster, so sets that only share a common
-passage leave it. If still as large, it falls into cells of neighbouring sizes, and
-a cell of more than that into blocks by hash. Some of its sets, taken by hash,
-join every block; sets that stay apart from the cell's largest part meet all
-others in a second pass, a pair of blocks in a task. So no task holds more than
-two blocks, or one and the sets that join all, and no link is lost. The second
-pass holds about ``M * M / BLOCK`` rows for ``M`` sets that stay apart in a cell.
+Clusters of any size are linked by ``cells.linked_parts``: near copies first, in
+blocks that share some sets, so that nothing is made for each shingle of a group of
+near copies. Only the sets that stay apart from the largest part of a large cluster
+are clustered again, with all their shingles in order of their counts among them,
+so that sets which only share a common passage leave it.
 
 Defined results: null or blank text has no shingles and links with nothing;
 fewer words than a shingle make one shingle of all words; copies, also in
@@ -45,13 +42,12 @@ from pyspark.sql import functions as F
 
 from rookery.llm import sketch
 from rookery.llm import words as W
+from rookery.llm.cells import gather_sets, linked_parts, named
 from rookery.llm.cluster import ship
 from rookery.llm.components import components
 from rookery.session import cut_lineage
 
 U = np.uint64
-BLOCK = 512       # sets that a task compares
-PIVOTS = 32       # sets of a large cluster that join all its blocks, about
 LEAF = 16
 FANOUT = 4
 BITS = 2048
@@ -185,28 +181,10 @@ def link_block(sets: list[np.ndarray], percent: int, links: Links, side: np.ndar
     return found
 
 
-def _unpack(t: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-    ids = t.column("g").to_numpy()
-    sets = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in t.column("shingles")]
-    order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-    seen, out = set(), []
-    for i in order:
-        if ids[i] not in seen:
-            seen.add(ids[i])
-            out.append(i)
-    return ids[out], [sets[i] for i in out]
-
-
-def _edges(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
-    u = np.array([ids[a] for a, _ in found], dtype=np.int64)
-    v = np.array([ids[b] for _, b in found], dtype=np.int64)
-    return pa.table({"u": u, "v": v})
-
-
 # ---- the join ----------------------------------------------------------------
 
 def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+                       text_col: str = "text", most_counts: int = sketch.MOST_COUNTS) -> DataFrame:
     """``doc_id, n_shingles, component_id, text_hash`` for each row.
     ``component_id``: the smallest id that links of ``Jaccard >= percent / 100``
     reach; ``text_hash``: ``xxhash64`` of the text, which with the id tells the row."""
@@ -242,122 +220,73 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
              .join(shared, "g", "left").withColumn("shared", F.coalesce("shared", F.array().cast("array<struct<df:bigint,key:bigint>>")))
              .withColumn("room", F.greatest(F.lit(0), (prefix - F.col("some") + F.size("shared"))).cast("int"))
              .select("g", "n", F.concat(F.slice("shared.key", F.lit(1), F.col("room")), "rest").alias("keys")))
-    # linked sets are of the same size class or the next, so they meet under one of two keys
     width = max(math.log(100 / percent), 1e-6) * (1 + 1e-6)
     size_class = F.floor(F.log(F.col("n").cast("double")) / width)
-    keyed = cut_lineage(first.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "g", size_class.alias("c"))
-                        .select("g", F.explode(F.array(F.xxhash64("key", "c"), F.xxhash64("key", F.col("c") + 1))).alias("key")))
-    hubs = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last")).where("hub < last").select("key", "hub"))
-    clusters = components(keyed.join(hubs, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
-
-    def sets_of(chosen: DataFrame) -> DataFrame:
-        """``chosen`` (``g, doc_id`` and more) with the sets, without ``doc_id``."""
-        # a bit for each class, so that other texts go no further than their task
-        slots = sketch.slots_for(chosen.count(), each=16)
-        held = sketch.bits(chosen.select(_slot(F.col("g"), slots).alias("slot")), F.col("slot"), slots)
-        wanted = spark.sparkContext.broadcast(held)
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def meet(keys: DataFrame) -> DataFrame:
+        """``id, component`` of ``g, key, n``: sets of near sizes that share a key."""
+        # linked sets are of the same size class or the next, so they meet under one of two keys
+        keyed = cut_lineage(keys.select("g", "key", size_class.alias("c"))
+                            .select("g", F.explode(F.array(F.xxhash64("key", "c"), F.xxhash64("key", F.col("c") + 1))).alias("key")))
+        hubs = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last")).where("hub < last").select("key", "hub"))
+        return components(keyed.join(hubs, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
+
+    clusters = meet(first.where(F.size("keys") > 0).select("g", F.explode("keys").alias("key"), "n"))
+    # the sets of the clustered classes, one document for each class
+    clusters = clusters.withColumnsRenamed({"id": "g", "component": "cell"})
+    member = cut_lineage(rows.join(clusters, "g").groupBy("g", "cell").agg(F.min("doc_id").alias("doc_id")))
+    sets = gather_sets(docs, member, lambda t: shingle_sets(t, n), set_id)
+
+    def linked(sets: list[np.ndarray], known: list[list[int]], side: np.ndarray | None) -> list[tuple[int, int]]:
+        links = Links(len(sets))
+        for group in known:
+            for i in group[1:]:
+                links.join(group[0], i)
+        return link_block(sets, percent, links, side)
+
+    def own_keys(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        """The shingles of each set, apart from those of other cells."""
+        for cell, x in zip(b.column(1).to_pylist(), b.column(2)):
+            yield W.mix(np.frombuffer(x.as_buffer(), dtype="<u8") ^ W.mix(np.array([cell], dtype=np.int64).view(np.uint64)))
+
+    def regroup(apart: DataFrame) -> DataFrame:
+        """Clusters by all shingles of the sets, in the order of their counts in the
+        cell, so sets that only share a common passage fall apart. Any order that all
+        sets have in common will do, so a sketch's counts are good enough; beyond
+        what can be broadcast they are exact and joined."""
+        apart = apart.select("g", "cell", "shingles")
+        slots = sketch.slots_for(apart.agg(F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0)).alias("n")).first().n // 8, each=4, most=None)
+        spread = prefixes(apart, slots) if slots <= most_counts else by_join(apart)
+        return meet(spread).withColumnsRenamed({"id": "g", "component": "cell"})
+
+    def prefixes(apart: DataFrame, slots: int) -> DataFrame:
+        shared = spark.sparkContext.broadcast(sketch.counts(apart, own_keys, slots))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if not b.num_rows:
                     continue
-                found = [(i, set_id(s), s) for i, s in enumerate(shingle_sets(b.column(1), n)) if len(s)]
-                keep = [x for x in found if sketch.has(wanted.value, np.array([x[1] & (slots - 1)]))[0]]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _, _ in keep], pa.int64())),
-                                                  pa.array([g for _, g, _ in keep], pa.int64()),
-                                                  pa.array([s.astype("<u8").tobytes() for _, _, s in keep], pa.binary())],
-                                                 names=["doc_id", "g", "shingles"])
-
-        own = chosen.withColumnsRenamed({"g": "own_g", "doc_id": "own_id"})
-        return cut_lineage(docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, g long, shingles binary")
-                           .join(own, (F.col("g") == F.col("own_g")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
-                           .drop("doc_id", "own_g", "own_id").dropDuplicates(["g"]))
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                parts = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in b.column(2)]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(parts)], names=["g", "cluster", "shingles"])
+                kept, sizes = [], []
+                for k in own_keys(b):
+                    df = shared.value[sketch.one_row(k, slots)]
+                    first = np.lexsort((k, df))[:len(k) - needed(len(k), percent) + 1]
+                    kept.append(k[first[df[first] > 1]])  # counted once, no other set has it
+                    sizes.append(len(k))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), _lists(kept)], names=["g", "n", "keys"])
+
+        return apart.mapInArrow(run, "g long, n long, keys array<long>").select("g", F.explode("keys").alias("key"), "n")
+
+    def by_join(apart: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    parts = list(own_keys(b))
+                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(p) for p in parts], pa.int64()), _lists(parts)], names=["g", "n", "keys"])
 
-    # the sets of the clustered classes, one document for each class
-    clusters = clusters.withColumnRenamed("id", "g").withColumnRenamed("component", "cluster")
-    member = cut_lineage(rows.join(clusters, "g").groupBy("g", "cluster").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    # a large cluster is clustered again, with all its shingles ordered by their counts in it
-    crowds = cut_lineage(member.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > BLOCK).select("cluster"))
-    if not crowds.isEmpty():
-        crowd = cut_lineage(member.join(crowds, "cluster").select("g", "cluster", "doc_id", "n"))
-        spread = (sets_of(crowd.select("g", "doc_id", "cluster")).select("g", "cluster", "shingles")
-                  .mapInArrow(counted, "g long, cluster long, shingles array<long>").select("g", "cluster", F.explode("shingles").alias("key")))
-        common = cut_lineage(spread.groupBy("cluster", "key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
-        ordered = (spread.join(common, ["cluster", "key"]).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("shared"))
-                   .join(crowd, "g").withColumn("room", F.greatest(F.lit(0), prefix - F.col("n") + F.size("shared")).cast("int")))
-        keyed = cut_lineage(ordered.select("g", "cluster", size_class.alias("c"), F.explode(F.slice("shared.key", F.lit(1), F.col("room"))).alias("key"))
-                            .select("g", F.explode(F.array(F.xxhash64("cluster", "key", "c"), F.xxhash64("cluster", "key", F.col("c") + 1))).alias("key")))
-        hubs = cut_lineage(keyed.groupBy("key").agg(F.min("g").alias("hub"), F.max("g").alias("last")).where("hub < last").select("key", "hub"))
-        again = components(keyed.join(hubs, "key").select(F.col("hub").alias("u"), F.col("g").alias("v")))
-        member = cut_lineage(member.join(crowds, "cluster", "left_anti").unionByName(
-            crowd.drop("cluster").join(again.withColumnsRenamed({"id": "g", "component": "cluster"}), "g")))
-    # one that stays large falls into cells of neighbouring size classes
-    sizes = cut_lineage(member.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets")))
-    cells = cut_lineage(member.join(sizes, "cluster").select("g", "doc_id", F.when(
-        F.col("sets") > BLOCK, F.array(F.xxhash64("cluster", size_class), F.xxhash64("cluster", size_class + 1)))
-        .otherwise(F.array("cluster")).alias("cells")))
-    counts = cut_lineage(cells.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
-                         .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
-    held_sets = sets_of(cells)
-    placed = (held_sets.select("g", "shingles", F.explode("cells").alias("cell")).join(counts, "cell")
-              .withColumn("own", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
-              .withColumn("pivot", (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "g"), F.col("members")) < PIVOTS)))
-    in_blocks = placed.withColumn("block", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1))
-                                                     .otherwise(F.array("own"))))
-
-    def within(t: pa.Table) -> pa.Table:
-        ids, s = _unpack(t)
-        return _edges(ids, link_block(s, percent, Links(len(s))))
-
-    links = cut_lineage(in_blocks.select("cell", "block", "g", "shingles").groupBy("cell", "block")
-                        .applyInArrow(within, "u long, v long"))
-    parts = components(links)
-
-    # cells of several blocks: what is apart from the largest part meets all others,
-    # in blocks numbered with those apart first; a task holds a pair of blocks
-    large = placed.where("blocks > 1")
-    if not large.isEmpty():
-        labelled = cut_lineage(large.join(parts.withColumnRenamed("id", "g"), "g", "left")
-                               .withColumn("part", F.coalesce("component", "g")).drop("component"))
-        largest = cut_lineage(labelled.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("size"))
-                              .groupBy("cell").agg(F.max_by("part", F.struct("size", "part")).alias("largest"), F.sum("size").alias("all"),
-                                                   F.max("size").alias("most"))
-                              .select("cell", "largest", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("apart"),
-                                      F.ceil(F.col("most") / BLOCK).cast("int").alias("together")))
-        numbered = (labelled.join(largest, "cell").where("apart > 0").withColumn("minor", F.col("part") != F.col("largest"))
-                    .withColumn("block", F.when(F.col("minor"), F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("apart")))
-                                .otherwise(F.col("apart") + F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("together"))).cast("int")))
-        paired = (numbered.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("apart") - 1 + F.when(F.col("minor"), F.col("together")).otherwise(0))))
-                  .select("cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "g", "shingles", "part", "block"))
-
-        def across(t: pa.Table) -> pa.Table:
-            ids, s = _unpack(t)
-            first = dict(zip(t.column("g").to_pylist(), zip(t.column("part").to_pylist(), t.column("block").to_pylist())))
-            linked, of = Links(len(s)), {}
-            for i, g in enumerate(ids.tolist()):
-                linked.join(of.setdefault(first[g][0], i), i)
-            side = np.array([first[g][1] for g in ids.tolist()], dtype=np.int64)
-            alone = t.column("low")[0].as_py() == t.column("high")[0].as_py()
-            return _edges(ids, link_block(s, percent, linked, None if alone else side))
-
-        more = cut_lineage(paired.groupBy("cell", "low", "high").applyInArrow(across, "u long, v long"))
-        if not more.isEmpty():
-            parts = components(links.unionByName(more))
-
-    named = cut_lineage(rows.select("doc_id", "text_hash", "n", "g").join(parts.withColumnRenamed("id", "g"), "g", "left")
-                        .select("doc_id", "text_hash", "n", F.coalesce("component", "g").alias("part")))
-    leads = cut_lineage(named.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("copies"))
-                        .where("copies > 1").select("part", "lead"))
-    return (named.join(leads, "part", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.coalesce("lead", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"))
-
-
-def _slot(g, width: int):
-    return g.bitwiseAND(F.lit(width - 1)).cast("long")
+        spread = apart.mapInArrow(run, "g long, n long, keys array<long>").select("g", "n", F.explode("keys").alias("key"))
+        common = cut_lineage(spread.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+        ordered = (spread.join(common, "key").groupBy("g", "n").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("shared"))
+                   .withColumn("room", F.greatest(F.lit(0), prefix - F.col("n") + F.size("shared")).cast("int")))
+        return ordered.select("g", F.explode(F.slice("shared.key", F.lit(1), F.col("room"))).alias("key"), "n")
+
+    return named(rows, linked_parts(sets, linked, regroup)[1])
