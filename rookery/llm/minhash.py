@@ -16,7 +16,8 @@ run of equal keys is tied to its first set (those over a border too).
 The first pass compares the signatures of these ties only; their components take
 in groups of near copies at about one comparison a member and key. Keys whose other
 members are all in one component are done. The rest meet in tasks of bounded size
-(``cells.across_parts``), which compare all signatures of different components.
+(``cells.across_parts``), which compare all signatures of different components, key
+by key or, for a component that stands under many keys, at once.
 What is within the radius forms candidate groups, and inside these links are
 confirmed on full sets (``cells.linked_parts``).
 
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm import words as W
-from rookery.llm.cells import across_parts, gather_sets, linked_parts, named
+from rookery.llm.cells import BLOCK, across_parts, gather_sets, linked_parts, named
 from rookery.llm.cluster import ship
 from rookery.llm.components import components
 from rookery.llm.ngram_join import Links, set_id, shingle_sets
@@ -67,7 +68,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     out = np.empty((len(sets), SLOTS), dtype=np.uint16)
     for j in range(SLOTS):
-        out[:, j] = W.mix(np.minimum.reduceat(W.mix(flat * FACTORS[j] + SHIFTS[j]), starts)) >> U(48)
+        out[:, j] = W.mix(np.minimum.reduceat(flat * FACTORS[j] + SHIFTS[j], starts)) >> U(48)  # shingle hashes are mixed already
     return out
 
 
@@ -179,21 +180,39 @@ def near_duplicates(df: DataFrame, n: int = 5, percent: int = 80, id_col: str =
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near)], names=["u", "v"])
 
     a, b = (classes.select(F.col("g").alias(x), F.col("sig").alias(f"sig_{x}")) for x in ("u", "v"))
+
     pairs = tied.where("hub <> g").select(F.col("hub").alias("u"), F.col("g").alias("v")).distinct()
     links = cut_lineage(pairs.join(a, "u").join(b, "v").select("u", "v", "sig_u", "sig_v").mapInArrow(within, "u long, v long"))
     parts = components(links).withColumnsRenamed({"id": "g", "component": "part"})
-    # keys with members, beside the one that all were compared with, of different parts
-    labelled = cut_lineage(tied.select("key", "g").join(parts, "g", "left").withColumn("part", F.coalesce("part", "g")))
-    apart = cut_lineage(labelled.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("key"))
-    if not apart.isEmpty():
-        met = cut_lineage(labelled.join(apart, "key").join(classes.select("g", "sig"), "g")
-                          .select("g", F.col("key").alias("cell"), "part", F.col("sig").alias("shingles")))
+    # keys whose members, beside the one that all of a key were compared with, are of different parts
+    labelled = cut_lineage(tied.join(parts, "g", "left").select("key", "g", F.coalesce("part", "g").alias("part")))
+    most = cut_lineage(labelled.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+                       .agg(F.max_by("part", F.struct("n", "part")).alias("most"), F.max("n").alias("big"), F.sum("n").alias("all")).where("big < all"))
+    if not most.isEmpty():
+        sig = classes.select("g", F.col("sig").alias("shingles"))
 
         def near(sigs: list[np.ndarray], groups: list[list[int]], side: np.ndarray | None) -> list[tuple[int, int]]:
             linked, found = _near(np.concatenate(sigs).view(np.uint16).reshape(-1, SLOTS), r, groups, side)
             return [linked.join(i, j) or (i, j) for i, j in found if linked.find(i) != linked.find(j)]
 
-        links = links.unionByName(across_parts(met, near))
+        # a large part stands under many keys with much the same others: it meets all of them at
+        # once, as one cell, where that deals fewer rows than key by key
+        tagged = cut_lineage(labelled.join(most.select("key", "most"), "key"))
+        dealt = lambda s, m: s * F.ceil(m / BLOCK) + m * F.ceil(s / BLOCK)
+        by_key = most.groupBy("most").agg(F.sum(dealt(F.col("big"), F.col("all") - F.col("big"))).alias("by_key"))
+        once = tagged.select("most", "g", (F.col("part") != F.col("most")).alias("other")).distinct()
+        whole = cut_lineage(once.groupBy("most").agg(F.count_if("other").alias("m"), F.count_if(~F.col("other")).alias("s"))
+                            .join(by_key, "most").where(dealt(F.col("s"), F.col("m")) < F.col("by_key")).select("most"))
+        together = cut_lineage(tagged.join(whole, "most"))
+        cells = cut_lineage(together.select(F.col("most").alias("cell"), "g", "part").distinct().join(sig, "g"))
+        keyed = cut_lineage(tagged.join(whole, "most", "left_anti").select("g", F.col("key").alias("cell"), "part").join(sig, "g"))
+
+        def keys_of(others: DataFrame) -> DataFrame:
+            """What stands under one key, of the sets outside the largest parts of their cells."""
+            at = cut_lineage(together.select("g", F.col("key").alias("cell")).join(others.select("g").distinct(), "g"))
+            return at.join(at.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell"), "cell")
+
+        links = cut_lineage(links.unionByName(across_parts(keyed, near)).unionByName(across_parts(cells, near, keys_of)))
     groups = components(links).withColumnsRenamed({"id": "g", "component": "cell"})
 
     def confirmed(sets: list[np.ndarray], known: list[list[int]], side: np.ndarray | None) -> list[tuple[int, int]]:
