@@ -218,7 +218,7 @@ def test_url_rules_nest(spark):
     for h, p, v in rules:
         best[h, p] = max(v, best.get((h, p), ""))
     got = {r.page_id: (r.rule, r.verdict) for r in url_filter.url_filter(
-        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string"), salts=3).collect()}
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string"), per_task=20).collect()}
     for i, u in pages:
         m = re.match(r"([^/?#]*)([^?#]*)", u[7:])
         fits = [(len(h + p), len(h), h + p, v) for (h, p), v in best.items() if (m[1] == h or m[1].endswith("." + h)) and m[2].startswith(p)]
