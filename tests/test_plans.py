@@ -140,3 +140,14 @@ def test_traces_join_inside_buckets(spark, monkeypatch):
     # but for the one-row table of phrases
     assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) <= {"slot"}, plan
     assert made["analysed"] == 1 and made["positions"] <= 12
+
+
+def test_depth_merge_has_the_probes_of_all_moves(spark, tmp_path):
+    """Both probes score every move of a position, however far down it ranks."""
+    import datetime as dt
+
+    rows = [(1, 10 + i, 3, i + 1, 10.0, 1000.5 + 40 * i, "N", dt.date(2024, 1, 1 + i)) for i in range(12)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_quantity double, "
+                                "l_extendedprice double, l_returnflag string, l_shipdate date").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = E.queries()["depth_merge"](spark, str(tmp_path)).collect()
+    assert len(got) == 12 and all(r.shallow_cp is not None and r.confirm_cp is not None and r.shallow_wp is not None for r in got)
