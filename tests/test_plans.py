@@ -151,3 +151,33 @@ def test_depth_merge_has_the_probes_of_all_moves(spark, tmp_path):
                                 "l_extendedprice double, l_returnflag string, l_shipdate date").write.parquet(str(tmp_path / "lineitem.parquet"))
     got = E.queries()["depth_merge"](spark, str(tmp_path)).collect()
     assert len(got) == 12 and all(r.shallow_cp is not None and r.confirm_cp is not None and r.shallow_wp is not None for r in got)
+
+
+def test_traces_pass_no_positions_through_the_driver(spark):
+    """Whatever sizes Spark estimates, what grows with the positions is merged
+    inside the buckets: only the one row of phrases is broadcast."""
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for key in ("candidate_order", "decision_frame", "failed_attempts", "line_explainer"):
+        df = E.queries()[key](spark, SF_SMALL)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+        try:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+        finally:
+            for k, v in prev.items():
+                spark.conf.set(k, v)
+        assert "BroadcastHashJoin" not in plan and plan.count("BroadcastExchange") <= 1, (key, plan)
+
+
+def test_boards_are_dealt_over_all_tasks(spark):
+    """The features of the boards are much work on few bytes: as many tasks make
+    them as a shuffle has, though AQE sees a few kilobytes only. A join by board
+    does not make the edited boards twice."""
+    from rookery.operators import board as BD
+    from rookery.sources.fixtures import fx_positions
+
+    pos = fx_positions(spark, SF_SMALL).select("pos_id", "fen")
+    assert BD.boards(pos).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert not pos.schema["fen"].nullable
+    plan = _plan(spark, "backward_pawns")
+    assert not re.search(r"isnotnull\((CASE|fen#|coalesce)", plan), plan
