@@ -9,7 +9,9 @@ checkpoints live under the cluster's shared checkpoint folder.
 
 from __future__ import annotations
 
+import re
 import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,24 +22,42 @@ from rookery.session import cut_lineage
 from rookery.sources.sinks import scratch_path
 
 
+BATCH_PARTITIONS = 8
+
+
 def stage_files(df: DataFrame, path: str, order: list[str], rows_per_trigger: int, files_per_trigger: int = 4) -> int:
     """Let ``df`` arrive in ``path`` in ``order``, as a producer would: appends of
-    exactly ``rows_per_trigger`` rows (the last has what is left), each written by
-    ``files_per_trigger`` tasks as so many files. A stream that takes
-    ``files_per_trigger`` files a trigger takes one append a trigger, so a batch has
-    a bound in rows. Returns the number of appends.
-
-    The rows are sorted by range and numbered once; every append reads its own
-    numbers from that table, pushed down to the files."""
-    d = cut_lineage(dense_order(df, order, "_pos"))
-    n = d.agg(F.coalesce(F.max("_pos"), F.lit(0)).alias("n")).first().n
-    if not n:
-        d.drop("_pos").write.mode("append").parquet(path)
+    exactly ``rows_per_trigger`` rows (the last has what is left), each of
+    ``files_per_trigger`` files. A stream that takes ``files_per_trigger`` files a
+    trigger takes one append a trigger, so a batch has a bound in rows. Returns the
+    number of appends.
+
+    The rows are sorted by range and numbered once, and one job writes the files of
+    all appends, so its tasks and results do not grow with rows times appends. A
+    stream takes files by their time: each file is renamed into ``path`` with a time
+    in the order of the appends (a rename a file on the driver)."""
+    spark = df.sparkSession
+    d = dense_order(df, order, "_pos")
+    i = F.col("_pos") - 1
+    d = d.withColumn("_append", F.floor(i / rows_per_trigger).cast("long")).withColumn("_file", (i % files_per_trigger).cast("int"))
+    made = scratch_path(spark, "appends")
+    (d.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_append").sortWithinPartitions("_append", "_file", "_pos")
+     .drop("_pos").write.partitionBy("_append", "_file").parquet(made))
+    written = spark.read.schema(df.schema).option("recursiveFileLookup", True).parquet(made).inputFiles()
+    if not written:
+        df.limit(0).write.mode("append").parquet(path)
         return 0
-    batches = -(-n // rows_per_trigger)
-    for i in range(batches):
-        part = d.where((F.col("_pos") > i * rows_per_trigger) & (F.col("_pos") <= (i + 1) * rows_per_trigger)).drop("_pos")
-        part.repartition(files_per_trigger).write.mode("append").parquet(path)
+    names = {f: re.search(r"_append=(\d+)/_file=(\d+)/", f).groups() for f in written}
+    batches = 1 + max(int(a) for a, _ in names.values())
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to_path(path))
+    begin = int(time.time() * 1000) - batches
+    for f, (append, file) in names.items():
+        target = to_path(f"{path}/append-{int(append):09d}-{int(file):03d}.parquet")
+        if not fs.rename(to_path(f), target):
+            raise OSError(f"cannot append {target}")
+        fs.setTimes(target, begin + int(append), -1)
     return batches
 
 
@@ -50,8 +70,15 @@ def run_batches(stream: DataFrame, handler, name: str, mode: str = "append", don
     ``done`` is set, which ends the query before the rest is read."""
     spark = stream.sparkSession
     ckpt = scratch_path(spark, f"ckpt-{name}")
-    q = (stream.writeStream.outputMode(mode).foreachBatch(handler)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    # a query takes its settings when it starts: state and shuffles of a batch, which
+    # is bounded in rows, have few partitions, as each costs time in every batch
+    wide = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(wide), BATCH_PARTITIONS)))
+    try:
+        q = (stream.writeStream.outputMode(mode).foreachBatch(handler)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", wide)
     while not q.awaitTermination(1 if done is not None else 3600):
         if done is not None and done.is_set():
             q.stop()
@@ -168,6 +195,8 @@ def stream_dedup(spark: SparkSession, src: str, schema: T.StructType, key: str,
         new = cut_lineage(batch_df.dropDuplicates([key]).withColumn("bucket", key_bucket(key, buckets)))
         if batch_id > 0:
             touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+            if not touched:
+                return
             prior = touched_history(batch_df.sparkSession, sink, written, touched, batch_id)
             new = new.join(prior.select(key, "bucket"), ["bucket", key], "left_anti")
         (new.withColumn("batch_id", F.lit(batch_id)).repartition("bucket").write.mode("overwrite")
@@ -184,7 +213,8 @@ def stream_batch_sizes(spark: SparkSession, src: str, schema: T.StructType, name
     sink = scratch_path(spark, f"sink-{name}")
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite") \
+        # a batch is bounded, so one task counts it, without a shuffle
+        batch_df.coalesce(1).agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite") \
             .parquet(f"{sink}/batch_id={batch_id}")
 
     run_batches(read_stream(spark, src, schema, files_per_trigger), handle, name)

@@ -81,6 +81,25 @@ def test_dedup_meets_only_the_buckets_of_its_keys(spark, monkeypatch):
     assert max(seen) > 0
 
 
+def test_all_appends_are_staged_by_as_many_jobs_as_one(spark, monkeypatch):
+    """Jobs of the staging do not grow with the appends; settings of the session
+    are as they were once a stream has begun."""
+    from pyspark.sql import DataFrameWriter
+
+    parquet, calls = DataFrameWriter.parquet, []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (calls.append(path), parquet(self, path, *a, **k))[1])
+    counts = []
+    for rows in (100, 10):
+        calls.clear()
+        path, batches = staged(spark, 100, rows, f"jobs{rows}")
+        counts.append(len(calls))
+        assert batches == 100 // rows
+    assert counts[0] == counts[1]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = {r.batch_id: r.n_rows for r in ST.stream_batch_sizes(spark, path, SCHEMA, "jobs").collect()}
+    assert sizes == {i: 10 for i in range(10)} and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def rows_of(spark, n, lines):
     df = spark.range(1, n + 1).select(F.col("id").alias("pos"), F.concat(F.lit("é"), F.col("id").cast("string")).alias("text"))
     return shards.by_lines(df.repartition(4), "pos", lines).select("shard", "line", "text")
