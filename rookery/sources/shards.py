@@ -10,11 +10,14 @@ manifest seals nothing.
 
 from __future__ import annotations
 
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+RENAMES = 16  # at a time
 MANIFEST = "batch int, name string, rows long, reason string"
 
 
@@ -43,19 +46,22 @@ class ShardSink:
 
     def rename(self, path: str, first: int) -> list[str]:
         """Step two: names in the order of the shards, a rename a shard."""
-        names = []
-        folders = {int(s.getPath().getName().split("=")[1]): s.getPath() for s in self.fs.listStatus(self.path(path)) if "=" in s.getPath().getName()}
-        for i, folder in sorted(folders.items()):
-            files = [f.getPath() for f in self.fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
-            if len(files) != 1:
-                raise ValueError(f"a shard has {len(files)} files")
+        # Spark lists all folders at once, in tasks if they are many
+        files = self.spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+        shards = [int(re.search(r"/shard=(\d+)/", f).group(1)) for f in files]
+        if len(set(shards)) != len(shards):
+            raise ValueError("a shard has more than one file")
+
+        def seal(i: int, file: str) -> str:
             name = f"{self.split}-{first + i:06d}.jsonl"
             target = self.path(f"{self.root}/{name}")
             self.fs.delete(target, False)  # left by a run that had no manifest yet
-            if not self.fs.rename(files[0], target):
+            if not self.fs.rename(self.path(file), target):
                 raise OSError(f"cannot seal {name}")
-            names.append(name)
-        return names
+            return name
+
+        with ThreadPoolExecutor(RENAMES) as pool:
+            return list(pool.map(seal, *zip(*sorted(zip(shards, files))))) if files else []
 
     def seal(self, rows: DataFrame, batch: int = 0, reason: str = "max_lines") -> list[str]:
         """Seal the shards of a batch; names of what was sealed now."""
@@ -67,8 +73,10 @@ class ShardSink:
         names = self.rename(path, first)
         if not names:
             return []
-        counts = (self.spark.read.text([f"{self.root}/{n}" for n in names]).groupBy(F.col("_metadata.file_name").alias("name"))
-                  .agg(F.count(F.lit(1)).alias("rows")))
+        number = F.regexp_extract("name", r"-(\d+)\.jsonl$", 1).cast("int")
+        counts = (self.spark.read.text(self.root).select(F.col("_metadata.file_name").alias("name"))
+                  .where(F.startswith("name", F.lit(f"{self.split}-")) & number.between(first, first + len(names) - 1))
+                  .groupBy("name").agg(F.count(F.lit(1)).alias("rows")))
         done = counts.select(F.lit(batch).alias("batch"), "name", "rows", F.lit(reason).alias("reason"))
         done.coalesce(1).write.mode("overwrite").json(f"{self.root}/_manifest/batch-{batch:09d}")
         self.fs.delete(self.path(path), True)  # written above, empty by now
@@ -76,11 +84,11 @@ class ShardSink:
 
     def read(self, schema: str) -> DataFrame:
         """Rows of the sealed shards, with ``shard_name``."""
-        names = [r.name for r in self.manifest().select("name").collect()]  # a name a shard
-        if not names:
+        sealed = self.manifest().select(F.col("name").alias("shard_name"))  # a row a shard
+        if sealed.isEmpty():
             return self.spark.createDataFrame([], f"{schema}, shard_name string")
-        rows = self.spark.read.schema(schema).json([f"{self.root}/{n}" for n in names])
-        return rows.withColumn("shard_name", F.col("_metadata.file_name"))
+        rows = self.spark.read.schema(schema).json(self.root).withColumn("shard_name", F.col("_metadata.file_name"))
+        return rows.join(F.broadcast(sealed), "shard_name", "left_semi").select(*rows.columns)
 
 
 def by_lines(df: DataFrame, pos: str, lines: int) -> DataFrame:
