@@ -52,17 +52,20 @@ def _edges(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"u": u, "v": v})
 
 
-def linked_parts(sets: DataFrame, link: Link, regroup: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def linked_parts(sets: DataFrame, link: Link, regroup: Callable[[DataFrame], DataFrame] | None = None,
+                 block: int | None = None, pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``sets``: ``g, cell, shingles`` (a set may be in several cells), as a
     written table. The links found (``u, v``) and their components.
 
     ``regroup``: given the sets (``g, cell, shingles``) that stay apart from the
     largest parts of their cells, says by new cells (``g, cell``) which may be
-    linked; of those that share a cell but no new one none may be."""
+    linked; of those that share a cell but no new one none may be. ``block`` and
+    ``pivots`` stand for ``BLOCK`` and ``PIVOTS``."""
+    block, pivots = block or BLOCK, pivots or PIVOTS
     counts = cut_lineage(sets.groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
-                         .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
+                         .withColumn("blocks", F.ceil(F.col("members") / block).cast("int")))
     placed = (sets.join(counts, "cell").withColumn("own", F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int"))
-              .withColumn("pivot", (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "g"), F.col("members")) < PIVOTS)))
+              .withColumn("pivot", (F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "g"), F.col("members")) < pivots)))
     in_blocks = placed.withColumn("block", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1))
                                                      .otherwise(F.array("own"))))
 
@@ -78,22 +81,24 @@ def linked_parts(sets: DataFrame, link: Link, regroup: Callable[[DataFrame], Dat
         return links, parts
     labelled = cut_lineage(sets.join(large, "cell").join(parts.withColumnRenamed("id", "g"), "g", "left")
                            .withColumn("part", F.coalesce("component", "g")).drop("component"))
-    more = across_parts(labelled, link, regroup)
+    more = across_parts(labelled, link, regroup, block, pivots)
     if more.isEmpty():
         return links, parts
     links = links.unionByName(more)
     return links, components(links)
 
 
-def across_parts(labelled: DataFrame, link: Link, regroup: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def across_parts(labelled: DataFrame, link: Link, regroup: Callable[[DataFrame], DataFrame] | None = None,
+                 block: int | None = None, pivots: int | None = None) -> DataFrame:
     """``labelled``: ``g, cell, part, shingles``, as a written table. Links between
     sets of a cell that are of different parts, as far as they join parts: those
     outside the cell's largest part meet all others, in pairs of blocks."""
+    block, pivots = block or BLOCK, pivots or PIVOTS
     largest = cut_lineage(labelled.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("size"))
                           .groupBy("cell").agg(F.max_by("part", F.struct("size", "part")).alias("largest"), F.sum("size").alias("all"),
                                                F.max("size").alias("most")).where("most < all")
-                          .select("cell", "largest", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("apart"),
-                                  F.ceil(F.col("most") / BLOCK).cast("int").alias("together")))
+                          .select("cell", "largest", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("apart"),
+                                  F.ceil(F.col("most") / block).cast("int").alias("together")))
     # blocks numbered with those apart first
     numbered = (labelled.join(largest, "cell").withColumn("minor", F.col("part") != F.col("largest"))
                 .withColumn("block", F.when(F.col("minor"), F.pmod(F.xxhash64(F.lit("apart"), "g"), F.col("apart")))
@@ -117,7 +122,7 @@ def across_parts(labelled: DataFrame, link: Link, regroup: Callable[[DataFrame],
         return more
     apart = cut_lineage(numbered.where("minor").select("g", "cell", "shingles"))
     again = cut_lineage(apart.drop("cell").join(regroup(apart), "g"))
-    return more.unionByName(linked_parts(again, link)[0])
+    return more.unionByName(linked_parts(again, link, None, block, pivots)[0])
 
 
 def gather_sets(docs: DataFrame, chosen: DataFrame, sets: Callable[[pa.Array], Iterator[np.ndarray]], name: Callable[[np.ndarray], int]) -> DataFrame:

@@ -51,6 +51,7 @@ U = np.uint64
 LEAF = 16
 FANOUT = 4
 BITS = 2048
+BLOCK = PIVOTS = None  # of a cluster; None: those of ``cells``
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -289,4 +290,4 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
                    .withColumn("room", F.greatest(F.lit(0), prefix - F.col("n") + F.size("shared")).cast("int")))
         return ordered.select("g", F.explode(F.slice("shared.key", F.lit(1), F.col("room"))).alias("key"), "n")
 
-    return named(rows, linked_parts(sets, linked, regroup)[1])
+    return named(rows, linked_parts(sets, linked, regroup, BLOCK, PIVOTS)[1])
