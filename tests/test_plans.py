@@ -181,3 +181,37 @@ def test_boards_are_dealt_over_all_tasks(spark):
     assert not pos.schema["fen"].nullable
     plan = _plan(spark, "backward_pawns")
     assert not re.search(r"isnotnull\((CASE|fen#|coalesce)", plan), plan
+
+
+def test_positions_meet_their_boards_without_a_broadcast(spark, monkeypatch):
+    """Positions are small files of few boards, but a row each: written tables of the
+    traces never send them through the driver, whatever Spark estimates."""
+    from rookery.plans import q_traces as Q
+
+    plans = {}
+
+    def in_buckets(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        raise StopIteration
+
+    monkeypatch.setattr(Q, "in_buckets", in_buckets)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        Q.position_table(spark, SF_SMALL)
+    except StopIteration:
+        pass
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert re.search(r"SortMergeJoin \[fen#", plans["positions"]), plans["positions"]
+    assert "BuildLeft" not in plans["positions"]
+
+
+def test_traces_draw_and_look_up_only_what_they_use(spark):
+    """No draw is made before its gate, no phrase is searched in a map, and the style's
+    total is worked out once: none of these stands under a lambda."""
+    df = E.queries()["assemble_sections"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "u_opp_phrase" not in plan and "u_walk_phrase" not in plan
+    assert not re.search(r"element_at\(phrases#\d+, (context|plan|quality|conclusion)", plan)
+    assert not re.search(r"filter\(array\(concat_ws", plan)
