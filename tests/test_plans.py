@@ -216,3 +216,11 @@ def test_traces_draw_and_look_up_only_what_they_use(spark):
     searched = re.findall(r"element_at\(phrases#\d+, (\w+)", plan)
     assert searched and len(searched) == len(set(searched)) and "element_at(phrases" not in plan[:plan.index("Join Cross")], plan
     assert not re.search(r"filter\(array\(concat_ws", plan)
+
+
+def test_boards_without_lines_of_sight(spark):
+    """Forks and cues need the attacked squares only, not what stands on and behind them."""
+    for key in ("fork_targets", "positional_cues"):
+        plan = _plan(spark, key)
+        assert "cells" in plan and "behind" not in plan, key
+    assert "behind" in _plan(spark, "motif_rank")
