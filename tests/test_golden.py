@@ -172,3 +172,38 @@ def test_phrases_come_from_a_table(spark):
     new = with_phrases(row, both, version=9).select(A.pick("plan", F.col("u"), plan=F.col("p")).alias("t"),
                                                     A.pick("plan", F.col("u"), plan=F.lit(None).cast("string")).alias("n")).first()
     assert old == "I would like to castle." and new.t == "Next: castle!" and new.n is None
+
+
+def test_position_aggregates_equal_the_operators(spark):
+    """Policy, profile, avoided move and picks as columns of the scored moves agree with
+    the operators on whole tables: positions of one to fourteen moves, of equal and of
+    missing scores."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from rookery.operators import scoring as SC
+    from rookery.operators import selection as SEL
+
+    rows = [(p, i + 1, f"a{i + 1}m{p}", None if p == 5 and i == 1 else 0 if p == 3 else (p * 37 + i * 61) % 401 - 200,
+             (i * 97 + p * 13) % 301 - 150, None) for p in range(1, 40) for i in range(1 + p % 14)]
+    a = SC.analyse_candidates(spark.createDataFrame(rows, "pos_id long, slot int, uci string, cp int, shallow_cp int, mate_in int"))
+    others = ["x1", "x2", "x3"]
+    legal = a.select("pos_id", "uci").unionByName(a.select("pos_id").distinct().select("pos_id", F.explode(F.array(*map(F.lit, others))).alias("uci")))
+    policy = SC.softmax_policy(legal, a.select("pos_id", "uci", "cp"))
+    w = Window.partitionBy("pos_id")
+    m = SEL.with_picks(SC.with_policy(a, len(others)).withColumn("p", F.col("prob")).withColumn("bs", F.max("shallow_cp").over(w)))
+
+    want = {(r.pos_id, r.uci): r.prob for r in policy.collect()}
+    got = m.select("pos_id", "uci", "prob", "rest_prob", "picked").collect()
+    assert all(abs(r.prob - want[r.pos_id, r.uci]) < 1e-12 and abs(r.rest_prob - want[r.pos_id, "x2"]) < 1e-12 for r in got)
+    assert {(r.pos_id, r.uci) for r in got if r.picked} == {(r.pos_id, r.uci) for r in SEL.candidate_pool(a).collect()}
+
+    prof = {r.pos_id: r for r in SC.decision_profile(None, None, analysed_df=a, policy_df=policy).collect()}
+    g = m.groupBy("pos_id").agg(*[v.alias(k) for k, v in SC.profile_aggregates(len(others)).items()], SEL.avoided_move().alias("avoid"))
+    for r in g.withColumns(SC.profile_columns()).collect():
+        o = prof[r.pos_id]
+        assert (r.best_uci, r.only_move, r.many_options, r.forced_mate, r.close_moves) == \
+            (o.best_uci, o.only_move, o.many_options, o.forced_mate, o.close_moves)
+        assert abs(r.entropy - o.entropy) < 1e-9 and abs(r.best_prob - o.best_prob) < 1e-12
+    avoid = {r.pos_id: r.avoid_uci for r in SEL.avoid_blunder(a, policy, gate=1.1).collect()}
+    assert avoid and {r.pos_id: r.avoid for r in g.where("avoid is not null").collect()} == avoid

@@ -218,6 +218,26 @@ def test_traces_draw_and_look_up_only_what_they_use(spark):
     assert not re.search(r"filter\(array\(concat_ws", plan)
 
 
+def test_traces_read_the_candidates_once(spark, monkeypatch):
+    """Policy, profile, picks and lines come from one scan of the analysed candidates,
+    and a query writes no board features that it does not read."""
+    from rookery.plans import q_traces
+
+    written = {}
+    write = q_traces.write_bucketed
+
+    def watch(df, name, keys, buckets):
+        written[name] = set(df.columns)
+        return write(df, name, keys, buckets)
+
+    monkeypatch.setattr(q_traces, "write_bucketed", watch)
+    for key, board in (("capped_enrichment", False), ("conclusion_pool", False), ("pv_gate", False), ("context_hint", False),
+                       ("phrase_pick", False), ("trace_rows", True)):
+        plan = _plan(spark, key)
+        assert len(re.findall(r"FileScan parquet \S*analysed_", plan)) == 1, key
+        assert ("top_motif" in written["positions"]) == board, key
+
+
 def test_boards_without_lines_of_sight(spark):
     """Forks and cues need the attacked squares only, not what stands on and behind them."""
     for key in ("fork_targets", "positional_cues"):
