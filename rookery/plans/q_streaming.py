@@ -25,15 +25,14 @@ QUOTA = {"game": 700, "puzzle": 300}
 ROWS = 4000  # of a trigger
 
 
-def staged_events(spark, sf):
+def staged_events(spark, sf, by=None, lanes=1):
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     p = fx_puzzles(spark, sf).join(e, F.col("puzzle_id") == F.col("event_id"))
     src = F.when(F.col("event_type").isin("purchase", "signup"), "puzzle").otherwise("game")
     p = p.select(F.col("event_id").alias("id"), "puzzle_id", "rating", "themes", "user_id", src.alias("source"),
                  "ts")
     path = scratch_path(spark, "events-stream")
-    ST.stage_files(p, path, ["ts", "id"], ROWS)
-    return path
+    return path, ST.stage_files(p, path, ["ts", "id"], ROWS, by=by, lanes=lanes)
 
 
 EVENTS_SQL = ("ev AS (SELECT p.puzzle_id AS id, p.puzzle_id, p.rating, p.themes, e.user_id, CASE WHEN e.event_type IN "
@@ -46,7 +45,7 @@ EVENTS_SQL = ("ev AS (SELECT p.puzzle_id AS id, p.puzzle_id, p.rating, p.themes,
     "AS INT) AS n_themes FROM ev WHERE rating BETWEEN 1000 AND 2500", "fx_puzzles"))
 def q_stream_append(spark, sf):
     """File source -> per-row annotation -> idempotent append sink."""
-    src = staged_events(spark, sf)
+    src, _ = staged_events(spark, sf)
 
     def annotate(s):
         return s.filter(F.col("rating").between(1000, 2500)).select(
@@ -59,7 +58,7 @@ def q_stream_append(spark, sf):
     "FROM ev GROUP BY 1", "fx_puzzles"))
 def q_stream_shards(spark, sf):
     """Timed shards: 15-minute tumbling windows, watermark-bounded state."""
-    src = staged_events(spark, sf)
+    src, _ = staged_events(spark, sf)
     w = ST.stream_window_counts(spark, src, EVENT_SCHEMA, "shards")
     return w.select(F.date_format("shard_start", "yyyy-MM-dd HH:mm:ss").alias("shard_start"), "n")
 
@@ -69,14 +68,16 @@ def q_stream_shards(spark, sf):
     "SELECT source, id FROM r WHERE rk <= CASE source WHEN 'game' THEN " + str(QUOTA["game"]) + " ELSE "
     + str(QUOTA["puzzle"]) + " END", "fx_puzzles"))
 def q_stream_quota(spark, sf):
-    src = staged_events(spark, sf)
+    src, _ = staged_events(spark, sf)
     return ST.stream_quota(spark, src, EVENT_SCHEMA, QUOTA, "quota").select("source", "id")
 
 
 @register("stream_dedup", with_fx(f"WITH {EVENTS_SQL} SELECT DISTINCT user_id FROM ev", "fx_puzzles"))
 def q_stream_dedup(spark, sf):
-    src = staged_events(spark, sf)
-    return ST.stream_dedup(spark, src, EVENT_SCHEMA, "user_id", "dedup")
+    # a lane has the keys of its own buckets; the count, of the files' footers, only says how many lanes
+    lanes = ST.lanes_of(table(spark, sf, "events").count() // ROWS)
+    src, _ = staged_events(spark, sf, ST.key_bucket("user_id"), lanes)
+    return ST.stream_dedup(spark, src, EVENT_SCHEMA, "user_id", "dedup", lanes=lanes)
 
 
 @register("stream_rate", with_fx(
@@ -84,7 +85,7 @@ def q_stream_dedup(spark, sf):
     f"SELECT CAST((rn - 1) // {ROWS} AS INT) AS batch_id, count(*) AS n_rows FROM r GROUP BY 1", "fx_puzzles"))
 def q_stream_rate(spark, sf):
     """A bound in rows a trigger: every batch but the last has exactly that many."""
-    src = staged_events(spark, sf)
+    src, _ = staged_events(spark, sf)
     return ST.stream_batch_sizes(spark, src, EVENT_SCHEMA, "rate")
 
 

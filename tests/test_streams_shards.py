@@ -147,3 +147,72 @@ def test_empty(spark):
     assert sink.seal(rows_of(spark, 0, 10)) == [] and sink.read("text string").count() == 0
     path = scratch_path(spark, "none-stream")
     assert ST.stage_files(spark.createDataFrame([], SCHEMA), path, ["ts", "id"], 10) == 0
+
+
+def test_dedup_reads_a_bounded_number_of_files(spark, monkeypatch):
+    """Files of the history do not grow with the batches, and repeats from any of
+    them are dropped, also by a batch that is run again."""
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i if i < 150 else i - 150, "game", start + dt.timedelta(minutes=i)) for i in range(200)], SCHEMA)
+    path = scratch_path(spark, "bounded-files")
+    assert ST.stage_files(df, path, ["ts", "id"], 5) == 40
+    seen = []
+    history = ST.touched_history
+
+    def watch(*args):
+        prior = history(*args)
+        seen.append(len(prior.inputFiles()))
+        return prior
+
+    start_batches = ST.start_batches
+    again = lambda handler: lambda df, batch_id: [handler(df, batch_id) for _ in range(1 + (batch_id in (16, 17)))]
+    monkeypatch.setattr(ST, "touched_history", watch)
+    monkeypatch.setattr(ST, "start_batches", lambda stream, handler, *a, **k: start_batches(stream, again(handler), *a, **k))
+    got = ST.stream_dedup(spark, path, SCHEMA, "id", "bounded-files", delay="1 minute", buckets=2)
+    assert sorted(r.id for r in got.collect()) == list(range(150))
+    assert 0 < max(seen) <= 2 + ST.MERGE_EVERY
+
+
+def test_appends_by_key_keep_a_key_in_its_lane(spark):
+    df = spark.range(1000).select(F.col("id"), F.lit("game").alias("source"), (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")).alias("ts"))
+    path = scratch_path(spark, "by-key")
+    ST.stage_files(df, path, ["ts", "id"], 20, by=F.col("id") % 7, lanes=5)
+    rows = spark.read.schema(SCHEMA).parquet(path).select("id", F.regexp_extract(F.input_file_name(), r"append-(\d+)-", 1).cast("int").alias("append"))
+    rows = [(r.id, r.append) for r in rows.collect()]
+    assert sorted(i for i, _ in rows) == list(range(1000))
+    assert all(a % 5 == i % 7 % 5 for i, a in rows)
+    for lane in range(5):
+        own = sorted((a, i) for i, a in rows if a % 5 == lane)
+        assert [i for _, i in own] == sorted(i for _, i in own)  # in order
+        assert [a // 5 for a, _ in own] == [n // 20 for n in range(len(own))]  # of 20 rows, the last of what is left
+
+
+def events(spark, n):
+    """A table folder with ``n`` events, a minute apart, of ``n // 3`` users."""
+    root = scratch_path(spark, "own-tables")
+    kind = F.element_at(F.array(*(F.lit(x) for x in ("view", "click", "purchase", "signup"))), (F.col("id") % 4 + 1).cast("int"))
+    (spark.range(n).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id as int))").alias("ts"),
+                           (F.col("id") % (n // 3)).alias("user_id"), kind.alias("event_type"), (F.col("id") * 1.5).alias("value"))
+     .write.parquet(f"{root}/events.parquet"))
+    return root
+
+
+@pytest.fixture
+def streams(monkeypatch):
+    """Streams that are started, and appends of ten rows."""
+    from pyspark.sql.streaming import DataStreamWriter
+
+    from rookery.plans import q_streaming
+
+    begun, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: (begun.append(1), start(self, *a, **k))[1])
+    monkeypatch.setattr(q_streaming, "ROWS", 10)
+    return begun
+
+
+def test_long_dedup_runs_in_lanes(spark, streams):
+    from rookery.plans import q_streaming
+
+    got = q_streaming.q_stream_dedup(spark, events(spark, 450))
+    assert sorted(r.user_id for r in got.collect()) == list(range(150))
+    assert len(streams) == 10
