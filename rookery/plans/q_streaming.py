@@ -58,8 +58,8 @@ def q_stream_append(spark, sf):
     "FROM ev GROUP BY 1", "fx_puzzles"))
 def q_stream_shards(spark, sf):
     """Timed shards: 15-minute tumbling windows, watermark-bounded state."""
-    src, _ = staged_events(spark, sf)
-    w = ST.stream_window_counts(spark, src, EVENT_SCHEMA, "shards")
+    src, appends = staged_events(spark, sf)
+    w = ST.stream_window_counts(spark, src, EVENT_SCHEMA, "shards", lanes=ST.lanes_of(appends))
     return w.select(F.date_format("shard_start", "yyyy-MM-dd HH:mm:ss").alias("shard_start"), "n")
 
 

@@ -216,3 +216,11 @@ def test_long_dedup_runs_in_lanes(spark, streams):
     got = q_streaming.q_stream_dedup(spark, events(spark, 450))
     assert sorted(r.user_id for r in got.collect()) == list(range(150))
     assert len(streams) == 10
+
+
+def test_long_shards_run_in_lanes(spark, streams):
+    from rookery.plans import q_streaming
+
+    got = q_streaming.q_stream_shards(spark, events(spark, 450)).collect()
+    assert {(r.shard_start, r.n) for r in got} == {((dt.datetime(2024, 1, 1) + dt.timedelta(minutes=15 * i)).isoformat(" "), 15) for i in range(30)}
+    assert len(got) == 30 and len(streams) == 10
