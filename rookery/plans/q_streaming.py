@@ -45,12 +45,12 @@ EVENTS_SQL = ("ev AS (SELECT p.puzzle_id AS id, p.puzzle_id, p.rating, p.themes,
     "AS INT) AS n_themes FROM ev WHERE rating BETWEEN 1000 AND 2500", "fx_puzzles"))
 def q_stream_append(spark, sf):
     """File source -> per-row annotation -> idempotent append sink."""
-    src, _ = staged_events(spark, sf)
+    src, appends = staged_events(spark, sf)
 
     def annotate(s):
         return s.filter(F.col("rating").between(1000, 2500)).select(
             "puzzle_id", "rating", F.size(tokens(F.coalesce(F.col("themes"), F.lit("")))).alias("n_themes"))
-    return ST.stream_append(spark, src, EVENT_SCHEMA, annotate, "append").drop("batch_id")
+    return ST.stream_append(spark, src, EVENT_SCHEMA, annotate, "append", ST.lanes_of(appends)).drop("batch_id")
 
 
 @register("stream_shards", with_fx(

@@ -224,3 +224,12 @@ def test_long_shards_run_in_lanes(spark, streams):
     got = q_streaming.q_stream_shards(spark, events(spark, 450)).collect()
     assert {(r.shard_start, r.n) for r in got} == {((dt.datetime(2024, 1, 1) + dt.timedelta(minutes=15 * i)).isoformat(" "), 15) for i in range(30)}
     assert len(got) == 30 and len(streams) == 10
+
+
+def test_long_append_runs_in_lanes(spark, streams):
+    from rookery.plans import q_streaming
+
+    got = q_streaming.q_stream_append(spark, events(spark, 450)).collect()
+    ratings = [(i, 600 + i * 15 % 2400) for i in range(450)]
+    assert sorted((r.puzzle_id, r.rating) for r in got) == [(i, x) for i, x in ratings if 1000 <= x <= 2500]
+    assert len(streams) == 10
