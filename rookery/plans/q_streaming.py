@@ -85,8 +85,8 @@ def q_stream_dedup(spark, sf):
     f"SELECT CAST((rn - 1) // {ROWS} AS INT) AS batch_id, count(*) AS n_rows FROM r GROUP BY 1", "fx_puzzles"))
 def q_stream_rate(spark, sf):
     """A bound in rows a trigger: every batch but the last has exactly that many."""
-    src, _ = staged_events(spark, sf)
-    return ST.stream_batch_sizes(spark, src, EVENT_SCHEMA, "rate")
+    src, appends = staged_events(spark, sf)
+    return ST.stream_batch_sizes(spark, src, EVENT_SCHEMA, "rate", lanes=ST.lanes_of(appends))
 
 
 SCORED_SCHEMA = T.StructType([

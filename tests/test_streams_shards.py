@@ -233,3 +233,11 @@ def test_long_append_runs_in_lanes(spark, streams):
     ratings = [(i, 600 + i * 15 % 2400) for i in range(450)]
     assert sorted((r.puzzle_id, r.rating) for r in got) == [(i, x) for i, x in ratings if 1000 <= x <= 2500]
     assert len(streams) == 10
+
+
+def test_long_rate_runs_in_lanes(spark, streams):
+    from rookery.plans import q_streaming
+
+    got = q_streaming.q_stream_rate(spark, events(spark, 455)).collect()
+    assert sorted((r.batch_id, r.n_rows) for r in got) == [(i, 10 if i < 45 else 5) for i in range(46)]
+    assert len(streams) == 10
